@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     # Let the web-archive source see simple predicates (rec_type, ...).
     "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
