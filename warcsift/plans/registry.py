@@ -403,3 +403,65 @@ def q_url_glob_semi_join(spark, sf):
     r = responses(spark, sf).select("warc_path", "rec_idx",
                                     target_uri(F.col("rec_headers")).alias("url"))
     return url_semi_join(r, pats)
+
+
+# ---------------------------------------------------------------- archive source
+
+def _fixture_records(spark, sf, fmt: str, encodings: bool = False, **opts) -> DataFrame:
+    from ..session import scratch_dir
+    from ..sources.fixtures import write_fixture
+    from ..sources.warc import read_warc
+    root = scratch_dir(spark, "fixture")
+    written = write_fixture(responses(spark, sf), root, fmt, encodings).collect()
+    files = [r["warc_path"] for r in written]
+    return read_warc(spark, files, **opts)
+
+
+def _rel(c):
+    return F.regexp_extract(c, "crawl-data/.*$", 0)
+
+
+def _scan_view(r: DataFrame) -> DataFrame:
+    d = strict_utf8(F.col("payload"))
+    return r.select(_rel(F.col("warc_path")).alias("warc_path"), "rec_idx", "rec_type",
+                    target_uri(F.col("rec_headers")).alias("url"),
+                    content_type(F.col("http_headers")).alias("content_type"),
+                    F.col("http_status").cast("long").alias("http_status"),
+                    d.alias("html"), F.octet_length("payload").cast("long").alias("n_bytes"))
+
+
+_SCAN_SQL = f"""{RESP}
+SELECT warc_path, rec_idx, rec_type, {S.header('rec_headers', 'WARC-Target-URI')} AS url,
+       {S.header('http_headers', 'Content-Type')} AS content_type,
+       CAST(http_status AS BIGINT) AS http_status, try(decode(payload)) AS html,
+       CAST(octet_length(payload) AS BIGINT) AS n_bytes
+FROM responses"""
+
+
+@query("warc_scan", _SCAN_SQL)
+def q_warc_scan(spark, sf):
+    return _scan_view(_fixture_records(spark, sf, "warc.gz"))
+
+
+@query("http_body_decode", f"""{RESP}
+SELECT replace(warc_path, '.warc.gz', '.warc') AS warc_path, rec_idx, try(decode(payload)) AS html,
+       CAST(octet_length(payload) AS BIGINT) AS n_bytes, CAST(NULL AS VARCHAR) AS payload_error
+FROM responses""")
+def q_http_body_decode(spark, sf):
+    r = _fixture_records(spark, sf, "warc", encodings=True)
+    return r.select(_rel(F.col("warc_path")).alias("warc_path"), "rec_idx",
+                    strict_utf8(F.col("payload")).alias("html"),
+                    F.octet_length("payload").cast("long").alias("n_bytes"), "payload_error")
+
+
+@query("arc_scan", f"""{RESP}
+SELECT replace(warc_path, '.warc.gz', '.arc.gz') AS warc_path, rec_type,
+       {S.header('rec_headers', 'WARC-Target-URI')} AS url,
+       {S.header('http_headers', 'Content-Type')} AS content_type,
+       CAST(http_status AS BIGINT) AS http_status, try(decode(payload)) AS html
+FROM responses WHERE rec_type = 'response'""")
+def q_arc_scan(spark, sf):
+    r = _fixture_records(spark, sf, "arc")
+    v = _scan_view(r)
+    return v.where(F.col("rec_type") == "response").select(
+        "warc_path", "rec_type", "url", "content_type", "http_status", "html")

@@ -79,3 +79,16 @@ def ensure_local_dir(uri: str) -> None:
     p = local_path(uri)
     if "://" not in p:
         os.makedirs(p, exist_ok=True)
+
+
+def fs_and_path(uri: str):
+    """(pyarrow FileSystem, path) for a local path or any Hadoop-style URI."""
+    from pyarrow import fs as pafs
+    if "://" not in uri and not uri.startswith("file:"):
+        return pafs.LocalFileSystem(), uri
+    if uri.startswith("file:"):
+        p = uri[len("file:"):]
+        while p.startswith("//"):
+            p = p[1:]
+        return pafs.LocalFileSystem(), p
+    return pafs.FileSystem.from_uri(uri)

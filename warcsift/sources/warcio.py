@@ -1,0 +1,311 @@
+"""Record framing for web-archive files (WARC 0.x/1.x, ARC v1), streaming.
+
+Used only inside the ``warc`` data source's tasks: one file is read front to
+back with bounded memory (one record at a time), so any file size works.
+
+* ``.gz`` input may hold many gzip members (usually one per record); the
+  offset of a record is the compressed offset of the member it starts in,
+  or the byte offset for plain files;
+* WARC: version line, ``Name: value`` headers (folded lines joined), a
+  ``Content-Length`` block, blank lines between records;
+* ARC v1: ``url ip date mime length`` header line; the ``filedesc://``
+  record becomes ``warcinfo``, all others ``response`` with WARC headers
+  synthesised from the ARC line;
+* HTTP records (``application/http``): status or request line, headers, then
+  the body, de-chunked and decoded for ``gzip``/``deflate``; anything else
+  leaves ``payload_error`` set and the raw body.
+"""
+
+from __future__ import annotations
+
+import zlib
+from dataclasses import dataclass, field
+
+
+class TruncatedError(ValueError):
+    pass
+
+
+class ByteStream:
+    """Forward-only reader over plain or multi-member gzip bytes."""
+
+    def __init__(self, raw, gz: bool, chunk: int = 1 << 20):
+        self.raw, self.gz, self.chunk = raw, gz, chunk
+        self.buf = bytearray()
+        self.pos = 0              # read position in buf
+        self.base = 0             # decompressed offset of buf[0]
+        self.raw_pos = 0          # raw bytes consumed
+        self.members: list[tuple[int, int]] = []   # (decompressed start, raw offset)
+        self.eof = False
+        self._d = None
+        self._pending = b""       # raw bytes not yet fed to a decompressor
+
+    # -- filling
+    def _fill(self) -> bool:
+        if self.eof:
+            return False
+        while True:
+            if self.gz:
+                if self._d is None:
+                    if not self._pending:
+                        self._pending = self.raw.read(self.chunk) or b""
+                        if not self._pending:
+                            self.eof = True
+                            return False
+                    start_raw = self.raw_pos
+                    self._d = zlib.decompressobj(31)
+                    self.members.append((self.base + len(self.buf), start_raw))
+                data = self._pending or self.raw.read(self.chunk) or b""
+                self._pending = b""
+                if not data:
+                    if not self._d.eof:
+                        raise TruncatedError("truncated gzip member")
+                    self._d = None
+                    self.eof = True
+                    return False
+                out = self._d.decompress(data)
+                used = len(data) - len(self._d.unused_data)
+                self.raw_pos += used
+                if self._d.eof:
+                    self._pending = self._d.unused_data
+                    self._d = None
+                if out:
+                    self.buf += out
+                    return True
+            else:
+                data = self.raw.read(self.chunk)
+                if not data:
+                    self.eof = True
+                    return False
+                if not self.members:
+                    self.members.append((0, 0))
+                self.raw_pos += len(data)
+                self.buf += data
+                return True
+
+    def _compact(self):
+        if self.pos > (1 << 20):
+            del self.buf[:self.pos]
+            self.base += self.pos
+            self.pos = 0
+
+    def tell(self) -> int:
+        return self.base + self.pos
+
+    def raw_offset(self) -> int:
+        """Compressed offset of the member holding the current position."""
+        if not self.gz:
+            return self.tell()
+        here = self.tell()
+        best = 0
+        for start, raw in self.members:
+            if start <= here:
+                best = raw
+            else:
+                break
+        # forget members that end before here
+        while len(self.members) > 1 and self.members[1][0] <= here:
+            self.members.pop(0)
+        return best
+
+    # -- reading
+    def peek(self, n: int) -> bytes:
+        while len(self.buf) - self.pos < n and self._fill():
+            pass
+        return bytes(self.buf[self.pos:self.pos + n])
+
+    def readline(self) -> bytes:
+        while True:
+            i = self.buf.find(b"\n", self.pos)
+            if i >= 0:
+                line = bytes(self.buf[self.pos:i + 1])
+                self.pos = i + 1
+                self._compact()
+                return line
+            if not self._fill():
+                line = bytes(self.buf[self.pos:])
+                self.pos = len(self.buf)
+                return line
+
+    def read(self, n: int) -> bytes:
+        while len(self.buf) - self.pos < n and self._fill():
+            pass
+        out = bytes(self.buf[self.pos:self.pos + n])
+        self.pos += len(out)
+        self._compact()
+        return out
+
+
+@dataclass
+class Record:
+    rec_type: str | None
+    offset: int
+    rec_headers: list[tuple[str, str]] | None
+    http_status: int | None = None
+    http_headers: list[tuple[str, str]] | None = None
+    payload: bytes | None = None
+    payload_error: str | None = None
+    extra: dict = field(default_factory=dict)
+
+
+def _get(headers, name):
+    name = name.lower()
+    for k, v in headers or ():
+        if k.lower() == name:
+            return v
+    return None
+
+
+def _parse_header_lines(lines: list[bytes]) -> list[tuple[str, str]]:
+    out: list[tuple[str, str]] = []
+    for raw in lines:
+        line = raw.decode("utf-8", "replace").rstrip("\r\n")
+        if line[:1] in (" ", "\t") and out:
+            k, v = out[-1]
+            out[-1] = (k, v + " " + line.strip())
+            continue
+        if ":" in line:
+            k, v = line.split(":", 1)
+            out.append((k.strip(), v.strip()))
+    return out
+
+
+def _dechunk(body: bytes) -> bytes:
+    out, i = bytearray(), 0
+    while True:
+        j = body.index(b"\r\n", i)
+        size = int(body[i:j].split(b";")[0].strip() or b"0", 16)
+        i = j + 2
+        if size == 0:
+            return bytes(out)
+        if i + size > len(body):
+            raise ValueError("truncated chunk")
+        out += body[i:i + size]
+        i += size + 2
+
+
+def _decode_body(body: bytes, headers) -> tuple[bytes, str | None]:
+    te = (_get(headers, "Transfer-Encoding") or "").lower()
+    ce = (_get(headers, "Content-Encoding") or "").strip().lower()
+    try:
+        if "chunked" in te:
+            body = _dechunk(body)
+    except (ValueError, IndexError) as e:
+        return body, f"bad chunked body: {e}"
+    if ce in ("", "identity"):
+        return body, None
+    try:
+        if ce in ("gzip", "x-gzip"):
+            return zlib.decompress(body, 47), None
+        if ce == "deflate":
+            try:
+                return zlib.decompress(body), None
+            except zlib.error:
+                return zlib.decompress(body, -15), None
+    except zlib.error as e:
+        return body, f"bad {ce} body: {e}"
+    return body, f"unsupported content-encoding {ce}"
+
+
+def _split_http(block: bytes, is_response: bool):
+    """(status, headers, body) of an HTTP message; status None for requests."""
+    head_end = block.find(b"\r\n\r\n")
+    sep = 4
+    if head_end < 0:
+        head_end = block.find(b"\n\n")
+        sep = 2
+    if head_end < 0:
+        head, body = block, b""
+    else:
+        head, body = block[:head_end], block[head_end + sep:]
+    lines = head.split(b"\n")
+    first = lines[0].decode("utf-8", "replace").strip() if lines else ""
+    status = None
+    if is_response and first.upper().startswith("HTTP/"):
+        parts = first.split(None, 2)
+        if len(parts) > 1 and parts[1].isdigit():
+            status = int(parts[1])
+    return status, _parse_header_lines(lines[1:]), body
+
+
+HTTP_TYPES = ("response", "request", "revisit")
+
+
+def _finish_http(rec: Record, block: bytes, want_payload: bool):
+    ct = (_get(rec.rec_headers, "Content-Type") or "").lower()
+    if rec.rec_type in HTTP_TYPES and ct.startswith("application/http"):
+        status, hdrs, body = _split_http(block, rec.rec_type != "request")
+        rec.http_status, rec.http_headers = status, hdrs
+        if want_payload:
+            rec.payload, rec.payload_error = _decode_body(body, hdrs)
+    elif want_payload:
+        rec.payload = block
+
+
+def _arc_date(d: str) -> str | None:
+    if len(d) >= 14 and d[:14].isdigit():
+        return f"{d[0:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
+    return None
+
+
+def iter_records(stream: ByteStream, arc: bool | None = None, want_payload: bool = True):
+    """Yield :class:`Record` objects in file order."""
+    while True:
+        # skip blank lines between records
+        while True:
+            nxt = stream.peek(2)
+            if nxt[:1] in (b"\n",) or nxt == b"\r\n":
+                stream.readline()
+                continue
+            break
+        offset = stream.raw_offset()
+        first = stream.readline()
+        if not first:
+            return
+        text = first.decode("utf-8", "replace").strip()
+        is_arc = arc if arc is not None else not text.startswith("WARC/")
+        if not is_arc:
+            lines = []
+            while True:
+                line = stream.readline()
+                if not line:
+                    raise TruncatedError("truncated record headers")
+                if line in (b"\r\n", b"\n"):
+                    break
+                lines.append(line)
+            hdrs = _parse_header_lines(lines)
+            length = int(_get(hdrs, "Content-Length") or 0)
+            block = stream.read(length)
+            if len(block) < length:
+                raise TruncatedError("truncated record block")
+            rec = Record(_get(hdrs, "WARC-Type"), offset, hdrs)
+            _finish_http(rec, block, want_payload)
+            yield rec
+        else:
+            parts = text.split(" ")
+            if len(parts) < 5 or not parts[-1].isdigit():
+                raise TruncatedError(f"bad ARC header line: {text[:80]}")
+            url, ip, date, mime, length = (parts[0], parts[1], parts[2],
+                                           " ".join(parts[3:-1]), int(parts[-1]))
+            block = stream.read(length)
+            if len(block) < length:
+                raise TruncatedError("truncated ARC record")
+            if url.startswith("filedesc://"):
+                hdrs = [("WARC-Type", "warcinfo"), ("WARC-Date", _arc_date(date) or ""),
+                        ("Content-Type", "text/plain"), ("Content-Length", str(length))]
+                rec = Record("warcinfo", offset, hdrs)
+                if want_payload:
+                    rec.payload = block
+            else:
+                hdrs = [("WARC-Type", "response"), ("WARC-Target-URI", url),
+                        ("WARC-Date", _arc_date(date) or ""), ("WARC-IP-Address", ip),
+                        ("Content-Type", "application/http; msgtype=response"),
+                        ("Content-Length", str(length))]
+                rec = Record("response", offset, hdrs)
+                if block[:5].upper() == b"HTTP/":
+                    _finish_http(rec, block, want_payload)
+                else:
+                    rec.http_headers = [("Content-Type", mime)]
+                    if want_payload:
+                        rec.payload = block
+            yield rec
