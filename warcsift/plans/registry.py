@@ -465,3 +465,107 @@ def q_arc_scan(spark, sf):
     v = _scan_view(r)
     return v.where(F.col("rec_type") == "response").select(
         "warc_path", "rec_type", "url", "content_type", "http_status", "html")
+
+
+# ---------------------------------------------------------------- lake sink / read
+
+def _lake_dir(spark, name):
+    from ..session import scratch_dir
+    return scratch_dir(spark, name)
+
+
+_ARTS_SQL = f"{DISP}\nSELECT {ARTICLE_COLS} FROM disp WHERE disposition = 'extracted'"
+
+
+@query("lake_write_roundtrip", _ARTS_SQL)
+def q_lake_write_roundtrip(spark, sf):
+    from ..sources.lake import read_lake, write_lake
+    url = _lake_dir(spark, "lake")
+    write_lake(articles(X.disp(spark, sf)), url)
+    return read_lake(spark, url)
+
+
+@query("lake_write_custom_keys", _ARTS_SQL)
+def q_lake_write_custom_keys(spark, sf):
+    from ..sources.lake import read_lake, write_lake
+    url = _lake_dir(spark, "lake-keys")
+    write_lake(articles(X.disp(spark, sf)), url, keys=("language", "source_domain"),
+               colocate="hash")
+    return read_lake(spark, url)
+
+
+@query("max_records_per_file", f"""{DISP}
+SELECT date_crawled, language, count(*) AS n_rows, true AS files_ok,
+       CAST(ceil(count(*) / 3.0) AS BIGINT) AS min_files
+FROM disp WHERE disposition = 'extracted' GROUP BY date_crawled, language""")
+def q_max_records_per_file(spark, sf):
+    from ..sources.lake import read_lake, write_lake
+    url = _lake_dir(spark, "lake-cap")
+    write_lake(articles(X.disp(spark, sf)), url, max_records=3)
+    lake = read_lake(spark, url).select("date_crawled", "language",
+                                        F.col("_metadata.file_path").alias("f"))
+    per_file = lake.groupBy("date_crawled", "language", "f").count()
+    return per_file.groupBy("date_crawled", "language").agg(
+        F.sum("count").alias("n_rows"),
+        F.bool_and(F.col("count") <= 3).alias("files_ok"),
+        F.ceil(F.sum("count") / 3.0).cast("long").alias("min_files"))
+
+
+@query("lake_append_twice", f"""{DISP}
+SELECT date_crawled, language, 2 * count(*) AS n FROM disp
+WHERE disposition = 'extracted' GROUP BY date_crawled, language""")
+def q_lake_append_twice(spark, sf):
+    from ..sources.lake import read_lake, write_lake
+    url = _lake_dir(spark, "lake-append")
+    arts = articles(X.disp(spark, sf))
+    write_lake(arts, url)
+    write_lake(arts, url)
+    return read_lake(spark, url).groupBy("date_crawled", "language").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("lake_read", f"""{DISP}
+SELECT {ARTICLE_COLS} FROM disp WHERE disposition = 'extracted' AND language = 'en'""")
+def q_lake_read(spark, sf):
+    from ..sources.lake import read_lake, write_lake
+    url = _lake_dir(spark, "lake-read")
+    write_lake(articles(X.disp(spark, sf)), url)
+    return read_lake(spark, url).where(F.col("language") == "en")
+
+
+@query("articles_by_warc", f"""{DISP}
+SELECT split_part(string_split(warc_path, '/')[-1], '.', 1) AS warc_basename, count(*) AS n
+FROM disp WHERE disposition = 'extracted' GROUP BY 1""")
+def q_articles_by_warc(spark, sf):
+    from ..sources.lake import read_lake, write_lake
+    url = _lake_dir(spark, "lake-by-warc")
+    arts = articles(X.disp(spark, sf), ["warc_path"]).withColumn(
+        "warc_basename", P.basename(F.col("warc_path")))
+    write_lake(arts, url, keys=("warc_basename",), extra=("warc_basename",))
+    return read_lake(spark, url, extra=("warc_basename",)).groupBy("warc_basename").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- index scan
+
+_INDEX_LAYOUT = "{root}/crawl-data/CC-NEWS/yyyy={yyyy}/MM={MM}"
+
+
+@query("warc_index_scan", f"""{RESP}, {_PATHS_SQL}
+SELECT warc_path, warc_url, basename, strftime(crawl_ts, '%Y-%m-%d %H:%M:%S') AS crawl_ts,
+       serial FROM parsed""")
+def q_warc_index_scan(spark, sf):
+    root = _lake_dir(spark, "index")
+    paths = responses(spark, sf).select("warc_path").distinct()
+    ts = P.crawl_ts(F.col("warc_path"))
+    (paths.select("warc_path", F.date_format(ts, "yyyy").alias("yyyy"),
+                  F.date_format(ts, "MM").alias("MM"))
+     .write.partitionBy("yyyy", "MM").option("compression", "gzip")
+     .text(f"{root}/crawl-data/CC-NEWS"))
+    # The window spans a month before and after the data: those listings do
+    # not exist and are skipped.
+    idx = I.warc_index(spark, root, datetime(2020, 12, 1), datetime(2021, 3, 1),
+                       layout=_INDEX_LAYOUT)
+    return idx.select("warc_path", "warc_url", "basename",
+                      F.date_format("crawl_ts", "yyyy-MM-dd HH:mm:ss").alias("crawl_ts"),
+                      "serial")
