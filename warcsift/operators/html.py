@@ -103,21 +103,22 @@ def blocks(html: Column) -> Column:
     def split_piece(b, i):
         p = b["piece"]
         at = F.instr(p, C_TAG)
+        body = F.when(at > 0, F.substring(p, at + 1, F.lit(1 << 30))).otherwise(p)
         return F.struct(
             i.alias("pos"), b["section"].alias("section"),
             F.when(at > 0, F.lower(F.substring(p, F.lit(1), at - 1))).otherwise(F.lit(""))
             .alias("tag"),
-            F.when(at > 0, F.substring(p, at + 1, F.lit(1 << 30))).otherwise(p).alias("body"))
+            body.alias("body"),
+            F.regexp_extract_all(body, F.lit(ANCHOR_RX), F.lit(1)).alias("anchors"))
 
     split = F.transform(pieces, split_piece)
 
     def texts(b):
-        anchors = F.regexp_extract_all(b["body"], F.lit(ANCHOR_RX), F.lit(1))
         return F.struct(
             b["pos"].alias("pos"), b["section"].alias("section"), b["tag"].alias("tag"),
             html_text(b["body"]).alias("text"),
-            html_text(F.array_join(anchors, " ")).alias("link_text"),
-            F.size(anchors).alias("n_links"))
+            html_text(F.array_join(b["anchors"], " ")).alias("link_text"),
+            F.size(b["anchors"]).alias("n_links"))
 
     def features(b):
         return F.struct(
@@ -137,21 +138,40 @@ def is_good(b: Column) -> Column:
             & (b["link_words"] * b["n_links"] < b["n_words"]))
 
 
+def _section_scan(good: Column, finish):
+    """One pass over the good blocks (sections are contiguous, increasing runs):
+    the section with the largest stop-word sum wins, the earlier one on ties."""
+    zero = F.struct(F.lit(-1).alias("cur"), F.lit(0).alias("cur_sum"),
+                    F.lit(-1).alias("best"), F.lit(-1).alias("best_sum"))
+
+    def merge(acc, b):
+        same = b["section"] == acc["cur"]
+        close = ~same & (acc["cur_sum"] > acc["best_sum"])
+        return F.struct(
+            b["section"].alias("cur"),
+            F.when(same, acc["cur_sum"] + b["n_stop"]).otherwise(b["n_stop"]).alias("cur_sum"),
+            F.when(close, acc["cur"]).otherwise(acc["best"]).alias("best"),
+            F.when(close, acc["cur_sum"]).otherwise(acc["best_sum"]).alias("best_sum"))
+
+    def done(acc):
+        best = F.when(acc["cur_sum"] > acc["best_sum"], acc["cur"]).otherwise(acc["best"])
+        return finish(best)
+
+    return F.aggregate(good, zero, merge, done)
+
+
 def best_section(blks: Column) -> Column:
-    """Section with the highest stop-word score over its good blocks."""
-    good = F.filter(blks, is_good)
-    secs = F.array_distinct(F.transform(good, lambda b: b["section"]))
-    scored = F.transform(secs, lambda s: F.struct(
-        F.aggregate(F.filter(good, lambda b: b["section"] == s), F.lit(0),
-                    lambda acc, b: acc + b["n_stop"]).alias("score"),
-        (-s).alias("neg_section")))
-    return -F.array_max(scored)["neg_section"]
+    """Section with the highest stop-word score over its good blocks (NULL if none)."""
+    return _section_scan(F.filter(blks, is_good),
+                         lambda best: F.when(best >= 0, best))
 
 
 def main_text(blks: Column) -> Column:
-    best = best_section(blks)
-    chosen = F.filter(blks, lambda b: is_good(b) & (b["section"] == best))
-    return F.array_join(F.transform(chosen, lambda b: b["text"]), "\n\n")
+    """Good blocks of the best section, joined by a blank line ('' if none)."""
+    good = F.filter(blks, is_good)
+    return _section_scan(good, lambda best: F.array_join(
+        F.transform(F.filter(good, lambda b: b["section"] == best), lambda b: b["text"]),
+        "\n\n"))
 
 
 def _longest(arr: Column) -> Column:

@@ -25,6 +25,7 @@ DEFAULT_FLOOR = 1e-6
 # Profiles up to this many (lang, gram) rows are broadcast; beyond it the
 # gram side is shuffle-joined instead.
 MAX_BROADCAST_ROWS = 5_000_000
+GRAM_RX = "(?=([^\\x{DC00}-\\x{DFFF}].{2}))"
 
 
 def gram_text(text: Column) -> Column:
@@ -34,11 +35,14 @@ def gram_text(text: Column) -> Column:
 
 def explode_grams(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     """One row per trigram occurrence: ``keep`` columns + ``gram``."""
+    # Linear in the text: one regex pass yields every 3-character window (a
+    # look-ahead match at each character; a window never starts on the second
+    # half of a surrogate pair). Position-based substring would rescan the
+    # UTF-8 text for every gram (quadratic), and carrying the text through the
+    # generator would copy it into every output row.
     t = gram_text(F.col(text_col))
-    with_t = df.select(*keep, t.alias("_t")).where(F.length("_t") >= 3)
-    return (with_t
-            .select(*keep, "_t", F.explode(F.sequence(F.lit(1), F.length("_t") - 2)).alias("_i"))
-            .select(*keep, F.substring("_t", F.col("_i"), F.lit(3)).alias("gram")))
+    grams = F.regexp_extract_all(t, F.lit(GRAM_RX), F.lit(1))
+    return df.select(*keep, F.explode(grams).alias("gram"))
 
 
 def train_profile(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
