@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import contracts as K
 from ..functions import paths as P
 from ..operators.article import articles, dispositions
-from ..operators.counters import counters_per_warc, observe_counters
+from ..operators.counters import counters_per_warc, counters_total, observe_counters
 from ..operators.language import train_profile
 from ..operators.records import classify
 from ..sources.index import DEFAULT_LAYOUT, warc_index
@@ -79,8 +79,13 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     observed, obs = observe_counters(disp)
     arts = articles(observed)
     write_lake(arts, out_url, keys, max_records, mode)
-    totals = {k: int(v or 0) for k, v in obs.get.items()}
     per_warc = counters_per_warc(disp)
+    try:
+        totals = {k: int(v or 0) for k, v in obs.get.items()}
+    except Exception:  # noqa: BLE001 - metrics node pruned (e.g. nothing to write)
+        # The same numbers from the cached rows (no rescan of the archive).
+        row = counters_total(disp).collect()[0]
+        totals = {k: int(row[k] or 0) for k in ("extracted", "discarded", "errored", "total")}
     return RunResult(totals, per_warc, files)
 
 
