@@ -569,3 +569,53 @@ def q_warc_index_scan(spark, sf):
     return idx.select("warc_path", "warc_url", "basename",
                       F.date_format("crawl_ts", "yyyy-MM-dd HH:mm:ss").alias("crawl_ts"),
                       "serial")
+
+
+# ---------------------------------------------------------------- whole run
+
+RUN_WINDOW = (datetime(2021, 1, 1, 0, 0, 0), datetime(2021, 1, 1, 12, 0, 0))
+
+
+def _archive(spark, sf) -> str:
+    """Archive files and a gzip monthly index written from ``responses``."""
+    from ..sources.fixtures import write_fixture
+    root = _lake_dir(spark, "archive")
+    r = responses(spark, sf)
+    write_fixture(r, root).count()
+    ts = P.crawl_ts(F.col("warc_path"))
+    (r.select("warc_path", F.date_format(ts, "yyyy").alias("yyyy"),
+              F.date_format(ts, "MM").alias("MM")).distinct()
+     .write.partitionBy("yyyy", "MM").option("compression", "gzip")
+     .text(f"{root}/listing"))
+    return root
+
+
+def _run(spark, sf):
+    from ..plans.pipeline import run
+    root = _archive(spark, sf)
+    lake = _lake_dir(spark, "run-lake")
+    res = run(spark, root, ["*"], *RUN_WINDOW, lake, profile=X.profile(spark, sf),
+              index_root=root, layout="{root}/listing/yyyy={yyyy}/MM={MM}")
+    return res, lake
+
+
+_RUN_FILTER = (f"crawl_ts_of_path >= TIMESTAMP '{RUN_WINDOW[0]:%Y-%m-%d %H:%M:%S}' AND "
+               f"crawl_ts_of_path < TIMESTAMP '{RUN_WINDOW[1]:%Y-%m-%d %H:%M:%S}'")
+_RUN_DISP = f"""{DISP},
+disp_w AS (SELECT *, {S.crawl_ts('warc_path')} AS crawl_ts_of_path FROM disp)"""
+
+
+@query("run_end_to_end", f"""{_RUN_DISP}
+SELECT {ARTICLE_COLS} FROM disp_w WHERE disposition = 'extracted' AND {_RUN_FILTER}""")
+def q_run_end_to_end(spark, sf):
+    from ..sources.lake import read_lake
+    _, lake = _run(spark, sf)
+    return read_lake(spark, lake)
+
+
+@query("run_counters", f"""{_RUN_DISP}
+SELECT warc_path, {_counts_sql()} FROM disp_w WHERE {_RUN_FILTER} GROUP BY warc_path""")
+def q_run_counters(spark, sf):
+    res, _ = _run(spark, sf)
+    return res.per_warc.select(_rel(F.col("warc_path")).alias("warc_path"), "extracted",
+                               "discarded", "errored", "total")
