@@ -34,6 +34,12 @@ class RunResult:
     counters: dict            # extracted / discarded / errored / total of the run
     per_warc: DataFrame       # counters per file (lazy, from cached rows)
     files: list[str]          # archive files that were scanned
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        """Drop the cached extraction rows (``per_warc`` then rescans)."""
+        if self.cached is not None:
+            self.cached.unpersist()
 
 
 def extract(records: DataFrame, patterns: list[str], profile: DataFrame,
@@ -86,7 +92,7 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
         # The same numbers from the cached rows (no rescan of the archive).
         row = counters_total(disp).collect()[0]
         totals = {k: int(row[k] or 0) for k in ("extracted", "discarded", "errored", "total")}
-    return RunResult(totals, per_warc, files)
+    return RunResult(totals, per_warc, files, disp)
 
 
 def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI

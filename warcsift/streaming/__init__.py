@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reference is a batch job over a closed time window (no watermark, window,
+state or late data; its "stream" is an HTTP body read), so nothing here is
+built. A daily run is one call of :func:`warcsift.plans.pipeline.run`.
+"""
