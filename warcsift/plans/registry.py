@@ -242,9 +242,10 @@ def q_language_detect(spark, sf):
 
 
 def _counts_sql(extra: str = "") -> str:
-    return (f"count_if(disposition = 'extracted') AS extracted, "
-            f"count_if(disposition = 'discarded') AS discarded, "
-            f"count_if(disposition = 'errored') AS errored, count(*) AS total{extra}")
+    return (f"CAST(count_if(disposition = 'extracted') AS BIGINT) AS extracted, "
+            f"CAST(count_if(disposition = 'discarded') AS BIGINT) AS discarded, "
+            f"CAST(count_if(disposition = 'errored') AS BIGINT) AS errored, "
+            f"count(*) AS total{extra}")
 
 
 @query("counters_per_warc", f"{DISP}\nSELECT warc_path, {_counts_sql()} FROM disp GROUP BY warc_path")
