@@ -1,18 +1,21 @@
 """Character-trigram language profile (training) and detection (inference).
 
-Text is lower-cased, every run of non-letters becomes one blank, and the
-result is framed by blanks; its grams are all 3-character windows of the
-whole text (no prefix cut). Training counts grams per language; the weight of
-a gram is ``ln(n / total_lang) - ln(floor)``, i.e. a naive-Bayes log
+Text is lower-cased and split into words at every run of non-letters; each
+word is framed by blanks and contributes all its 3-character windows (so
+``' ab '`` gives ``' ab'`` and ``'ab '``; no gram crosses a word boundary).
+The whole text is used, never a prefix. Training counts grams per language;
+the weight of a gram is ``ln(n / total_lang) - ln(floor)``, a naive-Bayes log
 likelihood measured against a floor probability for unseen grams, so grams a
 language never saw add 0. Detection sums the weights of a text's grams per
 language and takes the arg-max (ties -> smallest code). A text without grams
 gets no language.
 
-Detection is a broadcast hash join of exploded grams with the profile,
-followed by an aggregate on the record key. When the input is already hash
-partitioned on the key (the pipeline arranges this), neither the aggregate
-nor the join back needs another exchange.
+Words are counted before grams are made, so a repeated word is expanded
+once per task (map-side partial aggregation), not once per occurrence.
+Detection is a broadcast hash join of the grams with the profile followed by
+an aggregate on the record key; when the input is already hash partitioned
+on the key (the pipeline arranges this), neither the word count, the
+aggregate nor the join back needs another exchange.
 """
 
 from __future__ import annotations
@@ -28,21 +31,33 @@ MAX_BROADCAST_ROWS = 5_000_000
 GRAM_RX = "(?=([^\\x{DC00}-\\x{DFFF}].{2}))"
 
 
-def gram_text(text: Column) -> Column:
-    body = F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}]+", " "))
-    return F.concat(F.lit(" "), body, F.lit(" "))
+def words(text: Column) -> Column:
+    """Lower-cased letter runs of a text (may contain one '' for no letters)."""
+    return F.split(F.trim(F.regexp_replace(F.lower(text), "[^\\p{L}]+", " ")), " ")
+
+
+def word_grams(word: Column) -> Column:
+    """All 3-character windows of ``' ' + word + ' '``, in one linear regex pass.
+
+    A look-ahead match at each character; a window never starts on the second
+    half of a surrogate pair. (Position-based substring would rescan the UTF-8
+    text for every gram.)
+    """
+    return F.regexp_extract_all(F.concat(F.lit(" "), word, F.lit(" ")),
+                                F.lit(GRAM_RX), F.lit(1))
+
+
+def word_counts(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """(keep..., word, c): occurrences of each word per group of ``keep``."""
+    w = df.select(*keep, F.explode(words(F.col(text_col))).alias("word"))
+    return w.where(F.col("word") != "").groupBy(*keep, "word").agg(
+        F.count(F.lit(1)).alias("c"))
 
 
 def explode_grams(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """One row per trigram occurrence: ``keep`` columns + ``gram``."""
-    # Linear in the text: one regex pass yields every 3-character window (a
-    # look-ahead match at each character; a window never starts on the second
-    # half of a surrogate pair). Position-based substring would rescan the
-    # UTF-8 text for every gram (quadratic), and carrying the text through the
-    # generator would copy it into every output row.
-    t = gram_text(F.col(text_col))
-    grams = F.regexp_extract_all(t, F.lit(GRAM_RX), F.lit(1))
-    return df.select(*keep, F.explode(grams).alias("gram"))
+    """(keep..., gram, c): gram occurrences, weighted by word count ``c``."""
+    wc = word_counts(df, text_col, keep)
+    return wc.select(*keep, "c", F.explode(word_grams(F.col("word"))).alias("gram"))
 
 
 def train_profile(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -50,7 +65,7 @@ def train_profile(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """(lang, gram, n, w) from labelled texts."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     grams = explode_grams(labelled.withColumnRenamed(lang_col, "lang"), text_col, ["lang"])
-    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
+    counts = grams.groupBy("lang", "gram").agg(F.sum("c").alias("n"))
     total = F.sum("n").over(Window.partitionBy("lang"))
     return counts.select(
         "lang", "gram", "n",
@@ -70,6 +85,6 @@ def detect_language(df: DataFrame, keys: list[str], text_col: str,
     grams = explode_grams(df.where(F.col(text_col).isNotNull()), text_col, keys)
     prof = broadcast_if_bounded(profile.select("gram", "lang", "w"), max_broadcast_rows)
     scores = (grams.join(prof, "gram")
-              .groupBy(*keys, "lang").agg(F.sum("w").alias("score")))
+              .groupBy(*keys, "lang").agg(F.sum(F.col("w") * F.col("c")).alias("score")))
     return scores.groupBy(*keys).agg(
         F.min_by("lang", F.struct((-F.col("score")).alias("s"), F.col("lang"))).alias("language"))

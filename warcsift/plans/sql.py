@@ -277,20 +277,21 @@ def publish_date(url: str = "url", html: str = "html") -> str:
 
 # ---------------------------------------------------------------- language
 
-def gram_text(x: str) -> str:
-    return f"(' ' || trim({rx_replace(f'lower({x})', '[^\\p{L}]+', lit(' '))}) || ' ')"
+def words(x: str) -> str:
+    return f"string_split(trim({rx_replace(f'lower({x})', '[^\\p{L}]+', lit(' '))}), ' ')"
 
 
-def grams(t: str) -> str:
-    return f"unnest([substring({t}, i, 3) for i in range(1, length({t}) - 1)])"
+def grams(w: str) -> str:
+    return (f"unnest([substring(' ' || {w} || ' ', i, 3) "
+            f"for i in range(1, length({w}) + 1)])")
 
 
 def profile_ctes(floor: float = 1e-6) -> str:
-    return f"""docs_t AS (
-  SELECT lang, {gram_text('text')} AS t FROM documents
+    return f"""doc_words AS (
+  SELECT lang, unnest({words('text')}) AS word FROM documents
   WHERE lang IS NOT NULL AND text IS NOT NULL
 ),
-doc_grams AS (SELECT lang, {grams('t')} AS gram FROM docs_t),
+doc_grams AS (SELECT lang, {grams('word')} AS gram FROM doc_words WHERE word <> ''),
 profile_n AS (SELECT lang, gram, count(*) AS n FROM doc_grams GROUP BY lang, gram),
 profile AS (
   SELECT lang, gram, n, ln(n) - ln(sum(n) OVER (PARTITION BY lang)) - ln({floor!r}) AS w
@@ -299,10 +300,10 @@ profile AS (
 
 
 def lang_ctes(src: str, keys: str = "warc_path, rec_idx", text: str = "detect_text") -> str:
-    return f"""det_t AS (
-  SELECT {keys}, {gram_text(text)} AS t FROM {src} WHERE {text} IS NOT NULL
+    return f"""det_words AS (
+  SELECT {keys}, unnest({words(text)}) AS word FROM {src} WHERE {text} IS NOT NULL
 ),
-det_grams AS (SELECT {keys}, {grams('t')} AS gram FROM det_t),
+det_grams AS (SELECT {keys}, {grams('word')} AS gram FROM det_words WHERE word <> ''),
 det_scores AS (
   SELECT {keys}, lang, sum(w) AS score FROM det_grams JOIN profile USING (gram)
   GROUP BY ALL
