@@ -147,3 +147,11 @@ def test_deflate_raw_stream(spark, tmp_dir):
     raw = zlib.compressobj(wbits=-15)
     data = raw.compress(b"hello") + raw.flush()
     assert _decode_body(data, [("Content-Encoding", "deflate")]) == (b"hello", None)
+
+
+def test_header_only_scan(spark, tmp_dir):
+    path = write(tmp_dir, NAME, [response(), request()])
+    rows = read_warc(spark, path, payload=False).collect()
+    assert all(r["payload"] is None for r in rows)
+    assert [r["rec_type"] for r in sorted(rows, key=lambda r: r["rec_idx"])] == [
+        "response", "request"]

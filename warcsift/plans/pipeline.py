@@ -43,9 +43,10 @@ class RunResult:
 
 
 def extract(records: DataFrame, patterns: list[str], profile: DataFrame,
-            prefix: str = P.DEFAULT_PREFIX) -> DataFrame:
+            prefix: str = P.DEFAULT_PREFIX, num_partitions: int | None = None) -> DataFrame:
     """Records -> every record with article fields, language and disposition."""
-    return dispositions(classify(records, K.check_patterns(patterns)), profile, prefix)
+    return dispositions(classify(records, K.check_patterns(patterns)), profile, prefix,
+                        num_partitions)
 
 
 def run(spark: SparkSession, archive_root: str, patterns: list[str], start: datetime,
@@ -53,7 +54,14 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
         profile: DataFrame | None = None, limit: int | None = None,
         max_records: int | None = None, keys: tuple[str, ...] = DEFAULT_KEYS,
         mode: str = "append", index_root: str | None = None,
-        layout: str = DEFAULT_LAYOUT, prefix: str = P.DEFAULT_PREFIX) -> RunResult:
+        layout: str = DEFAULT_LAYOUT, prefix: str = P.DEFAULT_PREFIX,
+        num_partitions: int | None = None) -> RunResult:
+    """Extract the articles of ``[start, end)`` and append them to ``out_url``.
+
+    ``num_partitions`` sizes the one exchange of extracted fields; by default
+    it is the larger of ``spark.sql.shuffle.partitions`` and the number of
+    archive files, so each file's articles spread over about one partition.
+    """
     K.check_patterns(patterns)
     K.check_window(start, end)
     K.check_limit(limit)
@@ -81,7 +89,8 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
                          empty, [])
 
     records = read_warc(spark, files, limit=limit)
-    disp = extract(records, patterns, profile, prefix)
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(files))
+    disp = extract(records, patterns, profile, prefix, n)
     observed, obs = observe_counters(disp)
     arts = articles(observed)
     write_lake(arts, out_url, keys, max_records, mode)
