@@ -11,7 +11,6 @@ DEFAULT_PREFIX = "CC-NEWS"
 DEFAULT_ROUTE = "crawl-data/CC-NEWS"
 DEFAULT_DOMAIN = "https://data.commoncrawl.org"
 INDEX_NAME = "warc.paths.gz"
-TIME_FORMAT = "yyyyMMddHHmmss"
 
 
 def name_rx(prefix: str = DEFAULT_PREFIX) -> str:
@@ -21,10 +20,15 @@ def name_rx(prefix: str = DEFAULT_PREFIX) -> str:
 def crawl_ts(path: Column, prefix: str = DEFAULT_PREFIX) -> Column:
     """Crawl time from the first ``<prefix>-<14 digits>-<5 digits>`` in the path.
 
-    No match, or digits that are not a date (month 13, ...), give NULL.
+    A wall-clock time without zone (TIMESTAMP_NTZ), as written in the name,
+    so nothing depends on the session time zone. No match, or digits that
+    are not a date (month 13, ...), give NULL.
     """
-    digits = F.nullif(F.regexp_extract(path, name_rx(prefix), 1), F.lit(""))
-    return F.try_to_timestamp(digits, F.lit(TIME_FORMAT))
+    d = F.regexp_extract(path, name_rx(prefix), 1)
+    part = lambda a, b: F.substring(d, a, b).cast("int")
+    ts = F.try_make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(9, 2),
+                                  part(11, 2), part(13, 2).cast("decimal(8,6)"))
+    return F.when(d != "", ts)
 
 
 def serial(path: Column, prefix: str = DEFAULT_PREFIX) -> Column:
@@ -47,6 +51,11 @@ def crawl_date(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
 
 
+def ntz(dt) -> Column:
+    """A Python (naive) datetime as a TIMESTAMP_NTZ literal."""
+    return F.lit(dt.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def in_window(ts: Column, start, end) -> Column:
-    """Half-open window ``[start, end)``; NULL times fall out."""
-    return (ts >= F.lit(start)) & (ts < F.lit(end))
+    """Half-open window ``[start, end)`` on wall-clock times; NULL times fall out."""
+    return (ts >= ntz(start)) & (ts < ntz(end))

@@ -27,7 +27,7 @@ WARC_INDEX = T.StructType([
     T.StructField("warc_path", T.StringType()),
     T.StructField("warc_url", T.StringType()),
     T.StructField("basename", T.StringType()),
-    T.StructField("crawl_ts", T.TimestampType()),
+    T.StructField("crawl_ts", T.TimestampNTZType()),
     T.StructField("serial", T.IntegerType()),
 ])
 

@@ -26,7 +26,6 @@ from ..functions.headers import make_headers
 
 RECORDS_PER_FILE = 20
 SECONDS_PER_FILE = 7331
-EPOCH_2021 = 1609459200  # 2021-01-01 00:00:00 UTC
 
 # Content types by page_id % 7.
 CONTENT_TYPES = (
@@ -47,7 +46,10 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def decorate(pages: DataFrame) -> DataFrame:
     pid = F.col("page_id")
     file_no = F.floor(pid / RECORDS_PER_FILE).cast("long")
-    ts = F.timestamp_seconds(F.lit(EPOCH_2021) + file_no * SECONDS_PER_FILE)
+    # Zone-free arithmetic (TIMESTAMP_NTZ), so paths do not depend on the
+    # session time zone.
+    ts = (F.lit("2021-01-01 00:00:00").cast("timestamp_ntz")
+          + F.make_dt_interval(secs=(file_no * SECONDS_PER_FILE).cast("decimal(18,6)")))
     path = F.concat(
         F.lit("crawl-data/CC-NEWS/"), F.date_format(ts, "yyyy/MM"), F.lit("/CC-NEWS-"),
         F.date_format(ts, "yyyyMMddHHmmss"), F.lit("-"),
