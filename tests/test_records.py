@@ -155,3 +155,12 @@ def test_header_only_scan(spark, tmp_dir):
     assert all(r["payload"] is None for r in rows)
     assert [r["rec_type"] for r in sorted(rows, key=lambda r: r["rec_idx"])] == [
         "response", "request"]
+
+
+def test_reader_without_pushdown(spark, tmp_dir):
+    from warcsift.sources.warc import register
+    register(spark)
+    path = write(tmp_dir, NAME, [response(), request(), response()])
+    df = (spark.read.format("warc").option("pushdown", "false").load(path)
+          .where((F.col("rec_type") == "response") & (F.col("rec_idx") < 2)))
+    assert [r["rec_idx"] for r in df.collect()] == [0]

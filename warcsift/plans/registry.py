@@ -620,3 +620,19 @@ def q_run_counters(spark, sf):
     res, _ = _run(spark, sf)
     return res.per_warc.select(_rel(F.col("warc_path")).alias("warc_path"), "extracted",
                                "discarded", "errored", "total")
+
+
+@query("index_union", f"""{RESP}, {_PATHS_SQL}
+SELECT warc_path, serial FROM parsed""")
+def q_index_union(spark, sf):
+    """Union-all of monthly listings: the paths are split over two month
+    directories (by serial parity); reading the window's months unions them."""
+    root = _lake_dir(spark, "index-union")
+    paths = responses(spark, sf).select("warc_path").distinct()
+    month = F.when(P.serial(F.col("warc_path")) % 2 == 0, F.lit("01")).otherwise(F.lit("02"))
+    (paths.select("warc_path", F.lit("2021").alias("yyyy"), month.alias("MM"))
+     .write.partitionBy("yyyy", "MM").option("compression", "gzip")
+     .text(f"{root}/crawl-data/CC-NEWS"))
+    idx = I.warc_index(spark, root, datetime(2021, 1, 1), datetime(2021, 3, 1),
+                       layout=_INDEX_LAYOUT)
+    return idx.select("warc_path", "serial")

@@ -18,8 +18,9 @@ Options:
                             ``rec_type='_error'`` row; ``FAILFAST`` raises
 ``batch_size``              records per Arrow batch (default 256)
 
-Pushed filters: ``rec_type = / IN`` and ``rec_idx < / <=`` (the latter stop
-reading early, like ``limit``).
+Pushed filters (when the session enables Python filter pushdown;
+``read_warc`` passes that on as option ``pushdown``): ``rec_type = / IN`` and
+``rec_idx < / <=`` (the latter stop reading early, like ``limit``).
 """
 
 from __future__ import annotations
@@ -96,27 +97,13 @@ def _hdrs(h):
 
 
 class WarcReader(DataSourceReader):
+    """Reader without filter pushdown (used when the session disables it)."""
+
     def __init__(self, options: dict):
         self.options = options
         self.rec_types: set[str] | None = None
         self.max_idx: int | None = None   # exclusive bound on rec_idx
 
-    # ---- planning (driver)
-    def pushFilters(self, filters):
-        for f in filters:
-            col = f.attribute[0] if len(f.attribute) == 1 else None
-            if col == "rec_type" and isinstance(f, EqualTo) and isinstance(f.value, str):
-                self.rec_types = {f.value} if self.rec_types is None else self.rec_types & {f.value}
-            elif col == "rec_type" and isinstance(f, In) and all(isinstance(v, str) for v in f.value):
-                vals = set(f.value)
-                self.rec_types = vals if self.rec_types is None else self.rec_types & vals
-            elif col == "rec_idx" and isinstance(f, (LessThan, LessThanOrEqual)) \
-                    and isinstance(f.value, int):
-                bound = f.value + (1 if isinstance(f, LessThanOrEqual) else 0)
-                self.max_idx = bound if self.max_idx is None else min(self.max_idx, bound)
-            else:
-                yield f
-
     def partitions(self):
         if "paths" in self.options:
             files = []
@@ -200,6 +187,25 @@ class WarcReader(DataSourceReader):
             yield flush()
 
 
+class WarcPushdownReader(WarcReader):
+    """Reader that takes ``rec_type`` and ``rec_idx`` predicates into the scan."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            col = f.attribute[0] if len(f.attribute) == 1 else None
+            if col == "rec_type" and isinstance(f, EqualTo) and isinstance(f.value, str):
+                self.rec_types = {f.value} if self.rec_types is None else self.rec_types & {f.value}
+            elif col == "rec_type" and isinstance(f, In) and all(isinstance(v, str) for v in f.value):
+                vals = set(f.value)
+                self.rec_types = vals if self.rec_types is None else self.rec_types & vals
+            elif col == "rec_idx" and isinstance(f, (LessThan, LessThanOrEqual)) \
+                    and isinstance(f.value, int):
+                bound = f.value + (1 if isinstance(f, LessThanOrEqual) else 0)
+                self.max_idx = bound if self.max_idx is None else min(self.max_idx, bound)
+            else:
+                yield f
+
+
 class WarcDataSource(DataSource):
     @classmethod
     def name(cls):
@@ -209,7 +215,12 @@ class WarcDataSource(DataSource):
         return RAW_RECORDS
 
     def reader(self, schema):
-        return WarcReader(dict(self.options))
+        opts = dict(self.options)
+        # Spark refuses a reader with pushFilters() while the session has
+        # Python filter pushdown off, so it is only offered when on.
+        if str(opts.get("pushdown", "false")).lower() == "true":
+            return WarcPushdownReader(opts)
+        return WarcReader(opts)
 
 
 def register(spark) -> None:
@@ -221,6 +232,8 @@ def read_warc(spark, paths, **options):
     """Records of the given archive files (path, glob, dir, or list of them)."""
     register(spark)
     r = spark.read.format(NAME)
+    push = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    r = r.option("pushdown", str(push).lower())
     for k, v in options.items():
         if v is not None:
             r = r.option(k, str(v).lower() if isinstance(v, bool) else str(v))
