@@ -43,7 +43,7 @@ def with_fields(classified: DataFrame, prefix: str = "CC-NEWS") -> DataFrame:
         F.when(has, source_domain(F.col("url"))).alias("source_domain"),
         F.when(has, H.publish_date(F.col("url"), html)).alias("date_publish"),
         crawl_date(crawl_ts(F.col("warc_path"), prefix)).alias("date_crawled"),
-    ).withColumn("detect_text", detect_input(F.col("main_text"), F.col("title")))
+    )
 
 
 def dispositions(classified: DataFrame, profile: DataFrame, prefix: str = "CC-NEWS",
@@ -62,8 +62,10 @@ def dispositions(classified: DataFrame, profile: DataFrame, prefix: str = "CC-NE
     # partitioning.) A lost executor's blocks are recomputed from lineage.
     part = part.persist(StorageLevel.MEMORY_AND_DISK)
     part.count()
-    lang = detect_language(part.where(F.col("detect_text").isNotNull()), KEYS,
-                           "detect_text", profile)
+    # The detection text (body, else title) is derived on the fly, not stored.
+    texts = part.select(*KEYS, detect_input(F.col("main_text"), F.col("title"))
+                        .alias("detect_text")).where(F.col("detect_text").isNotNull())
+    lang = detect_language(texts, KEYS, "detect_text", profile)
     out = part.join(lang, KEYS, "left")
     return out.withColumn(
         "disposition", disposition(F.col("valid"), F.col("decoded"), F.col("language")))

@@ -63,21 +63,15 @@ MAX_PATTERNS = 10_000
 
 def url_semi_join(records: DataFrame, patterns: DataFrame, url_col: str = "url",
                   glob_col: str = "glob") -> DataFrame:
-    """Records whose URL matches any glob of a patterns *table* (left semi join).
+    """Records whose URL matches any glob of a patterns *table* (EXISTS semantics).
 
     The pattern table is configuration: its size is checked, its globs are
-    translated on the driver, and the regex table is broadcast, so the join
-    is a broadcast nested-loop semi join that stops at the first match.
+    read on the driver and folded into one anchored regex, and the semi join
+    becomes a single predicate evaluated next to the scan -- no nested-loop
+    join, no exchange, and each record is tested once.
     """
-    from ..functions.globs import glob_to_regex
-
     n = patterns.count()
     if n > MAX_PATTERNS:
         raise ValueError(f"{n} URL patterns exceed the limit of {MAX_PATTERNS}.")
     globs = [r[0] for r in patterns.select(glob_col).collect()]
-    rx = [(f"(?s)\\A(?:{b})\\z",) for b in map(glob_to_regex, globs) if b is not None]
-    spark = records.sparkSession
-    if not rx:
-        return records.where(F.lit(False))
-    table = F.broadcast(spark.createDataFrame(rx, "rx string"))
-    return records.join(table, F.regexp_like(F.col(url_col), F.col("rx")), "left_semi")
+    return records.where(F.coalesce(url_matches_any(F.col(url_col), globs), F.lit(False)))

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import paths as P
 from ..functions.globs import globs_to_regex
 from ..functions.headers import header
-from ..functions.text import UTF8_HTML_RX, is_utf8_html, source_domain, strict_utf8
+from ..functions.text import (UTF8_HTML_RX, detect_input, is_utf8_html, source_domain,
+                              strict_utf8)
 from ..operators import counters as C
 from ..operators import html as H
 from ..operators.article import articles
@@ -142,7 +143,8 @@ def q_source_domain(spark, sf):
 SELECT warc_path, rec_idx, detect_text FROM fields2 WHERE decoded""")
 def q_detect_input(spark, sf):
     d = X.disp(spark, sf)
-    return d.where("decoded").select("warc_path", "rec_idx", "detect_text")
+    return d.where("decoded").select(
+        "warc_path", "rec_idx", detect_input(F.col("main_text"), F.col("title")).alias("detect_text"))
 
 
 # ---------------------------------------------------------------- html
