@@ -152,3 +152,33 @@ def test_running_counters_and_progress(spark):
     assert all(r["total"] == r["rec_idx"] for r in rows)      # covers 0..idx-1
     p = C.progress_percent(run_).collect()
     assert all(0 <= r["percent"] <= 100 for r in p)
+
+
+def test_language_from_title_and_errored_without_text(spark, profile, tmp_dir):
+    """Body empty -> language from the title; neither -> errored (Q15)."""
+    from helpers import write
+    from helpers import response as resp
+    from warcsift.operators.article import dispositions
+    from warcsift.operators.records import classify
+    from warcsift.sources.warc import read_warc
+    only_title = ("<html><head><title>The council and the city approve the bridge</title>"
+                  "</head><body><div>x</div></body></html>").encode()
+    nothing = b"<html><body><div>1 2 3</div></body></html>"
+    path = write(tmp_dir, "CC-NEWS-20210102084234-01434.warc.gz",
+                 [resp(body=only_title), resp(body=nothing), resp()])
+    d = dispositions(classify(read_warc(spark, path), ["*"]), profile)
+    rows = {r["rec_idx"]: r for r in d.collect()}
+    assert rows[0]["main_text"] == "" and rows[0]["language"] == "en"
+    assert rows[0]["disposition"] == "extracted"
+    assert rows[1]["disposition"] == "errored"
+    assert rows[2]["disposition"] == "extracted"
+    assert rows[2]["date_crawled"] == "2021-01-02"
+
+
+def test_records_without_headers_are_discarded(spark, profile):
+    """warcinfo records have no HTTP headers: discarded, never an error (Q5)."""
+    from warcsift.plans import context as X
+    d = X.disp(spark, SF001)
+    kinds = {r["rec_type"]: r["d"] for r in d.groupBy("rec_type").agg(
+        F.collect_set("disposition").alias("d")).collect()}
+    assert kinds["warcinfo"] == ["discarded"] and kinds["request"] == ["discarded"]
