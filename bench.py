@@ -23,7 +23,7 @@ from warcsift.session import get_spark  # noqa: E402
 
 HEADLINE = ["articles", "language_detect", "lang_profile", "html_blocks", "main_text",
             "title", "valid_records", "counters_per_warc", "running_counters",
-            "warc_scan", "lake_write_roundtrip"]
+            "warc_scan", "lake_write_roundtrip", "run_end_to_end"]
 
 
 def _reset(spark):

@@ -182,3 +182,19 @@ def test_records_without_headers_are_discarded(spark, profile):
     kinds = {r["rec_type"]: r["d"] for r in d.groupBy("rec_type").agg(
         F.collect_set("disposition").alias("d")).collect()}
     assert kinds["warcinfo"] == ["discarded"] and kinds["request"] == ["discarded"]
+
+
+def test_extract_single_warc_with_explicit_date(spark, archive, profile, tmp_dir):
+    from warcsift.plans.pipeline import extract_warc
+    from warcsift.sources.lake import bucket_url
+    path = os.path.join(archive, "crawl-data/CC-NEWS/2021/01/CC-NEWS-20210101000000-00000.warc.gz")
+    lake = os.path.join(tmp_dir, "lake")
+    res = extract_warc(spark, path, ["*"], profile, date_crawled=datetime(2021, 1, 5),
+                       limit=20, out_url=lake)
+    got = read_lake(spark, lake)
+    assert got.count() == res.counters["extracted"] > 0
+    assert res.counters["total"] == 20
+    assert {r[0] for r in got.select("date_crawled").distinct().collect()} == {"2021-01-05"}
+    assert bucket_url("news-lake") == "s3a://news-lake/"
+    with pytest.raises(TypeError):
+        extract_warc(spark, 1, ["*"], profile)

@@ -14,7 +14,7 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import contracts as K
 from ..functions import paths as P
@@ -104,6 +104,34 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     return RunResult(totals, per_warc, files, disp)
 
 
+def extract_warc(spark: SparkSession, warc_url: str, patterns: list[str],
+                 profile: DataFrame, date_crawled: datetime | None = None,
+                 limit: int | None = None, out_url: str | None = None,
+                 keys: tuple[str, ...] = DEFAULT_KEYS, max_records: int | None = None,
+                 prefix: str = P.DEFAULT_PREFIX) -> RunResult:
+    """One archive file -> articles (and, with ``out_url``, the lake).
+
+    ``date_crawled`` overrides the crawl date taken from the file name (a
+    file whose name carries no time needs it).
+    """
+    K.check_url(warc_url)
+    K.check_patterns(patterns)
+    K.check_limit(limit)
+    if date_crawled is not None:
+        K.check_date_crawled(date_crawled)
+    records = read_warc(spark, warc_url, limit=limit)
+    disp = extract(records, patterns, profile, prefix)
+    if date_crawled is not None:
+        disp = disp.withColumn("date_crawled", F.lit(date_crawled.strftime("%Y-%m-%d")))
+    per_warc = counters_per_warc(disp)
+    if out_url is not None:
+        observed, obs = observe_counters(disp)
+        write_lake(articles(observed), out_url, keys, max_records)
+    row = counters_total(disp).collect()[0]
+    totals = {k: int(row[k] or 0) for k in ("extracted", "discarded", "errored", "total")}
+    return RunResult(totals, per_warc, [warc_url], disp)
+
+
 def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI
     """spark-submit entry: configuration from environment variables."""
     import json
@@ -122,4 +150,4 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI
     print(json.dumps(res.counters))
 
 
-__all__ = ["run", "extract", "RunResult"]
+__all__ = ["run", "extract", "extract_warc", "RunResult"]

@@ -53,6 +53,12 @@ def write_lake(articles: DataFrame, url: str, keys: tuple[str, ...] = DEFAULT_KE
     w.parquet(url)
 
 
+def bucket_url(bucket: str, scheme: str = "s3a") -> str:
+    """Lake location for an object-store bucket, e.g. ``s3a://<bucket>/``."""
+    from ..contracts import check_bucket
+    return f"{scheme}://{check_bucket(bucket)}/"
+
+
 def lake_schema(extra: tuple[str, ...] = ()) -> T.StructType:
     fields = list(ARTICLE.fields) + [T.StructField(c, T.StringType()) for c in extra]
     return T.StructType(fields)
