@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,21 +65,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
-
-
-def ensure_local_dir(uri: str) -> None:
-    p = local_path(uri)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
-
-
 def fs_and_path(uri: str):
     """(pyarrow FileSystem, path) for a local path or any Hadoop-style URI."""
     from pyarrow import fs as pafs
