@@ -198,3 +198,17 @@ def test_extract_single_warc_with_explicit_date(spark, archive, profile, tmp_dir
     assert bucket_url("news-lake") == "s3a://news-lake/"
     with pytest.raises(TypeError):
         extract_warc(spark, 1, ["*"], profile)
+
+
+def test_profile_artifact_roundtrip(spark, archive, profile, tmp_dir):
+    from warcsift.operators.language import load_profile, save_profile
+    from warcsift.session import fs_and_path
+    url = os.path.join(tmp_dir, "profile")
+    save_profile(profile, url)
+    back = load_profile(spark, url)
+    assert back.count() == profile.count()
+    res = run(spark, archive, ["*"], datetime(2021, 1, 1), datetime(2021, 1, 2),
+              os.path.join(tmp_dir, "lake"), profile=url)
+    assert res.counters["extracted"] > 0
+    fs, p = fs_and_path("file:" + tmp_dir)
+    assert p == tmp_dir

@@ -72,6 +72,17 @@ def train_profile(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         (F.log(F.col("n")) - F.log(total) - F.lit(math.log(floor))).alias("w"))
 
 
+def save_profile(profile: DataFrame, url: str, mode: str = "overwrite") -> None:
+    """Store a trained profile as a Parquet model artifact."""
+    profile.select("lang", "gram", "n", "w").write.mode(mode).parquet(url)
+
+
+def load_profile(spark, url: str) -> DataFrame:
+    """Read a stored profile (fixed schema, no inference)."""
+    from ..schemas import LANG_PROFILE
+    return spark.read.schema(LANG_PROFILE).parquet(url)
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking its row count against ``max_rows``."""
     n = df.count()

@@ -20,7 +20,7 @@ from .. import contracts as K
 from ..functions import paths as P
 from ..operators.article import articles, dispositions
 from ..operators.counters import counters_per_warc, counters_total, observe_counters
-from ..operators.language import train_profile
+from ..operators.language import load_profile, save_profile, train_profile  # noqa: F401
 from ..operators.records import classify
 from ..sources.index import DEFAULT_LAYOUT, warc_index
 from ..sources.lake import DEFAULT_KEYS, write_lake
@@ -51,7 +51,7 @@ def extract(records: DataFrame, patterns: list[str], profile: DataFrame,
 
 def run(spark: SparkSession, archive_root: str, patterns: list[str], start: datetime,
         end: datetime, out_url: str, training_docs: DataFrame | None = None,
-        profile: DataFrame | None = None, limit: int | None = None,
+        profile: DataFrame | str | None = None, limit: int | None = None,
         max_records: int | None = None, keys: tuple[str, ...] = DEFAULT_KEYS,
         mode: str = "append", index_root: str | None = None,
         layout: str = DEFAULT_LAYOUT, prefix: str = P.DEFAULT_PREFIX,
@@ -61,6 +61,8 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     ``num_partitions`` sizes the one exchange of extracted fields; by default
     it is the larger of ``spark.sql.shuffle.partitions`` and the number of
     archive files, so each file's articles spread over about one partition.
+    ``profile`` is a profile DataFrame or the URL of one saved with
+    :func:`save_profile`; else one is trained from ``training_docs``.
     """
     K.check_patterns(patterns)
     K.check_window(start, end)
@@ -68,6 +70,9 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     K.check_partitions(keys)
     if max_records is not None:
         K.check_max_records(max_records)
+    if isinstance(profile, str):
+        profile = load_profile(spark, profile).persist()
+        profile.count()
     if profile is None:
         if training_docs is None:
             raise ValueError("Give a language profile or training documents.")

@@ -75,4 +75,8 @@ def fs_and_path(uri: str):
         while p.startswith("//"):
             p = p[1:]
         return pafs.LocalFileSystem(), p
+    # Hadoop spells S3 as s3a:// or s3n://; pyarrow knows it as s3://.
+    for alias in ("s3a://", "s3n://"):
+        if uri.startswith(alias):
+            uri = "s3://" + uri[len(alias):]
     return pafs.FileSystem.from_uri(uri)
