@@ -46,11 +46,15 @@ def listing_path(root: str, month: datetime, layout: str = DEFAULT_LAYOUT) -> st
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop FileSystem of the path's scheme."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    """Whether Spark can resolve the listing (file or directory) at ``path``."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.text(path)
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return False
+        raise
 
 
 def parse_paths(lines: DataFrame, domain: str = P.DEFAULT_DOMAIN,
