@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
+from ..contracts import check_report_every
 from ..schemas import DISPOSITIONS
 
 
@@ -74,6 +75,7 @@ def running_counters(disp: DataFrame, report_every: int = 5000) -> DataFrame:
     The window is per file (bounded by one file's record count) and carries
     only key and flag columns.
     """
+    check_report_every(report_every)
     w = (Window.partitionBy("warc_path").orderBy("rec_idx")
          .rowsBetween(Window.unboundedPreceding, -1))
     flags = disp.select("warc_path", "rec_idx", "rec_offset", "file_size",
