@@ -30,7 +30,7 @@ import json
 import re
 
 from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, In,
-                                    InputPartition, LessThan, LessThanOrEqual)
+                                    InputPartition, IsNotNull, LessThan, LessThanOrEqual)
 
 from ..schemas import RAW_RECORDS
 
@@ -103,6 +103,7 @@ class WarcReader(DataSourceReader):
         self.options = options
         self.rec_types: set[str] | None = None
         self.max_idx: int | None = None   # exclusive bound on rec_idx
+        self.type_not_null = False
 
     def partitions(self):
         if "paths" in self.options:
@@ -160,7 +161,8 @@ class WarcReader(DataSourceReader):
             idx = 0
             try:
                 for rec in iter_records(stream, arc, want_payload):
-                    if self.rec_types is None or rec.rec_type in self.rec_types:
+                    if (self.rec_types is None or rec.rec_type in self.rec_types) and not (
+                            self.type_not_null and rec.rec_type is None):
                         rows.append({
                             "warc_path": path, "rec_idx": idx, "rec_offset": rec.offset,
                             "file_size": size, "rec_type": rec.rec_type,
@@ -193,6 +195,11 @@ class WarcPushdownReader(WarcReader):
     def pushFilters(self, filters):
         for f in filters:
             col = f.attribute[0] if len(f.attribute) == 1 else None
+            if isinstance(f, IsNotNull) and col == "rec_idx":
+                continue                      # never NULL
+            if isinstance(f, IsNotNull) and col == "rec_type":
+                self.type_not_null = True
+                continue
             if col == "rec_type" and isinstance(f, EqualTo) and isinstance(f.value, str):
                 self.rec_types = {f.value} if self.rec_types is None else self.rec_types & {f.value}
             elif col == "rec_type" and isinstance(f, In) and all(isinstance(v, str) for v in f.value):
