@@ -30,6 +30,13 @@ def test_glob_matches_like_fnmatch(spark, pat, samples):
     # Java regex (Spark) and Python agree with fnmatch
     assert [bool(re.fullmatch(_py(rx), s)) for s in samples] == expected
     assert spark_match(spark, samples, rx) == expected
+    assert duck_match(samples, rx) == expected
+
+
+def duck_match(rows, rx):
+    import duckdb
+    con = duckdb.connect()
+    return [con.execute("SELECT regexp_matches(?, ?)", [s, rx]).fetchall()[0][0] for s in rows]
 
 
 def _py(rx: str) -> str:
@@ -66,6 +73,7 @@ CT_CASES = ["text/html; charset=utf-8", "text/html;charset=UTF-8", "text/html",
 def test_content_type_cases(spark):
     got = spark_match(spark, CT_CASES, UTF8_HTML_RX)
     assert got == [py_ok(c) for c in CT_CASES]
+    assert duck_match(CT_CASES, UTF8_HTML_RX) == got
 
 
 @settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))

@@ -6,11 +6,12 @@ Plan shape (one exchange in total):
    source domain, crawl date (narrow, no shuffle; the HTML never leaves the
    scan stage);
 2. the small result (keys + article fields, no HTML, no payload) is hash
-   partitioned on the record key ``(warc_path, rec_idx)``;
-3. language: trigram explode -> broadcast join with the profile -> aggregate
-   on key+lang -> arg-max on key, all on that partitioning;
-4. left join back on the key, again on that partitioning; Spark reuses the
-   exchange of step 2 for both branches.
+   partitioned on the record key ``(warc_path, rec_idx)`` and persisted;
+3. language: word count -> trigram explode -> broadcast join with the
+   profile -> aggregate on key+lang -> arg-max on key, all on that
+   partitioning;
+4. left join back on the key, again on that partitioning; both branches read
+   the persisted relation, so the scan and the HTML work run once.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def dispositions(classified: DataFrame, profile: DataFrame, prefix: str = "CC-NE
     """Every record with its article fields, language and disposition."""
     fields = with_fields(classified, prefix)
     # An explicit partition count pins the hash partitioning (AQE may not
-    # coalesce it), so it survives the checkpoint below.
+    # coalesce it), so the cached relation below reports it to later plans.
     n = num_partitions or int(classified.sparkSession.conf.get(
         "spark.sql.shuffle.partitions"))
     part = fields.repartition(n, *KEYS)
