@@ -145,13 +145,19 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI
     from ..session import get_spark
     from ..sources.responses import load_table
 
+    env = os.environ
     spark = get_spark()
-    start, end = K.window_from_env(os.environ.get("START_DATE"), os.environ.get("END_DATE"))
-    patterns = K.patterns_from_env(os.environ.get("URL_PATTERNS"))
-    max_records = os.environ.get("MAX_RECORDS_PER_FILE")
-    docs = load_table(spark, os.environ["TRAINING_DIR"], "documents")
-    res = run(spark, os.environ["ARCHIVE_ROOT"], patterns, start, end, os.environ["LAKE_URL"],
-              training_docs=docs, max_records=int(max_records) if max_records else None)
+    start, end = K.window_from_env(env.get("START_DATE"), env.get("END_DATE"))
+    patterns = K.patterns_from_env(env.get("URL_PATTERNS"))
+    max_records = env.get("MAX_RECORDS_PER_FILE")
+    limit = env.get("LIMIT")
+    profile = env.get("PROFILE_URL")
+    docs = None if profile else load_table(spark, env["TRAINING_DIR"], "documents")
+    res = run(spark, env["ARCHIVE_ROOT"], patterns, start, end, env["LAKE_URL"],
+              training_docs=docs, profile=profile,
+              max_records=int(max_records) if max_records else None,
+              limit=int(limit) if limit else None)
+    log.info("Completed extraction job.")
     print(json.dumps(res.counters))
 
 
