@@ -81,6 +81,31 @@ def list_files(spec: str) -> list[tuple[str, int | None]]:
     return sorted(set(out))
 
 
+def stat_files(paths: list[str]) -> list[tuple[str, int | None]]:
+    """(uri, size) of explicit files: one metadata call per filesystem, not per
+    file (globs and directories in the list are expanded as usual)."""
+    from pyarrow import fs as pafs
+    out: list[tuple[str, int | None]] = []
+    plain: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for uri in paths:
+        fs, p = _fs_and_path(uri)
+        if _GLOB.search(p):
+            out.extend(list_files(uri))
+            continue
+        pre = _scheme(uri)
+        bucket = uri[len(pre):].split("/", 1)[0] if pre else ""
+        plain.setdefault((pre, bucket), []).append((uri, p))
+    for (pre, _), items in plain.items():
+        fs, _ = _fs_and_path(items[0][0])
+        infos = fs.get_file_info([p for _, p in items])
+        for (uri, _), info in zip(items, infos):
+            if info.type == pafs.FileType.File:
+                out.append((pre + info.path, info.size))
+            elif info.type == pafs.FileType.Directory:
+                out.extend(list_files(uri))
+    return sorted(set(out))
+
+
 def _arrow_schema():
     import pyarrow as pa
     hdr = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
@@ -107,9 +132,7 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         if "paths" in self.options:
-            files = []
-            for p in json.loads(self.options["paths"]):
-                files.extend(list_files(p))
+            files = stat_files(json.loads(self.options["paths"]))
         else:
             files = list_files(self.options.get("path", ""))
         return [FilePartition(p, s) for p, s in files]
