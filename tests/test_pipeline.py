@@ -212,3 +212,24 @@ def test_profile_artifact_roundtrip(spark, archive, profile, tmp_dir):
     assert res.counters["extracted"] > 0
     fs, p = fs_and_path("file:" + tmp_dir)
     assert p == tmp_dir
+
+
+def test_sink_splits_a_hot_key(spark, tmp_dir):
+    """One language holds most rows; the rebalance spreads it over several files."""
+    from warcsift.plans import context as X
+    arts = X.disp(spark, "/root/testdata/sf0.01").where("disposition = 'extracted'")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "4k")
+    try:
+        url = os.path.join(tmp_dir, "lake")
+        write_lake(arts, url)
+    finally:
+        spark.conf.set(key, old)
+    per = rows_per_file(read_lake(spark, url)).withColumn(
+        "lang", F.regexp_extract("file_path", "language=([a-z]+)", 1))
+    files = {r["lang"]: r["n"] for r in per.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    en_rows = arts.where("language = 'en'").count()
+    assert en_rows > arts.count() / 3
+    assert files["en"] > 1
+    assert read_lake(spark, url).count() == arts.count()
