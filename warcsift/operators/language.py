@@ -25,9 +25,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DEFAULT_FLOOR = 1e-6
-# Profiles up to this many (lang, gram) rows are broadcast; beyond it the
-# gram side is shuffle-joined instead.
-MAX_BROADCAST_ROWS = 5_000_000
+# Profiles up to this many (lang, gram) rows (~80 MB) are broadcast; beyond
+# it the gram side is shuffle-joined instead (AQE's skew-join handling then
+# splits hot grams such as " th").
+MAX_BROADCAST_ROWS = 2_000_000
 GRAM_RX = "(?=([^\\x{DC00}-\\x{DFFF}].{2}))"
 
 
