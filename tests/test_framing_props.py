@@ -6,7 +6,7 @@ import io
 from hypothesis import given, settings, strategies as st
 
 from warcsift.sources.fixtures import encode_body, http_bytes, warc_bytes
-from warcsift.sources.warcio import ByteStream, iter_records
+from warcsift.sources.framing import ByteStream, iter_records
 
 names = st.text(alphabet="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz-", min_size=1,
                 max_size=12).filter(lambda s: s.lower() not in (

@@ -143,7 +143,7 @@ def test_header_lookup_case_and_first_hit(spark, tmp_dir):
 
 
 def test_deflate_raw_stream(spark, tmp_dir):
-    from warcsift.sources.warcio import _decode_body
+    from warcsift.sources.framing import _decode_body
     raw = zlib.compressobj(wbits=-15)
     data = raw.compress(b"hello") + raw.flush()
     assert _decode_body(data, [("Content-Encoding", "deflate")]) == (b"hello", None)

@@ -140,7 +140,7 @@ class WarcReader(DataSourceReader):
     # ---- execution (executors)
     def read(self, partition: FilePartition):
         import pyarrow as pa
-        from .warcio import ByteStream, TruncatedError, iter_records
+        from .framing import ByteStream, TruncatedError, iter_records
 
         opts = self.options
         limit = int(opts["limit"]) if opts.get("limit") not in (None, "") else None
