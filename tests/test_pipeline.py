@@ -233,3 +233,13 @@ def test_sink_splits_a_hot_key(spark, tmp_dir):
     assert en_rows > arts.count() / 3
     assert files["en"] > 1
     assert read_lake(spark, url).count() == arts.count()
+
+
+def test_numeric_character_references(spark):
+    from warcsift.functions.text import html_text
+    rows = [("it&#8217;s &#x201C;ok&#X201d;", "it’s “ok”"),
+            ("&amp;#39; &#0; &#xD800; &#1114112;", "&#39; &#0; &#xD800; &#1114112;"),
+            ("<p>&#65;&#66;C &lt;b&gt;</p>", "ABC <b>")]
+    df = spark.createDataFrame(rows, "s string, want string")
+    got = df.select("want", html_text(F.col("s")).alias("t")).collect()
+    assert [r["t"] for r in got] == [r["want"] for r in got]

@@ -44,10 +44,34 @@ def is_utf8_html(content_type: Column) -> Column:
     return content_type.rlike(UTF8_HTML_RX)
 
 
+NUM_DEC_RX = "\\A([0-9]{1,7});"
+NUM_HEX_RX = "\\A[xX]([0-9a-fA-F]{1,6});"
+
+
+def decode_numeric(c: Column) -> Column:
+    """Decode ``&#NNN;`` / ``&#xHHHH;``; non-characters (0, surrogates, beyond
+    U+10FFFF) and malformed references stay as written."""
+    def piece(p, i):
+        dec = F.regexp_extract(p, NUM_DEC_RX, 1)
+        hx = F.regexp_extract(p, NUM_HEX_RX, 1)
+        n = (F.when(dec != "", dec.cast("long"))
+             .when(hx != "", F.conv(hx, 16, 10).cast("long")))
+        used = F.when(dec != "", F.length(dec) + 1).otherwise(F.length(hx) + 2)
+        ok = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        ch = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return (F.when(i == 0, p)
+                .when(ok, F.concat(ch, F.substring(p, used + 1, F.lit(1 << 30))))
+                .otherwise(F.concat(F.lit("&#"), p)))
+    return F.array_join(F.transform(F.split(c, "&#"), piece), "")
+
+
 def unescape_entities(c: Column) -> Column:
-    for ent, ch in HTML_ENTITIES:
+    """Named entities, then numeric references, then ``&amp;`` (so that
+    ``&amp;#39;`` stays ``&#39;``)."""
+    *named, amp = HTML_ENTITIES
+    for ent, ch in named:
         c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    return F.replace(decode_numeric(c), F.lit(amp[0]), F.lit(amp[1]))
 
 
 def squeeze(c: Column) -> Column:

@@ -37,10 +37,24 @@ def rx_replace(x: str, rx: str, rep: str) -> str:
 
 # ---------------------------------------------------------------- scalar text
 
+def decode_numeric(x: str) -> str:
+    dec = f"regexp_extract(p, {lit(T.NUM_DEC_RX)}, 1)"
+    hx = f"regexp_extract(p, {lit(T.NUM_HEX_RX)}, 1)"
+    n = (f"(CASE WHEN {dec} <> '' THEN CAST({dec} AS BIGINT) "
+         f"WHEN {hx} <> '' THEN CAST('0x' || {hx} AS BIGINT) END)")
+    used = f"(CASE WHEN {dec} <> '' THEN length({dec}) + 1 ELSE length({hx}) + 2 END)"
+    return (f"array_to_string(list_transform(string_split({x}, '&#'), lambda p, i: "
+            f"CASE WHEN i = 1 THEN p "
+            f"WHEN {n} BETWEEN 1 AND 1114111 AND NOT ({n} BETWEEN 55296 AND 57343) "
+            f"THEN chr(CAST({n} AS INTEGER)) || substring(p, {used} + 1) "
+            f"ELSE '&#' || p END), '')")
+
+
 def unescape(x: str) -> str:
-    for ent, ch in T.HTML_ENTITIES:
+    *named, amp = T.HTML_ENTITIES
+    for ent, ch in named:
         x = f"replace({x}, {lit(ent)}, {lit(ch)})"
-    return x
+    return f"replace({decode_numeric(x)}, {lit(amp[0])}, {lit(amp[1])})"
 
 
 def squeeze(x: str) -> str:
