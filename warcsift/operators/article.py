@@ -33,13 +33,18 @@ def with_fields(classified: DataFrame, prefix: str = "CC-NEWS") -> DataFrame:
     """Article fields for rows whose ``html`` is present (NULL elsewhere)."""
     html = F.col("html")
     has = html.isNotNull()
+    # Values used more than once are staged as columns: inside CASE branches
+    # and lambdas Spark would evaluate a repeated expression again.
     staged = classified.select(
         *KEYS, *[c for c in EXTRA if c in classified.columns], "url", "valid", "html",
-        F.when(has, H.blocks(html)).alias("_blocks"))
+        F.when(has, H.blocks(html)).alias("_blocks"),
+        F.when(has, H.title_text(html)).alias("_title"),
+        F.when(has, H.og_title(html)).alias("_og"))
     return staged.select(
         *KEYS, *[c for c in EXTRA if c in classified.columns], "url", "valid",
         has.alias("decoded"),
-        F.when(has, H.title(html, F.col("_blocks"))).alias("title"),
+        F.when(has, H.choose_title(F.col("_title"), F.col("_blocks"), F.col("_og")))
+        .alias("title"),
         F.when(has, H.main_text(F.col("_blocks"))).alias("main_text"),
         F.when(has, source_domain(F.col("url"))).alias("source_domain"),
         F.when(has, H.publish_date(F.col("url"), html)).alias("date_publish"),

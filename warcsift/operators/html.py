@@ -192,16 +192,25 @@ def split_title(t: Column) -> Column:
     return out
 
 
-def title(html: Column, blks: Column) -> Column:
-    """Title from <title>, the longest <h1> (if over 2 words) and og:title."""
-    t = squeeze(unescape_entities(F.regexp_replace(
+def title_text(html: Column) -> Column:
+    """Text of the first ``<title>`` element ('' if none)."""
+    return squeeze(unescape_entities(F.regexp_replace(
         F.regexp_extract(html, TITLE_RX, 1), "<[^>]*>", "")))
+
+
+def og_title(html: Column) -> Column:
+    """``og:title`` meta content ('' if none)."""
+    return squeeze(unescape_entities(F.coalesce(
+        F.nullif(F.regexp_extract(html, OG_TITLE_RX, 1), F.lit("")),
+        F.regexp_extract(html, OG_TITLE_REV_RX, 1))))
+
+
+def choose_title(t: Column, blks: Column, og: Column) -> Column:
+    """Title from <title> text ``t``, the longest <h1> (if over 2 words) and
+    og:title. Pass ``t`` and ``og`` as columns: each is referenced several times."""
     h1 = _longest(F.transform(F.filter(blks, lambda b: b["tag"] == "h1"),
                               lambda b: b["text"]))
     h = F.when(word_count(h1) > 2, h1).otherwise(F.lit(""))
-    og = squeeze(unescape_entities(F.coalesce(
-        F.nullif(F.regexp_extract(html, OG_TITLE_RX, 1), F.lit("")),
-        F.regexp_extract(html, OG_TITLE_REV_RX, 1))))
     return (F.when(t == "", F.coalesce(F.nullif(h, F.lit("")), og))
             .when((h != "") & (_norm(h) == _norm(t)), h)
             .when((h != "") & (og != "") & (_norm(h) == _norm(og)), h)
@@ -209,6 +218,11 @@ def title(html: Column, blks: Column) -> Column:
             .otherwise(split_title(t)))
 
 
+def title(html: Column, blks: Column) -> Column:
+    """Title of a page (convenience form of :func:`choose_title`)."""
+    return choose_title(title_text(html), blks, og_title(html))
+
+
 def publish_date(url: Column, html: Column) -> Column:
     """First real date from: URL path, meta tags, <time datetime>, JSON-LD."""
     slash = F.concat_ws("-", *[F.nullif(F.regexp_extract(url, URL_DATE_SLASH_RX, k),

@@ -190,8 +190,11 @@ def q_main_text(spark, sf):
 @query("title", f"""WITH {_PAGE_BLOCKS}, {_PAGE_TITLE}
 SELECT page_id, url, title FROM {_PT_LAST}""")
 def q_title(spark, sf):
-    b = _page_blocks(spark, sf)
-    return b.select("page_id", "url", H.title(F.col("html"), F.col("blocks")).alias("title"))
+    b = _page_blocks(spark, sf).select(
+        "page_id", "url", "blocks", H.title_text(F.col("html")).alias("t"),
+        H.og_title(F.col("html")).alias("og"))
+    return b.select("page_id", "url", H.choose_title(F.col("t"), F.col("blocks"), F.col("og"))
+                    .alias("title"))
 
 
 # Publish dates: pages carry none, so a third get a meta tag and a third a
