@@ -7,7 +7,8 @@ memory is bounded by a batch, never by a file.
 
 Options:
 
-``path`` / ``load(path)``  file, directory, glob, or comma-separated list
+``path`` / ``load(path)``  file, directory (its .warc/.arc[.gz] files), glob,
+                            or comma-separated list
 ``paths``                   JSON list of files (e.g. from ``warc_index``)
 ``limit``                   read at most this many records per file
 ``payload``                 ``false`` skips bodies (header-only jobs)
@@ -35,6 +36,9 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, In,
 from ..schemas import RAW_RECORDS
 
 NAME = "warc"
+# A directory contributes only its archive files (listings and markers next
+# to them are skipped); explicit files and globs are taken as given.
+ARCHIVE_SUFFIXES = (".warc", ".warc.gz", ".arc", ".arc.gz")
 _GLOB = re.compile(r"[*?\[]")
 
 
@@ -74,7 +78,8 @@ def list_files(spec: str) -> list[tuple[str, int | None]]:
         if info.type == pafs.FileType.Directory:
             for i in fs.get_file_info(pafs.FileSelector(p, recursive=True)):
                 name = i.base_name
-                if i.type == pafs.FileType.File and not name.startswith((".", "_")):
+                if (i.type == pafs.FileType.File and not name.startswith((".", "_"))
+                        and name.lower().endswith(ARCHIVE_SUFFIXES)):
                     out.append((pre + i.path, i.size))
         elif info.type == pafs.FileType.File:
             out.append((pre + info.path, info.size))
