@@ -6,22 +6,26 @@ Plan shape (one exchange in total):
    source domain, crawl date (narrow, no shuffle; the HTML never leaves the
    scan stage);
 2. the small result (keys + article fields, no HTML, no payload) is hash
-   partitioned on the record key ``(warc_path, rec_idx)`` and persisted;
+   partitioned on the record key ``(warc_path, rec_idx)`` and written once as
+   a table bucketed on that key in the shared checkpoint folder;
 3. language: word count -> trigram explode -> broadcast join with the
    profile -> aggregate on key+lang -> arg-max on key, all on that
    partitioning;
 4. left join back on the key, again on that partitioning; both branches read
-   the persisted relation, so the scan and the HTML work run once.
+   the table, so the scan and the HTML work run once.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.paths import crawl_date, crawl_ts
 from ..functions.text import detect_input, source_domain
 from ..schemas import ARTICLE_FIELDS
+from ..session import checkpoint_root
 from . import html as H
 from .language import detect_language
 from .records import KEYS, disposition
@@ -52,22 +56,45 @@ def with_fields(classified: DataFrame, prefix: str = "CC-NEWS") -> DataFrame:
     )
 
 
+def key_table(fields: DataFrame, n: int) -> DataFrame:
+    """Write ``fields`` as a Parquet table bucketed on the record key into the
+    shared checkpoint folder and read it back.
+
+    The write cuts the lineage (a lost executor never forces the archives to
+    be parsed again), the bucketing tells Spark the rows are hash partitioned
+    on the key (so the aggregates and the join back need no exchange), and
+    each reader scans only the columns it needs.
+    """
+    spark = fields.sparkSession
+    name = f"warcsift_fields_{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark)}/tables/{name}"
+    (fields.repartition(n, *KEYS).write.bucketBy(n, *KEYS)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def dispositions(classified: DataFrame, profile: DataFrame, prefix: str = "CC-NEWS",
-                 num_partitions: int | None = None) -> DataFrame:
-    """Every record with its article fields, language and disposition."""
+                 num_partitions: int | None = None, materialize: str = "table"
+                 ) -> DataFrame:
+    """Every record with its article fields, language and disposition.
+
+    ``materialize``: ``table`` (default) writes the extracted fields once as
+    a key-bucketed table in the shared checkpoint folder; ``cache`` persists
+    them on the executors instead (faster on one machine, but a lost
+    executor's blocks are rebuilt from the archive scan).
+    """
     fields = with_fields(classified, prefix)
-    # An explicit partition count pins the hash partitioning (AQE may not
-    # coalesce it), so the cached relation below reports it to later plans.
     n = num_partitions or int(classified.sparkSession.conf.get(
         "spark.sql.shuffle.partitions"))
-    part = fields.repartition(n, *KEYS)
-    # Persisted (memory, spilling to disk) and materialised once: the costly
-    # scan and HTML work run once, and the cached relation keeps the hash
-    # partitioning on the key, so the language aggregate and the join back
-    # below need no exchange. (A checkpoint under AQE forgets the
-    # partitioning.) A lost executor's blocks are recomputed from lineage.
-    part = part.persist(StorageLevel.MEMORY_AND_DISK)
-    part.count()
+    if materialize == "table":
+        part = key_table(fields, n)
+    elif materialize == "cache":
+        # An explicit partition count pins the hash partitioning (AQE may not
+        # coalesce it), so the cached relation reports it to later plans.
+        part = fields.repartition(n, *KEYS).persist(StorageLevel.MEMORY_AND_DISK)
+        part.count()
+    else:
+        raise ValueError("materialize must be 'table' or 'cache'")
     # The detection text (body, else title) is derived on the fly, not stored.
     texts = part.select(*KEYS, detect_input(F.col("main_text"), F.col("title"))
                         .alias("detect_text")).where(F.col("detect_text").isNotNull())
