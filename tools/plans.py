@@ -25,11 +25,11 @@ def main():
            f"Generated by `python tools/plans.py` on `{os.path.basename(sf)}`, `local[8]`.",
            "Operator trees only (`explain(\"formatted\")` without the per-node details).",
            "Adaptive plans are shown before execution, so AQE rewrites are not visible.", "",
-           "How to read `articles`: the page scan and all HTML work sit under one",
-           "`Exchange` (hash on the record key) inside an `InMemoryRelation`; both the",
+           "How to read `articles`: the page scan and all HTML work run in a separate job that",
+           "writes a table bucketed on the record key (not shown); both the",
            "language branch (word count, gram `Generate`, `BroadcastHashJoin` with the",
            "profile, partial/final aggregates) and the left side of the join back read",
-           "that relation, and no other `Exchange` appears above it.", ""]
+           "that table (`Scan parquet ... warcsift_fields_...`) with no `Exchange`.", ""]
     for k in KEYS:
         df = QUERIES[k](spark, sf)
         shape = plan_shape(df)

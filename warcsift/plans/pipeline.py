@@ -28,6 +28,8 @@ from ..sources.warc import read_warc
 
 log = logging.getLogger(__name__)
 
+FILES_PER_BUCKET = 4
+
 
 @dataclass
 class RunResult:
@@ -58,9 +60,10 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
         num_partitions: int | None = None) -> RunResult:
     """Extract the articles of ``[start, end)`` and append them to ``out_url``.
 
-    ``num_partitions`` sizes the one exchange of extracted fields; by default
-    it is the larger of ``spark.sql.shuffle.partitions`` and the number of
-    archive files, so each file's articles spread over about one partition.
+    ``num_partitions`` sizes the one exchange (and the buckets) of extracted
+    fields; by default it is the larger of ``spark.sql.shuffle.partitions``
+    and one bucket per ``FILES_PER_BUCKET`` archive files (about 200 MB of
+    article fields per bucket for ~1 GB archive files).
     ``profile`` is a profile DataFrame or the URL of one saved with
     :func:`save_profile`; else one is trained from ``training_docs``.
     """
@@ -94,7 +97,8 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
                          empty, [])
 
     records = read_warc(spark, files, limit=limit)
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(files))
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              -(-len(files) // FILES_PER_BUCKET))
     disp = extract(records, patterns, profile, prefix, n)
     observed, obs = observe_counters(disp)
     arts = articles(observed)
