@@ -261,3 +261,20 @@ def test_job_survives_failed_tasks(archive, tmp_dir):
         got[flaky] = json.load(open(out))
     assert got["1"] == got["0"]
     assert got["1"]["counters"]["total"] == 50
+
+
+def test_articles_plan_has_no_shuffle_after_the_key_table(spark, profile, tmp_dir):
+    """Language aggregate and join back run on the bucketed key table: the only
+    exchange left in the plan is the broadcast of the profile."""
+    import re
+    from tools.plan_shape import plan_shape
+    from warcsift.operators.article import articles, dispositions
+    from warcsift.operators.language import load_profile, save_profile
+    from warcsift.operators.records import classify
+    url = os.path.join(tmp_dir, "profile")
+    save_profile(profile, url)
+    d = dispositions(classify(responses(spark, SF001), ["*"]), load_profile(spark, url))
+    shape = plan_shape(articles(d))
+    ops = re.findall(r"(\w*Exchange)", shape)
+    assert ops and set(ops) == {"BroadcastExchange"}
+    assert "warcsift_fields_" in shape
