@@ -20,7 +20,7 @@ from .. import contracts as K
 from ..functions import paths as P
 from ..operators.article import articles, dispositions
 from ..operators.counters import counters_per_warc, counters_total, observe_counters
-from ..operators.language import load_profile, save_profile, train_profile  # noqa: F401
+from ..operators.language import load_profile, train_profile
 from ..operators.records import classify
 from ..sources.index import DEFAULT_LAYOUT, warc_index
 from ..sources.lake import DEFAULT_KEYS, write_lake
@@ -134,8 +134,7 @@ def extract_warc(spark: SparkSession, warc_url: str, patterns: list[str],
         disp = disp.withColumn("date_crawled", F.lit(date_crawled.strftime("%Y-%m-%d")))
     per_warc = counters_per_warc(disp)
     if out_url is not None:
-        observed, obs = observe_counters(disp)
-        write_lake(articles(observed), out_url, keys, max_records)
+        write_lake(articles(disp), out_url, keys, max_records)
     row = counters_total(disp).collect()[0]
     totals = {k: int(row[k] or 0) for k in ("extracted", "discarded", "errored", "total")}
     return RunResult(totals, per_warc, [warc_url], disp)

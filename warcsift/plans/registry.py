@@ -20,7 +20,7 @@ from ..operators import counters as C
 from ..operators import html as H
 from ..operators.article import articles
 from ..operators.language import broadcast_if_bounded
-from ..operators.records import classify, content_type, target_uri
+from ..operators.records import content_type, target_uri
 from ..sources import index as I
 from ..sources.responses import load_table, responses
 from . import context as X
