@@ -29,6 +29,7 @@ DEFAULT_FLOOR = 1e-6
 # it the gram side is shuffle-joined instead (AQE's skew-join handling then
 # splits hot grams such as " th").
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_LANGUAGES = 1000
 GRAM_RX = "(?=([^\\x{DC00}-\\x{DFFF}].{2}))"
 
 
@@ -93,10 +94,26 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
 def detect_language(df: DataFrame, keys: list[str], text_col: str,
                     profile: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
                     ) -> DataFrame:
-    """(keys..., language) for every row of ``df`` that has at least one known gram."""
+    """(keys..., language) for every row of ``df`` that has at least one known gram.
+
+    Scores are summed per key and language (hash aggregate), pivoted into one
+    fixed-width column per profile language (hash aggregate again, no sort),
+    and the arg-max is taken inside the row: highest score, then smallest code.
+    The language list comes from the profile and is size-checked.
+    """
+    langs = sorted(r[0] for r in profile.select("lang").distinct().collect())
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"{len(langs)} profile languages exceed {MAX_LANGUAGES}.")
     grams = explode_grams(df.where(F.col(text_col).isNotNull()), text_col, keys)
     prof = broadcast_if_bounded(profile.select("gram", "lang", "w"), max_broadcast_rows)
     scores = (grams.join(prof, "gram")
               .groupBy(*keys, "lang").agg(F.sum(F.col("w") * F.col("c")).alias("score")))
-    return scores.groupBy(*keys).agg(
-        F.min_by("lang", F.struct((-F.col("score")).alias("s"), F.col("lang"))).alias("language"))
+    wide = scores.groupBy(*keys).agg(*[
+        F.sum(F.when(F.col("lang") == F.lit(lang), F.col("score"))).alias(f"_s{i}")
+        for i, lang in enumerate(langs)])
+    # NULL scores (language without a matching gram) order below every number.
+    best = F.array_max(F.array(*[
+        F.struct(F.col(f"_s{i}").alias("s"), F.lit(-i).alias("r")) for i in range(len(langs))]))
+    codes = F.array(*[F.lit(lang) for lang in langs])
+    return wide.select(*keys, F.element_at(codes, (F.lit(1) - best["r"]).cast("int"))
+                       .alias("language"))
