@@ -101,14 +101,13 @@ def detect_language(df: DataFrame, keys: list[str], text_col: str,
     and the arg-max is taken inside the row: highest score, then smallest code.
     The language list comes from the profile and is size-checked.
     """
-    # One small job gives both the language list and the profile size; the
-    # collect is bounded by MAX_LANGUAGES + 1 rows.
-    stats = (profile.where(F.col("lang").isNotNull()).groupBy("lang")
-             .agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect())
-    if len(stats) > MAX_LANGUAGES:
-        raise ValueError(f"More than {MAX_LANGUAGES} profile languages.")
-    langs = sorted(r["lang"] for r in stats)
-    rows = sum(r["n"] for r in stats)
+    # One global aggregate (the same single job a row count needs) gives the
+    # profile size and its language set (one entry per language).
+    st = profile.agg(F.count(F.lit(1)).alias("n"),
+                     F.array_sort(F.collect_set("lang")).alias("langs")).collect()[0]
+    langs, rows = list(st["langs"]), st["n"]
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"{len(langs)} profile languages exceed {MAX_LANGUAGES}.")
     grams = explode_grams(df.where(F.col(text_col).isNotNull()), text_col, keys)
     prof = profile.select("gram", "lang", "w")
     prof = F.broadcast(prof) if rows <= max_broadcast_rows else prof
