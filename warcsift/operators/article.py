@@ -68,7 +68,7 @@ def key_table(fields: DataFrame, n: int) -> DataFrame:
     spark = fields.sparkSession
     name = f"warcsift_fields_{uuid.uuid4().hex[:12]}"
     path = f"{checkpoint_root(spark)}/tables/{name}"
-    (fields.repartition(n, *KEYS).write.bucketBy(n, *KEYS)
+    (fields.repartition(n, *KEYS).write.format("parquet").bucketBy(n, *KEYS)
      .option("path", path).saveAsTable(name))
     return spark.table(name)
 
