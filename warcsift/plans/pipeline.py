@@ -5,7 +5,7 @@
 are scanned (one task per file), every record is classified, valid pages
 become articles with a language, and the articles are appended to the lake
 in a single write job. Run counters ride along that job through
-``observe``; per-file counters come from the same cached rows.
+``observe``; per-file counters come from the same materialised rows.
 """
 
 from __future__ import annotations
@@ -34,12 +34,12 @@ FILES_PER_BUCKET = 4
 @dataclass
 class RunResult:
     counters: dict            # extracted / discarded / errored / total of the run
-    per_warc: DataFrame       # counters per file (lazy, from cached rows)
+    per_warc: DataFrame       # counters per file (lazy, from the materialised rows)
     files: list[str]          # archive files that were scanned
     cached: DataFrame | None = None
 
     def release(self) -> None:
-        """Drop the cached extraction rows (``per_warc`` then rescans)."""
+        """Drop cached extraction rows (only held with ``materialize="cache"``)."""
         if self.cached is not None:
             self.cached.unpersist()
 
@@ -107,7 +107,7 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     try:
         totals = {k: int(v or 0) for k, v in obs.get.items()}
     except Exception:  # noqa: BLE001 - metrics node pruned (e.g. nothing to write)
-        # The same numbers from the cached rows (no rescan of the archive).
+        # The same numbers from the materialised rows (no rescan of the archive).
         row = counters_total(disp).collect()[0]
         totals = {k: int(row[k] or 0) for k in ("extracted", "discarded", "errored", "total")}
     return RunResult(totals, per_warc, files, disp)
