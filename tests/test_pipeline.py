@@ -278,3 +278,10 @@ def test_articles_plan_has_no_shuffle_after_the_key_table(spark, profile, tmp_di
     ops = re.findall(r"(\w*Exchange)", shape)
     assert ops and set(ops) == {"BroadcastExchange"}
     assert "warcsift_fields_" in shape
+
+
+def test_run_with_cached_materialisation(spark, archive, profile, tmp_dir):
+    res = run(spark, archive, ["*"], datetime(2021, 1, 1), datetime(2021, 1, 2),
+              os.path.join(tmp_dir, "lake"), profile=profile, materialize="cache")
+    assert res.counters["total"] == 50 and res.counters["extracted"] > 0
+    res.release()

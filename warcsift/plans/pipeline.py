@@ -45,10 +45,11 @@ class RunResult:
 
 
 def extract(records: DataFrame, patterns: list[str], profile: DataFrame,
-            prefix: str = P.DEFAULT_PREFIX, num_partitions: int | None = None) -> DataFrame:
+            prefix: str = P.DEFAULT_PREFIX, num_partitions: int | None = None,
+            materialize: str = "table") -> DataFrame:
     """Records -> every record with article fields, language and disposition."""
     return dispositions(classify(records, K.check_patterns(patterns)), profile, prefix,
-                        num_partitions)
+                        num_partitions, materialize)
 
 
 def run(spark: SparkSession, archive_root: str, patterns: list[str], start: datetime,
@@ -57,7 +58,7 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
         max_records: int | None = None, keys: tuple[str, ...] = DEFAULT_KEYS,
         mode: str = "append", index_root: str | None = None,
         layout: str = DEFAULT_LAYOUT, prefix: str = P.DEFAULT_PREFIX,
-        num_partitions: int | None = None) -> RunResult:
+        num_partitions: int | None = None, materialize: str = "table") -> RunResult:
     """Extract the articles of ``[start, end)`` and append them to ``out_url``.
 
     ``num_partitions`` sizes the one exchange (and the buckets) of extracted
@@ -66,6 +67,8 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     article fields per bucket for ~1 GB archive files).
     ``profile`` is a profile DataFrame or the URL of one saved with
     :func:`save_profile`; else one is trained from ``training_docs``.
+    ``materialize``: ``table`` (default; extracted fields written once to the
+    shared checkpoint folder, bucketed on the record key) or ``cache``.
     """
     K.check_patterns(patterns)
     K.check_window(start, end)
@@ -99,7 +102,7 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     records = read_warc(spark, files, limit=limit)
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               -(-len(files) // FILES_PER_BUCKET))
-    disp = extract(records, patterns, profile, prefix, n)
+    disp = extract(records, patterns, profile, prefix, n, materialize)
     observed, obs = observe_counters(disp)
     arts = articles(observed)
     write_lake(arts, out_url, keys, max_records, mode)
