@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import exact_dedup, quality, url_filter
 from .common import table
 from .sql import ORACLES  # noqa: F401
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights, intercept = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), weights, intercept)
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "n_marks", "n_lines", "n_stop")
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules,)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filters, op6_exact_dedup, op8_quality_rules)}

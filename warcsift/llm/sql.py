@@ -10,11 +10,11 @@ _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 OP8 = rf"""
 WITH a AS (
   SELECT doc_id, coalesce(text, '') AS t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_replace(x, '{_SPACE}', '', 'g') <> '') AS ls
+         list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_replace(x, '{_SPACE}', '', 'g') <> '') AS ls
   FROM documents),
 b AS (
-  SELECT *, list_transform(range(1, greatest(len(w) - 1, 1)), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS g
+  SELECT *, list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS g
   FROM a),
 p AS (SELECT doc_id, unnest(g) AS g, generate_subscripts(g, 1) AS i FROM b),
 r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM p),
@@ -26,7 +26,7 @@ m AS (
          (length(t) - length(regexp_replace(t, '[!?]', '', 'g')))::BIGINT AS n_marks,
          len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
          coalesce(n_repeat, 0)::BIGINT AS n_repeat_words,
-         len(list_filter(w, x -> lower(regexp_replace(x, '[.,]', '', 'g')) IN ({_STOPS})))::BIGINT AS n_stop
+         len(list_filter(w, lambda x: lower(regexp_replace(x, '[.,]', '', 'g')) IN ({_STOPS})))::BIGINT AS n_stop
   FROM b LEFT JOIN c ON c.doc_id = b.doc_id),
 v AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
 SELECT *, NOT base_failed AND 100 * word_chars >= 150 * n_words AND 100 * word_chars <= 2500 * n_words
@@ -35,4 +35,12 @@ SELECT *, NOT base_failed AND 100 * word_chars >= 150 * n_words AND 100 * word_c
 FROM v
 """
 
-ORACLES = {"op8_quality_rules": OP8}
+OP6 = """
+SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+       count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+"""
+
+ORACLES = {"op6_exact_dedup": OP6, "op8_quality_rules": OP8}
