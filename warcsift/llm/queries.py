@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, quality, url_filter
+from . import exact_dedup, quality, secret_scan, url_filter
 from .common import table
 from .sql import ORACLES  # noqa: F401
 
@@ -14,6 +15,16 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), weights, intercept)
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.METHOD_KIND)
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in secret_scan.BASE],
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -25,4 +36,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op6_exact_dedup, op8_quality_rules)}
+    op1_url_filters, op3_secret_scans, op6_exact_dedup, op8_quality_rules)}
