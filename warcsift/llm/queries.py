@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, quality, secret_scan, url_filter
+from . import exact_dedup, mixing, packing, quality, secret_scan, url_filter
 from .common import table
 from .sql import ORACLES  # noqa: F401
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights, intercept = url_filter.train(url_filter.labelled_urls(spark))
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), weights, intercept)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = mixing.sizes(table(spark, sf_dir, "documents"))
+    return mixing.taken(mixing.plan_mix(sized))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
@@ -35,5 +43,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "n_marks", "n_lines", "n_stop")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op3_secret_scans, op6_exact_dedup, op8_quality_rules)}
+    op1_url_filters, op2_mixing, op3_secret_scans, op6_exact_dedup, op8_quality_rules,
+    op9_best_fit_packing)}
