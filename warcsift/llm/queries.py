@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality, secret_scan, url_filter
+from . import class_lm, exact_dedup, language_id, mixing, packing, quality, secret_scan, url_filter
 from .common import table
 from .sql import ORACLES  # noqa: F401
 
@@ -33,6 +33,13 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = class_lm.remainder(F.col("doc_id"), 5) == 0
+    found = language_id.predict(docs, language_id.fit(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -47,6 +54,14 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = class_lm.remainder(F.col("doc_id"), 7) == 2
+    found = class_lm.score(docs, class_lm.train(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score", "perplexity")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_mixing, op3_secret_scans, op6_exact_dedup, op8_quality_rules,
-    op9_best_fit_packing)}
+    op1_url_filters, op2_mixing, op3_secret_scans, op5_language_id, op6_exact_dedup, op8_quality_rules,
+    op9_best_fit_packing, op10_class_lm)}
