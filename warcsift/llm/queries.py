@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import class_lm, exact_dedup, language_id, mixing, packing, quality, secret_scan, url_filter
+from . import class_lm, disclosure, exact_dedup, language_id, mixing, packing, quality, secret_scan, url_filter
 from .common import table
 from .sql import ORACLES  # noqa: F401
 
@@ -33,6 +33,16 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.find_private(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != disclosure.METHOD_KIND)
+    return found.select(
+        "doc_id", *[count(kind).alias(f"n_{kind}") for kind in disclosure.PATTERNS],
+        F.sha2(disclosure.listed(base), 256).alias("base_sha256"),
+        disclosure.listed(F.col("spans")).alias("spans"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = class_lm.remainder(F.col("doc_id"), 5) == 0
@@ -63,5 +73,5 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_mixing, op3_secret_scans, op5_language_id, op6_exact_dedup, op8_quality_rules,
+    op1_url_filters, op2_mixing, op3_secret_scans, op4_pii, op5_language_id, op6_exact_dedup, op8_quality_rules,
     op9_best_fit_packing, op10_class_lm)}
