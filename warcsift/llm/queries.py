@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import class_lm, disclosure, exact_dedup, language_id, mixing, packing, quality, secret_scan, url_filter
+from . import class_lm, disclosure, exact_dedup, jaccard_join, language_id, mixing, packing, quality, secret_scan, url_filter
 from .common import table
 from .sql import ORACLES  # noqa: F401
 
@@ -54,6 +54,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -73,5 +78,5 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filters, op2_mixing, op3_secret_scans, op4_pii, op5_language_id, op6_exact_dedup, op8_quality_rules,
+    op1_url_filters, op2_mixing, op3_secret_scans, op4_pii, op5_language_id, op6_exact_dedup, op7_jaccard_join, op8_quality_rules,
     op9_best_fit_packing, op10_class_lm)}
