@@ -12,8 +12,8 @@ combined by Fisher's method to one probability p (uniform for random tokens,
 near 0 for words and identifiers). Length-aware false-discovery control: per
 encoding and length band, the corpus histogram of p over *all* candidates
 gives, for each cut-off, the share of accepted tokens in excess of what random
-tokens alone would leave; the lowest cut-off whose excess is within
-``max_false`` is used. That table has at most encodings x bands x bins rows.
+tokens alone would leave (less two standard deviations of that count); the
+lowest cut-off whose excess is within ``max_false`` is used. That table has at most encodings x bands x bins rows.
 
 Everything is built-in functions: positions come from the lengths of the gaps
 between matches. Texts are read once; the narrow result of the scan is written
@@ -165,7 +165,8 @@ def cut_offs(scanned: DataFrame, max_false: float = MAX_FALSE) -> dict[tuple[str
     out = {}
     for key, n in counts.items():
         per_bin = sum(n[BINS // 2:]) / (BINS - BINS // 2)
-        excess = lambda j: (sum(n[j:]) - per_bin * (BINS - j)) / max(1, sum(n[j:]))  # noqa: B023, E731
+        above = [sum(n[j:]) for j in range(BINS)]
+        excess = lambda j: (above[j] - per_bin * (BINS - j) - 2 * above[j] ** 0.5) / max(1, above[j])  # noqa: B023, E731
         out[key] = next((j for j in range(1, BINS // 2) if excess(j) <= max_false), BINS // 2) / BINS
     return out
 
