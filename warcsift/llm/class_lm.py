@@ -233,7 +233,7 @@ def score(docs: DataFrame, model: ClassModel) -> DataFrame:
                     flat.append(END)
                     stops.append(len(flat))
                 ids = np.fromiter(map(number.get, flat, repeat(other)), dtype=np.int64, count=len(flat))
-                starts = np.concatenate(([0], stops[:-1]))
+                starts = np.array([0, *stops[:-1]], dtype=np.int64)
                 c = cls[ids]
                 logs = transition[np.concatenate(([classes + 1], c[:-1])) * width + c] + emit[ids]
                 lengths = np.diff(np.concatenate(([0], stops)))
