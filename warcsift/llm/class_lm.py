@@ -145,7 +145,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             gain = (_h(g[:classes] + r) - _h(g[:classes])).sum(axis=1) + (_h(g[:, :classes] + c[:, None]) - _h(g[:, :classes])).sum(axis=0)
             gain -= _h(diagonal + r[own]) + _h(diagonal + c[own]) - 2 * _h(diagonal)
             gain += _h(diagonal + r[own] + c[own] + s) - _h(diagonal)
-            for margin, add in ((g.sum(axis=1)[:classes], r.sum() + s), (g.sum(axis=0)[:classes], c.sum() + s)):
+            for margin, add in (((g.sum(axis=1) + c)[:classes], r.sum() + s), ((g.sum(axis=0) + r)[:classes], c.sum() + s)):
                 gain -= _h(margin + add) - _h(margin)
             best = int(np.argmax(gain))
             if gain[best] <= gain[a] + 1e-9:
