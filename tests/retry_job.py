@@ -49,7 +49,7 @@ def main():
         spark.dataSource.register(WarcDataSource)
     records = spark.read.format(fmt).load(archive)
     prof = train_profile(load_table(spark, "/root/testdata/sf0.001", "documents")).persist()
-    disp = extract(records, ["*"], prof)
+    disp = extract(records, ["*"], prof).disp
     row = counters_total(disp).collect()[0].asDict()
     arts = sorted(tuple(r) for r in articles(disp).collect())
     with open(out, "w") as f:

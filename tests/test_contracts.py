@@ -67,8 +67,9 @@ def test_bucket_and_limit():
     with pytest.raises(TypeError, match="Bucket name is not a string."):
         K.check_bucket(1)
     assert K.check_limit(None) is None
+    assert K.check_limit(0) == 0
     with pytest.raises(ValueError):
-        K.check_limit(0)
+        K.check_limit(-1)
 
 
 def test_default_window_is_yesterday():

@@ -1,7 +1,7 @@
 """Argument contracts of the public API, checked on the driver.
 
 Exception classes and messages are part of the interface (callers and tests
-match them), so they are fixed values.
+match them): the texts below are fixed values.
 """
 
 from __future__ import annotations
@@ -89,8 +89,8 @@ def check_limit(limit) -> int | None:
         return None
     if type(limit) is not int:
         raise TypeError("Limit is not an integer.")
-    if limit <= 0:
-        raise ValueError("Limit must be greater than zero.")
+    if limit < 0:
+        raise ValueError("Limit must not be negative.")
     return limit
 
 

@@ -10,6 +10,8 @@ and in RE2 (DuckDB, used by the oracles).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 _MAX_CP = 0x10FFFF
@@ -92,6 +94,14 @@ def globs_to_regex(patterns: list[str]) -> str | None:
     return "(?s)\\A(?:" + "|".join(bodies) + ")\\z"
 
 
+def globs_to_python_regex(patterns: list[str]) -> str | None:
+    """The same expression in Python's spelling (``\\x{2E}`` is ``\\U0000002e`` there)."""
+    rx = globs_to_regex(patterns)
+    if rx is None:
+        return None
+    return re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", rx).replace("\\z", "\\Z")
+
+
 def url_matches_any(url: Column, patterns: list[str]) -> Column:
     """Boolean column: ``url`` matches at least one glob (NULL url -> NULL)."""
     rx = globs_to_regex(patterns)

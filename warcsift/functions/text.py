@@ -1,7 +1,7 @@
 """Scalar column functions on text: decoding, content type, entities, URLs, dates.
 
-All of them are built-in Spark expressions, so they stay inside whole-stage
-code generation. Regex texts stick to the common subset of Java and RE2.
+All of them are built-in Spark expressions evaluated in the JVM (those with
+lambdas are interpreted, the others compiled). Regex texts stick to the common subset of Java and RE2.
 """
 
 from __future__ import annotations
@@ -35,6 +35,11 @@ HTML_ENTITIES = (
 URL_ORIGIN_RX = "\\A([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)"
 
 
+def once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def strict_utf8(payload: Column) -> Column:
     """Bytes -> string if they are valid UTF-8, else NULL (never raises)."""
     return F.try_validate_utf8(payload.cast("string"))
@@ -44,8 +49,9 @@ def is_utf8_html(content_type: Column) -> Column:
     return content_type.rlike(UTF8_HTML_RX)
 
 
-NUM_DEC_RX = "\\A([0-9]{1,7});"
-NUM_HEX_RX = "\\A[xX]([0-9a-fA-F]{1,6});"
+# Any number of leading zeros; more digits than these are beyond U+10FFFF.
+NUM_DEC_RX = "\\A0*([0-9]{1,7});"
+NUM_HEX_RX = "\\A[xX]0*([0-9a-fA-F]{1,6});"
 
 
 def decode_numeric(c: Column) -> Column:
@@ -56,22 +62,25 @@ def decode_numeric(c: Column) -> Column:
         hx = F.regexp_extract(p, NUM_HEX_RX, 1)
         n = (F.when(dec != "", dec.cast("long"))
              .when(hx != "", F.conv(hx, 16, 10).cast("long")))
-        used = F.when(dec != "", F.length(dec) + 1).otherwise(F.length(hx) + 2)
+        used = F.instr(p, ";")
         ok = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
         ch = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
         return (F.when(i == 0, p)
-                .when(ok, F.concat(ch, F.substring(p, used + 1, F.lit(1 << 30))))
+                .when(ok, F.concat(ch, F.substr(p, used + 1)))
                 .otherwise(F.concat(F.lit("&#"), p)))
-    return F.array_join(F.transform(F.split(c, "&#"), piece), "")
+    decoded = F.array_join(F.transform(F.split(c, "&#"), piece), "")
+    return F.when(F.contains(c, F.lit("&#")), decoded).otherwise(c)
 
 
 def unescape_entities(c: Column) -> Column:
     """Named entities, then numeric references, then ``&amp;`` (so that
     ``&amp;#39;`` stays ``&#39;``)."""
     *named, amp = HTML_ENTITIES
+    out = c
     for ent, ch in named:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return F.replace(decode_numeric(c), F.lit(amp[0]), F.lit(amp[1]))
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    out = F.replace(once(out, decode_numeric), F.lit(amp[0]), F.lit(amp[1]))
+    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
 
 
 def squeeze(c: Column) -> Column:
@@ -81,13 +90,13 @@ def squeeze(c: Column) -> Column:
 
 def strip_tags(c: Column) -> Column:
     """Drop markup: line breaks become blanks, other tags vanish."""
-    c = F.regexp_replace(c, "(?i)<br(?:[\\x{9}-\\x{D} /][^>]*)?>", " ")
-    return F.regexp_replace(c, "<[^>]*>", "")
+    out = F.regexp_replace(c, "(?i)<br(?:[\\x{9}-\\x{D} /][^>]*)?>", " ")
+    return F.when(F.contains(c, F.lit("<")), F.regexp_replace(out, "<[^>]*>", "")).otherwise(c)
 
 
 def html_text(c: Column) -> Column:
     """Visible text of an HTML fragment: tags out, entities in, blanks squeezed."""
-    return squeeze(unescape_entities(strip_tags(c)))
+    return once(c, lambda raw: once(strip_tags(raw), lambda bare: squeeze(unescape_entities(bare))))
 
 
 def word_count(text: Column) -> Column:

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ..functions.text import (html_text, squeeze, unescape_entities, word_count,
+from ..functions.text import (once, html_text, squeeze, unescape_entities, word_count,
                               date_text)
 from .stopwords import STOP_WORDS
 
@@ -103,7 +103,7 @@ def blocks(html: Column) -> Column:
     def split_piece(b, i):
         p = b["piece"]
         at = F.instr(p, C_TAG)
-        body = F.when(at > 0, F.substring(p, at + 1, F.lit(1 << 30))).otherwise(p)
+        body = F.when(at > 0, F.substr(p, at + 1)).otherwise(p)
         return F.struct(
             i.alias("pos"), b["section"].alias("section"),
             F.when(at > 0, F.lower(F.substring(p, F.lit(1), at - 1))).otherwise(F.lit(""))
@@ -117,7 +117,8 @@ def blocks(html: Column) -> Column:
         return F.struct(
             b["pos"].alias("pos"), b["section"].alias("section"), b["tag"].alias("tag"),
             html_text(b["body"]).alias("text"),
-            html_text(F.array_join(b["anchors"], " ")).alias("link_text"),
+            F.when(F.size(b["anchors"]) > 0, html_text(F.array_join(b["anchors"], " ")))
+            .otherwise(F.lit("")).alias("link_text"),
             F.size(b["anchors"]).alias("n_links"))
 
     def features(b):
@@ -138,9 +139,29 @@ def is_good(b: Column) -> Column:
             & (b["link_words"] * b["n_links"] < b["n_words"]))
 
 
+BOOST, BOOST_OVER, BOOST_REACH = 5, 5, 3
+
+
+def scored_blocks(blks: Column) -> Column:
+    """Good blocks as (section, text, score): the block's stop words, and ``BOOST``
+    more if one of the ``BOOST_REACH`` blocks before it has over ``BOOST_OVER``."""
+    def score(all_blocks):
+        def near(i):
+            hits = [F.coalesce(F.get(all_blocks, i - k)["n_stop"] > BOOST_OVER, F.lit(False))
+                    for k in range(1, BOOST_REACH + 1)]
+            return hits[0] | hits[1] | hits[2]
+
+        marked = F.transform(all_blocks, lambda b, i: F.struct(
+            is_good(b).alias("good"), b["section"].alias("section"), b["text"].alias("text"),
+            (b["n_stop"] + F.when(near(i), F.lit(BOOST)).otherwise(F.lit(0))).alias("score")))
+        return F.filter(marked, lambda b: b["good"])
+
+    return once(blks, score)
+
+
 def _section_scan(good: Column, finish):
-    """One pass over the good blocks (sections are contiguous, increasing runs):
-    the section with the largest stop-word sum wins, the earlier one on ties."""
+    """One pass over the scored blocks (sections are contiguous, increasing runs):
+    the section with the largest score sum wins, the earlier one on ties."""
     zero = F.struct(F.lit(-1).alias("cur"), F.lit(0).alias("cur_sum"),
                     F.lit(-1).alias("best"), F.lit(-1).alias("best_sum"))
 
@@ -149,7 +170,7 @@ def _section_scan(good: Column, finish):
         close = ~same & (acc["cur_sum"] > acc["best_sum"])
         return F.struct(
             b["section"].alias("cur"),
-            F.when(same, acc["cur_sum"] + b["n_stop"]).otherwise(b["n_stop"]).alias("cur_sum"),
+            F.when(same, acc["cur_sum"] + b["score"]).otherwise(b["score"]).alias("cur_sum"),
             F.when(close, acc["cur"]).otherwise(acc["best"]).alias("best"),
             F.when(close, acc["cur_sum"]).otherwise(acc["best_sum"]).alias("best_sum"))
 
@@ -161,17 +182,15 @@ def _section_scan(good: Column, finish):
 
 
 def best_section(blks: Column) -> Column:
-    """Section with the highest stop-word score over its good blocks (NULL if none)."""
-    return _section_scan(F.filter(blks, is_good),
-                         lambda best: F.when(best >= 0, best))
+    """Section with the highest score over its good blocks (NULL if none)."""
+    return _section_scan(scored_blocks(blks), lambda best: F.when(best >= 0, best))
 
 
 def main_text(blks: Column) -> Column:
     """Good blocks of the best section, joined by a blank line ('' if none)."""
-    good = F.filter(blks, is_good)
-    return _section_scan(good, lambda best: F.array_join(
+    return once(scored_blocks(blks), lambda good: _section_scan(good, lambda best: F.array_join(
         F.transform(F.filter(good, lambda b: b["section"] == best), lambda b: b["text"]),
-        "\n\n"))
+        "\n\n")))
 
 
 def _longest(arr: Column) -> Column:

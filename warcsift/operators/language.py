@@ -22,14 +22,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 DEFAULT_FLOOR = 1e-6
 # Profiles up to this many (lang, gram) rows (~80 MB) are broadcast; beyond
 # it the gram side is shuffle-joined instead (AQE's skew-join handling then
 # splits hot grams such as " th").
 MAX_BROADCAST_ROWS = 2_000_000
-MAX_LANGUAGES = 1000
 GRAM_RX = "(?=([^\\x{DC00}-\\x{DFFF}].{2}))"
 
 
@@ -68,10 +67,13 @@ def train_profile(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     grams = explode_grams(labelled.withColumnRenamed(lang_col, "lang"), text_col, ["lang"])
     counts = grams.groupBy("lang", "gram").agg(F.sum("c").alias("n"))
-    total = F.sum("n").over(Window.partitionBy("lang"))
-    return counts.select(
+    # Totals as a second, partially aggregated sum (one row per language) joined
+    # back: a window would sort all gram rows of a language in one task. Both
+    # branches read the same exchange of ``counts``.
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("_total"))
+    return counts.join(totals, "lang").select(
         "lang", "gram", "n",
-        (F.log(F.col("n")) - F.log(total) - F.lit(math.log(floor))).alias("w"))
+        (F.log(F.col("n")) - F.log(F.col("_total")) - F.lit(math.log(floor))).alias("w"))
 
 
 def save_profile(profile: DataFrame, url: str, mode: str = "overwrite") -> None:
@@ -99,15 +101,13 @@ def detect_language(df: DataFrame, keys: list[str], text_col: str,
     Scores are summed per key and language (hash aggregate), pivoted into one
     fixed-width column per profile language (hash aggregate again, no sort),
     and the arg-max is taken inside the row: highest score, then smallest code.
-    The language list comes from the profile and is size-checked.
+    The language list (one entry per language) comes from the profile.
     """
     # One global aggregate (the same single job a row count needs) gives the
     # profile size and its language set (one entry per language).
     st = profile.agg(F.count(F.lit(1)).alias("n"),
                      F.array_sort(F.collect_set("lang")).alias("langs")).collect()[0]
     langs, rows = list(st["langs"]), st["n"]
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} profile languages exceed {MAX_LANGUAGES}.")
     grams = explode_grams(df.where(F.col(text_col).isNotNull()), text_col, keys)
     prof = profile.select("gram", "lang", "w")
     prof = F.broadcast(prof) if rows <= max_broadcast_rows else prof

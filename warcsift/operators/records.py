@@ -9,9 +9,11 @@ article has no language is *errored*; the rest are *extracted*.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.globs import url_matches_any
+from ..functions.globs import globs_to_regex, url_matches_any
 from ..functions.headers import header
 from ..functions.text import is_utf8_html, strict_utf8
 
@@ -58,20 +60,43 @@ def disposition(valid: Column, decoded: Column, language: Column) -> Column:
             .otherwise(F.lit("extracted")))
 
 
-MAX_PATTERNS = 10_000
-
-
 def url_semi_join(records: DataFrame, patterns: DataFrame, url_col: str = "url",
                   glob_col: str = "glob") -> DataFrame:
     """Records whose URL matches any glob of a patterns *table* (EXISTS semantics).
 
-    The pattern table is configuration: its size is checked, its globs are
-    read on the driver and folded into one anchored regex, and the semi join
-    becomes a single predicate evaluated next to the scan -- no nested-loop
-    join, no exchange, and each record is tested once.
+    A glob with a literal host (``*://*.example.com/*``) can only match a URL
+    one of whose ``/``-parts ends with that host, so such globs meet distinct
+    URLs by an equi-join on host suffixes and the glob itself is a residual
+    condition. Globs without one are folded into a single expression by an
+    aggregate and tested as a scalar subquery. Nothing is collected, and the
+    number of patterns is not limited.
     """
-    n = patterns.count()
-    if n > MAX_PATTERNS:
-        raise ValueError(f"{n} URL patterns exceed the limit of {MAX_PATTERNS}.")
-    globs = [r[0] for r in patterns.select(glob_col).collect()]
-    return records.where(F.coalesce(url_matches_any(F.col(url_col), globs), F.lit(False)))
+    to_regex = F.udf(_anchored, "string", useArrow=False)
+    host = F.udf(glob_host, "string", useArrow=False)
+    globs = (patterns.select(F.col(glob_col).alias("_glob")).where(F.col("_glob").isNotNull()).distinct()
+             .select(to_regex("_glob").alias("_rx"), host("_glob").alias("_host")).where(F.col("_rx").isNotNull()))
+    urls = records.select(F.col(url_col).alias("_url")).where(F.col("_url").isNotNull()).distinct()
+    parts = F.flatten(F.transform(F.split("_url", "/"), _suffixes))
+    hits = (urls.select("_url", F.explode(F.array_distinct(parts)).alias("_host"))
+            .join(globs.where(F.col("_host").isNotNull()), "_host")
+            .where(F.expr("_url rlike _rx")).select("_url"))
+    folded = globs.where(F.col("_host").isNull()).agg(F.concat_ws("|", F.array_sort(F.collect_set("_rx"))).alias("rx"))
+    any_other = F.nullif(folded.scalar(), F.lit(""))
+    hits = hits.unionByName(urls.where(F.regexp_like("_url", any_other))).distinct()
+    return records.join(hits, F.col(url_col) == F.col("_url"), "left_semi")
+
+
+def _anchored(glob: str) -> str | None:
+    return globs_to_regex([glob])
+
+
+def glob_host(glob: str) -> str | None:
+    """The literal host of a glob between ``://`` (or ``://*.``) and ``/``, if it has one."""
+    m = re.search(r"://(?:\*\.)?([^/*?\[\]]+)/", glob)
+    return m[1] if m and "[" not in glob[:m.start()] else None
+
+
+def _suffixes(part: Column) -> Column:
+    """A URL part and what follows each of its dots."""
+    labels = F.split(part, "[.]")
+    return F.transform(labels, lambda _, i: F.call_function("substring_index", part, F.lit("."), i - F.size(labels)))

@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import contracts as K
 from ..functions import paths as P
-from ..operators.article import articles, dispositions
-from ..operators.counters import counters_per_warc, counters_total, observe_counters
+from ..functions.globs import globs_to_python_regex
+from ..operators.article import Staged, articles, stage
+from ..operators.counters import (counters_per_warc, counters_total, observe_counters,
+                                  running_counters)
 from ..operators.language import load_profile, train_profile
 from ..operators.records import classify
 from ..sources.index import DEFAULT_LAYOUT, warc_index
@@ -31,25 +33,47 @@ log = logging.getLogger(__name__)
 FILES_PER_BUCKET = 4
 
 
+NO_COUNTERS = {"extracted": 0, "discarded": 0, "errored": 0, "total": 0}
+
+
 @dataclass
 class RunResult:
     counters: dict            # extracted / discarded / errored / total of the run
-    per_warc: DataFrame       # counters per file (lazy, from the materialised rows)
-    files: list[str]          # archive files that were scanned
-    cached: DataFrame | None = None
+    per_warc: DataFrame       # counters per file (lazy, from the stored rows)
+    files: list[str]          # archive files that the run was to scan
+    errors: DataFrame         # warc_path, rec_offset, message: gaps, missing files
+    n_warcs: int              # archive files in the window, from the index
+    progress: DataFrame | None = None     # running counters, with ``report_every``
+    staged: Staged | None = None
+    profile: DataFrame | None = None      # persisted by the run itself
 
     def release(self) -> None:
-        """Drop cached extraction rows (only held with ``materialize="cache"``)."""
-        if self.cached is not None:
-            self.cached.unpersist()
+        """Delete everything the run stored for these results."""
+        if self.staged is not None:
+            self.staged.release()
+        if self.profile is not None:
+            self.profile.unpersist()
 
 
 def extract(records: DataFrame, patterns: list[str], profile: DataFrame,
             prefix: str = P.DEFAULT_PREFIX, num_partitions: int | None = None,
-            materialize: str = "table") -> DataFrame:
-    """Records -> every record with article fields, language and disposition."""
-    return dispositions(classify(records, K.check_patterns(patterns)), profile, prefix,
-                        num_partitions, materialize)
+            materialize: str = "table", scratch: str | None = None) -> Staged:
+    """Records -> every record with article fields, language and disposition, stored."""
+    return stage(classify(records, K.check_patterns(patterns)), profile, prefix,
+                 num_partitions, materialize, scratch)
+
+
+def _scan(spark: SparkSession, files, patterns: list[str], limit: int | None, read_mode: str) -> DataFrame:
+    """The records, with payloads only where the headers allow an article."""
+    return read_warc(spark, files, limit=limit, mode=read_mode, payload="html",
+                     url_regex=globs_to_python_regex(patterns) or "(?!)")
+
+
+def _totals(disp: DataFrame, metrics: dict) -> dict:
+    """Observed run counters; from the stored rows if the job had no metrics."""
+    if not set(NO_COUNTERS) <= set(metrics):
+        metrics = counters_total(disp).collect()[0].asDict()
+    return {k: int(metrics[k] or 0) for k in NO_COUNTERS}
 
 
 def run(spark: SparkSession, archive_root: str, patterns: list[str], start: datetime,
@@ -58,7 +82,9 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
         max_records: int | None = None, keys: tuple[str, ...] = DEFAULT_KEYS,
         mode: str = "append", index_root: str | None = None,
         layout: str = DEFAULT_LAYOUT, prefix: str = P.DEFAULT_PREFIX,
-        num_partitions: int | None = None, materialize: str = "table") -> RunResult:
+        num_partitions: int | None = None, materialize: str = "table",
+        read_mode: str = "PERMISSIVE", report_every: int | None = None,
+        scratch: str | None = None) -> RunResult:
     """Extract the articles of ``[start, end)`` and append them to ``out_url``.
 
     ``num_partitions`` sizes the one exchange (and the buckets) of extracted
@@ -68,7 +94,11 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     ``profile`` is a profile DataFrame or the URL of one saved with
     :func:`save_profile`; else one is trained from ``training_docs``.
     ``materialize``: ``table`` (default; extracted fields written once to the
-    shared checkpoint folder, bucketed on the record key) or ``cache``.
+    shared checkpoint folder or ``scratch``, bucketed on the record key) or
+    ``cache``. ``read_mode``: ``PERMISSIVE`` reports damaged and missing files
+    in ``errors`` and goes on; ``FAILFAST`` raises. ``report_every`` adds the
+    running counters before every so many records of a file as ``progress``.
+    Call ``release()`` on the result when done with its tables.
     """
     K.check_patterns(patterns)
     K.check_window(start, end)
@@ -76,51 +106,45 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     K.check_partitions(keys)
     if max_records is not None:
         K.check_max_records(max_records)
-    if isinstance(profile, str):
-        profile = load_profile(spark, profile).persist()
-        profile.count()
-    if profile is None:
-        if training_docs is None:
+    if report_every is not None:
+        K.check_report_every(report_every)
+    own_profile = None
+    if not isinstance(profile, DataFrame):
+        if profile is None and training_docs is None:
             raise ValueError("Give a language profile or training documents.")
-        profile = train_profile(training_docs).persist()
-        profile.count()
+        profile = load_profile(spark, profile) if profile else train_profile(training_docs)
+        own_profile = profile = profile.persist()
 
     idx = warc_index(spark, index_root or archive_root, start, end, layout, prefix=prefix)
     # The pruned file list is metadata (a few hundred files a month): it is
     # what the scan plans its one-partition-per-file layout from.
     root = archive_root.rstrip("/")
-    files = [f"{root}/{r['warc_path'].lstrip('/')}"
-             for r in idx.select("warc_path").orderBy("warc_path").collect()]
+    files = [f"{root}/{r['warc_path'].lstrip('/')}" for r in idx.select("warc_path").collect()]
     log.info("Found %d WARC files to process.", len(files))
     if not files:
         log.error("No WARC files were found.")
-        empty = spark.createDataFrame([], "warc_path string, extracted long, "
-                                          "discarded long, errored long, total long")
-        return RunResult({"extracted": 0, "discarded": 0, "errored": 0, "total": 0},
-                         empty, [])
+        counters = spark.createDataFrame([], "warc_path string, extracted long, "
+                                             "discarded long, errored long, total long")
+        errors = spark.createDataFrame([], "warc_path string, rec_offset long, message string")
+        return RunResult(dict(NO_COUNTERS), counters, [], errors, 0, profile=own_profile)
 
-    records = read_warc(spark, files, limit=limit)
+    records = _scan(spark, files, patterns, limit, read_mode)
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               -(-len(files) // FILES_PER_BUCKET))
-    disp = extract(records, patterns, profile, prefix, n, materialize)
-    observed, obs = observe_counters(disp)
-    arts = articles(observed)
-    write_lake(arts, out_url, keys, max_records, mode)
-    per_warc = counters_per_warc(disp)
-    try:
-        totals = {k: int(v or 0) for k, v in obs.get.items()}
-    except Exception:  # noqa: BLE001 - metrics node pruned (e.g. nothing to write)
-        # The same numbers from the materialised rows (no rescan of the archive).
-        row = counters_total(disp).collect()[0]
-        totals = {k: int(row[k] or 0) for k in ("extracted", "discarded", "errored", "total")}
-    return RunResult(totals, per_warc, files, disp)
+    staged = extract(records, patterns, profile, prefix, n, materialize, scratch)
+    observed, obs = observe_counters(staged.disp)
+    write_lake(articles(observed), out_url, keys, max_records, mode)
+    progress = running_counters(staged.disp, report_every) if report_every else None
+    return RunResult(_totals(staged.disp, obs.get), counters_per_warc(staged.disp), files, staged.errors,
+                     len(files), progress, staged, own_profile)
 
 
 def extract_warc(spark: SparkSession, warc_url: str, patterns: list[str],
                  profile: DataFrame, date_crawled: datetime | None = None,
                  limit: int | None = None, out_url: str | None = None,
                  keys: tuple[str, ...] = DEFAULT_KEYS, max_records: int | None = None,
-                 prefix: str = P.DEFAULT_PREFIX) -> RunResult:
+                 prefix: str = P.DEFAULT_PREFIX, read_mode: str = "PERMISSIVE",
+                 report_every: int | None = None, scratch: str | None = None) -> RunResult:
     """One archive file -> articles (and, with ``out_url``, the lake).
 
     ``date_crawled`` overrides the crawl date taken from the file name (a
@@ -131,16 +155,19 @@ def extract_warc(spark: SparkSession, warc_url: str, patterns: list[str],
     K.check_limit(limit)
     if date_crawled is not None:
         K.check_date_crawled(date_crawled)
-    records = read_warc(spark, warc_url, limit=limit)
-    disp = extract(records, patterns, profile, prefix)
+    if report_every is not None:
+        K.check_report_every(report_every)
+    staged = extract(_scan(spark, warc_url, patterns, limit, read_mode), patterns, profile, prefix, scratch=scratch)
     if date_crawled is not None:
-        disp = disp.withColumn("date_crawled", F.lit(date_crawled.strftime("%Y-%m-%d")))
-    per_warc = counters_per_warc(disp)
+        staged.disp = staged.disp.withColumn("date_crawled", F.lit(date_crawled.strftime("%Y-%m-%d")))
+    metrics = {}
     if out_url is not None:
-        write_lake(articles(disp), out_url, keys, max_records)
-    row = counters_total(disp).collect()[0]
-    totals = {k: int(row[k] or 0) for k in ("extracted", "discarded", "errored", "total")}
-    return RunResult(totals, per_warc, [warc_url], disp)
+        observed, obs = observe_counters(staged.disp)
+        write_lake(articles(observed), out_url, keys, max_records)
+        metrics = obs.get
+    progress = running_counters(staged.disp, report_every) if report_every else None
+    return RunResult(_totals(staged.disp, metrics), counters_per_warc(staged.disp), [warc_url], staged.errors,
+                     1, progress, staged)
 
 
 def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI

@@ -12,7 +12,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import paths as P
-from ..functions.globs import globs_to_regex
 from ..functions.headers import header
 from ..functions.text import (UTF8_HTML_RX, detect_input, is_utf8_html, source_domain,
                               strict_utf8)
@@ -286,10 +285,6 @@ def q_error_rate(spark, sf):
     return C.error_rate(X.disp(spark, sf))
 
 
-@query("warc_count", f"""{RESP}
-SELECT count(DISTINCT warc_path) AS n_warcs FROM responses""")
-def q_warc_count(spark, sf):
-    return responses(spark, sf).select(F.count_distinct("warc_path").alias("n_warcs"))
 
 
 @query("limit_per_warc", f"""{RESP}
@@ -368,6 +363,14 @@ def q_warc_date_window(spark, sf):
         "warc_path", F.date_format("crawl_ts", "yyyy-MM-dd HH:mm:ss").alias("crawl_ts"))
 
 
+@query("warc_count", f"""{RESP}, {_PATHS_SQL}
+SELECT count(*) AS n_warcs FROM parsed
+WHERE crawl_ts >= TIMESTAMP '{WINDOW[0]:%Y-%m-%d %H:%M:%S}'
+  AND crawl_ts < TIMESTAMP '{WINDOW[1]:%Y-%m-%d %H:%M:%S}'""")
+def q_warc_count(spark, sf):
+    return I.warc_count(I.prune(_index_from_responses(spark, sf), *WINDOW))
+
+
 @query("index_months", f"""{RESP}, {_PATHS_SQL},
 win AS (SELECT min(crawl_ts) - INTERVAL 40 DAY AS s, max(crawl_ts) + INTERVAL 40 DAY AS e FROM parsed)
 SELECT strftime(m, '%Y-%m') AS month,
@@ -398,14 +401,27 @@ def q_record_crawl_date(spark, sf):
         "warc_path", "rec_idx", P.crawl_date(F.col("crawl_ts")).alias("date_crawled"))
 
 
-@query("url_glob_semi_join", f"""{RESP}
-SELECT warc_path, rec_idx, url FROM (
-  SELECT *, {S.header('rec_headers', 'WARC-Target-URI')} AS url FROM responses) r
-WHERE EXISTS (SELECT 1 FROM (VALUES {', '.join('(' + S.lit(globs_to_regex([g]) or '(?!)') + ')' for g in GLOBS)}) t(rx)
-              WHERE regexp_matches(r.url, t.rx))""")
+_HOST_SQL = "regexp_extract(url, '://([^/?#]*)', 1)"
+_ODD_GLOBS = ["*#top", "*/fr/[0-9]*.html", "http://m.*[!a-z]de/4???"]
+
+
+@query("url_glob_semi_join", f"""{RESP},
+u AS (SELECT warc_path, rec_idx, {S.header('rec_headers', 'WARC-Target-URI')} AS url FROM responses),
+globs AS (
+  SELECT DISTINCT '*://' || {_HOST_SQL} || '/en/*' AS glob FROM pages WHERE {_HOST_SQL} LIKE 'blog.%'
+  UNION SELECT DISTINCT 'http*://*.' || regexp_extract(url, '://[^/?#.]*[.]([^/?#]*)', 1) || '/es/*' FROM pages
+  UNION VALUES {', '.join(f"('{g}')" for g in _ODD_GLOBS)})
+SELECT * FROM u WHERE EXISTS (SELECT 1 FROM globs WHERE u.url GLOB globs.glob)""")
 def q_url_glob_semi_join(spark, sf):
+    """Patterns: one per blog host and one per parent domain of ``pages``, and three
+    that name no host."""
     from ..operators.records import url_semi_join
-    pats = spark.createDataFrame([(g,) for g in GLOBS], "glob string")
+    pages = load_table(spark, sf, "pages")
+    host = F.regexp_extract("url", "://([^/?#]*)", 1)
+    parent = F.regexp_extract("url", "://[^/?#.]*[.]([^/?#]*)", 1)
+    pats = (pages.where(F.startswith(host, F.lit("blog."))).select(F.concat(F.lit("*://"), host, F.lit("/en/*")).alias("glob"))
+            .unionByName(pages.select(F.concat(F.lit("http*://*."), parent, F.lit("/es/*")).alias("glob")))
+            .distinct().unionByName(spark.createDataFrame([(g,) for g in _ODD_GLOBS], "glob string")))
     r = responses(spark, sf).select("warc_path", "rec_idx",
                                     target_uri(F.col("rec_headers")).alias("url"))
     return url_semi_join(r, pats)
@@ -418,9 +434,8 @@ def _fixture_records(spark, sf, fmt: str, encodings: bool = False, **opts) -> Da
     from ..sources.fixtures import write_fixture
     from ..sources.warc import read_warc
     root = scratch_dir(spark, "fixture")
-    written = write_fixture(responses(spark, sf), root, fmt, encodings).collect()
-    files = [r["warc_path"] for r in written]
-    return read_warc(spark, files, **opts)
+    write_fixture(responses(spark, sf), root, fmt, encodings).count()
+    return read_warc(spark, root, **opts)
 
 
 def _rel(c):
@@ -449,6 +464,28 @@ def q_warc_scan(spark, sf):
     return _scan_view(_fixture_records(spark, sf, "warc.gz"))
 
 
+@query("scan_errors", f"""{RESP},
+f AS (SELECT warc_path, count(*) AS n, CAST(regexp_extract(warc_path, '-([0-9]+)[.]', 1) AS BIGINT) % 4 AS k
+      FROM responses GROUP BY warc_path)
+SELECT warc_path, CASE k WHEN 0 THEN n WHEN 3 THEN 0 ELSE n - 1 END AS n_records,
+       CASE k WHEN 0 THEN 0 ELSE 1 END AS n_errors, k = 3 AS missing
+FROM f""")
+def q_scan_errors(spark, sf):
+    """Readable records and gaps of files of which some are corrupt, cut or missing."""
+    from ..session import scratch_dir
+    from ..sources.fixtures import write_fixture
+    from ..sources.warc import ERROR_TYPE, read_warc
+    r, root = responses(spark, sf), scratch_dir(spark, "damaged")
+    write_fixture(r, root, damage=True).count()
+    # The list to read comes from the index, as in a run: it names missing files too.
+    listed = [f"{root}/{x['warc_path']}" for x in _index_from_responses(spark, sf).select("warc_path").collect()]
+    got = read_warc(spark, listed, payload=False)
+    gap = F.col("rec_type").eqNullSafe(ERROR_TYPE)
+    return got.groupBy(_rel(F.col("warc_path")).alias("warc_path")).agg(
+        F.count_if(~gap).alias("n_records"), F.count_if(gap).cast("int").alias("n_errors"),
+        F.bool_or(gap & (F.col("payload_error") == "missing file")).alias("missing"))
+
+
 @query("http_body_decode", f"""{RESP}
 SELECT replace(warc_path, '.warc.gz', '.warc') AS warc_path, rec_idx, try(decode(payload)) AS html,
        CAST(octet_length(payload) AS BIGINT) AS n_bytes, CAST(NULL AS VARCHAR) AS payload_error
@@ -495,14 +532,12 @@ def q_lake_write_roundtrip(spark, sf):
 def q_lake_write_custom_keys(spark, sf):
     from ..sources.lake import read_lake, write_lake
     url = _lake_dir(spark, "lake-keys")
-    write_lake(articles(X.disp(spark, sf)), url, keys=("language", "source_domain"),
-               colocate="hash")
+    write_lake(articles(X.disp(spark, sf)), url, keys=("language", "source_domain"))
     return read_lake(spark, url)
 
 
 @query("max_records_per_file", f"""{DISP}
-SELECT date_crawled, language, count(*) AS n_rows, true AS files_ok,
-       CAST(ceil(count(*) / 3.0) AS BIGINT) AS min_files
+SELECT date_crawled, language, count(*) AS n_rows, true AS files_ok, true AS enough_files
 FROM disp WHERE disposition = 'extracted' GROUP BY date_crawled, language""")
 def q_max_records_per_file(spark, sf):
     from ..sources.lake import read_lake, write_lake
@@ -514,7 +549,7 @@ def q_max_records_per_file(spark, sf):
     return per_file.groupBy("date_crawled", "language").agg(
         F.sum("count").alias("n_rows"),
         F.bool_and(F.col("count") <= 3).alias("files_ok"),
-        F.ceil(F.sum("count") / 3.0).cast("long").alias("min_files"))
+        (F.count("f") >= F.ceil(F.sum("count") / 3.0)).alias("enough_files"))
 
 
 @query("lake_append_twice", f"""{DISP}

@@ -42,7 +42,7 @@ def decode_numeric(x: str) -> str:
     hx = f"regexp_extract(p, {lit(T.NUM_HEX_RX)}, 1)"
     n = (f"(CASE WHEN {dec} <> '' THEN CAST({dec} AS BIGINT) "
          f"WHEN {hx} <> '' THEN CAST('0x' || {hx} AS BIGINT) END)")
-    used = f"(CASE WHEN {dec} <> '' THEN length({dec}) + 1 ELSE length({hx}) + 2 END)"
+    used = "strpos(p, ';')"
     return (f"array_to_string(list_transform(string_split({x}, '&#'), lambda p, i: "
             f"CASE WHEN i = 1 THEN p "
             f"WHEN {n} BETWEEN 1 AND 1114111 AND NOT ({n} BETWEEN 55296 AND 57343) "
@@ -220,10 +220,14 @@ GOOD = "(b.tag <> 'h1' AND b.n_stop > 2 AND b.link_words * b.n_links < b.n_words
 
 
 def best_section(blocks: str = "blocks") -> str:
-    good = f"list_filter({blocks}, lambda b: {GOOD})"
-    secs = f"list_distinct(list_transform({good}, lambda b: b.section))"
+    # 5 more for a block with over 5 stop words in one of the three blocks before it
+    marked = (f"list_transform({blocks}, lambda b, i: {{'good': {GOOD}, 'section': b.section, 'score': b.n_stop + "
+              f"CASE WHEN coalesce(list_max(list_transform({blocks}[greatest(i - 3, 1):i - 1], lambda p: p.n_stop)), 0) > 5 "
+              f"THEN 5 ELSE 0 END}})")
+    good = f"list_filter({marked}, lambda m: m.good)"
+    secs = f"list_distinct(list_transform({good}, lambda m: m.section))"
     scored = (f"list_transform({secs}, lambda s: {{'score': list_sum(list_transform("
-              f"list_filter({good}, lambda b: b.section = s), lambda b: b.n_stop)), 'neg': -s}})")
+              f"list_filter({good}, lambda m: m.section = s), lambda m: m.score)), 'neg': -s}})")
     return f"(-(list_max({scored}).neg))"
 
 

@@ -44,9 +44,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 
-    Uses ``spark.checkpoint.dir`` as configured for the cluster. Only when it
-    is unset (local runs, tests) a directory under the system temp folder is
-    chosen and registered.
+    Uses ``spark.checkpoint.dir`` as configured for the cluster. Only where it
+    is unset and everything runs on this machine (local runs, tests) a
+    directory under the system temp folder is chosen and registered; on a
+    cluster that is an error, as executors would not see each other's files.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -54,11 +55,40 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that driver and executors share.")
         d = tempfile.mkdtemp(prefix="warcsift-ckpt-")
     sc.setCheckpointDir(d)
     return (sc.getCheckpointDir() or d).rstrip("/")
 
 
+def delete_path(spark: SparkSession, url: str) -> None:
+    """Delete a folder through Hadoop, wherever it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(url)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once a session), for clusters on which
+    it is not installed: data sources and functions that run there import it."""
+    import os
+    import zipfile
+
+    key = "warcsift.shipped"
+    if spark.conf.get(key, None):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="warcsift-ship-"), "warcsift.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("warcsift", os.path.relpath(full, here)))
+    spark.sparkContext.addPyFile(target)
+    spark.conf.set(key, "true")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory below the shared checkpoint folder."""
     root = checkpoint_root(spark)

@@ -3,8 +3,8 @@
 Each output file is one group of the fixture decoration (20 records, fixed by
 ``page_id div 20``), written by one task with ``applyInPandas``; nothing goes
 through the driver. Formats: WARC with one gzip member per record (default)
-or plain, optionally with chunked / gzip / deflate HTTP bodies chosen by
-``rec_idx % 5`` (1, 2, 3), or ARC v1 (response records only, after a
+or plain, optionally with HTTP bodies coded (or mislabelled) by a rule chosen
+by ``rec_idx % 10``, see ``encode_body``, or ARC v1 (response records only, after a
 ``filedesc://`` record).
 """
 
@@ -30,7 +30,9 @@ def http_bytes(first_line: str, headers: list[tuple[str, str]], body: bytes) ->
 
 
 def encode_body(body: bytes, rule: int) -> tuple[bytes, list[tuple[str, str]]]:
-    """Body coding by rule: 1 chunked, 2 gzip, 3 deflate, else identity."""
+    """Body coding by rule: 1 chunked, 2 gzip, 3 deflate, 4 plain but labelled gzip,
+    5 plain but labelled chunked, 6 two gzip members, 7 a coding list with identity,
+    8 gzip cut before its checksum, 9 gzip inside deflate, else identity."""
     if rule == 1:
         parts, step = [], 1000
         for i in range(0, len(body), step):
@@ -41,7 +43,29 @@ def encode_body(body: bytes, rule: int) -> tuple[bytes, list[tuple[str, str]]]:
         return gzip.compress(body, mtime=0), [("Content-Encoding", "gzip")]
     if rule == 3:
         return zlib.compress(body), [("Content-Encoding", "deflate")]
-    return body, []
+    half, packed = len(body) // 2, gzip.compress(body, mtime=0)
+    return {
+        4: (body, [("Content-Encoding", "gzip")]),
+        5: (body, [("Transfer-Encoding", "chunked")]),
+        6: (gzip.compress(body[:half], mtime=0) + gzip.compress(body[half:], mtime=0), [("Content-Encoding", "gzip")]),
+        7: (packed, [("Content-Encoding", "gzip, identity")]),
+        8: (packed[:-8], [("Content-Encoding", "x-gzip")]),
+        9: (zlib.compress(packed), [("Content-Encoding", "gzip, deflate")]),
+    }.get(rule, (body, []))
+
+
+def damaged(members: list[bytes], file_no: int) -> list[bytes]:
+    """Gzip members with damage by file: 1 of 4 has bytes flipped in the middle
+    record, 2 of 4 is cut within the last record; 3 of 4 is left to be missing."""
+    out = list(members)
+    if file_no % 4 == 1:
+        m = bytearray(out[len(out) // 2])
+        for i in range(len(m) // 2, len(m) // 2 + 4):
+            m[i] ^= 0xFF
+        out[len(out) // 2] = bytes(m)
+    elif file_no % 4 == 2:
+        out[-1] = out[-1][:len(out[-1]) // 2]
+    return out
 
 
 def _pairs(h) -> list[tuple[str, str]] | None:
@@ -59,7 +83,7 @@ def _record_bytes(r, encodings: bool) -> bytes:
         return warc_bytes(rh + [("Content-Type", "application/warc-fields")], payload)
     extra: list[tuple[str, str]] = []
     if encodings and rec_type == "response":
-        payload, extra = encode_body(payload, int(r["rec_idx"]) % 5)
+        payload, extra = encode_body(payload, int(r["rec_idx"]) % 10)
     if rec_type == "request":
         block = http_bytes("GET / HTTP/1.1", hh + extra, payload)
     else:
@@ -85,10 +109,11 @@ def _arc_bytes(pdf) -> bytes:
 
 
 def write_fixture(responses: DataFrame, root: str, fmt: str = "warc.gz",
-                  encodings: bool = False) -> DataFrame:
+                  encodings: bool = False, damage: bool = False) -> DataFrame:
     """Write one archive file per ``warc_path`` below ``root``; returns a report.
 
     ``fmt``: ``warc.gz`` (gzip member per record), ``warc`` (plain) or ``arc``.
+    ``damage`` breaks some files (see ``damaged``) and does not write others.
     The call is lazy like any DataFrame; collect or count the report to run it.
     """
     root = root.rstrip("/")
@@ -109,7 +134,11 @@ def write_fixture(responses: DataFrame, root: str, fmt: str = "warc.gz",
                 rel = rel.replace(".warc.gz", ".warc")
                 data = b"".join(parts)
             else:
-                data = b"".join(gzip.compress(p, mtime=0) for p in parts)
+                members = [gzip.compress(p, mtime=0) for p in parts]
+                file_no = int(rel.rsplit("-", 1)[1].split(".")[0])
+                data = b"".join(damaged(members, file_no) if damage else members)
+                if damage and file_no % 4 == 3:
+                    return pd.DataFrame({"warc_path": [f"{root}/{rel}"], "n_records": [0], "n_bytes": [0]})
         uri = f"{root}/{rel}"
         fs, path = fs_and_path(uri)
         fs.create_dir(path.rsplit("/", 1)[0], recursive=True)

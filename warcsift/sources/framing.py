@@ -12,24 +12,48 @@ back with bounded memory (one record at a time), so any file size works.
   record becomes ``warcinfo``, all others ``response`` with WARC headers
   synthesised from the ARC line;
 * HTTP records (``application/http``): status or request line, headers, then
-  the body, de-chunked and decoded for ``gzip``/``deflate``; anything else
-  leaves ``payload_error`` set and the raw body.
+  the body, de-chunked and decoded for ``gzip``/``deflate`` the way crawls need
+  it: a coding list is undone from right to left, all gzip members are read, a
+  body cut short keeps what could be decoded, and a body that is not in the
+  declared coding (crawlers often store it decoded) is passed through;
+* damage (corrupt or cut gzip, bad headers, a short block) is yielded as a
+  :class:`Damage` in place of the record, and reading goes on at the next
+  gzip member (or plain line) that starts a record.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass, field
 
+CHUNK = 1 << 16   # small: what follows a gzip member in its chunk is copied once more
+GZIP_START = b"\x1f\x8b\x08"
+WARC_START = re.compile(rb"WARC/[0-9.]+\r?\n")
+ARC_START = re.compile(rb"[a-z][a-z0-9+.-]*:[^ \r\n]* [^ \r\n]+ [0-9]{14} [^\r\n]+ [0-9]+\r?\n")
+LONGEST_START = 1 << 13
 
-class TruncatedError(ValueError):
+
+class DamagedError(ValueError):
+    """Bytes that cannot be read as a record."""
+
+
+class TruncatedError(DamagedError):
     pass
 
 
+@dataclass
+class Damage:
+    """A gap in a file: where reading stopped, and why."""
+
+    offset: int
+    message: str
+
+
 class ByteStream:
     """Forward-only reader over plain or multi-member gzip bytes."""
 
-    def __init__(self, raw, gz: bool, chunk: int = 1 << 20):
+    def __init__(self, raw, gz: bool, chunk: int = CHUNK):
         self.raw, self.gz, self.chunk = raw, gz, chunk
         self.buf = bytearray()
         self.pos = 0              # read position in buf
@@ -39,6 +63,7 @@ class ByteStream:
         self.eof = False
         self._d = None
         self._pending = b""       # raw bytes not yet fed to a decompressor
+        self._fed = b""           # the raw bytes fed last
 
     # -- filling
     def _fill(self) -> bool:
@@ -58,12 +83,16 @@ class ByteStream:
                 data = self._pending or self.raw.read(self.chunk) or b""
                 self._pending = b""
                 if not data:
-                    if not self._d.eof:
-                        raise TruncatedError("truncated gzip member")
                     self._d = None
                     self.eof = True
-                    return False
-                out = self._d.decompress(data)
+                    raise TruncatedError("truncated gzip member")
+                self._fed = data
+                try:
+                    out = self._d.decompress(data)
+                except zlib.error as e:
+                    self._d = None
+                    raise DamagedError(f"corrupt gzip member: {e}") from e
+                self._fed = b""
                 used = len(data) - len(self._d.unused_data)
                 self.raw_pos += used
                 if self._d.eof:
@@ -89,6 +118,68 @@ class ByteStream:
             self.base += self.pos
             self.pos = 0
 
+    def settle(self) -> None:
+        """Read on to the end of a member of which only blank lines are left, so
+        that its checksum is tested before its record is given out."""
+        while self.gz and self._d is not None and not self.eof and not bytes(self.buf[self.pos:]).strip(b"\r\n"):
+            self._fill()
+
+    def resync(self, start: re.Pattern) -> bool:
+        """Drop what is buffered and go on at the next record start; False at the end."""
+        return self._next_member(start) if self.gz else self._next_line(start)
+
+    def _next_member(self, start: re.Pattern) -> bool:
+        data = self._fed[1:] + self._pending
+        at = self.raw_pos + len(self._fed) - len(self._fed[1:])   # raw offset of data[0]
+        self._fed = self._pending = b""
+        self._d = None
+        while True:
+            i = data.find(GZIP_START)
+            if i >= 0 and len(data) - i < LONGEST_START:
+                more = self.raw.read(self.chunk) or b""
+                data += more
+                if not more:
+                    self.eof = True
+            if i < 0:
+                keep = len(GZIP_START) - 1
+                more = b"" if self.eof else self.raw.read(self.chunk) or b""
+                if not more:
+                    self.eof = True
+                    self._drop(at + len(data))
+                    return False
+                at += max(0, len(data) - keep)
+                data = data[-keep:] + more
+                continue
+            try:
+                head = zlib.decompressobj(31).decompress(data[i:i + LONGEST_START], LONGEST_START)
+            except zlib.error:
+                head = b""
+            if start.match(head):
+                self._drop(at + i)
+                self._pending = data[i:]
+                self.eof = False
+                return True
+            at, data = at + i + 1, data[i + 1:]
+
+    def _next_line(self, start: re.Pattern) -> bool:
+        while True:
+            i = self.buf.find(b"\n", self.pos)
+            if i < 0:
+                self.pos = len(self.buf)
+                self._compact()
+                if not self._fill():
+                    return False
+                continue
+            self.pos = i + 1
+            if start.match(self.peek(LONGEST_START)):
+                return True
+
+    def _drop(self, raw_pos: int) -> None:
+        self.base += len(self.buf)
+        self.buf.clear()
+        self.pos, self.raw_pos = 0, raw_pos
+        self.members.clear()
+
     def tell(self) -> int:
         return self.base + self.pos
 
@@ -171,40 +262,64 @@ def _parse_header_lines(lines: list[bytes]) -> list[tuple[str, str]]:
 
 
 def _dechunk(body: bytes) -> bytes:
+    """Chunks joined; what is not chunked is passed through, a cut body kept so far."""
     out, i = bytearray(), 0
     while True:
-        j = body.index(b"\r\n", i)
-        size = int(body[i:j].split(b";")[0].strip() or b"0", 16)
-        i = j + 2
-        if size == 0:
+        j = body.find(b"\r\n", i)
+        size = body[i:j].split(b";")[0].strip() if j >= 0 else b""
+        if not re.fullmatch(rb"[0-9a-fA-F]{1,15}", size):
+            return bytes(out) if i else body
+        n = int(size, 16)
+        if n == 0:
+            return bytes(out)
+        out += body[j + 2:j + 2 + n]
+        i = j + 2 + n + 2
+        if i >= len(body):
+            return bytes(out)
+
+
+def _inflate(body: bytes, wbits: int) -> bytes | None:
+    """All members of a compressed body; None if not even the first bytes fit."""
+    out, data = bytearray(), body
+    while data:
+        d = zlib.decompressobj(wbits)
+        part = bytearray()
+        try:
+            for i in range(0, len(data), CHUNK):
+                part += d.decompress(data[i:i + CHUNK])
+                if d.eof:
+                    break
+        except zlib.error:
+            # after complete members: trailing bytes that are no member
+            return bytes(out + part) if out or part else None
+        out += part
+        if not d.eof:
             return bytes(out)
-        if i + size > len(body):
-            raise ValueError("truncated chunk")
-        out += body[i:i + size]
-        i += size + 2
+        rest = d.unused_data + data[i + CHUNK:]
+        data = rest if wbits == 31 and rest.startswith(GZIP_START[:2]) else b""
+    return bytes(out)
 
 
 def _decode_body(body: bytes, headers) -> tuple[bytes, str | None]:
     te = (_get(headers, "Transfer-Encoding") or "").lower()
-    ce = (_get(headers, "Content-Encoding") or "").strip().lower()
-    try:
-        if "chunked" in te:
-            body = _dechunk(body)
-    except (ValueError, IndexError) as e:
-        return body, f"bad chunked body: {e}"
-    if ce in ("", "identity"):
-        return body, None
-    try:
-        if ce in ("gzip", "x-gzip"):
-            return zlib.decompress(body, 47), None
-        if ce == "deflate":
-            try:
-                return zlib.decompress(body), None
-            except zlib.error:
-                return zlib.decompress(body, -15), None
-    except zlib.error as e:
-        return body, f"bad {ce} body: {e}"
-    return body, f"unsupported content-encoding {ce}"
+    ce = (_get(headers, "Content-Encoding") or "").lower()
+    if "chunked" in te:
+        body = _dechunk(body)
+    for coding in reversed([c.strip() for c in ce.split(",")]):
+        if coding in ("gzip", "x-gzip"):
+            found = _inflate(body, 31)
+        elif coding == "deflate":
+            found = _inflate(body, 15)
+            if found is None:
+                found = _inflate(body, -15)
+        elif coding in ("", "identity"):
+            continue
+        else:
+            return body, f"unsupported content-encoding {coding}"
+        if found is None:  # stored in another coding than declared
+            break
+        body = found
+    return body, None
 
 
 def _split_http(block: bytes, is_response: bool):
@@ -231,14 +346,14 @@ def _split_http(block: bytes, is_response: bool):
 HTTP_TYPES = ("response", "request", "revisit")
 
 
-def _finish_http(rec: Record, block: bytes, want_payload: bool):
+def _finish_http(rec: Record, block: bytes, wants):
     ct = (_get(rec.rec_headers, "Content-Type") or "").lower()
     if rec.rec_type in HTTP_TYPES and ct.startswith("application/http"):
         status, hdrs, body = _split_http(block, rec.rec_type != "request")
         rec.http_status, rec.http_headers = status, hdrs
-        if want_payload:
+        if wants(rec):
             rec.payload, rec.payload_error = _decode_body(body, hdrs)
-    elif want_payload:
+    elif wants(rec):
         rec.payload = block
 
 
@@ -248,64 +363,81 @@ def _arc_date(d: str) -> str | None:
     return None
 
 
-def iter_records(stream: ByteStream, arc: bool | None = None, want_payload: bool = True):
-    """Yield :class:`Record` objects in file order."""
+def iter_records(stream: ByteStream, arc: bool | None = None, wants=lambda rec: True):
+    """Yield a :class:`Record` or :class:`Damage` for each record, in file order.
+
+    ``wants(record)`` tells, from its headers, whether its payload is read.
+    """
     while True:
-        # skip blank lines between records
-        while True:
-            nxt = stream.peek(2)
-            if nxt[:1] in (b"\n",) or nxt == b"\r\n":
+        offset = stream.raw_pos
+        try:
+            # blank lines between records
+            while stream.peek(2) == b"\r\n" or stream.peek(1) == b"\n":
                 stream.readline()
-                continue
-            break
-        offset = stream.raw_offset()
-        first = stream.readline()
-        if not first:
-            return
-        text = first.decode("utf-8", "replace").strip()
-        is_arc = arc if arc is not None else not text.startswith("WARC/")
-        if not is_arc:
-            lines = []
-            while True:
-                line = stream.readline()
-                if not line:
-                    raise TruncatedError("truncated record headers")
-                if line in (b"\r\n", b"\n"):
-                    break
-                lines.append(line)
-            hdrs = _parse_header_lines(lines)
-            length = int(_get(hdrs, "Content-Length") or 0)
-            block = stream.read(length)
-            if len(block) < length:
-                raise TruncatedError("truncated record block")
-            rec = Record(_get(hdrs, "WARC-Type"), offset, hdrs)
-            _finish_http(rec, block, want_payload)
-            yield rec
+            offset = stream.raw_offset()
+            first = stream.readline()
+            if not first:
+                return
+            text = first.decode("utf-8", "replace").strip()
+            is_arc = arc if arc is not None else not text.startswith("WARC/")
+            read = _arc_record if is_arc else _warc_record
+            rec = read(stream, text, offset, wants)
+            stream.settle()
+        except ValueError as e:
+            yield Damage(offset, str(e))
+            if not stream.resync(ARC_START if arc else WARC_START):
+                return
         else:
-            parts = text.split(" ")
-            if len(parts) < 5 or not parts[-1].isdigit():
-                raise TruncatedError(f"bad ARC header line: {text[:80]}")
-            url, ip, date, mime, length = (parts[0], parts[1], parts[2],
-                                           " ".join(parts[3:-1]), int(parts[-1]))
-            block = stream.read(length)
-            if len(block) < length:
-                raise TruncatedError("truncated ARC record")
-            if url.startswith("filedesc://"):
-                hdrs = [("WARC-Type", "warcinfo"), ("WARC-Date", _arc_date(date) or ""),
-                        ("Content-Type", "text/plain"), ("Content-Length", str(length))]
-                rec = Record("warcinfo", offset, hdrs)
-                if want_payload:
-                    rec.payload = block
-            else:
-                hdrs = [("WARC-Type", "response"), ("WARC-Target-URI", url),
-                        ("WARC-Date", _arc_date(date) or ""), ("WARC-IP-Address", ip),
-                        ("Content-Type", "application/http; msgtype=response"),
-                        ("Content-Length", str(length))]
-                rec = Record("response", offset, hdrs)
-                if block[:5].upper() == b"HTTP/":
-                    _finish_http(rec, block, want_payload)
-                else:
-                    rec.http_headers = [("Content-Type", mime)]
-                    if want_payload:
-                        rec.payload = block
             yield rec
+
+
+def _block(stream: ByteStream, length: str | None) -> bytes:
+    if not re.fullmatch("[0-9]+", length or "0"):
+        raise DamagedError(f"bad record length: {length[:40]}")
+    n = int(length or 0)
+    block = stream.read(n)
+    if len(block) < n:
+        raise TruncatedError("truncated record block")
+    return block
+
+
+def _warc_record(stream: ByteStream, text: str, offset: int, wants) -> Record:
+    lines = []
+    while True:
+        line = stream.readline()
+        if not line:
+            raise TruncatedError("truncated record headers")
+        if line in (b"\r\n", b"\n"):
+            break
+        lines.append(line)
+    hdrs = _parse_header_lines(lines)
+    block = _block(stream, _get(hdrs, "Content-Length"))
+    rec = Record(_get(hdrs, "WARC-Type"), offset, hdrs)
+    _finish_http(rec, block, wants)
+    return rec
+
+
+def _arc_record(stream: ByteStream, text: str, offset: int, wants) -> Record:
+    parts = text.split(" ")
+    if len(parts) < 5 or not parts[-1].isdigit():
+        raise DamagedError(f"bad record start: {text[:80]}")
+    url, ip, date, mime, length = (parts[0], parts[1], parts[2], " ".join(parts[3:-1]), parts[-1])
+    block = _block(stream, length)
+    if url.startswith("filedesc://"):
+        rec = Record("warcinfo", offset, [
+            ("WARC-Type", "warcinfo"), ("WARC-Date", _arc_date(date) or ""),
+            ("Content-Type", "text/plain"), ("Content-Length", length)])
+        if wants(rec):
+            rec.payload = block
+        return rec
+    rec = Record("response", offset, [
+        ("WARC-Type", "response"), ("WARC-Target-URI", url), ("WARC-Date", _arc_date(date) or ""),
+        ("WARC-IP-Address", ip), ("Content-Type", "application/http; msgtype=response"),
+        ("Content-Length", length)])
+    if block[:5].upper() == b"HTTP/":
+        _finish_http(rec, block, wants)
+    else:
+        rec.http_headers = [("Content-Type", mime)]
+        if wants(rec):
+            rec.payload = block
+    return rec

@@ -88,6 +88,15 @@ def warc_index(spark: SparkSession, root: str, start: datetime, end: datetime,
                prefix: str = P.DEFAULT_PREFIX) -> DataFrame:
     """Index rows of the files crawled in ``[start, end)``."""
     lines = read_listings(spark, [listing_path(root, m, layout) for m in months(start, end)])
-    idx = parse_paths(lines, domain, prefix)
-    return idx.where(P.in_window(F.col("crawl_ts"), start, end)).select(
+    return prune(parse_paths(lines, domain, prefix), start, end).select(
         *[F.col(f.name).cast(f.dataType) for f in WARC_INDEX.fields])
+
+
+def prune(index: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Files crawled in ``[start, end)``."""
+    return index.where(P.in_window(F.col("crawl_ts"), start, end))
+
+
+def warc_count(index: DataFrame) -> DataFrame:
+    """(n_warcs): how many files an index names."""
+    return index.agg(F.count(F.lit(1)).alias("n_warcs"))

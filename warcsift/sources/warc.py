@@ -2,8 +2,13 @@
 
 One input partition per file (a compressed archive is not splittable), so a
 day of 9-20 files or a month of ~500 spreads over as many tasks; each task
-streams its file and yields Arrow batches of ``batch_size`` records, so
-memory is bounded by a batch, never by a file.
+streams its file and yields Arrow batches of ``batch_size`` records or about
+``batch_bytes`` bytes, so memory is bounded by a batch (and one record), never
+by a file.
+
+Files are opened through pyarrow, not through Hadoop: credentials and
+endpoints come from the environment of the executors, not from
+``spark.hadoop.fs.*`` settings.
 
 Options:
 
@@ -11,13 +16,21 @@ Options:
                             or comma-separated list
 ``paths``                   JSON list of files (e.g. from ``warc_index``)
 ``limit``                   read at most this many records per file
-``payload``                 ``false`` skips bodies (header-only jobs)
+``payload``                 ``false`` skips bodies (header-only jobs); ``html``
+                            reads them only for responses whose headers may
+                            make an article: UTF-8 HTML, and a URL that
+                            matches ``url_regex`` where given. Every record
+                            is still emitted.
 ``arc``                     ``true``/``false`` forces the ARC v1 reader
                             (default: by file name / first line)
-``mode``                    ``PERMISSIVE`` (default): a broken file yields the
-                            records before the damage plus one
-                            ``rec_type='_error'`` row; ``FAILFAST`` raises
+``mode``                    ``PERMISSIVE`` (default): damage yields one
+                            ``rec_type='_error'`` row and reading goes on at
+                            the next record that can be found; a missing or
+                            unreadable file yields one such row; ``FAILFAST``
+                            raises in all these cases
 ``batch_size``              records per Arrow batch (default 256)
+``batch_bytes``             payload bytes after which a batch is given out
+                            (default 32 MiB)
 
 Pushed filters (when the session enables Python filter pushdown;
 ``read_warc`` passes that on as option ``pushdown``): ``rec_type = / IN`` and
@@ -36,6 +49,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, In,
 from ..schemas import RAW_RECORDS
 
 NAME = "warc"
+ERROR_TYPE = "_error"   # rows that tell of damage; never counted as records
 # A directory contributes only its archive files (listings and markers next
 # to them are skipped); explicit files and globs are taken as given.
 ARCHIVE_SUFFIXES = (".warc", ".warc.gz", ".arc", ".arc.gz")
@@ -43,9 +57,9 @@ _GLOB = re.compile(r"[*?\[]")
 
 
 class FilePartition(InputPartition):
-    def __init__(self, path: str, size: int | None):
+    def __init__(self, path: str, size: int | None, missing: bool = False):
         super().__init__(path)
-        self.path, self.size = path, size
+        self.path, self.size, self.missing = path, size, missing
 
 
 def _fs_and_path(uri: str):
@@ -86,16 +100,16 @@ def list_files(spec: str) -> list[tuple[str, int | None]]:
     return sorted(set(out))
 
 
-def stat_files(paths: list[str]) -> list[tuple[str, int | None]]:
-    """(uri, size) of explicit files: one metadata call per filesystem, not per
-    file (globs and directories in the list are expanded as usual)."""
+def stat_files(paths: list[str]) -> list[tuple[str, int | None, bool]]:
+    """(uri, size, missing) of explicit files: one metadata call per filesystem, not
+    per file (globs and directories in the list are expanded as usual)."""
     from pyarrow import fs as pafs
-    out: list[tuple[str, int | None]] = []
+    out: list[tuple[str, int | None, bool]] = []
     plain: dict[tuple[str, str], list[tuple[str, str]]] = {}
     for uri in paths:
         fs, p = _fs_and_path(uri)
         if _GLOB.search(p):
-            out.extend(list_files(uri))
+            out.extend((*f, False) for f in list_files(uri))
             continue
         pre = _scheme(uri)
         bucket = uri[len(pre):].split("/", 1)[0] if pre else ""
@@ -105,10 +119,12 @@ def stat_files(paths: list[str]) -> list[tuple[str, int | None]]:
         infos = fs.get_file_info([p for _, p in items])
         for (uri, _), info in zip(items, infos):
             if info.type == pafs.FileType.File:
-                out.append((pre + info.path, info.size))
+                out.append((pre + info.path, info.size, False))
             elif info.type == pafs.FileType.Directory:
-                out.extend(list_files(uri))
-    return sorted(set(out))
+                out.extend((*f, False) for f in list_files(uri))
+            else:
+                out.append((uri, None, True))
+    return sorted(set(out), key=lambda f: f[0])
 
 
 def _arrow_schema():
@@ -139,82 +155,106 @@ class WarcReader(DataSourceReader):
         if "paths" in self.options:
             files = stat_files(json.loads(self.options["paths"]))
         else:
-            files = list_files(self.options.get("path", ""))
-        return [FilePartition(p, s) for p, s in files]
+            files = stat_files([p.strip() for p in self.options.get("path", "").split(",") if p.strip()])
+        return [FilePartition(*f) for f in files]
 
     # ---- execution (executors)
     def read(self, partition: FilePartition):
         import pyarrow as pa
-        from .framing import ByteStream, TruncatedError, iter_records
+        from .framing import ByteStream, Damage, iter_records
 
         opts = self.options
         limit = int(opts["limit"]) if opts.get("limit") not in (None, "") else None
         if self.max_idx is not None:
             limit = self.max_idx if limit is None else min(limit, self.max_idx)
-        want_payload = str(opts.get("payload", "true")).lower() != "false"
         arc_opt = opts.get("arc")
         path = partition.path
-        low = path.lower()
         arc = (arc_opt.lower() == "true") if arc_opt else (
-            True if low.endswith((".arc", ".arc.gz")) else None)
+            True if path.lower().endswith((".arc", ".arc.gz")) else None)
         failfast = str(opts.get("mode", "PERMISSIVE")).upper() == "FAILFAST"
-        batch = int(opts.get("batch_size", 256))
+        batch, batch_bytes = int(opts.get("batch_size", 256)), int(opts.get("batch_bytes", 32 << 20))
         schema = _arrow_schema()
         size = partition.size
         rows: list[dict] = []
 
-        def flush():
-            b = pa.RecordBatch.from_pylist(rows, schema=schema)
-            rows.clear()
-            return b
+        def row(idx, offset, rec_type, **values):
+            return dict.fromkeys(schema.names) | {
+                "warc_path": path, "rec_idx": idx, "rec_offset": offset, "file_size": size,
+                "rec_type": rec_type, **values}
+
+        def error(idx, offset, message):
+            if failfast:
+                raise OSError(f"{path}: {message}")
+            return row(idx, offset, ERROR_TYPE, payload_error=message)
+
+        def records():
+            if partition.missing:
+                yield Damage(0, "missing file")
+                return
+            try:
+                fs, p = _fs_and_path(path)
+                with fs.open_input_stream(p, compression=None) as raw:
+                    head = raw.read(2)
+                    stream = ByteStream(_Rejoined(head, raw), head == b"\x1f\x8b")
+                    yield from iter_records(stream, arc, _wants(opts))
+            except OSError as e:
+                yield Damage(0, f"{type(e).__name__}: {e}")
 
         if limit is not None and limit <= 0:
             return
-        fs, p = _fs_and_path(path)
-        with fs.open_input_stream(p, compression=None) as raw:
-            head = raw.read(2)
-            gz = head == b"\x1f\x8b"
-
-            class _Cat:
-                def __init__(self, first, rest):
-                    self.first, self.rest = first, rest
-
-                def read(self, n):
-                    if self.first:
-                        out, self.first = self.first, b""
-                        return out + self.rest.read(max(n - len(out), 0))
-                    return self.rest.read(n)
-
-            stream = ByteStream(_Cat(head, raw), gz)
-            idx = 0
-            try:
-                for rec in iter_records(stream, arc, want_payload):
-                    if (self.rec_types is None or rec.rec_type in self.rec_types) and not (
-                            self.type_not_null and rec.rec_type is None):
-                        rows.append({
-                            "warc_path": path, "rec_idx": idx, "rec_offset": rec.offset,
-                            "file_size": size, "rec_type": rec.rec_type,
-                            "rec_headers": _hdrs(rec.rec_headers),
-                            "http_status": rec.http_status,
-                            "http_headers": _hdrs(rec.http_headers),
-                            "payload": rec.payload, "payload_error": rec.payload_error})
-                        if len(rows) >= batch:
-                            yield flush()
-                    idx += 1
-                    if limit is not None and idx >= limit:
-                        break
-            except (TruncatedError, ValueError, OSError, EOFError) as e:
-                if failfast:
-                    raise
-                if self.rec_types is None or "_error" in self.rec_types:
-                    rows.append({"warc_path": path, "rec_idx": idx,
-                                 "rec_offset": stream.raw_pos, "file_size": size,
-                                 "rec_type": "_error", "rec_headers": None,
-                                 "http_status": None, "http_headers": None,
-                                 "payload": None,
-                                 "payload_error": f"{type(e).__name__}: {e}"})
+        idx = held = 0
+        for rec in records():
+            if isinstance(rec, Damage):
+                if failfast or self.rec_types is None or ERROR_TYPE in self.rec_types:
+                    rows.append(error(idx, rec.offset, rec.message))
+                continue
+            if (self.rec_types is None or rec.rec_type in self.rec_types) and not (
+                    self.type_not_null and rec.rec_type is None):
+                rows.append(row(
+                    idx, rec.offset, rec.rec_type, rec_headers=_hdrs(rec.rec_headers),
+                    http_status=rec.http_status, http_headers=_hdrs(rec.http_headers),
+                    payload=rec.payload, payload_error=rec.payload_error))
+                held += len(rec.payload or b"")
+                if len(rows) >= batch or held >= batch_bytes:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    rows, held = [], 0
+            idx += 1
+            if limit is not None and idx >= limit:
+                break
         if rows:
-            yield flush()
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+class _Rejoined:
+    """A stream with its first bytes, already read, put back."""
+
+    def __init__(self, first: bytes, rest):
+        self.first, self.rest = first, rest
+
+    def read(self, n: int) -> bytes:
+        if self.first:
+            out, self.first = self.first, b""
+            return out + self.rest.read(max(n - len(out), 0))
+        return self.rest.read(n)
+
+
+def _wants(opts: dict):
+    """From a record's headers: is its payload read?"""
+    from .framing import _get
+
+    payload = str(opts.get("payload", "true")).lower()
+    if payload != "html":
+        return lambda rec: payload != "false"
+    url_rx = re.compile(opts["url_regex"]) if opts.get("url_regex") else None
+
+    def html(rec) -> bool:
+        url, kind = _get(rec.rec_headers, "WARC-Target-URI"), _get(rec.http_headers, "Content-Type")
+        # wider than the record test (which decides): no valid record is left out
+        return (rec.rec_type == "response" and url is not None and kind is not None
+                and kind.lower().startswith("text/html;") and "utf-8" in kind.lower()
+                and (url_rx is None or url_rx.match(url) is not None))
+
+    return html
 
 
 class WarcPushdownReader(WarcReader):
@@ -278,6 +318,6 @@ def read_warc(spark, paths, **options):
 
 
 def scan_errors(records):
-    """(warc_path, message) of files that broke while reading."""
-    return records.where("rec_type = '_error'").select("warc_path",
-                                                       records["payload_error"].alias("message"))
+    """(warc_path, rec_offset, message) of every gap met while reading."""
+    return records.where(records["rec_type"] == ERROR_TYPE).select(
+        "warc_path", "rec_offset", records["payload_error"].alias("message"))
