@@ -14,7 +14,7 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .. import contracts as K
 from ..functions import paths as P
@@ -69,9 +69,13 @@ def _scan(spark: SparkSession, files, patterns: list[str], limit: int | None, re
                      url_regex=globs_to_python_regex(patterns) or "(?!)")
 
 
-def _totals(disp: DataFrame, metrics: dict) -> dict:
-    """Observed run counters; from the stored rows if the job had no metrics."""
-    if not set(NO_COUNTERS) <= set(metrics):
+def _totals(disp: DataFrame, patterns: list[str], obs: Observation | None) -> dict:
+    """Observed run counters. Where no URL can match, Spark plans a write of
+    nothing without the observed node: then they come from the stored rows, as
+    they do without a write."""
+    if obs is not None and globs_to_python_regex(patterns) is not None:
+        metrics = obs.get
+    else:
         metrics = counters_total(disp).collect()[0].asDict()
     return {k: int(metrics[k] or 0) for k in NO_COUNTERS}
 
@@ -135,7 +139,7 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     observed, obs = observe_counters(staged.disp)
     write_lake(articles(observed), out_url, keys, max_records, mode)
     progress = running_counters(staged.disp, report_every) if report_every else None
-    return RunResult(_totals(staged.disp, obs.get), counters_per_warc(staged.disp), files, staged.errors,
+    return RunResult(_totals(staged.disp, patterns, obs), counters_per_warc(staged.disp), files, staged.errors,
                      len(files), progress, staged, own_profile)
 
 
@@ -160,13 +164,12 @@ def extract_warc(spark: SparkSession, warc_url: str, patterns: list[str],
     staged = extract(_scan(spark, warc_url, patterns, limit, read_mode), patterns, profile, prefix, scratch=scratch)
     if date_crawled is not None:
         staged.disp = staged.disp.withColumn("date_crawled", F.lit(date_crawled.strftime("%Y-%m-%d")))
-    metrics = {}
+    obs = None
     if out_url is not None:
         observed, obs = observe_counters(staged.disp)
         write_lake(articles(observed), out_url, keys, max_records)
-        metrics = obs.get
     progress = running_counters(staged.disp, report_every) if report_every else None
-    return RunResult(_totals(staged.disp, metrics), counters_per_warc(staged.disp), [warc_url], staged.errors,
+    return RunResult(_totals(staged.disp, patterns, obs), counters_per_warc(staged.disp), [warc_url], staged.errors,
                      1, progress, staged)
 
 
