@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, most_frequent
 
 CLUSTERED, CLASSES, SWEEPS, KNOWN, PULL = 600, 32, 5, 200_000, 10.0
 END = b"\n"  # no word can be this
@@ -183,7 +183,7 @@ def train(texts: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES,
     counts = materialise(word_counts(texts), "lm-counts")
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     words = counts.filter(F.col("word") != F.lit(END))
-    top = words.orderBy(F.desc("n"), "word").limit(known).collect()
+    top = sorted(most_frequent(words, known).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
     spelled, n_of = [bytes(r["word"]) for r in top], np.array([r["n"] for r in top], dtype=np.int64)
     frequent = spelled[:clustered]
     bigrams = bigram_counts(texts, frequent)

@@ -61,6 +61,22 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The rows of ``counts`` (a written table with a count ``n`` > 0) of the largest
+    counts, at most ``limit``.
+
+    The cut-off comes from a histogram of the counts' logarithms (some hundred
+    rows), so that no task sends its own top rows to the driver.
+    """
+    level = F.floor(F.log2("n") * 16)
+    cut, room = 1 << 30, limit
+    for row in sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("rows")).collect(), reverse=True):
+        if row["rows"] > room:
+            break
+        cut, room = row["level"], room - row["rows"]
+    return counts.filter(level >= cut)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared checkpoint folder and read back.
 

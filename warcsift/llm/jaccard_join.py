@@ -13,7 +13,10 @@ Documents are sets of word shingles (64-bit hashes); two link when
    with one comparison per document and key.
 3. Token-group matrix: a row per token and group, from the first
    ``n - ceil(n * PERCENT / 100) + 1`` tokens of each member. Two sets that
-   link share one of these, so only groups that meet in a row are candidates.
+   link share one of these, so only groups that meet in a row are candidates;
+   and past the first prefix to end, the smaller rest bounds what they can still
+   share, so they must meet in more rows the nearer their sizes are (in over
+   ``P (100 a - P b) / (100 (100 + P))`` for sizes a <= b and P = PERCENT).
 4. Bound: the overlap of a query (a member of the smaller group) with the
    other group's token union must reach ``PERCENT`` per cent of the query.
    Only qualifying groups are opened, and their members compared exactly.
@@ -40,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, text_of
+from .common import fresh, materialise, most_frequent, text_of
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 8, 3
@@ -130,9 +133,10 @@ def frequent_tokens(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
     key = F.xxhash64(text_of())
     sample = docs.select("text", key.alias("key")).filter(F.pmod("key", F.lit(HEAVY_SAMPLE)) == 0)
     once = sample.groupBy("key").agg(F.first("text").alias("text")).select("text")
-    top = (once.mapInArrow(emit, "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n"))
-           .filter(F.col("n") >= HEAVY_SEEN).orderBy(F.desc("n"), "tok").limit(HEAVY_LIMIT).select("tok"))
-    return np.sort(np.array([r["tok"] for r in top.collect()], dtype=np.int64).view(np.uint64))
+    often = (once.mapInArrow(emit, "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n"))
+             .filter(F.col("n") >= HEAVY_SEEN))
+    top = most_frequent(materialise(often, "jaccard-frequent"), HEAVY_LIMIT).select("tok").collect()
+    return np.sort(np.array([r["tok"] for r in top], dtype=np.int64).view(np.uint64))
 
 
 SCAN = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("cid", pa.binary()), ("bands", pa.list_(pa.int64())), ("tokens", pa.binary())])
@@ -273,16 +277,18 @@ def links(scanned: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFr
     matrix = (_rows(every, percent).join(moved, "node", "left")
               .select("tok", F.coalesce("g", "node").alias("g")).distinct())
     matrix = matrix.alias("l"), matrix.withColumnRenamed("g", "h").alias("r")
-    meet = matrix[0].join(matrix[1], "tok").filter(F.col("g") < F.col("h")).select("g", "h").distinct()
+    meet = matrix[0].join(matrix[1], "tok").filter(F.col("g") < F.col("h")).groupBy("g", "h").agg(F.count("*").alias("common"))
     info = member.groupBy("g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("size"))
     info = materialise(info, "jaccard-groups")
     one = info.select("g", F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("size").alias("size1"))
     two = info.select(F.col("g").alias("h"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("size").alias("size2"))
     swap = F.col("size1") > F.col("size2")  # queries come from the smaller group
     pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
+    few, many = F.least("lo1", "lo2"), F.greatest("hi1", "hi2")
+    enough = F.col("common") * 100 * (100 + percent) > (few * 100 - many * percent) * percent
     meet = materialise(
         materialise(meet, "jaccard-meet").join(one, "g").join(two, "h")
-        .filter((F.col("hi1") * 100 >= F.col("lo2") * percent) & (F.col("hi2") * 100 >= F.col("lo1") * percent))
+        .filter((F.col("hi1") * 100 >= F.col("lo2") * percent) & (F.col("hi2") * 100 >= F.col("lo1") * percent) & enough)
         .select(pick("g", "h").alias("q"), pick("h", "g").alias("t"), pick("lo2", "lo1").alias("lo"), pick("hi2", "hi1").alias("hi")),
         "jaccard-candidates")
 
