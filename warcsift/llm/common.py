@@ -7,6 +7,7 @@ and 0x09-0x0D; a null text counts as empty; only A-Z are lower-cased.
 from __future__ import annotations
 
 import atexit
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,22 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
     return counts.filter(level >= cut)
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches bounded in rows and bytes while a table is written, so that
+    long texts and sets do not add up in a Python worker."""
+    bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+    before = {k: spark.conf.get(k, None) for k in bounds}
+    for k, v in bounds.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared checkpoint folder and read back.
 
@@ -86,7 +103,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, f"llm-{name}")
     _SCRATCH.append(path)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -56,31 +56,29 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD
 
 
 class _WordHash(dict):
-    """Word to 64-bit hash; forgets all when full."""
+    """Word to 64-bit hash; forgets all when full. One lives as long as its task."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 150_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
 
-_HASHES = _WordHash()
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _ODD[1]
     x = (x ^ (x >> np.uint64(27))) * _ODD[2]
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
+def shingles(text: bytes | None, size: int = SHINGLE, hashes: _WordHash | None = None) -> np.ndarray:
     """Sorted distinct hashes of the ``size``-word shingles of a UTF-8 text."""
     words = text.translate(LOWER).split() if text else []
     n = len(words)
     if not n:
         return np.zeros(0, dtype=np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=n)
+    hashes = _WordHash() if hashes is None else hashes
+    h = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=n)
     k = min(size, n)
     total = np.full(n - k + 1, k, dtype=np.uint64)
     for j in range(k):
@@ -125,10 +123,12 @@ def frequent_tokens(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
     """Sorted hashes seen in ``HEAVY_SEEN`` or more of the sampled distinct texts;
     the ``HEAVY_LIMIT`` most frequent at most. Steers the order of tokens only."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHash()
         for batch in batches:
-            sets = [shingles(t, size) for t in _texts(batch, 0)]
-            found, n = np.unique(np.concatenate(sets or [np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["tok", "n"])
+            for start in range(0, batch.num_rows, 256):
+                sets = [shingles(t, size, hashes) for t in _texts(batch.slice(start, 256), 0)]
+                found, n = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["tok", "n"])
 
     key = F.xxhash64(text_of())
     sample = docs.select("text", key.alias("key")).filter(F.pmod("key", F.lit(HEAVY_SAMPLE)) == 0)
@@ -149,12 +149,13 @@ def scan(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        hashes = _WordHash()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 n, cid, bands, tokens = [], [], [], []
                 for text in part.column(2).cast(pa.binary()).to_pylist():
-                    s = shingles(text, size)
+                    s = shingles(text, size, hashes)
                     n.append(len(s))
                     digest = xxhash.xxh3_128_digest(s.tobytes())
                     cid.append(digest if len(s) else None)
