@@ -34,47 +34,78 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 SEQ_LEN, POOL, END_ID = 2048, 20_000, 0
-CACHE = 600_000
+CACHE = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class _Seen(dict):
+    """Ids by chunk in two generations: what is still in use outlives a clean-up."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.old[chunk]
+        return ids
+
+    def turn(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Text to little-endian uint32 token ids, through a bounded cache.
 
     A byte-level BPE of this family splits a text before every space that does
     not lie inside a run of white space, so a text is the sum of its space-led
-    chunks. Their ids are looked up, and only chunks not yet seen are encoded.
-    A text with a space between (or after, at its end) other white space is
-    encoded whole.
+    chunks. Their ids are looked up; chunks not yet seen are encoded as one
+    text, whose space-led tokens tell where each chunk begins. A text with a
+    space between (or after, at its end) other white space is encoded whole.
     """
 
     INSIDE = re.compile(r" (?!\S)(?<=\s )")
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, limit: int = CACHE):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.limit, self.seen = cache, {}
+        self.seen = _Seen(limit)
+        size = self.tokenizer.get_vocab_size()
+        self.led = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def learn(self, chunks: list[str]) -> None:
+        """Put the ids of `` `` + each chunk into the cache."""
+        plain = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        rest = [c for c in chunks if not c or c[0].isspace() or c[-1].isspace()]
+        if plain:
+            ids = self.whole([" " + " ".join(plain)])[0]
+            starts = (4 * np.flatnonzero(self.led[np.frombuffer(ids, dtype="<u4")])).tolist()
+            if len(starts) == len(plain):
+                self.seen.update((c, ids[a:b]) for c, a, b in zip(plain, starts, [*starts[1:], len(ids)], strict=True))
+            else:
+                rest = chunks
+        if rest:
+            self.seen.update(zip(rest, self.whole([" " + c for c in rest]), strict=True))
+
     def __call__(self, text: str) -> bytes:
         if self.INSIDE.search(text):
             return self.whole([text])[0]
         first, *rest = text.split(" ")
+        seen = self.seen
         try:
-            tail = b"".join(map(self.seen.__getitem__, rest))
+            tail = b"".join(map(seen.__getitem__, rest))
         except KeyError:
-            new = set(rest).difference(self.seen)
-            if len(self.seen) + len(new) > self.limit:
-                self.seen.clear()
-                new = set(rest)
-            self.seen.update(zip(new, self.whole([" " + x for x in new]), strict=True))
-            tail = b"".join(map(self.seen.__getitem__, rest))
+            self.learn([c for c in set(rest) if c not in seen and c not in seen.old])
+            tail = b"".join(map(seen.__getitem__, rest))
+        seen.turn()
         return (self.whole([first])[0] if first else b"") + tail
 
 
