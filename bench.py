@@ -27,12 +27,7 @@ HEADLINE = ["articles", "language_detect", "lang_profile", "html_blocks", "main_
 
 
 def _reset(spark):
-    for df in list(X._CACHE.values()):
-        try:
-            df.unpersist()
-        except Exception:  # noqa: BLE001
-            pass
-    X._CACHE.clear()
+    X.reset()
     spark.catalog.clearCache()
 
 

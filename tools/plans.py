@@ -56,7 +56,7 @@ def main():
             "predicates (and their implied NOT NULL checks) are taken by the source:",
             "no Filter above the scan, and the reader stops each file after 10 records.", "",
             "```", text.split("\n\n(1)")[0].strip(), "```", ""]
-    X._CACHE.clear()
+    X.reset()
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
                            "PLANS.md"), "w") as f:
         f.write("\n".join(out))

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.article import dispositions
+from ..operators.article import Staged, stage
 from ..operators.language import train_profile
 from ..operators.records import classify
 from ..sources.responses import load_table, responses
 
 _CACHE: dict[tuple, DataFrame] = {}
+_STAGED: list[Staged] = []
 
 
 def _key(spark: SparkSession, *parts) -> tuple:
@@ -37,5 +38,17 @@ def disp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records of ``responses`` with article fields and disposition (glob ``*``)."""
     k = _key(spark, "disp", sf_dir)
     if k not in _CACHE:
-        _CACHE[k] = dispositions(classified(spark, sf_dir), profile(spark, sf_dir))
+        staged = stage(classified(spark, sf_dir), profile(spark, sf_dir))
+        _STAGED.append(staged)
+        _CACHE[k] = staged.disp
     return _CACHE[k]
+
+
+def reset() -> None:
+    """Forget the shared inputs and delete what was stored for them."""
+    for staged in _STAGED:
+        staged.release()
+    for df in _CACHE.values():
+        df.unpersist()
+    _STAGED.clear()
+    _CACHE.clear()
