@@ -161,6 +161,39 @@ def test_revealing_terms(spark):
     assert all(clean[d] == t for d, t in fill)
 
 
+def test_revealing_terms_far_from_the_entity_and_without_it(spark):
+    """Whole documents count, and a revealing term is marked at every place of every text."""
+    gap = " the plain words of the text and more of the same" * 3
+    fill = [(i, f"{i}{gap}") for i in range(60)]
+    told = [(100 + i, f"Zorblatt{gap} {i}a x.y@z.org{gap} (zorblatt)") for i in range(4)]
+    alone = [(200, f"ask Zorblatt{gap} Zorblatt")]
+    single = [(300, f"Quuxly{gap} once@z.org")]  # an entity of one document reveals nothing
+    docs = spark.createDataFrame(fill + told + alone + single, "doc_id long, text string").repartition(5)
+    spans = {r["doc_id"]: r["spans"] for r in disclosure.find_private(docs).collect()}
+    marked = {d: [t[s["start"]:s["end"]] for s in spans[d] if s["kind"] == disclosure.METHOD_KIND] for d, t in fill + told + alone + single}
+    assert {d: w for d, w in marked.items() if w} == {d: ["Zorblatt", "zorblatt"] for d, _ in told} | {200: ["Zorblatt"] * 2}
+    clean = {r["doc_id"]: r["text"] for r in disclosure.sanitise(docs).collect()}
+    assert clean[200] == f"ask [removed]{gap} [removed]" and clean[300] == f"Quuxly{gap} [email]"
+
+
+def test_revealing_pairs_against_brute_force(spark, monkeypatch):
+    """Entities and terms in all mixtures, copies among them, also when all checksums clash."""
+    r = random.Random(8)
+    texts = [" ".join(r.sample([f"w{r.randrange(150)}" for _ in range(30)] + [f"m{r.randrange(12)}@z.org" for _ in range(r.randrange(3))], 20))
+             for _ in range(150)]
+    texts += ["list a1@z.org a2@z.org a3@z.org with odd1 odd2"] * 2 + r.sample(texts, 20)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [({e for e, *_ in disclosure.beside(x, disclosure.entities(x))}, {t for t, *_ in disclosure.terms_of(x, disclosure.entities(x))}) for x in texts]
+    together = Counter((e, t) for es, ts in sets for e in es for t in ts)
+    own, holds = Counter(e for es, _ in sets for e in es), Counter(t for _, ts in sets for t in ts)
+    want = {(e, t) for (e, t), n in together.items() if n >= disclosure.SUPPORT and own[e] < len(texts) and
+            math.log2(n * len(texts) / (own[e] * holds[t])) >= disclosure.THRESHOLD * math.log2(len(texts) / own[e])}
+    assert len(want) > 10
+    for bits in (disclosure.BITS, 64):
+        monkeypatch.setattr(disclosure, "BITS", bits)
+        assert {(x["entity"], x["term"]) for x in disclosure.revealing(disclosure.scan(docs), docs).collect()} == want
+
+
 # --- language ID -----------------------------------------------------------------------------
 
 def test_language_held_out(spark):

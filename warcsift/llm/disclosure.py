@@ -1,20 +1,23 @@
 """Operator 4: personal data, and the terms that would give it away.
 
 Protected entities are the base spans (e-mail, IP address, card and phone
-numbers). Information-theoretic sanitisation then looks at the words within
-``WINDOW`` words of an entity. From document counts over the whole corpus,
+numbers). Information-theoretic sanitisation then looks at all words of the
+texts that hold an entity. From document counts over the whole corpus,
 
     PMI(e, t) = log2 P(e, t) / (P(e) P(t)),      IC(e) = -log2 P(e),
 
 and a term whose PMI reaches ``THRESHOLD`` of the entity's information IC(e),
-seen beside it in ``SUPPORT`` documents or more, reveals the entity almost
-alone: it becomes a span of kind ``term`` where it stands beside that entity.
-``sanitise`` replaces entities by their kind, generalises revealing terms that
-hold digits to their shape, and removes the others.
-
-Pairs are only formed within windows, so they grow with the text, never with
-the square of a document or group. Counts are partially aggregated per task;
-the table of revealing pairs is written and joined as Spark's sizes allow.
+in one text with it in ``SUPPORT`` documents or more, reveals the entity almost
+alone: it becomes a span of kind ``term`` wherever it stands, in texts without
+the entity too. ``sanitise`` replaces entities by their kind, generalises
+revealing terms that hold digits to their shape, and removes the others.
+
+PMI >= THRESHOLD x IC asks for at most total ^ (1 - THRESHOLD) x entity_docs ^
+THRESHOLD documents with the term, so more frequent terms form no pairs;
+equal texts are paired once, with their number; entities (and terms) that
+stand in the same texts are paired as one. The table of revealing terms is
+written and joined with the words of all texts. Before either join, tasks drop
+words whose checksum is not among those of the wanted terms (``BITS`` bits).
 
 Defined results: null and empty texts have no spans; a null doc_id is carried
 along; repeated rows are scanned each on its own (and count as documents);
@@ -24,16 +27,19 @@ an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, materialise, text_of
 
-WINDOW, THRESHOLD, SUPPORT = 8, 0.9, 2
+THRESHOLD, SUPPORT = 0.9, 2
+BITS = 1 << 25
 METHOD_KIND = "term"
 FLUSH = 500_000
 
@@ -89,30 +95,22 @@ def _value(kind: str, token: str) -> str:
     return f"{kind}:{token.translate(LOWER) if kind in ('email', 'ip') else re.sub('[^0-9]', '', token)}"
 
 
-def beside(text: str, spans: list[tuple[str, int, int]], window: int = WINDOW) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the words within ``window`` of each span."""
-    if not spans:
-        return []
-    words = [m.span() for m in WORD.finditer(text)]
-    starts = [s for s, _ in words]
+def terms_of(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of the words outside ``spans``."""
     covered = sorted((s, e) for _, s, e in spans)
-    out = []
-    for kind, s, e in spans:
-        first, last = _at(starts, s), _at(starts, e - 1)
-        for i in range(max(0, first - window), min(len(words), last + window + 1)):
-            a, b = words[i]
-            term = text[a:b].strip(EDGES)
-            a += text[a:b].index(term) if term else 0
+    for m in WORD.finditer(text):
+        word = m[0]
+        term = word.strip(EDGES)
+        if len(term) > 1:
+            a = m.start() + word.index(term)
             b = a + len(term)
-            if len(term) > 1 and not _touches(covered, a, b):
-                out.append((_value(kind, text[s:e]), term.translate(LOWER), a, b))
-    return out
-
+            if not _touches(covered, a, b):
+                yield term.translate(LOWER), a, b
 
-def _at(starts: list[int], place: int) -> int:
-    from bisect import bisect_right
 
-    return max(0, bisect_right(starts, place) - 1)
+def beside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
+    """(entity, term, start, end) of the words in one text with each span."""
+    return [(_value(kind, text[s:e]), *t) for kind, s, e in spans for t in terms_of(text, spans)]
 
 
 def _touches(covered: list[tuple[int, int]], a: int, b: int) -> bool:
@@ -123,28 +121,67 @@ def _touches(covered: list[tuple[int, int]], a: int, b: int) -> bool:
 
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-MENTION = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-SCAN = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("spans", pa.list_(SPAN)), ("mentions", pa.list_(MENTION))])
-SCAN_DDL = ("doc_id long, text_key long, spans array<struct<kind:string,start:int,end:int>>, "
-            "mentions array<struct<entity:string,term:string,start:int,end:int>>")
+PLACE = pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+SCAN = pa.schema([("text_key", pa.int64()), ("entities", pa.list_(pa.string())), ("terms", pa.list_(pa.string()))])
+MARKED = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("spans", pa.list_(SPAN)), ("places", pa.list_(PLACE))])
 
 
-def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, text_key, spans, mentions``, one row per row."""
+def scan(docs: DataFrame) -> DataFrame:
+    """``text_key, entities, terms``, one row per row; the distinct terms of texts that hold an entity."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                texts = part.column(1).to_pylist()
+                found = [entities(t) for t in texts]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(0),
+                    pa.array([sorted({_value(k, t[a:b]) for k, a, b in s}) for t, s in zip(texts, found, strict=True)], SCAN.field("entities").type),
+                    pa.array([sorted({x for x, *_ in terms_of(t, s)}) if s else [] for t, s in zip(texts, found, strict=True)],
+                             SCAN.field("terms").type)], schema=SCAN)
+
+    return docs.select(F.xxhash64(text_of()), text_of()).mapInArrow(read, "text_key long, entities array<string>, terms array<string>")
+
+
+def checksums(terms: DataFrame) -> bytes:
+    """Bit h is set if a row of the column ``term`` has crc32 mod ``BITS`` h."""
+    h = F.crc32(F.col("term").cast("binary")) % BITS
+    sums = (terms.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("at"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(h & 63 AS int)))").alias("bits")).toPandas())
+    out = np.zeros(BITS // 64, dtype="<i8")
+    out[sums["at"].to_numpy(dtype=np.int64)] = sums["bits"].to_numpy(dtype=np.int64)
+    return out.tobytes()
+
+
+def _among(bits: bytes, term: bytes) -> int:
+    h = zlib.crc32(term) % (8 * len(bits))
+    return bits[h >> 3] >> (h & 7) & 1
+
+
+def mark(docs: DataFrame, bits: bytes) -> DataFrame:
+    """``doc_id, text_key, spans, places``, one row per row; every place of the terms that ``bits`` may hold."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = EDGES.encode()
+
+        def places(text: str, raw: bytes, spans: list[tuple[str, int, int]]) -> list[dict]:
+            cores = {w.strip(edges) for w in set(raw.translate(LOWER_BYTES).split())}
+            wanted = {w.decode() for w in cores if _among(bits, w)}
+            return [{"term": t, "start": a, "end": b} for t, a, b in terms_of(text, spans) if t in wanted] if wanted else []
+
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 texts = part.column(2).to_pylist()
+                raws = part.column(2).cast(pa.binary()).to_pylist()
                 found = [entities(t) for t in texts]
-                near = [beside(t, s, window) for t, s in zip(texts, found, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1),
-                    pa.array([[dict(zip(("kind", "start", "end"), x, strict=True)) for x in s] for s in found], SCAN.field("spans").type),
-                    pa.array([[dict(zip(("entity", "term", "start", "end"), x, strict=True)) for x in m] for m in near],
-                             SCAN.field("mentions").type)], schema=SCAN)
+                    pa.array([[dict(zip(("kind", "start", "end"), x, strict=True)) for x in s] for s in found], MARKED.field("spans").type),
+                    pa.array([places(*x) for x in zip(texts, raws, found, strict=True)], MARKED.field("places").type)], schema=MARKED)
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()), text_of()).mapInArrow(read, SCAN_DDL)
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()), text_of()).mapInArrow(
+        read, "doc_id long, text_key long, spans array<struct<kind:string,start:int,end:int>>, "
+              "places array<struct<term:string,start:int,end:int>>")
 
 
 def document_counts(docs: DataFrame) -> DataFrame:
@@ -173,35 +210,73 @@ def document_counts(docs: DataFrame) -> DataFrame:
     return docs.select(text_of()).mapInArrow(count, "term string, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
-def revealing(scanned: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """``entity, term, together, entity_docs, term_docs, pmi, information`` of the pairs that reveal."""
-    pairs = (scanned.select(F.explode(F.array_distinct(F.transform(
-        "mentions", lambda m: F.struct(m["entity"].alias("entity"), m["term"].alias("term"))))).alias("p"))
-        .groupBy("p.entity", "p.term").agg(F.count("*").alias("together")).filter(F.col("together") >= support))
-    kinds = F.transform("mentions", lambda m: m["entity"])
-    owners = (scanned.select(F.explode(F.array_distinct(kinds)).alias("entity"))
-              .groupBy("entity").agg(F.count("*").alias("entity_docs")))
-    total = F.lit(float(max(1, scanned.count())))
-    pairs = materialise(pairs, "pii-pairs")
-    wanted = pairs.select("term").distinct()
-    counts = document_counts(docs).join(wanted, "term").withColumnRenamed("docs", "term_docs")
-    full = pairs.join(owners, "entity").join(counts, "term")
+def _together(rows: DataFrame, name: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (text_key, copies, ``name``, numbers of the name) with names that stand in the same texts as one.
+
+    Returns the written names (``name``, ``label``: the least of those that stand together) and the rows by label.
+    """
+    own = [c for c in rows.columns if c not in ("text_key", "copies", name)]
+    rows = materialise(rows, f"pii-{label}-rows")
+    first, second = F.bit_xor(F.xxhash64("text_key", F.lit(1))), F.bit_xor(F.xxhash64("text_key", F.lit(2)))
+    sets = rows.groupBy(name, *own).agg(first.alias("s1"), second.alias("s2"), F.count("*").alias("texts"))
+    key = ["s1", "s2", "texts", *own]
+    sets = materialise(sets, f"pii-{label}-sets")
+    least = sets.groupBy(*key).agg(F.min(name).alias(label))
+    names = materialise(sets.join(least, key).select(name, label, *own), f"pii-{label}-names")
+    return names, rows.join(names.filter(F.col(name) == F.col(label)).select(name), name, "left_semi").withColumnRenamed(name, label)
+
+
+def _revealing(scanned: DataFrame, docs: DataFrame, threshold: float, support: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The revealing pairs by label (``one``, ``other``), the entities of each ``one`` and the terms of each ``other``."""
+    total = float(max(1, scanned.count()))
+    most = F.lit(total) ** (1 - threshold) * F.col("entity_docs") ** threshold * (1 + 1e-9)
+    owners = materialise(scanned.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("entity_docs"))
+                         .filter((F.col("entity_docs") >= support) & (F.col("entity_docs") < total)).withColumn("most", most), "pii-owners")
+    widest = owners.agg(F.max("most")).first()[0] or 0.0
+    counts = materialise(document_counts(docs).filter(F.col("docs").between(support, widest))
+                         .withColumnRenamed("docs", "term_docs"), "pii-counts")
+    bits = checksums(counts)
+
+    def rarer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(_among(bits, t)) for t in batch.column(1).cast(pa.binary()).to_pylist()], pa.bool_()))
+
+    copies = F.count("*").alias("copies")
+    holders = (scanned.select("text_key", F.explode("entities").alias("entity")).groupBy("text_key", "entity").agg(copies)
+               .join(owners, "entity").select("text_key", "copies", "entity", "entity_docs", "most"))
+    entity_names, holders = _together(holders, "entity", "one")
+    terms = (scanned.select("text_key", F.explode("terms").alias("term")).mapInArrow(rarer, "text_key long, term string")
+             .groupBy("text_key", "term").agg(copies).join(holders.select("text_key").distinct(), "text_key", "left_semi")
+             .join(counts, "term").select("text_key", "copies", "term", "term_docs"))
+    term_names, terms = _together(terms, "term", "other")
+    pairs = (holders.join(terms.drop("copies"), "text_key").filter(F.col("term_docs") <= F.col("most"))
+             .groupBy("one", "other", "entity_docs", "term_docs").agg(F.sum("copies").alias("together"))
+             .filter(F.col("together") >= support))
     pmi = F.log2(F.col("together") * total / (F.col("entity_docs") * F.col("term_docs")))
     information = F.log2(total / F.col("entity_docs"))
-    return (full.withColumn("pmi", pmi).withColumn("information", information)
-            .filter((F.col("information") > 0) & (F.col("pmi") >= F.lit(threshold) * F.col("information"))))
+    found = (pairs.withColumn("pmi", pmi).withColumn("information", information)
+             .filter((F.col("information") > 0) & (F.col("pmi") >= F.lit(threshold) * F.col("information"))))
+    return found, entity_names.select("entity", "one"), term_names.select("term", "other")
+
+
+def revealing(scanned: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
+    """``entity, term, together, entity_docs, term_docs, pmi, information`` of the pairs that reveal."""
+    found, entity_names, term_names = _revealing(scanned, docs, threshold, support)
+    return (found.join(entity_names, "one").join(term_names, "other")
+            .select("entity", "term", "together", "entity_docs", "term_docs", "pmi", "information"))
 
 
-def find_private(docs: DataFrame, window: int = WINDOW, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
+def find_private(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """``doc_id, text_key, spans``: base spans by kind as listed, then start; then terms by start."""
-    scanned = materialise(scan(docs, window).withColumn("rid", F.monotonically_increasing_id()), "pii-scan")
-    pairs = materialise(revealing(scanned, docs, threshold, support).select("entity", "term"), "pii-revealing")
-    mention = scanned.select("rid", F.explode("mentions").alias("m")).select("rid", "m.entity", "m.term", "m.start", "m.end")
-    terms = (mention.join(pairs, ["entity", "term"]).groupBy("rid")
-             .agg(F.array_sort(F.collect_set(F.struct(F.col("start").alias("start"), F.col("end").alias("end")))).alias("terms")))
+    found, _, names = _revealing(materialise(scan(docs), "pii-scan"), docs, threshold, support)
+    telling = materialise(found.select("other").distinct().join(names, "other").select("term"), "pii-revealing")
+    marked = materialise(mark(docs, checksums(telling)).withColumn("rid", F.monotonically_increasing_id()), "pii-marked")
+    place = marked.select("rid", F.explode("places").alias("p")).select("rid", "p.term", "p.start", "p.end")
+    terms = (place.join(telling, "term").groupBy("rid")
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("start").alias("start"), F.col("end").alias("end")))).alias("terms")))
     more = F.transform(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int>>")),
                        lambda t: F.struct(F.lit(METHOD_KIND).alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
-    return scanned.join(terms, "rid", "left").select("doc_id", "text_key", F.concat("spans", more).alias("spans"))
+    return marked.join(terms, "rid", "left").select("doc_id", "text_key", F.concat("spans", more).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
