@@ -435,6 +435,33 @@ def test_language_model_is_a_distribution(spark):
     assert all(x == pytest.approx(1) for x in mass.values())
 
 
+@pytest.mark.parametrize("known", [10_000, 25])
+def test_every_training_word_has_a_class(spark, known):
+    """Words beyond the core too; transitions are those of all tokens in their classes, joined or not."""
+    rows = [(i, brute.prose(i % 9, 60)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = class_lm.train(docs, clustered=10, classes=3, known=known)
+    cls = {bytes(r["word"]): r["cls"] for r in model.counts.collect()}
+    texts = [class_lm.tokens(t.encode()) for _, t in rows]
+    assert set(cls) == {w for t in texts for w in t} and set(cls.values()) == {0, 1, 2}
+    g = np.zeros((5, 5))
+    for t in texts:
+        c = [4, *(cls[w] for w in t), 4]
+        for a, b in zip(c, c[1:], strict=False):
+            g[a, b] += 1
+    assert (model.class_total == g.sum(axis=0)).all() and model.class_total[3] == 0
+    count = Counter(w for t in texts for w in t)
+    step = 10 ** model.transition
+    for r in class_lm.score(docs, model).collect():
+        c = [4, *(cls[w] for w in texts[r["doc_id"]]), 4]
+        want = sum(math.log10(step[a, b]) for a, b in zip(c, c[1:], strict=False))
+        want += sum(math.log10(count[w] / g[:, cls[w]].sum()) for w in texts[r["doc_id"]])
+        assert r["score"] == pytest.approx(want)
+    share = (g.sum(axis=0) + 1) / (g.sum() + 5)
+    want = (1 - share[3]) * (g + class_lm.PULL * share / (1 - share[3])) / (g.sum(axis=1, keepdims=True) + class_lm.PULL)
+    assert step[:, [0, 1, 2, 4]] == pytest.approx(want[:, [0, 1, 2, 4]])
+
+
 def test_exchange_ends_where_no_move_helps():
     r = np.random.default_rng(3)
     b = r.poisson(r.gamma(0.3, 20, (14, 14)))

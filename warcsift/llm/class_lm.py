@@ -2,18 +2,21 @@
 
 1. ``word_counts``: counts of every training token (words and the end token),
    counted per task, summed by word: exact, and as large as the vocabulary.
-2. Exchange clustering puts the ``CLUSTERED`` most frequent words into
-   ``CLASSES`` classes by the likelihood of their class bigrams; every other
-   word is in one open class, the end token in one of its own. Bigram counts
-   between these words come from all training texts; the table given to the
-   driver has at most (CLUSTERED + 2) squared cells.
-3. Scoring: log10 P(class | class before) + log10 P(word | class) per token.
-   Counts of the ``KNOWN`` most frequent words travel with the tasks (a fixed
-   bound); those of all other words come by a join on the word.
+2. Exchange clustering puts the ``CLUSTERED`` most frequent words (the core)
+   into ``CLASSES`` classes by the likelihood of their class bigrams. Every
+   other training word is then placed by the same gain, from the counts of the
+   core's classes before and after it (``contexts``, summed by word and class in
+   Spark; ``place``). The end token has a class of its own, and words never
+   seen in training are the open class. ``placed`` (word, n, cls) is written.
+3. Class bigrams are counted over all training tokens, each in its class.
+4. Scoring: log10 P(class | class before) + log10 P(word | class) per token.
+   Counts and classes of the ``KNOWN`` most frequent words travel with the tasks
+   (a fixed bound); those of all other words come by a join on the word, in
+   step 3 by bigram and here by place in the document.
 
 Smoothing: transitions are pulled towards class frequencies with weight
-``PULL``; the open class adds one to each count and keeps one for the unseen,
-so every text has a finite score.
+``PULL``; the open class has one count of all after any class, so every text
+has a finite score.
 
 Defined results: null and empty texts are one end token; a null doc_id counts
 as the text ''; repeated rows are scored each on its own; with no training
@@ -100,19 +103,148 @@ def bigram_counts(texts: DataFrame, frequent: list[bytes]) -> np.ndarray:
     return out.reshape(size, size)
 
 
-def _ids(batch: pa.RecordBatch, column: int, number: dict[bytes, int], other: int) -> Iterator[np.ndarray]:
-    """Token numbers of about 400,000 tokens at a time, whole documents each."""
+def _flat(batch: pa.RecordBatch, column: int) -> Iterator[list[bytes]]:
+    """About 400,000 tokens at a time, whole documents each."""
     flat: list[bytes] = []
     for text in _texts(batch, column):
         flat += tokens(text)
         flat.append(END)
         if len(flat) > 400_000:
-            yield np.fromiter(map(number.get, flat, repeat(other)), dtype=np.int64, count=len(flat))
-            flat.clear()
+            yield flat
+            flat = []
     if flat:
+        yield flat
+
+
+def _ids(batch: pa.RecordBatch, column: int, number: dict[bytes, int], other: int) -> Iterator[np.ndarray]:
+    """Token numbers, whole documents each."""
+    for flat in _flat(batch, column):
         yield np.fromiter(map(number.get, flat, repeat(other)), dtype=np.int64, count=len(flat))
 
 
+def contexts(texts: DataFrame, core: list[bytes], cls: np.ndarray) -> DataFrame:
+    """``word, cells`` of each word outside ``core``: how often each class stands before it, or (from
+    ``len(classes)`` on) after it."""
+    other, total = int(cls[-2]), int(cls[-1]) + 1
+    schema = pa.schema([("word", pa.binary()), ("cell", pa.int32()), ("n", pa.int64())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = dict(zip(core, cls.tolist(), strict=False)) | {END: total - 1}
+        found: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int32()),
+                                              pa.array(found.values(), pa.int64())], schema=schema)
+            found.clear()
+            return out
+
+        for batch in batches:
+            for flat in _flat(batch, 0):
+                ids = np.fromiter(map(number.get, flat, repeat(other)), dtype=np.int64, count=len(flat))
+                at = np.flatnonzero(ids == other)
+                spelled = [flat[i] for i in at.tolist()]
+                before = np.concatenate(([total - 1], ids[:-1]))[at]
+                found.update(zip(spelled, before.tolist(), strict=True))
+                found.update(zip(spelled, (total + np.concatenate((ids[1:], [total - 1]))[at]).tolist(), strict=True))
+                if len(found) > FLUSH // 2:
+                    yield flush()
+        if found:
+            yield flush()
+
+    rows = texts.select("text").mapInArrow(count, "word binary, cell int, n long").repartition("word")
+    cells = rows.groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    return cells.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
+
+
+def place(g: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The class (never the last two) that gains most likelihood from each word of the open class.
+
+    ``g``: class bigrams; ``before``, ``after``: words x classes.
+    """
+    classes = len(g) - 2
+    rest = np.repeat(g[None].astype(float), len(before), axis=0)
+    rest[:, :, classes] -= before
+    rest[:, classes, :] -= after
+    rest = np.maximum(rest, 0)
+    own = np.arange(classes)
+    diagonal, r, c = rest[:, own, own], after[:, own], before[:, own]
+    rows, columns = rest[:, :classes], rest[:, :, :classes]
+    gain = (_h(rows + after[:, None, :]) - _h(rows)).sum(axis=2) + (_h(columns + before[:, :, None]) - _h(columns)).sum(axis=1)
+    gain += _h(diagonal + r + c) + _h(diagonal) - _h(diagonal + r) - _h(diagonal + c)
+    for margin, add in ((rest.sum(axis=2)[:, :classes] + c, after.sum(axis=1)), (rest.sum(axis=1)[:, :classes] + r, before.sum(axis=1))):
+        gain -= _h(margin + add[:, None]) - _h(margin)
+    return gain.argmax(axis=1)
+
+
+def _placed(words: DataFrame, cells: DataFrame, core: list[bytes], cls: np.ndarray, g: np.ndarray) -> DataFrame:
+    """``word, n, cls`` of every row of ``words`` (word, n)."""
+    total = len(g)
+    schema = pa.schema([("word", pa.binary()), ("cls", pa.int32())])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 128):
+                part = batch.slice(start, 128)
+                lists = part.column(1)
+                flat = lists.flatten()
+                row = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+                table = np.zeros((part.num_rows, 2 * total))
+                table[row, flat.field("cell").to_numpy(zero_copy_only=False)] = flat.field("n").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(place(g, table[:, :total], table[:, total:]), pa.int32())], schema=schema)
+
+    spark = words.sparkSession
+    rest = cells.mapInArrow(judge, "word binary, cls int")
+    known = spark.createDataFrame([(bytearray(w), int(k)) for w, k in zip(core, cls, strict=False)], "word binary, cls int")
+    return words.join(rest.unionByName(known), "word")
+
+
+def class_bigrams(texts: DataFrame, placed: DataFrame, known: list[bytes], known_class: np.ndarray, total: int) -> np.ndarray:
+    """Counts of neighbouring tokens by class, each token in its own."""
+    missing = total
+
+    spelled = b" ".join(known)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = dict(zip(spelled.split(), known_class.tolist(), strict=True)) | {END: total - 1}
+        cells, found = np.zeros((total, total), dtype=np.int64), Counter()
+
+        def flush() -> pa.RecordBatch:
+            out = _bigram_rows(found)
+            found.clear()
+            return out
+
+        for batch in batches:
+            for flat in _flat(batch, 0):
+                ids = np.fromiter(map(number.get, flat, repeat(missing)), dtype=np.int64, count=len(flat))
+                before = np.concatenate(([total - 1], ids[:-1]))
+                both = (ids != missing) & (before != missing)
+                cells += np.bincount(before[both] * total + ids[both], minlength=total * total).reshape(total, total)
+                for i in np.flatnonzero(~both).tolist():
+                    a, b = int(before[i]), int(ids[i])
+                    found[(flat[i - 1] if a == missing else None, a, flat[i] if b == missing else None, b)] += 1
+                if len(found) > FLUSH // 2:
+                    yield flush()
+        for a, b in zip(*np.nonzero(cells), strict=True):
+            found[(None, int(a), None, int(b))] += int(cells[a, b])
+        yield flush()
+
+    rows = materialise(texts.select("text").mapInArrow(count, "w1 binary, c1 int, w2 binary, c2 int, n long"), "lm-bigrams")
+    for w, c in (("w1", "c1"), ("w2", "c2")):
+        own = placed.select(F.col("word").alias(w), F.col("cls").alias(c))
+        met = rows.filter(F.col(w).isNotNull()).groupBy("w1", "c1", "w2", "c2").agg(F.sum("n").alias("n")).drop(c).join(own, w)
+        rows = rows.filter(F.col(w).isNull()).unionByName(met.withColumn(w, F.lit(None).cast("binary")))
+    out = np.zeros((total, total), dtype=np.int64)
+    for r in rows.groupBy("c1", "c2").agg(F.sum("n").alias("n")).collect():  # classes x classes
+        out[r["c1"], r["c2"]] = r["n"]
+    return out
+
+
+def _bigram_rows(found: Counter) -> pa.RecordBatch:
+    types = (pa.binary(), pa.int32(), pa.binary(), pa.int32())
+    columns = [pa.array([k[i] for k in found], t) for i, t in enumerate(types)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(found.values(), pa.int64())], names=["w1", "c1", "w2", "c2", "n"])
+
+
 def _h(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -167,7 +299,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
 
 @dataclass
 class ClassModel:
-    counts: DataFrame            # word, n: every training token, written
+    counts: DataFrame            # word, n, cls: every training word, written
     known: list[bytes]           # the most frequent words, at most KNOWN
     known_counts: np.ndarray
     known_class: np.ndarray
@@ -185,24 +317,26 @@ def train(texts: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES,
     words = counts.filter(F.col("word") != F.lit(END))
     top = sorted(most_frequent(words, known).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
     spelled, n_of = [bytes(r["word"]) for r in top], np.array([r["n"] for r in top], dtype=np.int64)
-    frequent = spelled[:clustered]
-    bigrams = bigram_counts(texts, frequent)
+    core = spelled[:clustered]
+    bigrams = bigram_counts(texts, core)
     cls = exchange(bigrams, classes)
     z = np.eye(classes + 2)[cls]
-    g = z.T @ bigrams @ z
+    placed = materialise(_placed(words, contexts(texts, core, cls), core, cls, z.T @ bigrams @ z), "lm-placed")
+    class_of = {bytes(r["word"]): r["cls"] for r in most_frequent(placed, known).select("word", "cls").toLocalIterator()}
+    known_class = np.array([class_of[w] for w in spelled], dtype=np.int64)
+    g = class_bigrams(texts, placed, spelled, known_class, classes + 2)
     class_total = g.sum(axis=0)
     share = (class_total + 1) / (class_total.sum() + len(class_total))
-    transition = np.log10((g + PULL * share) / (g.sum(axis=1, keepdims=True) + PULL))
-    known_class = np.full(len(spelled), classes, dtype=np.int64)
-    known_class[:len(frequent)] = cls[:len(frequent)]
-    v = int(total["v"])
-    ends = 1 if v else 0
-    return ClassModel(counts, spelled, n_of, known_class, transition, class_total, int(total["n"] or 0), v,
-                      int(class_total[classes]) + (v - ends - len(frequent)) + 1)
+    unseen = share[classes]
+    seen = share / (1 - unseen)
+    chance = (1 - unseen) * (g + PULL * seen) / (g.sum(axis=1, keepdims=True) + PULL)
+    chance[:, classes] = unseen
+    return ClassModel(placed, spelled, n_of, known_class, np.log10(chance), class_total, int(total["n"] or 0),
+                      int(total["v"]), int(class_total[classes]) + 1)
 
 
 SCORED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()),
-                    ("score", pa.float64()), ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))])
+                    ("score", pa.float64()), ("classes", pa.binary()), ("words", pa.list_(pa.binary())), ("at", pa.list_(pa.int32()))])
 
 
 def score(docs: DataFrame, model: ClassModel) -> DataFrame:
@@ -212,10 +346,8 @@ def score(docs: DataFrame, model: ClassModel) -> DataFrame:
     # by token number: the known words, then the end token, then any other word
     cls = np.concatenate((m.known_class, [classes + 1, classes]))
     grown = np.log10(np.concatenate((m.known_counts, [m.class_total[classes + 1], 0])) + 1.0)
-    clustered = m.known_class < classes
-    emit = np.concatenate((np.where(
-        clustered, np.log10(np.maximum(m.known_counts, 1) / np.maximum(m.class_total[m.known_class], 1)),
-        np.log10(m.known_counts + 1.0) - np.log10(m.open_mass)), [0.0, -np.log10(m.open_mass)]))
+    mass = np.log10(np.maximum(m.class_total, 1))
+    emit = np.concatenate((np.log10(np.maximum(m.known_counts, 1)) - mass[m.known_class], [0.0, -np.log10(m.open_mass)]))
     transition, width = m.transition.ravel(), classes + 2
     base_mass, ends_known, known = float(np.log10(m.n + m.v + 1)), int(m.class_total[classes + 1] > 0), b" ".join(m.known)
 
@@ -234,34 +366,51 @@ def score(docs: DataFrame, model: ClassModel) -> DataFrame:
                     stops.append(len(flat))
                 ids = np.fromiter(map(number.get, flat, repeat(other)), dtype=np.int64, count=len(flat))
                 starts = np.array([0, *stops[:-1]], dtype=np.int64)
-                c = cls[ids]
-                logs = transition[np.concatenate(([classes + 1], c[:-1])) * width + c] + emit[ids]
+                c = cls[ids].astype(np.uint8)
                 lengths = np.diff(np.concatenate(([0], stops)))
                 missing = ids == other
                 found = np.add.reduceat(np.where(missing, 0, 1), starts) - (1 - ends_known)
-                rare: list[Counter] = [Counter() for _ in stops]
                 at = np.flatnonzero(missing)
-                for d, i in zip(np.searchsorted(stops, at, side="right").tolist(), at.tolist(), strict=True):
-                    rare[d][flat[i]] += 1
+                cuts = np.searchsorted(at, [0, *stops])
+                rare = [at[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(lengths), pa.array(found),
                     pa.array(np.add.reduceat(grown[ids], starts) - lengths * base_mass),
-                    pa.array(np.add.reduceat(logs, starts)),
-                    pa.array([list(r.keys()) for r in rare], pa.list_(pa.binary())),
-                    pa.array([list(r.values()) for r in rare], pa.list_(pa.int32()))], schema=SCORED)
+                    pa.array(np.add.reduceat(emit[ids], starts)),
+                    pa.array([c[a:b].tobytes() for a, b in zip(starts, stops, strict=True)], pa.binary()),
+                    pa.array([[flat[i] for i in r] for r in rare], pa.list_(pa.binary())),
+                    pa.array([r - a for r, a in zip(rare, starts, strict=True)], pa.list_(pa.int32()))], schema=SCORED)
 
     part = materialise(
         docs.select(F.col("doc_id").cast("long"), "text")
-        .mapInArrow(judge, "doc_id long, n_tokens long, n_known long, base double, score double, words array<binary>, times array<int>")
+        .mapInArrow(judge, "doc_id long, n_tokens long, n_known long, base double, score double, classes binary, words array<binary>, at array<int>")
         .withColumn("rid", F.monotonically_increasing_id()), "lm-parts")
-    asked = (part.select("rid", F.explode(F.arrays_zip("words", "times")).alias("w"))
-             .select("rid", F.col("w.words").alias("word"), F.col("w.times").alias("times")))
-    # a word without a count adds log10(0 + 1) = 0 to either sum, so the join is inner
+    asked = (part.select("rid", F.explode(F.arrays_zip("words", "at")).alias("w"))
+             .select("rid", F.col("w.words").alias("word"), F.col("w.at").alias("at")))
+    # a word without a count adds log10(0 + 1) = 0 to the base sum and stays in the open class, so the join is inner
     rest = (asked.join(model.counts, "word").groupBy("rid")
-            .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"), F.sum("times").alias("more")))
-    logs = F.coalesce("logs", F.lit(0.0))
-    return part.drop("words", "times").join(rest, "rid", "left").select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(m.n).cast("long").alias("train_tokens"), (F.col("base") + logs).alias("base_score"),
-        (F.col("score") + logs).alias("score"),
-        F.pow(F.lit(10.0), -(F.col("score") + logs) / F.col("n_tokens")).alias("perplexity"))
+            .agg(F.sum(F.log10(F.col("n") + 1.0)).alias("logs"), F.sum(F.log10("n")).alias("spelt"),
+                 F.collect_list("at").alias("at"), F.collect_list("cls").alias("cls")))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+        for batch in batches:
+            known_, base, score_ = [], [], []
+            for r in batch.to_pylist():
+                c = np.frombuffer(r["classes"], dtype=np.uint8).astype(np.int64)
+                own = np.array(r["cls"] or [], dtype=np.int64)
+                c[np.array(r["at"] or [], dtype=np.int64)] = own
+                steps = transition[np.concatenate(([classes + 1], c[:-1])) * width + c].sum()
+                known_.append(r["n_known"] + len(own))
+                base.append(r["base"] + (r["logs"] or 0.0))
+                # as a member of the open class each such word counted -log10(open_mass)
+                score_.append(r["score"] + steps + (r["spelt"] or 0.0) - mass[own].sum() - len(own) * emit[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(known_, pa.int64()), pa.array(base, pa.float64()),
+                                              pa.array(score_, pa.float64())], schema=schema)
+
+    walked = (part.drop("words", "at").join(rest, "rid", "left")
+              .select("doc_id", "n_tokens", "n_known", "base", "score", "classes", "logs", "spelt", "at", "cls")
+              .mapInArrow(walk, "doc_id long, n_tokens long, n_known long, base_score double, score double"))
+    return walked.select(
+        "doc_id", "n_tokens", "n_known", F.lit(m.n).cast("long").alias("train_tokens"), "base_score", "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
