@@ -325,6 +325,18 @@ def test_encoder(tokenizer):
         assert encode(t) == np.array(e.ids, dtype="<u4").tobytes(), t
 
 
+def test_packing_follows_the_unflagged_tokenizer(spark):
+    """A text that holds the literal of an added token gets that token's id."""
+    plain = Tokenizer.from_file(TOKENIZER)
+    texts = ["alpha <|endoftext|> beta", "<|endoftext|>", "a b<|endoftext|><|endoftext|> c", "<|endoftext |> d", "e f", brute.prose(5, 3000) + "<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_packed(packing.best_fit_pack(docs, TOKENIZER).collect(), {i: [t] for i, t in enumerate(texts)}, plain)
+    encode, r = packing.encoder(TOKENIZER), random.Random(9)
+    for _ in range(500):
+        t = "".join(r.choice(["<|endoftext|>", "<|endof", "text|>", " ", "a", "\n", "é"]) for _ in range(12))
+        assert encode(t) == np.array(plain.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes(), t
+
+
 def test_fill_is_fullest():
     r = random.Random(6)
     for _ in range(300):

@@ -63,16 +63,20 @@ class Encoder:
     not lie inside a run of white space, so a text is the sum of its space-led
     chunks. Their ids are looked up; chunks not yet seen are encoded as one
     text, whose space-led tokens tell where each chunk begins. A text with a
-    space between (or after, at its end) other white space is encoded whole.
+    space between (or after, at its end) other white space is encoded whole, and
+    so is one that holds an added token's literal (``<|endoftext|>``): that is the
+    token, as by the library's default, or with ``literal`` plain text.
     """
 
     INSIDE = re.compile(r" (?!\S)(?<=\s )")
 
-    def __init__(self, path: str, limit: int = CACHE):
+    def __init__(self, path: str, limit: int = CACHE, literal: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
         self.seen = _Seen(limit)
         size = self.tokenizer.get_vocab_size()
         self.led = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
@@ -96,7 +100,7 @@ class Encoder:
             self.seen.update(zip(rest, self.whole([" " + c for c in rest]), strict=True))
 
     def __call__(self, text: str) -> bytes:
-        if self.INSIDE.search(text):
+        if self.INSIDE.search(text) or self.added(text):
             return self.whole([text])[0]
         first, *rest = text.split(" ")
         seen = self.seen
@@ -113,7 +117,7 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """One per Python worker, kept from task to task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-    return Encoder(path)
+    return Encoder(path, literal=False)
 
 
 def cut(n: int, seq_len: int) -> Iterator[tuple[int, int]]:
