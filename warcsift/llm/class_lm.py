@@ -40,7 +40,7 @@ from .common import materialise, most_frequent
 
 CLUSTERED, CLASSES, SWEEPS, KNOWN, PULL = 600, 32, 5, 200_000, 10.0
 END = b"\n"  # no word can be this
-FLUSH = 500_000
+FLUSH, SEEN = 500_000, 100_000
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -182,6 +182,7 @@ def _placed(words: DataFrame, cells: DataFrame, core: list[bytes], cls: np.ndarr
     schema = pa.schema([("word", pa.binary()), ("cls", pa.int32())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[bytes, int] = {}  # rare words with equal contexts go to one class
         for batch in batches:
             for start in range(0, batch.num_rows, 128):
                 part = batch.slice(start, 128)
@@ -190,7 +191,14 @@ def _placed(words: DataFrame, cells: DataFrame, core: list[bytes], cls: np.ndarr
                 row = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
                 table = np.zeros((part.num_rows, 2 * total))
                 table[row, flat.field("cell").to_numpy(zero_copy_only=False)] = flat.field("n").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(place(g, table[:, :total], table[:, total:]), pa.int32())], schema=schema)
+                keys = [r.tobytes() for r in table]
+                if len(seen) > SEEN:
+                    seen.clear()
+                first = {k: i for i, k in enumerate(keys) if k not in seen}
+                if first:
+                    new = table[list(first.values())]
+                    seen.update(zip(first, place(g, new[:, :total], new[:, total:]).tolist(), strict=True))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([seen[k] for k in keys], pa.int32())], schema=schema)
 
     spark = words.sparkSession
     rest = cells.mapInArrow(judge, "word binary, cls int")
