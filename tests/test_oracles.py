@@ -9,8 +9,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from warcsift.plans import registry
 
-TABLES = ("pages", "documents")
+TABLES = ("pages", "documents", "embeddings")
 
 
 def _norm(v):
@@ -49,5 +50,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(registry.QUERIES) <= set(E.queries())
     assert os.path.isdir(SF001)
