@@ -115,10 +115,10 @@ def cloud(seed, n):
     return sorted(set(out))
 
 
-@pytest.mark.parametrize("bucket, runs", [(8, 64), (32, 64), (1024, 16_384)])
+@pytest.mark.parametrize("bucket, runs", [(24, 64), (1024, 16_384)])
 def test_components_of_dense_clouds(spark, monkeypatch, bucket, runs):
     monkeypatch.setattr(simhash, "RUN_ROWS", runs)
-    fps = cloud(bucket, 400)
+    fps = cloud(bucket, 250)
     nodes = spark.createDataFrame([(simhash._signed(f), 1) for f in fps], "fp long, weight long")
     label = {r["fp"]: r["label"] for r in simhash.groups(materialise(nodes, "test-nodes"), bucket).collect()}
     got, want = defaultdict(set), defaultdict(set)

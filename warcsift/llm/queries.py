@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import class_lm, disclosure, exact_dedup, jaccard_join, language_id, mixing, packing, quality, secret_scan, simhash, url_filter
+from . import class_lm, disclosure, divergence, exact_dedup, jaccard_join, language_id, mixing, packing, quality, secret_scan, simhash, url_filter, whitening
 from .common import table
 from .sql import ORACLES  # noqa: F401
 
@@ -81,6 +81,15 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_mixing, op3_secret_scans, op4_pii, op5_language_id, op6_exact_dedup, op7_jaccard_join, op8_quality_rules,
-    op9_best_fit_packing, op10_class_lm, op11_simhash)}
+    op9_best_fit_packing, op10_class_lm, op11_simhash,
+    op12_whitening, op13_source_divergence)}

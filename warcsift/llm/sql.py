@@ -44,3 +44,38 @@ FROM documents
 """
 
 ORACLES = {"op6_exact_dedup": OP6, "op8_quality_rules": OP8}
+
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+  FROM documents),
+w AS (
+  SELECT rid, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM d),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(term) AS v FROM (SELECT DISTINCT lang FROM d) LEFT JOIN k USING (lang) GROUP BY lang),
+c AS (SELECT w.lang, source, w.term, count(*) AS n FROM w JOIN k ON k.lang = w.lang AND k.term = w.term GROUP BY w.lang, source, w.term),
+cell AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+share AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p,
+         1 + (1000000000::HUGEINT * (sum(n) OVER (PARTITION BY lang, term) + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q
+  FROM cell JOIN v USING (lang)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM share WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLES["op13_source_divergence"] = OP13
