@@ -21,7 +21,8 @@ KEYS = ["warc_path", "rec_idx"]
 
 
 def target_uri(rec_headers: Column) -> Column:
-    return header(rec_headers, "WARC-Target-URI")
+    """The record's URL; some crawlers write it as ``<URL>``."""
+    return F.regexp_replace(header(rec_headers, "WARC-Target-URI"), r"^<(.*)>$", "$1")
 
 
 def content_type(http_headers: Column) -> Column:

@@ -63,9 +63,10 @@ def extract(records: DataFrame, patterns: list[str], profile: DataFrame,
                  num_partitions, materialize, scratch)
 
 
-def _scan(spark: SparkSession, files, patterns: list[str], limit: int | None, read_mode: str) -> DataFrame:
+def _scan(spark: SparkSession, files, patterns: list[str], limit: int | None, read_mode: str,
+          split_bytes: int | None = None) -> DataFrame:
     """The records, with payloads only where the headers allow an article."""
-    return read_warc(spark, files, limit=limit, mode=read_mode, payload="html",
+    return read_warc(spark, files, split_bytes, limit=limit, mode=read_mode, payload="html",
                      url_regex=globs_to_python_regex(patterns) or "(?!)")
 
 
@@ -88,7 +89,7 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
         layout: str = DEFAULT_LAYOUT, prefix: str = P.DEFAULT_PREFIX,
         num_partitions: int | None = None, materialize: str = "table",
         read_mode: str = "PERMISSIVE", report_every: int | None = None,
-        scratch: str | None = None) -> RunResult:
+        scratch: str | None = None, split_bytes: int | None = None) -> RunResult:
     """Extract the articles of ``[start, end)`` and append them to ``out_url``.
 
     ``num_partitions`` sizes the one exchange (and the buckets) of extracted
@@ -102,6 +103,8 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
     ``cache``. ``read_mode``: ``PERMISSIVE`` reports damaged and missing files
     in ``errors`` and goes on; ``FAILFAST`` raises. ``report_every`` adds the
     running counters before every so many records of a file as ``progress``.
+    ``split_bytes`` lets several tasks read one file larger than that (worth its
+    extra pass where the run has fewer files than the cluster has cores).
     Call ``release()`` on the result when done with its tables.
     """
     K.check_patterns(patterns)
@@ -132,7 +135,7 @@ def run(spark: SparkSession, archive_root: str, patterns: list[str], start: date
         errors = spark.createDataFrame([], "warc_path string, rec_offset long, message string")
         return RunResult(dict(NO_COUNTERS), counters, [], errors, 0, profile=own_profile)
 
-    records = _scan(spark, files, patterns, limit, read_mode)
+    records = _scan(spark, files, patterns, limit, read_mode, split_bytes)
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               -(-len(files) // FILES_PER_BUCKET))
     staged = extract(records, patterns, profile, prefix, n, materialize, scratch)
@@ -148,7 +151,8 @@ def extract_warc(spark: SparkSession, warc_url: str, patterns: list[str],
                  limit: int | None = None, out_url: str | None = None,
                  keys: tuple[str, ...] = DEFAULT_KEYS, max_records: int | None = None,
                  prefix: str = P.DEFAULT_PREFIX, read_mode: str = "PERMISSIVE",
-                 report_every: int | None = None, scratch: str | None = None) -> RunResult:
+                 report_every: int | None = None, scratch: str | None = None,
+                 split_bytes: int | None = None) -> RunResult:
     """One archive file -> articles (and, with ``out_url``, the lake).
 
     ``date_crawled`` overrides the crawl date taken from the file name (a
@@ -161,7 +165,7 @@ def extract_warc(spark: SparkSession, warc_url: str, patterns: list[str],
         K.check_date_crawled(date_crawled)
     if report_every is not None:
         K.check_report_every(report_every)
-    staged = extract(_scan(spark, warc_url, patterns, limit, read_mode), patterns, profile, prefix, scratch=scratch)
+    staged = extract(_scan(spark, warc_url, patterns, limit, read_mode, split_bytes), patterns, profile, prefix, scratch=scratch)
     if date_crawled is not None:
         staged.disp = staged.disp.withColumn("date_crawled", F.lit(date_crawled.strftime("%Y-%m-%d")))
     obs = None
@@ -186,13 +190,14 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - CLI
     start, end = K.window_from_env(env.get("START_DATE"), env.get("END_DATE"))
     patterns = K.patterns_from_env(env.get("URL_PATTERNS"))
     max_records = env.get("MAX_RECORDS_PER_FILE")
-    limit = env.get("LIMIT")
+    limit, split_bytes = env.get("LIMIT"), env.get("SPLIT_BYTES")
     profile = env.get("PROFILE_URL")
     docs = None if profile else load_table(spark, env["TRAINING_DIR"], "documents")
     res = run(spark, env["ARCHIVE_ROOT"], patterns, start, end, env["LAKE_URL"],
               training_docs=docs, profile=profile,
               max_records=int(max_records) if max_records else None,
-              limit=int(limit) if limit else None)
+              limit=int(limit) if limit else None,
+              split_bytes=int(split_bytes) if split_bytes else None)
     log.info("Completed extraction job.")
     print(json.dumps(res.counters))
 

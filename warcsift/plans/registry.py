@@ -429,6 +429,10 @@ def q_url_glob_semi_join(spark, sf):
 
 # ---------------------------------------------------------------- archive source
 
+# Small enough that files of the fixtures are read by several tasks.
+_SPLIT_BYTES = 2000
+
+
 def _fixture_records(spark, sf, fmt: str, encodings: bool = False, **opts) -> DataFrame:
     from ..session import scratch_dir
     from ..sources.fixtures import write_fixture
@@ -464,14 +468,32 @@ def q_warc_scan(spark, sf):
     return _scan_view(_fixture_records(spark, sf, "warc.gz"))
 
 
-@query("scan_errors", f"""{RESP},
+@query("warc_scan_splits", _SCAN_SQL)
+def q_warc_scan_splits(spark, sf):
+    """The same rows, each file read in byte ranges by several tasks."""
+    return _scan_view(_fixture_records(spark, sf, "warc.gz", split_bytes=_SPLIT_BYTES))
+
+
+_ERRORS_SQL = f"""{RESP},
 f AS (SELECT warc_path, count(*) AS n, CAST(regexp_extract(warc_path, '-([0-9]+)[.]', 1) AS BIGINT) % 4 AS k
       FROM responses GROUP BY warc_path)
 SELECT warc_path, CASE k WHEN 0 THEN n WHEN 3 THEN 0 ELSE n - 1 END AS n_records,
        CASE k WHEN 0 THEN 0 ELSE 1 END AS n_errors, k = 3 AS missing
-FROM f""")
+FROM f"""
+
+
+@query("scan_errors", _ERRORS_SQL)
 def q_scan_errors(spark, sf):
     """Readable records and gaps of files of which some are corrupt, cut or missing."""
+    return _gaps(spark, sf)
+
+
+@query("scan_errors_splits", _ERRORS_SQL)
+def q_scan_errors_splits(spark, sf):
+    return _gaps(spark, sf, split_bytes=_SPLIT_BYTES)
+
+
+def _gaps(spark, sf, **opts):
     from ..session import scratch_dir
     from ..sources.fixtures import write_fixture
     from ..sources.warc import ERROR_TYPE, read_warc
@@ -479,7 +501,7 @@ def q_scan_errors(spark, sf):
     write_fixture(r, root, damage=True).count()
     # The list to read comes from the index, as in a run: it names missing files too.
     listed = [f"{root}/{x['warc_path']}" for x in _index_from_responses(spark, sf).select("warc_path").collect()]
-    got = read_warc(spark, listed, payload=False)
+    got = read_warc(spark, listed, payload=False, **opts)
     gap = F.col("rec_type").eqNullSafe(ERROR_TYPE)
     return got.groupBy(_rel(F.col("warc_path")).alias("warc_path")).agg(
         F.count_if(~gap).alias("n_records"), F.count_if(gap).cast("int").alias("n_errors"),

@@ -1,7 +1,13 @@
 """Record framing for web-archive files (WARC 0.x/1.x, ARC v1), streaming.
 
-Used only inside the ``warc`` data source's tasks: one file is read front to
-back with bounded memory (one record at a time), so any file size works.
+Used only inside the ``warc`` data source's tasks: a file, or a byte range of
+it, is read front to back. Memory is bounded whatever the size of the file and of
+its records: lines, record heads and kept payloads have a greatest size, and
+what is not kept is skipped as it streams by.
+
+* a reader of the byte range ``[start, end)`` owns the records whose offset lies
+  in it: it looks for the first record start at or after ``start`` and goes on
+  until the next record would start at or after ``end``;
 
 * ``.gz`` input may hold many gzip members (usually one per record); the
   offset of a record is the compressed offset of the member it starts in,
@@ -25,6 +31,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 CHUNK = 1 << 16   # small: what follows a gzip member in its chunk is copied once more
@@ -32,6 +39,8 @@ GZIP_START = b"\x1f\x8b\x08"
 WARC_START = re.compile(rb"WARC/[0-9.]+\r?\n")
 ARC_START = re.compile(rb"[a-z][a-z0-9+.-]*:[^ \r\n]* [^ \r\n]+ [0-9]{14} [^\r\n]+ [0-9]+\r?\n")
 LONGEST_START = 1 << 13
+MAX_HEAD = 1 << 20            # bytes of a header line, and of a block's HTTP head
+MAX_PAYLOAD = 256 << 20       # bytes of a payload, as stored and as decoded
 
 
 class DamagedError(ValueError):
@@ -51,14 +60,19 @@ class Damage:
 
 
 class ByteStream:
-    """Forward-only reader over plain or multi-member gzip bytes."""
+    """Forward-only reader over plain or multi-member gzip bytes.
+
+    ``raw`` stands at byte ``at`` of its file. It is read up to multiples of
+    ``chunk``, so that readers that start at different bytes see the same chunks.
+    """
 
-    def __init__(self, raw, gz: bool, chunk: int = CHUNK):
+    def __init__(self, raw, gz: bool, chunk: int = CHUNK, at: int = 0):
         self.raw, self.gz, self.chunk = raw, gz, chunk
         self.buf = bytearray()
         self.pos = 0              # read position in buf
-        self.base = 0             # decompressed offset of buf[0]
-        self.raw_pos = 0          # raw bytes consumed
+        self.base = 0 if gz else at   # (decompressed) offset of buf[0]
+        self.raw_pos = at         # raw bytes consumed
+        self.raw_read = at        # raw bytes read
         self.members: list[tuple[int, int]] = []   # (decompressed start, raw offset)
         self.eof = False
         self._d = None
@@ -66,6 +80,11 @@ class ByteStream:
         self._fed = b""           # the raw bytes fed last
 
     # -- filling
+    def _read_raw(self) -> bytes:
+        data = self.raw.read(self.chunk - self.raw_read % self.chunk) or b""
+        self.raw_read += len(data)
+        return data
+
     def _fill(self) -> bool:
         if self.eof:
             return False
@@ -73,14 +92,14 @@ class ByteStream:
             if self.gz:
                 if self._d is None:
                     if not self._pending:
-                        self._pending = self.raw.read(self.chunk) or b""
+                        self._pending = self._read_raw()
                         if not self._pending:
                             self.eof = True
                             return False
                     start_raw = self.raw_pos
                     self._d = zlib.decompressobj(31)
                     self.members.append((self.base + len(self.buf), start_raw))
-                data = self._pending or self.raw.read(self.chunk) or b""
+                data = self._pending or self._read_raw()
                 self._pending = b""
                 if not data:
                     self._d = None
@@ -102,12 +121,10 @@ class ByteStream:
                     self.buf += out
                     return True
             else:
-                data = self.raw.read(self.chunk)
+                data = self._read_raw()
                 if not data:
                     self.eof = True
                     return False
-                if not self.members:
-                    self.members.append((0, 0))
                 self.raw_pos += len(data)
                 self.buf += data
                 return True
@@ -135,14 +152,15 @@ class ByteStream:
         self._d = None
         while True:
             i = data.find(GZIP_START)
-            if i >= 0 and len(data) - i < LONGEST_START:
-                more = self.raw.read(self.chunk) or b""
+            while 0 <= i and len(data) - i < LONGEST_START:
+                more = self._read_raw()
                 data += more
                 if not more:
                     self.eof = True
+                    break
             if i < 0:
                 keep = len(GZIP_START) - 1
-                more = b"" if self.eof else self.raw.read(self.chunk) or b""
+                more = b"" if self.eof else self._read_raw()
                 if not more:
                     self.eof = True
                     self._drop(at + len(data))
@@ -180,6 +198,10 @@ class ByteStream:
         self.pos, self.raw_pos = 0, raw_pos
         self.members.clear()
 
+    def at_boundary(self) -> bool:
+        """Nothing is buffered, and no gzip member is open."""
+        return self._d is None and self.pos == len(self.buf)
+
     def tell(self) -> int:
         return self.base + self.pos
 
@@ -206,13 +228,17 @@ class ByteStream:
         return bytes(self.buf[self.pos:self.pos + n])
 
     def readline(self) -> bytes:
+        seen = 0
         while True:
-            i = self.buf.find(b"\n", self.pos)
+            i = self.buf.find(b"\n", self.pos + seen)
             if i >= 0:
                 line = bytes(self.buf[self.pos:i + 1])
                 self.pos = i + 1
                 self._compact()
                 return line
+            seen = len(self.buf) - self.pos
+            if seen > MAX_HEAD:
+                raise DamagedError(f"header line of more than {MAX_HEAD} bytes")
             if not self._fill():
                 line = bytes(self.buf[self.pos:])
                 self.pos = len(self.buf)
@@ -226,6 +252,49 @@ class ByteStream:
         self._compact()
         return out
 
+    def skip(self, n: int) -> int:
+        """Pass over ``n`` bytes, holding one chunk at a time; how many there were."""
+        left = n
+        while left:
+            here = len(self.buf) - self.pos
+            if here >= left:
+                self.pos += left
+                self._compact()
+                return n
+            left -= here
+            self.base += len(self.buf)
+            self.buf.clear()
+            self.pos = 0
+            if not self._fill():
+                break
+        return n - left
+
+
+class Block:
+    """The next ``length`` bytes of a stream, read piece by piece."""
+
+    def __init__(self, stream: ByteStream, length: str | None):
+        if not re.fullmatch("[0-9]+", length or "0"):
+            raise DamagedError(f"bad record length: {length[:40]}")
+        self.stream, self.left = stream, int(length or 0)
+
+    def read(self, n: int) -> bytes:
+        n = min(n, self.left)
+        out = self.stream.read(n)
+        if len(out) < n:
+            raise TruncatedError("truncated record block")
+        self.left -= n
+        return out
+
+    def peek(self, n: int) -> bytes:
+        return self.stream.peek(min(n, self.left))[:self.left]
+
+    def close(self) -> None:
+        """Pass over what has not been read."""
+        if self.stream.skip(self.left) < self.left:
+            raise TruncatedError("truncated record block")
+        self.left = 0
+
 
 @dataclass
 class Record:
@@ -278,83 +347,120 @@ def _dechunk(body: bytes) -> bytes:
             return bytes(out)
 
 
-def _inflate(body: bytes, wbits: int) -> bytes | None:
+class TooLargeError(ValueError):
+    """A payload beyond its greatest size."""
+
+    def __init__(self, most: int):
+        super().__init__(f"payload of more than {most} bytes")
+
+
+def _inflate(body: bytes, wbits: int, most: int = MAX_PAYLOAD) -> bytes | None:
     """All members of a compressed body; None if not even the first bytes fit."""
     out, data = bytearray(), body
     while data:
         d = zlib.decompressobj(wbits)
-        part = bytearray()
+        at, fed = 0, data[:CHUNK]
         try:
-            for i in range(0, len(data), CHUNK):
-                part += d.decompress(data[i:i + CHUNK])
-                if d.eof:
-                    break
+            while fed and not d.eof:
+                out += d.decompress(fed, CHUNK)
+                if len(out) > most:
+                    raise TooLargeError(most)
+                fed = d.unconsumed_tail
+                if not fed:
+                    at += CHUNK
+                    fed = data[at:at + CHUNK]
         except zlib.error:
             # after complete members: trailing bytes that are no member
-            return bytes(out + part) if out or part else None
-        out += part
+            return bytes(out) if out else None
         if not d.eof:
+            out += d.flush()
             return bytes(out)
-        rest = d.unused_data + data[i + CHUNK:]
+        rest = d.unused_data + data[at + CHUNK:]
         data = rest if wbits == 31 and rest.startswith(GZIP_START[:2]) else b""
     return bytes(out)
 
 
-def _decode_body(body: bytes, headers) -> tuple[bytes, str | None]:
+def _decode_body(body: bytes, headers, most: int = MAX_PAYLOAD) -> tuple[bytes | None, str | None]:
     te = (_get(headers, "Transfer-Encoding") or "").lower()
     ce = (_get(headers, "Content-Encoding") or "").lower()
     if "chunked" in te:
         body = _dechunk(body)
     for coding in reversed([c.strip() for c in ce.split(",")]):
-        if coding in ("gzip", "x-gzip"):
-            found = _inflate(body, 31)
-        elif coding == "deflate":
-            found = _inflate(body, 15)
-            if found is None:
-                found = _inflate(body, -15)
-        elif coding in ("", "identity"):
-            continue
-        else:
-            return body, f"unsupported content-encoding {coding}"
+        try:
+            if coding in ("gzip", "x-gzip"):
+                found = _inflate(body, 31, most)
+            elif coding == "deflate":
+                found = _inflate(body, 15, most)
+                if found is None:
+                    found = _inflate(body, -15, most)
+            elif coding in ("", "identity"):
+                continue
+            else:
+                return body, f"unsupported content-encoding {coding}"
+        except TooLargeError as e:
+            return None, str(e)
         if found is None:  # stored in another coding than declared
             break
         body = found
     return body, None
 
 
-def _split_http(block: bytes, is_response: bool):
-    """(status, headers, body) of an HTTP message; status None for requests."""
-    head_end = block.find(b"\r\n\r\n")
-    sep = 4
-    if head_end < 0:
-        head_end = block.find(b"\n\n")
-        sep = 2
-    if head_end < 0:
-        head, body = block, b""
-    else:
-        head, body = block[:head_end], block[head_end + sep:]
-    lines = head.split(b"\n")
-    first = lines[0].decode("utf-8", "replace").strip() if lines else ""
+def _http_head(block: Block) -> bytes:
+    """An HTTP message's head, read from its block up to the blank line; without
+    one, the first ``MAX_HEAD`` bytes of the block."""
+    size = 1 << 13
+    while True:
+        seen = block.peek(size)
+        ends = [i + len(sep) for sep in (b"\r\n\r\n", b"\n\n") if (i := seen.find(sep)) >= 0]
+        if ends or len(seen) < size or size >= MAX_HEAD:
+            return block.read(min(ends) if ends else len(seen))
+        size = min(size * 8, MAX_HEAD)
+
+
+def _parse_head(head: bytes, is_response: bool):
+    """(status, headers) of an HTTP message; status None for requests."""
+    lines = head.rstrip(b"\r\n").split(b"\n")
+    first = lines[0].decode("utf-8", "replace").strip()
     status = None
     if is_response and first.upper().startswith("HTTP/"):
         parts = first.split(None, 2)
-        if len(parts) > 1 and parts[1].isdigit():
+        if len(parts) > 1 and re.fullmatch("[0-9]{1,9}", parts[1]):
             status = int(parts[1])
-    return status, _parse_header_lines(lines[1:]), body
+    return status, _parse_header_lines(lines[1:])
 
 
 HTTP_TYPES = ("response", "request", "revisit")
 
 
-def _finish_http(rec: Record, block: bytes, wants):
+@dataclass
+class Reading:
+    """How the records of a file, or of a byte range of it, are read."""
+
+    arc: bool | None = None                # ARC v1; None: by the first line
+    wants: Callable[[Record], bool] = lambda rec: True   # from its headers: is a record's payload read?
+    end: int | None = None                 # offset from which on records are another reader's
+    max_payload: int = MAX_PAYLOAD
+
+
+def _take(rec: Record, block: Block, how: Reading) -> bytes | None:
+    """The rest of the block if it is wanted and not too large."""
+    if not how.wants(rec):
+        return None
+    if block.left > how.max_payload:
+        rec.payload_error = str(TooLargeError(how.max_payload))
+        return None
+    return block.read(block.left)
+
+
+def _finish_http(rec: Record, block: Block, how: Reading):
     ct = (_get(rec.rec_headers, "Content-Type") or "").lower()
     if rec.rec_type in HTTP_TYPES and ct.startswith("application/http"):
-        status, hdrs, body = _split_http(block, rec.rec_type != "request")
-        rec.http_status, rec.http_headers = status, hdrs
-        if wants(rec):
-            rec.payload, rec.payload_error = _decode_body(body, hdrs)
-    elif wants(rec):
-        rec.payload = block
+        rec.http_status, rec.http_headers = _parse_head(_http_head(block), rec.rec_type != "request")
+        body = _take(rec, block, how)
+        if body is not None:
+            rec.payload, rec.payload_error = _decode_body(body, rec.http_headers, how.max_payload)
+    else:
+        rec.payload = _take(rec, block, how)
 
 
 def _arc_date(d: str) -> str | None:
@@ -363,81 +469,88 @@ def _arc_date(d: str) -> str | None:
     return None
 
 
-def iter_records(stream: ByteStream, arc: bool | None = None, wants=lambda rec: True):
-    """Yield a :class:`Record` or :class:`Damage` for each record, in file order.
+@dataclass
+class Stop:
+    """Offset of the first record that belongs to the next reader; None at the file's end."""
+
+    offset: int | None
 
-    ``wants(record)`` tells, from its headers, whether its payload is read.
-    """
+
+def iter_records(stream: ByteStream, how: Reading | None = None, resync: bool = False):
+    """Yield a :class:`Record` or :class:`Damage` for each record, in file order,
+    and a :class:`Stop` at the end. With ``resync`` the first one is looked for."""
+    how = how or Reading()
+    start = ARC_START if how.arc else WARC_START
+    if resync and not stream.resync(start):
+        yield Stop(None)
+        return
     while True:
-        offset = stream.raw_pos
+        offset = stream.raw_pos if stream.at_boundary() else stream.raw_offset()
         try:
             # blank lines between records
             while stream.peek(2) == b"\r\n" or stream.peek(1) == b"\n":
                 stream.readline()
+            if not stream.peek(1):
+                yield Stop(None)
+                return
             offset = stream.raw_offset()
-            first = stream.readline()
-            if not first:
+            if how.end is not None and offset >= how.end:
+                yield Stop(offset)
                 return
+            first = stream.readline()
             text = first.decode("utf-8", "replace").strip()
-            is_arc = arc if arc is not None else not text.startswith("WARC/")
-            read = _arc_record if is_arc else _warc_record
-            rec = read(stream, text, offset, wants)
+            is_arc = how.arc if how.arc is not None else not text.startswith("WARC/")
+            rec = (_arc_record if is_arc else _warc_record)(stream, text, offset, how)
             stream.settle()
         except ValueError as e:
             yield Damage(offset, str(e))
-            if not stream.resync(ARC_START if arc else WARC_START):
+            if not stream.resync(start):
+                yield Stop(None)
                 return
         else:
             yield rec
 
 
-def _block(stream: ByteStream, length: str | None) -> bytes:
-    if not re.fullmatch("[0-9]+", length or "0"):
-        raise DamagedError(f"bad record length: {length[:40]}")
-    n = int(length or 0)
-    block = stream.read(n)
-    if len(block) < n:
-        raise TruncatedError("truncated record block")
-    return block
-
-
-def _warc_record(stream: ByteStream, text: str, offset: int, wants) -> Record:
-    lines = []
+def _warc_record(stream: ByteStream, text: str, offset: int, how: Reading) -> Record:
+    lines, size = [], 0
     while True:
         line = stream.readline()
         if not line:
             raise TruncatedError("truncated record headers")
         if line in (b"\r\n", b"\n"):
             break
+        size += len(line)
+        if size > MAX_HEAD:
+            raise DamagedError(f"record headers of more than {MAX_HEAD} bytes")
         lines.append(line)
     hdrs = _parse_header_lines(lines)
-    block = _block(stream, _get(hdrs, "Content-Length"))
     rec = Record(_get(hdrs, "WARC-Type"), offset, hdrs)
-    _finish_http(rec, block, wants)
+    block = Block(stream, _get(hdrs, "Content-Length"))
+    _finish_http(rec, block, how)
+    block.close()
     return rec
 
 
-def _arc_record(stream: ByteStream, text: str, offset: int, wants) -> Record:
+def _arc_record(stream: ByteStream, text: str, offset: int, how: Reading) -> Record:
     parts = text.split(" ")
     if len(parts) < 5 or not parts[-1].isdigit():
         raise DamagedError(f"bad record start: {text[:80]}")
     url, ip, date, mime, length = (parts[0], parts[1], parts[2], " ".join(parts[3:-1]), parts[-1])
-    block = _block(stream, length)
+    block = Block(stream, length)
     if url.startswith("filedesc://"):
         rec = Record("warcinfo", offset, [
             ("WARC-Type", "warcinfo"), ("WARC-Date", _arc_date(date) or ""),
             ("Content-Type", "text/plain"), ("Content-Length", length)])
-        if wants(rec):
-            rec.payload = block
-        return rec
-    rec = Record("response", offset, [
-        ("WARC-Type", "response"), ("WARC-Target-URI", url), ("WARC-Date", _arc_date(date) or ""),
-        ("WARC-IP-Address", ip), ("Content-Type", "application/http; msgtype=response"),
-        ("Content-Length", length)])
-    if block[:5].upper() == b"HTTP/":
-        _finish_http(rec, block, wants)
+        rec.payload = _take(rec, block, how)
     else:
-        rec.http_headers = [("Content-Type", mime)]
-        if wants(rec):
-            rec.payload = block
+        rec = Record("response", offset, [
+            ("WARC-Type", "response"), ("WARC-Target-URI", url), ("WARC-Date", _arc_date(date) or ""),
+            ("WARC-IP-Address", ip), ("Content-Type", "application/http; msgtype=response"),
+            ("Content-Length", length)])
+        if block.peek(5).upper() == b"HTTP/":
+            _finish_http(rec, block, how)
+        else:
+            rec.http_headers = [("Content-Type", mime)]
+            rec.payload = _take(rec, block, how)
+    block.close()
     return rec

@@ -1,10 +1,12 @@
 """``spark.read.format("warc")``: web-archive files as a DataFrame.
 
-One input partition per file (a compressed archive is not splittable), so a
-day of 9-20 files or a month of ~500 spreads over as many tasks; each task
-streams its file and yields Arrow batches of ``batch_size`` records or about
-``batch_bytes`` bytes, so memory is bounded by a batch (and one record), never
-by a file.
+One input partition per file, or, with ``read_warc(split_bytes=...)``, one per
+byte range of at most about that size: archives are compressed record by record
+(or not at all), so a task can find the first record of its range and read on to
+the first one of the next. A task streams its range and yields Arrow batches of
+``batch_size`` records or about ``batch_bytes`` bytes; a record's head and payload
+have a greatest size and what is not wanted is skipped, so memory is bounded,
+whatever the size of files and records.
 
 Files are opened through pyarrow, not through Hadoop: credentials and
 endpoints come from the environment of the executors, not from
@@ -28,6 +30,11 @@ Options:
                             the next record that can be found; a missing or
                             unreadable file yields one such row; ``FAILFAST``
                             raises in all these cases
+``max_payload``             greatest size of a payload in bytes, as stored and
+                            as decoded (default 256 MiB); a larger one (such as
+                            a decompression bomb) is a ``payload_error``
+``splits``                  JSON object: byte ranges of files, from
+                            :func:`plan_splits`
 ``batch_size``              records per Arrow batch (default 256)
 ``batch_bytes``             payload bytes after which a batch is given out
                             (default 32 MiB)
@@ -57,9 +64,14 @@ _GLOB = re.compile(r"[*?\[]")
 
 
 class FilePartition(InputPartition):
-    def __init__(self, path: str, size: int | None, missing: bool = False):
-        super().__init__(path)
+    """A file, or the records of it that start in the bytes ``[start, end)``, of
+    which ``base`` records stand before."""
+
+    def __init__(self, path: str, size: int | None, missing: bool = False,
+                 start: int = 0, end: int | None = None, base: int = 0):
+        super().__init__((path, start))
         self.path, self.size, self.missing = path, size, missing
+        self.start, self.end, self.base = start, end, base
 
 
 def _fs_and_path(uri: str):
@@ -156,21 +168,20 @@ class WarcReader(DataSourceReader):
             files = stat_files(json.loads(self.options["paths"]))
         else:
             files = stat_files([p.strip() for p in self.options.get("path", "").split(",") if p.strip()])
-        return [FilePartition(*f) for f in files]
+        splits = json.loads(self.options.get("splits") or "{}")
+        return [FilePartition(*f, *cut) for f in files for cut in splits.get(f[0], [()])]
 
     # ---- execution (executors)
     def read(self, partition: FilePartition):
         import pyarrow as pa
-        from .framing import ByteStream, Damage, iter_records
+        from .framing import MAX_PAYLOAD, Damage, Reading, Stop
 
         opts = self.options
         limit = int(opts["limit"]) if opts.get("limit") not in (None, "") else None
         if self.max_idx is not None:
             limit = self.max_idx if limit is None else min(limit, self.max_idx)
-        arc_opt = opts.get("arc")
         path = partition.path
-        arc = (arc_opt.lower() == "true") if arc_opt else (
-            True if path.lower().endswith((".arc", ".arc.gz")) else None)
+        how = Reading(is_arc(path, opts.get("arc")), _wants(opts), partition.end, int(opts.get("max_payload", MAX_PAYLOAD)))
         failfast = str(opts.get("mode", "PERMISSIVE")).upper() == "FAILFAST"
         batch, batch_bytes = int(opts.get("batch_size", 256)), int(opts.get("batch_bytes", 32 << 20))
         schema = _arrow_schema()
@@ -191,27 +202,24 @@ class WarcReader(DataSourceReader):
             if partition.missing:
                 yield Damage(0, "missing file")
                 return
-            try:
-                fs, p = _fs_and_path(path)
-                with fs.open_input_stream(p, compression=None) as raw:
-                    head = raw.read(2)
-                    stream = ByteStream(_Rejoined(head, raw), head == b"\x1f\x8b")
-                    yield from iter_records(stream, arc, _wants(opts))
-            except OSError as e:
-                yield Damage(0, f"{type(e).__name__}: {e}")
+            yield from read_range(path, partition.start, how)
 
+        if limit is not None:
+            limit -= partition.base
         if limit is not None and limit <= 0:
             return
         idx = held = 0
         for rec in records():
+            if isinstance(rec, Stop):
+                break
             if isinstance(rec, Damage):
                 if failfast or self.rec_types is None or ERROR_TYPE in self.rec_types:
-                    rows.append(error(idx, rec.offset, rec.message))
+                    rows.append(error(partition.base + idx, rec.offset, rec.message))
                 continue
             if (self.rec_types is None or rec.rec_type in self.rec_types) and not (
                     self.type_not_null and rec.rec_type is None):
                 rows.append(row(
-                    idx, rec.offset, rec.rec_type, rec_headers=_hdrs(rec.rec_headers),
+                    partition.base + idx, rec.offset, rec.rec_type, rec_headers=_hdrs(rec.rec_headers),
                     http_status=rec.http_status, http_headers=_hdrs(rec.http_headers),
                     payload=rec.payload, payload_error=rec.payload_error))
                 held += len(rec.payload or b"")
@@ -225,17 +233,100 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-class _Rejoined:
-    """A stream with its first bytes, already read, put back."""
+def is_arc(path: str, option: str | None) -> bool | None:
+    """ARC v1 by option or file name; None: by the first line."""
+    if option:
+        return str(option).lower() == "true"
+    return True if path.lower().endswith((".arc", ".arc.gz")) else None
+
+
+def read_range(path: str, start: int, how):
+    """Records, damage and the stop of a file from its byte ``start`` on."""
+    from .framing import ByteStream, Damage, Stop, iter_records
+    try:
+        fs, p = _fs_and_path(path)
+        with fs.open_input_file(p) as raw:
+            gz = raw.read(2) == b"\x1f\x8b"
+            at = start if gz else max(start - 1, 0)   # a plain range starts after a line end
+            raw.seek(at)
+            yield from iter_records(ByteStream(raw, gz, at=at), how, resync=start > 0)
+    except OSError as e:
+        yield Damage(start, f"{type(e).__name__}: {e}")
+        yield Stop(None)
+
 
-    def __init__(self, first: bytes, rest):
-        self.first, self.rest = first, rest
+# ---- splits (driver): planned like a file listing, from a few numbers a range
 
-    def read(self, n: int) -> bytes:
-        if self.first:
-            out, self.first = self.first, b""
-            return out + self.rest.read(max(n - len(out), 0))
-        return self.rest.read(n)
+RANGE = "path string, start long, end long"
+COUNTED = f"{RANGE}, first long, stop long, records long"
+
+
+def _count_ranges(batches):
+    """One row per range: offset of its first record, where the next reader's begin,
+    and the number of records, from heads alone."""
+    import pyarrow as pa
+    from .framing import Damage, Reading, Record, Stop
+    for batch in batches:
+        rows = []
+        for r in batch.to_pylist():
+            first = stop = None
+            records = 0
+            for x in read_range(r["path"], r["start"], Reading(r["arc"], lambda rec: False, r["end"])):
+                if isinstance(x, Stop):
+                    stop = x.offset
+                else:
+                    first = x.offset if first is None else first
+                    records += isinstance(x, Record)
+            if first is None:
+                first = stop
+            rows.append({k: r[k] for k in ("path", "start", "end")} | {"first": first, "stop": stop, "records": records})
+        yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([(n, pa.string() if n == "path" else pa.int64()) for n in (
+            "path", "start", "end", "first", "stop", "records")]))
+
+
+def plan_splits(spark, paths: list[str], split_bytes: int, arc: str | None = None) -> dict[str, list[list[int | None]]]:
+    """``{path: [[start, end, base], ...]}`` for the files larger than ``split_bytes``.
+
+    One Spark job reads each range's record heads. A range is good if the
+    next one begins where it stopped; where a range took bytes inside a record
+    for a record's start, or the other way, it is joined with its neighbour and
+    read again, so that the ranges together hold exactly the rows of the whole
+    file. ``base`` is the number of records before a range, so that
+    ``rec_idx`` is the record's place in its file.
+    """
+    if split_bytes < 1:
+        raise ValueError("split_bytes must be positive.")
+    plan = {}
+    for path, size, missing in stat_files(paths):
+        if not missing and size and size > split_bytes:
+            n = -(-size // split_bytes)
+            cuts = [size * i // n for i in range(n)]
+            plan[path] = list(zip(cuts, [*cuts[1:], None]))
+    found: dict[tuple, tuple] = {}
+    while True:
+        todo = [(p, a, b, is_arc(p, arc)) for p, ranges in plan.items() for a, b in ranges if (p, a, b) not in found]
+        if not todo:
+            break
+        work = spark.createDataFrame(todo, RANGE + ", arc boolean").repartition(len(todo))
+        for r in work.mapInArrow(_count_ranges, COUNTED).collect():
+            found[r["path"], r["start"], r["end"]] = (r["first"], r["stop"], r["records"])
+        for path, ranges in plan.items():
+            joined = [ranges[0]]
+            before = ranges[0]
+            for a, b in ranges[1:]:
+                if found[path, a, b][0] == found[(path, *before)][1]:
+                    joined.append((a, b))
+                else:
+                    joined[-1] = (joined[-1][0], b)
+                before = (a, b)
+            plan[path] = joined
+    out = {}
+    for path, ranges in plan.items():
+        base, out[path] = 0, []
+        for a, b in ranges:
+            out[path].append([a, b, base])
+            base += found[path, a, b][2]
+    return out
 
 
 def _wants(opts: dict):
@@ -249,6 +340,8 @@ def _wants(opts: dict):
 
     def html(rec) -> bool:
         url, kind = _get(rec.rec_headers, "WARC-Target-URI"), _get(rec.http_headers, "Content-Type")
+        if url is not None and url[:1] == "<" and url[-1:] == ">":
+            url = url[1:-1]
         # wider than the record test (which decides): no valid record is left out
         return (rec.rec_type == "response" and url is not None and kind is not None
                 and kind.lower().startswith("text/html;") and "utf-8" in kind.lower()
@@ -303,9 +396,16 @@ def register(spark) -> None:
     spark.dataSource.register(WarcDataSource)
 
 
-def read_warc(spark, paths, **options):
-    """Records of the given archive files (path, glob, dir, or list of them)."""
+def read_warc(spark, paths, split_bytes: int | None = None, **options):
+    """Records of the given archive files (path, glob, dir, or list of them).
+
+    ``split_bytes`` reads files larger than that by several tasks, at the price of
+    one more pass over them that reads heads only (see :func:`plan_splits`).
+    """
     register(spark)
+    if split_bytes is not None:
+        listed = list(paths) if isinstance(paths, (list, tuple)) else [p.strip() for p in paths.split(",") if p.strip()]
+        options["splits"] = json.dumps(plan_splits(spark, listed, split_bytes, options.get("arc")))
     r = spark.read.format(NAME)
     push = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     r = r.option("pushdown", str(push).lower())
