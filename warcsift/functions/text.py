@@ -88,10 +88,15 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, WS_RUN_RX, " "))
 
 
+BR_RX = "(?i)<br(?:[\\x{9}-\\x{D} /][^>]*)?>"
+# A '<' before anything else is text.
+TAG_RX = "<[A-Za-z/!?][^>]*>"
+
+
 def strip_tags(c: Column) -> Column:
     """Drop markup: line breaks become blanks, other tags vanish."""
-    out = F.regexp_replace(c, "(?i)<br(?:[\\x{9}-\\x{D} /][^>]*)?>", " ")
-    return F.when(F.contains(c, F.lit("<")), F.regexp_replace(out, "<[^>]*>", "")).otherwise(c)
+    out = F.regexp_replace(c, BR_RX, " ")
+    return F.when(F.contains(c, F.lit("<")), F.regexp_replace(out, TAG_RX, "")).otherwise(c)
 
 
 def html_text(c: Column) -> Column:

@@ -8,16 +8,26 @@ for inspection and checks only.
 
 Rules (ours; they keep the outputs and failure rules of the reference job):
 
-* comments, then ``script style noscript head nav footer aside`` elements
-  are removed;
-* an opening ``article section main div td`` tag starts a new *section*;
-  those and the other block tags below start a new *block*;
+* comments and the elements whose content is no markup (``script style`` and the
+  like) are removed in one pass from left to right; one that is never closed ends
+  with the page;
+* block tags split the page into pieces, and a fold over the pieces keeps the
+  stack of open elements, as HTML does: a block tag ends an open ``p``, an ``li``
+  the ``li`` before it, a table cell the one before it, and so on; an end tag
+  closes its nearest open element, with what is open inside it, but none outside
+  of its table; other end tags are ignored; what is never closed ends with
+  its parent;
+* a piece is a *block* of the innermost open element; its *path* is the ids of
+  the open ``article section main div td`` elements (containers) round it, from
+  the page itself, 0; an id is the number of the piece that the element opens. Pieces
+  inside ``head nav footer aside`` are dropped;
 * block text = tags stripped (``<br>`` -> blank), entities decoded, blanks
   squeezed; anchors give the link count and the link words;
 * a block is *good* when it is not an ``h1``, has more than 2 stop words and
   ``link_words * n_links < n_words`` (low link density);
-* the section with the largest sum of stop words over its good blocks wins
-  (ties -> lower section); its good blocks joined by a blank line are the
+* a good block's score goes to its container, and half of it to the next one
+  outward; the container with the largest sum wins (ties -> the one that opens
+  first); the good blocks anywhere inside it, joined by a blank line, are the
   main text ('' if there is none).
 """
 
@@ -29,24 +39,51 @@ from ..functions.text import (once, html_text, squeeze, unescape_entities, word_
                               date_text)
 from .stopwords import STOP_WORDS
 
-C_SEC, C_BLK, C_TAG = "\x03", "\x01", "\x02"
+C_BLK, C_TAG = "\x01", "\x02"
 
-# Tag sets.
-DROP_TAGS = ("script", "style", "noscript", "head", "nav", "footer", "aside")
+# Tag sets of HTML.
+RAW_TAGS = ("script", "style", "noscript", "textarea", "title", "iframe", "xmp", "noembed", "noframes")
+DROP_TAGS = ("head", "nav", "footer", "aside")
 CONTAINER_TAGS = ("article", "section", "main", "div", "td")
-BLOCK_TAGS = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "th", "tr", "table",
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+BLOCK_TAGS = ("p", *HEADINGS, "li", "th", "tr", "table",
               "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "header",
               "figure", "figcaption")
+STACK_TAGS = DROP_TAGS + CONTAINER_TAGS + BLOCK_TAGS
+TABLE_SCOPE = ("table", "td", "th")
+MAX_DEPTH = 100  # elements opened deeper are not put on the stack
+
+
+def _but(*tags: str) -> tuple[str, ...]:
+    return tuple(t for t in STACK_TAGS if t not in tags)
+
+
+# What a tag closes: the nearest open element of the first set, unless one of the second
+# set is nearer. Start tags then also end an open p (or head) at the top of the stack,
+# headings an open heading too.
+OPEN_RULES = {"li": (("li",), _but("li", "p", "div")),
+              "dt": (("dt", "dd"), _but("dt", "dd", "p", "div")),
+              "dd": (("dt", "dd"), _but("dt", "dd", "p", "div")),
+              "tr": (("tr",), ("table",)),
+              "td": (("td", "th"), ("tr", "table")),
+              "th": (("td", "th"), ("tr", "table")),
+              "body": (("head",), ())}
+END_RULES = {t: ((t,), tuple(x for x in TABLE_SCOPE if x != t)) for t in STACK_TAGS} | {
+    **{h: (HEADINGS, TABLE_SCOPE) for h in HEADINGS},
+    "li": (("li",), ("ul", "ol", *TABLE_SCOPE)),
+    "dt": (("dt",), ("dl", *TABLE_SCOPE)), "dd": (("dd",), ("dl", *TABLE_SCOPE)),
+    "tr": (("tr",), ("table",)), "td": (("td",), ("tr", "table")), "th": (("th",), ("tr", "table")),
+    "table": (("table",), ()), "head": (("head",), ())}
 
 # "tag name ends here": optional blank or slash plus attributes, then '>'
 _TAG_END = "(?:[\\x{9}-\\x{D} /][^>]*)?>"
+# Put after a page, so that a tag that is never finished ends there.
+PAGE_END = "<!>"
 
-COMMENT_RX = "(?s)<!--.*?-->"
-DROP_RX = "(?is)" + "|".join(
-    f"<{t}{_TAG_END}.*?</{t}[\\x{{9}}-\\x{{D}} ]*>" for t in DROP_TAGS)
-OPEN_CONTAINER_RX = "(?i)<(" + "|".join(CONTAINER_TAGS) + ")" + _TAG_END
-BLOCK_RX = "(?i)<(/?)(" + "|".join(BLOCK_TAGS + CONTAINER_TAGS) + ")" + _TAG_END
-ANCHOR_RX = "(?is)<a" + _TAG_END + "(.*?)</a[\\x{9}-\\x{D} ]*>"
+RAW_RX = "(?is)<!--.*?(?:-->|\\z)|" + "|".join(
+    f"<{t}{_TAG_END}.*?(?:</{t}[\\x{{9}}-\\x{{D}} ]*>|\\z)" for t in RAW_TAGS)
+BLOCK_RX = "(?i)<(/?)(body|" + "|".join(STACK_TAGS) + ")" + _TAG_END
+ANCHOR_RX = "(?is)<a" + _TAG_END + "(.*?)(?:</a[\\x{9}-\\x{D} ]*>|\\z)"
 TITLE_RX = "(?is)<title" + _TAG_END + "(.*?)</title[\\x{9}-\\x{D} ]*>"
 OG_TITLE_RX = ("(?is)<meta[^>]*property=[\"']og:title[\"'][^>]*content=[\"']"
                "([^\"']*)[\"']")
@@ -73,13 +110,12 @@ TITLE_SPLITTERS = ("|", " - ", "_", " / ", " » ")
 
 
 def clean_html(html: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(html, COMMENT_RX, " "), DROP_RX, " ")
+    return F.regexp_replace(F.concat(html, F.lit(PAGE_END)), RAW_RX, " ")
 
 
 def marked_html(html: Column) -> Column:
-    """Block tags rewritten to markers: \\x03 = new section, \\x01 tag \\x02 = new block."""
-    m = F.regexp_replace(clean_html(html), OPEN_CONTAINER_RX, C_SEC + C_BLK + "$1" + C_TAG)
-    return F.regexp_replace(m, BLOCK_RX, C_BLK + "$1$2" + C_TAG)
+    """Block tags rewritten to markers: \\x01 tag \\x02 (end tags with their slash)."""
+    return F.regexp_replace(clean_html(html), BLOCK_RX, C_BLK + "$1$2" + C_TAG)
 
 
 def _stop_count(text: Column) -> Column:
@@ -87,35 +123,120 @@ def _stop_count(text: Column) -> Column:
     return F.size(F.filter(words, lambda w: w.isin(*STOP_WORDS)))
 
 
+# --- the stack of open elements ---------------------------------------------------------------
+
+_BIT = {t: 1 << i for i, t in enumerate(STACK_TAGS)}
+_STACK = "array<struct<bit:bigint,tag:string,id:int,dropped:boolean>>"
+_CHUNK = 64
+
+
+def _bits(tags) -> int:
+    return sum(_BIT[t] for t in set(tags))
+
+
+_RULE = ("near", "stop", "top", "top2", "own")
+
+
+def _tag_rules() -> Column:
+    """MAP of a marked tag to what it does to the stack: the sets of its rule, of the
+    two elements that it ends at the top, and its own bit if it opens an element."""
+    none = ((), ())
+    entries = []
+    for tag in ("body", *STACK_TAGS):
+        tops = _bits(("p", "head")), _bits(HEADINGS if tag in HEADINGS else ())
+        for name, (near, stop), top, own in ((tag, OPEN_RULES.get(tag, none), tops, _BIT.get(tag, 0)),
+                                             ("/" + tag, END_RULES.get(tag, none), (0, 0), 0)):
+            values = zip(_RULE, (_bits(near), _bits(stop), *top, own), strict=True)
+            entries.append(f"'{name}', named_struct({', '.join(f'{k!r}, {v}L' for k, v in values)})")
+    return F.expr(f"map({', '.join(entries)})")  # one literal
+
+
+def _has(element: Column, mask: Column | int) -> Column:
+    return element["bit"].bitwiseAND(mask) != 0
+
+
+def _pop(stack: Column, k: Column | int) -> Column:
+    return F.slice(stack, F.lit(1) + k, F.greatest(F.size(stack), F.lit(1)))
+
+
+def _step(stack: Column, e: Column) -> Column:
+    """The stack (innermost element first) after the tag of piece ``e``."""
+    def closed(s):
+        place = F.array_position(F.transform(s, lambda x: _has(x, e["near"].bitwiseOR(e["stop"]))), True).cast("int")
+        return F.when(e["near"] == 0, s).otherwise(once(place, lambda at: F.when(
+            (at > 0) & _has(F.get(s, at - 1), e["near"]), _pop(s, at)).otherwise(s)))
+
+    def without_top(s, mask):
+        return F.when(_has(F.get(s, F.lit(0)), mask), _pop(s, 1)).otherwise(s)
+
+    def opened(s):
+        outer = F.get(s, F.lit(0))
+        new = F.struct(
+            e["own"].alias("bit"), e["tag"].alias("tag"), e["pos"].alias("id"),
+            (F.coalesce(outer["dropped"], F.lit(False)) | (e["own"].bitwiseAND(_bits(DROP_TAGS)) != 0)).alias("dropped"))
+        return F.when((e["own"] != 0) & (F.size(s) < MAX_DEPTH), F.array_prepend(s, new)).otherwise(s)
+
+    return once(closed(stack), lambda a: once(without_top(a, e["top"]), lambda b: once(
+        without_top(b, e["top2"]), opened)))
+
+
+def _inside(pieces: Column) -> Column:
+    """For each piece the innermost open element's tag, whether it is dropped, and its path.
+
+    The fold runs twice, so that no array grows with the page inside it: over
+    chunks for the stack at the start of each, then within each chunk.
+    """
+    empty = F.array().cast(_STACK)
+    part = lambda c: F.slice(pieces, c * _CHUNK + 1, F.lit(_CHUNK))
+
+    def element(stack):
+        top = F.get(stack, F.lit(0))
+        ids = F.transform(F.filter(stack, lambda x: _has(x, _bits(CONTAINER_TAGS))), lambda x: x["id"])
+        return F.struct(F.coalesce(top["tag"], F.lit("")).alias("tag"), F.coalesce(top["dropped"], F.lit(False)).alias("dropped"),
+                        F.reverse(F.array_append(ids, F.lit(0))).alias("path"))
+
+    last = F.floor((F.size(pieces) - 1) / _CHUNK).cast("int")
+    starts = F.aggregate(
+        F.slice(F.sequence(F.lit(0), last), F.lit(1), last),
+        F.struct(F.array().cast(f"array<{_STACK}>").alias("all"), empty.alias("stack")),
+        lambda acc, c: F.struct(F.array_append(acc["all"], acc["stack"]).alias("all"),
+                                F.aggregate(part(c), acc["stack"], _step).alias("stack")),
+        lambda acc: F.array_append(acc["all"], acc["stack"]))
+    none = F.array().cast("array<struct<tag:string,dropped:boolean,path:array<int>>>")
+    return F.flatten(F.transform(starts, lambda stack, c: F.aggregate(
+        part(c), F.struct(stack.alias("stack"), none.alias("out")),
+        lambda acc, e: once(_step(acc["stack"], e), lambda s: F.struct(
+            s.alias("stack"), F.array_append(acc["out"], element(s)).alias("out"))),
+        lambda acc: acc["out"])))
+
+
 def blocks(html: Column) -> Column:
-    """ARRAY<STRUCT<pos, section, tag, text, n_words, n_stop, link_words, n_links>>.
+    """ARRAY<STRUCT<pos, section, path, tag, text, n_words, n_stop, link_words, n_links>>.
 
     Only blocks with non-empty text are kept; ``pos`` is the block's index
-    among all pieces of the page, so it orders blocks.
+    among all pieces of the page, so it orders blocks; ``section`` is the last
+    of its path.
     """
-    sections = F.split(marked_html(html), C_SEC)
-    pieces = F.flatten(F.transform(
-        sections,
-        lambda sec, s: F.transform(
-            F.split(sec, C_BLK),
-            lambda p: F.struct(s.alias("section"), p.alias("piece")))))
-
-    def split_piece(b, i):
-        p = b["piece"]
+    rules = _tag_rules()
+    still = F.struct(*[F.lit(0).cast("long").alias(k) for k in _RULE])
+
+    def split_piece(p, i):
         at = F.instr(p, C_TAG)
-        body = F.when(at > 0, F.substr(p, at + 1)).otherwise(p)
-        return F.struct(
-            i.alias("pos"), b["section"].alias("section"),
-            F.when(at > 0, F.lower(F.substring(p, F.lit(1), at - 1))).otherwise(F.lit(""))
-            .alias("tag"),
-            body.alias("body"),
-            F.regexp_extract_all(body, F.lit(ANCHOR_RX), F.lit(1)).alias("anchors"))
+        tag = F.when(at > 0, F.lower(F.substring(p, F.lit(1), at - 1))).otherwise(F.lit(""))
+        return once(tag, lambda t: once(F.coalesce(F.try_element_at(rules, t), still), lambda r: F.struct(
+            i.alias("pos"), t.alias("tag"), *[r[k].alias(k) for k in _RULE],
+            F.when(at > 0, F.substr(p, at + 1)).otherwise(p).alias("body"))))
 
-    split = F.transform(pieces, split_piece)
+    def placed(pieces):
+        return F.filter(F.transform(_inside(pieces), lambda e, i: once(F.get(pieces, i)["body"], lambda body: F.struct(
+            i.alias("pos"), e["dropped"].alias("dropped"), e["path"].alias("path"), e["tag"].alias("tag"), body.alias("body"),
+            F.regexp_extract_all(body, F.lit(ANCHOR_RX), F.lit(1)).alias("anchors")))), lambda b: ~b["dropped"])
+
+    split = once(F.transform(F.split(marked_html(html), C_BLK), split_piece), placed)
 
     def texts(b):
         return F.struct(
-            b["pos"].alias("pos"), b["section"].alias("section"), b["tag"].alias("tag"),
+            b["pos"].alias("pos"), b["path"].alias("path"), b["tag"].alias("tag"),
             html_text(b["body"]).alias("text"),
             F.when(F.size(b["anchors"]) > 0, html_text(F.array_join(b["anchors"], " ")))
             .otherwise(F.lit("")).alias("link_text"),
@@ -123,8 +244,8 @@ def blocks(html: Column) -> Column:
 
     def features(b):
         return F.struct(
-            b["pos"].alias("pos"), b["section"].alias("section"), b["tag"].alias("tag"),
-            b["text"].alias("text"),
+            b["pos"].alias("pos"), F.element_at(b["path"], -1).alias("section"), b["path"].alias("path"),
+            b["tag"].alias("tag"), b["text"].alias("text"),
             word_count(b["text"]).alias("n_words"),
             _stop_count(b["text"]).alias("n_stop"),
             word_count(b["link_text"]).alias("link_words"),
@@ -143,7 +264,7 @@ BOOST, BOOST_OVER, BOOST_REACH = 5, 5, 3
 
 
 def scored_blocks(blks: Column) -> Column:
-    """Good blocks as (section, text, score): the block's stop words, and ``BOOST``
+    """Good blocks as (path, text, score): the block's stop words, and ``BOOST``
     more if one of the ``BOOST_REACH`` blocks before it has over ``BOOST_OVER``."""
     def score(all_blocks):
         def near(i):
@@ -152,44 +273,46 @@ def scored_blocks(blks: Column) -> Column:
             return hits[0] | hits[1] | hits[2]
 
         marked = F.transform(all_blocks, lambda b, i: F.struct(
-            is_good(b).alias("good"), b["section"].alias("section"), b["text"].alias("text"),
+            is_good(b).alias("good"), b["path"].alias("path"), b["text"].alias("text"),
             (b["n_stop"] + F.when(near(i), F.lit(BOOST)).otherwise(F.lit(0))).alias("score")))
         return F.filter(marked, lambda b: b["good"])
 
     return once(blks, score)
 
 
-def _section_scan(good: Column, finish):
-    """One pass over the scored blocks (sections are contiguous, increasing runs):
-    the section with the largest score sum wins, the earlier one on ties."""
+def _best(good: Column) -> Column:
+    """The container with the largest sum of scores, half a block's score counting for
+    the second one outward; the lower id on ties; -1 if there is no good block."""
+    def votes(b):
+        one = F.struct(F.element_at(b["path"], -1).alias("id"), (b["score"] * 2).alias("score"))
+        two = F.struct(F.try_element_at(b["path"], F.lit(-2)).alias("id"), b["score"].alias("score"))
+        return F.when(F.size(b["path"]) > 1, F.array(one, two)).otherwise(F.array(one))
+
     zero = F.struct(F.lit(-1).alias("cur"), F.lit(0).alias("cur_sum"),
                     F.lit(-1).alias("best"), F.lit(-1).alias("best_sum"))
 
-    def merge(acc, b):
-        same = b["section"] == acc["cur"]
+    def merge(acc, v):
+        same = v["id"] == acc["cur"]
         close = ~same & (acc["cur_sum"] > acc["best_sum"])
         return F.struct(
-            b["section"].alias("cur"),
-            F.when(same, acc["cur_sum"] + b["score"]).otherwise(b["score"]).alias("cur_sum"),
+            v["id"].alias("cur"),
+            F.when(same, acc["cur_sum"] + v["score"]).otherwise(v["score"]).alias("cur_sum"),
             F.when(close, acc["cur"]).otherwise(acc["best"]).alias("best"),
             F.when(close, acc["cur_sum"]).otherwise(acc["best_sum"]).alias("best_sum"))
 
-    def done(acc):
-        best = F.when(acc["cur_sum"] > acc["best_sum"], acc["cur"]).otherwise(acc["best"])
-        return finish(best)
-
-    return F.aggregate(good, zero, merge, done)
+    return F.aggregate(F.sort_array(F.flatten(F.transform(good, votes))), zero, merge, lambda acc: F.when(
+        acc["cur_sum"] > acc["best_sum"], acc["cur"]).otherwise(acc["best"]))
 
 
 def best_section(blks: Column) -> Column:
-    """Section with the highest score over its good blocks (NULL if none)."""
-    return _section_scan(scored_blocks(blks), lambda best: F.when(best >= 0, best))
+    """The container that wins (NULL if there is no good block)."""
+    return once(_best(scored_blocks(blks)), lambda best: F.when(best >= 0, best))
 
 
 def main_text(blks: Column) -> Column:
-    """Good blocks of the best section, joined by a blank line ('' if none)."""
-    return once(scored_blocks(blks), lambda good: _section_scan(good, lambda best: F.array_join(
-        F.transform(F.filter(good, lambda b: b["section"] == best), lambda b: b["text"]),
+    """Good blocks inside the best container, joined by a blank line ('' if none)."""
+    return once(scored_blocks(blks), lambda good: once(_best(good), lambda best: F.array_join(
+        F.transform(F.filter(good, lambda b: F.array_contains(b["path"], best)), lambda b: b["text"]),
         "\n\n")))
 
 

@@ -157,7 +157,7 @@ def _page_blocks(spark, sf):
     return p.select("page_id", "url", "html", H.blocks(F.col("html")).alias("blocks"))
 
 
-@query("html_blocks", f"""WITH {_PAGE_BLOCKS}
+@query("html_blocks", f"""WITH RECURSIVE {_PAGE_BLOCKS}
 SELECT page_id, url, CAST(b.pos AS BIGINT) AS pos, CAST(b.section AS BIGINT) AS section,
        b.tag AS tag, b.text AS text
 FROM (SELECT page_id, url, unnest(blocks) AS b FROM {_PB_LAST})""")
@@ -168,7 +168,7 @@ def q_html_blocks(spark, sf):
                     F.col("b.tag").alias("tag"), F.col("b.text").alias("text"))
 
 
-@query("block_features", f"""WITH {_PAGE_BLOCKS}
+@query("block_features", f"""WITH RECURSIVE {_PAGE_BLOCKS}
 SELECT page_id, CAST(b.pos AS BIGINT) AS pos, CAST(b.n_words AS BIGINT) AS n_words,
        CAST(b.n_stop AS BIGINT) AS n_stop, CAST(b.link_words AS BIGINT) AS link_words,
        CAST(b.n_links AS BIGINT) AS n_links
@@ -179,14 +179,14 @@ def q_block_features(spark, sf):
                                  ("pos", "n_words", "n_stop", "link_words", "n_links")])
 
 
-@query("main_text", f"""WITH {_PAGE_BLOCKS}
+@query("main_text", f"""WITH RECURSIVE {_PAGE_BLOCKS}
 SELECT page_id, url, {S.main_text()} AS main_text FROM {_PB_LAST}""")
 def q_main_text(spark, sf):
     b = _page_blocks(spark, sf)
     return b.select("page_id", "url", H.main_text(F.col("blocks")).alias("main_text"))
 
 
-@query("title", f"""WITH {_PAGE_BLOCKS}, {_PAGE_TITLE}
+@query("title", f"""WITH RECURSIVE {_PAGE_BLOCKS}, {_PAGE_TITLE}
 SELECT page_id, url, title FROM {_PT_LAST}""")
 def q_title(spark, sf):
     b = _page_blocks(spark, sf).select(

@@ -62,8 +62,7 @@ def squeeze(x: str) -> str:
 
 
 def strip_tags(x: str) -> str:
-    br = "(?i)<br(?:[\\x{9}-\\x{D} /][^>]*)?>"
-    return rx_replace(rx_replace(x, br, lit(" ")), "<[^>]*>", lit(""))
+    return rx_replace(rx_replace(x, T.BR_RX, lit(" ")), T.TAG_RX, lit(""))
 
 
 def html_text(x: str) -> str:
@@ -174,66 +173,96 @@ classified AS (
 
 # ---------------------------------------------------------------- html
 
+def _tags(tags) -> str:
+    return "[" + ", ".join(lit(t) for t in tags) + "]::VARCHAR[]"
+
+
+def _rule(kind: int) -> str:
+    """CASE over a piece's tag: the elements it may close (0) or that stop it (1)."""
+    whens = "".join(f" WHEN {lit(t)} THEN {_tags(r[kind])}" for t, r in H.OPEN_RULES.items()) + "".join(
+        f" WHEN {lit('/' + t)} THEN {_tags(r[kind])}" for t, r in H.END_RULES.items())
+    return f"CASE e.tag{whens} ELSE []::VARCHAR[] END"
+
+
 def blocks_ctes(src: str, cols: str, prefix: str = "b") -> tuple[str, str]:
-    """CTEs adding ``blocks`` to rows of ``src`` (needs url, html). Returns (sql, last)."""
-    marked = rx_replace(rx_replace(rx_replace(rx_replace(
-        "html", H.COMMENT_RX, lit(" ")), H.DROP_RX, lit(" ")),
-        H.OPEN_CONTAINER_RX, f"{lit(H.C_SEC + H.C_BLK)} || '\\1' || {lit(H.C_TAG)}"),
-        H.BLOCK_RX, f"{lit(H.C_BLK)} || '\\1\\2' || {lit(H.C_TAG)}")
-    at = f"instr(b.piece, {lit(H.C_TAG)})"
-    anchors = f"regexp_extract_all(b.body, {lit(H.ANCHOR_RX)}, 1)"
-    sql = f"""{prefix}1 AS (
-  SELECT {cols}, {marked} AS marked FROM {src}
+    """CTEs (of a WITH RECURSIVE) adding ``blocks`` to rows of ``src`` (needs url, html).
+    Returns (sql, last). The stack of open elements is a recursive query over pieces."""
+    marked = rx_replace(rx_replace(f"(html || {lit(H.PAGE_END)})", H.RAW_RX, lit(" ")),
+                        H.BLOCK_RX, f"{lit(H.C_BLK)} || '\\1\\2' || {lit(H.C_TAG)}")
+    at = f"instr(piece, {lit(H.C_TAG)})"
+    anchors = f"regexp_extract_all(body, {lit(H.ANCHOR_RX)}, 1)"
+    hit = "list_position(list_transform(s.stack, lambda x: list_contains(e.near || e.stop, x.tag)), true)"
+    heads = _tags(H.HEADINGS)
+    sql = f"""{prefix}1 AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, {cols}, {marked} AS marked FROM {src}
 ),
 {prefix}2 AS (
-  SELECT *, flatten(list_transform(string_split(marked, {lit(H.C_SEC)}),
-      lambda sec, s: list_transform(string_split(sec, {lit(H.C_BLK)}),
-          lambda p: {{'section': s - 1, 'piece': p}}))) AS pieces
-  FROM {prefix}1
+  SELECT rid, i - 1 AS pos, CASE WHEN {at} > 0 THEN lower(substring(piece, 1, {at} - 1)) ELSE '' END AS tag,
+         CASE WHEN {at} > 0 THEN substring(piece, {at} + 1) ELSE piece END AS body
+  FROM (SELECT rid, unnest(string_split(marked, {lit(H.C_BLK)})) AS piece,
+               generate_subscripts(string_split(marked, {lit(H.C_BLK)}), 1) AS i FROM {prefix}1)
 ),
-{prefix}3 AS (
-  SELECT *, list_transform(pieces, lambda b, i: {{
-      'pos': i - 1, 'section': b.section,
-      'tag': CASE WHEN {at} > 0 THEN lower(substring(b.piece, 1, {at} - 1)) ELSE '' END,
-      'body': CASE WHEN {at} > 0 THEN substring(b.piece, {at} + 1) ELSE b.piece END}}) AS split
-  FROM {prefix}2
+{prefix}3 AS MATERIALIZED (SELECT e.*, {_rule(0)} AS near, {_rule(1)} AS stop FROM {prefix}2 e),
+{prefix}s AS (
+  SELECT rid, 0::BIGINT AS pos, []::STRUCT(tag VARCHAR, id BIGINT)[] AS stack FROM {prefix}1 WHERE marked IS NOT NULL
+  UNION ALL
+  SELECT rid, pos, CASE WHEN starts_with(tag, '/') OR tag = 'body' OR len(stack) >= {H.MAX_DEPTH} THEN stack
+                        ELSE [{{'tag': tag, 'id': pos}}] || stack END
+  FROM (SELECT rid, pos, tag, CASE WHEN list_contains({heads}, tag) AND list_contains({heads}, stack[1].tag) THEN stack[2:] ELSE stack END AS stack
+        FROM (SELECT rid, pos, tag, CASE WHEN NOT starts_with(tag, '/') AND stack[1].tag IN ('p', 'head') THEN stack[2:] ELSE stack END AS stack
+              FROM (SELECT e.rid, e.pos, e.tag, CASE WHEN {hit} > 0 AND list_contains(e.near, s.stack[{hit}].tag)
+                                                     THEN s.stack[{hit} + 1:] ELSE s.stack END AS stack
+                    FROM {prefix}s s JOIN {prefix}3 e ON e.rid = s.rid AND e.pos = s.pos + 1)))
 ),
 {prefix}4 AS (
-  SELECT *, list_filter(list_transform(split, lambda b: {{
-      'pos': b.pos, 'section': b.section, 'tag': b.tag,
-      'text': {html_text('b.body')},
-      'link_text': {html_text(f"array_to_string({anchors}, ' ')")},
-      'n_links': len({anchors})}}), lambda b: b.text <> '') AS texts
-  FROM {prefix}3
+  SELECT e.rid, e.pos, coalesce(s.stack[1].tag, '') AS tag, body,
+         [0::BIGINT] || list_reverse(list_transform(list_filter(s.stack, lambda x: list_contains({_tags(H.CONTAINER_TAGS)}, x.tag)),
+                                                    lambda x: x.id)) AS path
+  FROM {prefix}3 e JOIN {prefix}s s ON s.rid = e.rid AND s.pos = e.pos
+  WHERE NOT list_has_any(list_transform(s.stack, lambda x: x.tag), {_tags(H.DROP_TAGS)})
 ),
 {prefix}5 AS (
-  SELECT * EXCLUDE (marked, pieces, split, texts), list_transform(texts, lambda b: {{
-      'pos': b.pos, 'section': b.section, 'tag': b.tag, 'text': b.text,
-      'n_words': {word_count('b.text')}, 'n_stop': {stop_count('b.text')},
-      'link_words': {word_count('b.link_text')}, 'n_links': b.n_links}}) AS blocks
+  SELECT rid, pos, tag, path, {html_text('body')} AS text, {html_text(f"array_to_string({anchors}, ' ')")} AS link_text,
+         len({anchors}) AS n_links
   FROM {prefix}4
+),
+{prefix}6 AS (
+  SELECT rid, list({{'pos': pos, 'section': path[-1], 'path': path, 'tag': tag, 'text': text,
+      'n_words': {word_count('text')}, 'n_stop': {stop_count('text')},
+      'link_words': {word_count('link_text')}, 'n_links': n_links}} ORDER BY pos) AS blocks
+  FROM {prefix}5 WHERE text <> '' GROUP BY rid
+),
+{prefix}7 AS (
+  SELECT {prefix}1.* EXCLUDE (rid, marked), CASE WHEN marked IS NOT NULL THEN coalesce(blocks, []) END AS blocks
+  FROM {prefix}1 LEFT JOIN {prefix}6 USING (rid)
 )"""
-    return sql, f"{prefix}5"
+    return sql, f"{prefix}7"
 
 
 GOOD = "(b.tag <> 'h1' AND b.n_stop > 2 AND b.link_words * b.n_links < b.n_words)"
 
 
-def best_section(blocks: str = "blocks") -> str:
+def _scored(blocks: str) -> str:
     # 5 more for a block with over 5 stop words in one of the three blocks before it
-    marked = (f"list_transform({blocks}, lambda b, i: {{'good': {GOOD}, 'section': b.section, 'score': b.n_stop + "
+    marked = (f"list_transform({blocks}, lambda b, i: {{'good': {GOOD}, 'path': b.path, 'score': b.n_stop + "
               f"CASE WHEN coalesce(list_max(list_transform({blocks}[greatest(i - 3, 1):i - 1], lambda p: p.n_stop)), 0) > 5 "
               f"THEN 5 ELSE 0 END}})")
-    good = f"list_filter({marked}, lambda m: m.good)"
-    secs = f"list_distinct(list_transform({good}, lambda m: m.section))"
-    scored = (f"list_transform({secs}, lambda s: {{'score': list_sum(list_transform("
-              f"list_filter({good}, lambda m: m.section = s), lambda m: m.score)), 'neg': -s}})")
+    return f"list_filter({marked}, lambda m: m.good)"
+
+
+def best_section(blocks: str = "blocks") -> str:
+    """The container of the largest score, counted twice for a block's own container
+    and once for the next one outward."""
+    good = _scored(blocks)
+    ids = f"list_distinct(flatten(list_transform({good}, lambda m: m.path)))"
+    scored = (f"list_transform({ids}, lambda s: {{'score': list_sum(list_transform({good}, lambda m: "
+              f"m.score * (CASE WHEN m.path[-1] = s THEN 2 WHEN len(m.path) > 1 AND m.path[-2] = s THEN 1 ELSE 0 END))), 'neg': -s}})")
     return f"(-(list_max({scored}).neg))"
 
 
 def main_text(blocks: str = "blocks") -> str:
     best = best_section(blocks)
-    chosen = f"list_filter({blocks}, lambda b: {GOOD} AND b.section = {best})"
+    chosen = f"list_filter({blocks}, lambda b: {GOOD} AND list_contains(b.path, {best}))"
     return f"array_to_string(list_transform({chosen}, lambda b: b.text), chr(10) || chr(10))"
 
 
@@ -341,7 +370,7 @@ def dispositions_ctes(patterns: list[str] | None = None) -> str:
     blocks_sql, last = blocks_ctes(
         "classified", "warc_path, rec_idx, rec_offset, file_size, rec_type, url, valid, html")
     title_sql, tlast = title_ctes(last)
-    return f"""WITH {responses_cte()},
+    return f"""WITH RECURSIVE {responses_cte()},
 {classified_cte(patterns)},
 {blocks_sql},
 {title_sql},

@@ -40,6 +40,7 @@ HTML_BLOCKS = T.StructType([
     T.StructField("url", T.StringType()),
     T.StructField("pos", T.IntegerType()),
     T.StructField("section", T.IntegerType()),
+    T.StructField("path", T.ArrayType(T.IntegerType())),
     T.StructField("tag", T.StringType()),
     T.StructField("text", T.StringType()),
     T.StructField("n_words", T.IntegerType()),

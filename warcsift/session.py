@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Let the web-archive source see simple predicates (rec_type, ...).
     "spark.sql.python.filterPushdown.enabled": "true",
+    # Page rules are thousands of column calls; each would walk the stack for its call site.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
