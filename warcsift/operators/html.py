@@ -80,8 +80,8 @@ _TAG_END = "(?:[\\x{9}-\\x{D} /][^>]*)?>"
 # Put after a page, so that a tag that is never finished ends there.
 PAGE_END = "<!>"
 
-RAW_RX = "(?is)<!--.*?(?:-->|\\z)|" + "|".join(
-    f"<{t}{_TAG_END}.*?(?:</{t}[\\x{{9}}-\\x{{D}} ]*>|\\z)" for t in RAW_TAGS)
+RAW_RX = "(?is)<(?:!--.*?(?:-->|\\z)|" + "|".join(
+    f"{t}{_TAG_END}.*?(?:</{t}[\\x{{9}}-\\x{{D}} ]*>|\\z)" for t in RAW_TAGS) + ")"
 BLOCK_RX = "(?i)<(/?)(body|" + "|".join(STACK_TAGS) + ")" + _TAG_END
 ANCHOR_RX = "(?is)<a" + _TAG_END + "(.*?)(?:</a[\\x{9}-\\x{D} ]*>|\\z)"
 TITLE_RX = "(?is)<title" + _TAG_END + "(.*?)</title[\\x{9}-\\x{D} ]*>"
@@ -180,12 +180,17 @@ def _step(stack: Column, e: Column) -> Column:
         without_top(b, e["top2"]), opened)))
 
 
-def _inside(pieces: Column) -> Column:
+def _inside(events: Column) -> Column:
     """For each piece the innermost open element's tag, whether it is dropped, and its path.
 
     The fold runs twice, so that no array grows with the page inside it: over
     chunks for the stack at the start of each, then within each chunk.
     """
+    # an array built in a lambda would be built again for every chunk
+    return once(events, _folded)
+
+
+def _folded(pieces: Column) -> Column:
     empty = F.array().cast(_STACK)
     part = lambda c: F.slice(pieces, c * _CHUNK + 1, F.lit(_CHUNK))
 
@@ -220,19 +225,23 @@ def blocks(html: Column) -> Column:
     rules = _tag_rules()
     still = F.struct(*[F.lit(0).cast("long").alias(k) for k in _RULE])
 
-    def split_piece(p, i):
+    def event(p, i):
         at = F.instr(p, C_TAG)
         tag = F.when(at > 0, F.lower(F.substring(p, F.lit(1), at - 1))).otherwise(F.lit(""))
         return once(tag, lambda t: once(F.coalesce(F.try_element_at(rules, t), still), lambda r: F.struct(
-            i.alias("pos"), t.alias("tag"), *[r[k].alias(k) for k in _RULE],
-            F.when(at > 0, F.substr(p, at + 1)).otherwise(p).alias("body"))))
+            i.alias("pos"), t.alias("tag"), *[r[k].alias(k) for k in _RULE])))
 
     def placed(pieces):
-        return F.filter(F.transform(_inside(pieces), lambda e, i: once(F.get(pieces, i)["body"], lambda body: F.struct(
-            i.alias("pos"), e["dropped"].alias("dropped"), e["path"].alias("path"), e["tag"].alias("tag"), body.alias("body"),
-            F.regexp_extract_all(body, F.lit(ANCHOR_RX), F.lit(1)).alias("anchors")))), lambda b: ~b["dropped"])
+        seen = F.transform(_inside(F.transform(pieces, event)), lambda e, i: F.struct(
+            i.alias("pos"), e["dropped"].alias("dropped"), e["path"].alias("path"), e["tag"].alias("tag")))
+        return F.transform(F.filter(seen, lambda b: ~b["dropped"]), lambda b: once(body(F.get(pieces, b["pos"])), lambda text: F.struct(
+            b["pos"].alias("pos"), b["path"].alias("path"), b["tag"].alias("tag"), text.alias("body"),
+            F.regexp_extract_all(text, F.lit(ANCHOR_RX), F.lit(1)).alias("anchors"))))
+
+    def body(piece):
+        return F.substr(piece, F.instr(piece, C_TAG) + 1)  # a page's first piece has no mark
 
-    split = once(F.transform(F.split(marked_html(html), C_BLK), split_piece), placed)
+    split = once(F.split(marked_html(html), C_BLK), placed)
 
     def texts(b):
         return F.struct(

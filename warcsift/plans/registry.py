@@ -162,10 +162,9 @@ SELECT page_id, url, CAST(b.pos AS BIGINT) AS pos, CAST(b.section AS BIGINT) AS
        b.tag AS tag, b.text AS text
 FROM (SELECT page_id, url, unnest(blocks) AS b FROM {_PB_LAST})""")
 def q_html_blocks(spark, sf):
-    b = _page_blocks(spark, sf).select("page_id", "url", F.explode("blocks").alias("b"))
-    return b.select("page_id", "url", F.col("b.pos").cast("long").alias("pos"),
-                    F.col("b.section").cast("long").alias("section"),
-                    F.col("b.tag").alias("tag"), F.col("b.text").alias("text"))
+    b = _page_blocks(spark, sf).select("page_id", "url", F.inline("blocks"))
+    return b.select("page_id", "url", F.col("pos").cast("long").alias("pos"),
+                    F.col("section").cast("long").alias("section"), "tag", "text")
 
 
 @query("block_features", f"""WITH RECURSIVE {_PAGE_BLOCKS}
@@ -174,8 +173,8 @@ SELECT page_id, CAST(b.pos AS BIGINT) AS pos, CAST(b.n_words AS BIGINT) AS n_wor
        CAST(b.n_links AS BIGINT) AS n_links
 FROM (SELECT page_id, unnest(blocks) AS b FROM {_PB_LAST})""")
 def q_block_features(spark, sf):
-    b = _page_blocks(spark, sf).select("page_id", F.explode("blocks").alias("b"))
-    return b.select("page_id", *[F.col(f"b.{c}").cast("long").alias(c) for c in
+    b = _page_blocks(spark, sf).select("page_id", F.inline("blocks"))
+    return b.select("page_id", *[F.col(c).cast("long").alias(c) for c in
                                  ("pos", "n_words", "n_stop", "link_words", "n_links")])
 
 
