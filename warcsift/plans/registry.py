@@ -675,6 +675,19 @@ def q_run_end_to_end(spark, sf):
     return read_lake(spark, lake)
 
 
+@query("run_resume", f"""{_RUN_DISP}
+SELECT {ARTICLE_COLS} FROM disp_w WHERE disposition = 'extracted' AND {_RUN_FILTER}""")
+def q_run_resume(spark, sf):
+    """The lake after a run that ended between two commits and was started again."""
+    from ..plans.resume import run_resumable
+    from ..sources.lake import read_lake
+    root, lake, ledger = _archive(spark, sf), _lake_dir(spark, "resume-lake"), _lake_dir(spark, "resume-ledger")
+    for commits in (1, None):
+        run_resumable(spark, root, ["*"], *RUN_WINDOW, lake, ledger, profile=X.profile(spark, sf), files_per_commit=8,
+                      max_commits=commits, index_root=root, layout="{root}/listing/yyyy={yyyy}/MM={MM}")
+    return read_lake(spark, lake)
+
+
 @query("run_counters", f"""{_RUN_DISP}
 SELECT warc_path, {_counts_sql()} FROM disp_w WHERE {_RUN_FILTER} GROUP BY warc_path""")
 def q_run_counters(spark, sf):

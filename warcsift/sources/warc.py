@@ -56,6 +56,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, In,
 from ..schemas import RAW_RECORDS
 
 NAME = "warc"
+UNREADABLE = "unreadable: "   # start of the message where a file could not be read, or not to its end
 ERROR_TYPE = "_error"   # rows that tell of damage; never counted as records
 # A directory contributes only its archive files (listings and markers next
 # to them are skipped); explicit files and globs are taken as given.
@@ -251,7 +252,7 @@ def read_range(path: str, start: int, how):
             raw.seek(at)
             yield from iter_records(ByteStream(raw, gz, at=at), how, resync=start > 0)
     except OSError as e:
-        yield Damage(start, f"{type(e).__name__}: {e}")
+        yield Damage(start, f"{UNREADABLE}{type(e).__name__}: {e}")
         yield Stop(None)
 
 
