@@ -92,18 +92,32 @@ OG_TITLE_REV_RX = ("(?is)<meta[^>]*content=[\"']([^\"']*)[\"'][^>]*"
 NON_WORD_RX = "[^\\p{L} ]"
 NON_ALNUM_RX = "[^\\p{L}\\p{N}]"
 
-# Publish-date sources, tried in this order.
-_DATE = "([0-9]{4}-[0-9]{2}-[0-9]{2})"
-_DATE_KEYS = ("article:published_time|datepublished|pubdate|publish_date|"
-              "og:published_time")
-URL_DATE_SLASH_RX = "/([0-9]{4})/([0-9]{2})/([0-9]{2})/"
-URL_DATE_DASH_RX = _DATE
-META_DATE_RX = ("(?is)<meta[^>]*(?:property|name|itemprop)=[\"'](?:" + _DATE_KEYS
-                + ")[\"'][^>]*content=[\"']" + _DATE)
-META_DATE_REV_RX = ("(?is)<meta[^>]*content=[\"']" + _DATE + "[^\"']*[\"'][^>]*"
-                    "(?:property|name|itemprop)=[\"'](?:" + _DATE_KEYS + ")[\"']")
-TIME_DATE_RX = "(?is)<time[^>]*datetime=[\"']" + _DATE
-JSONLD_DATE_RX = "\"datePublished\"[\\x{9}-\\x{D} ]*:[\\x{9}-\\x{D} ]*\"" + _DATE
+# Publish-date sources, tried in this order: URL path, meta tags, <time>, JSON-LD, and
+# a datePublished anywhere in the page (such as JSON that does not parse).
+# Names of meta tags.
+DATE_KEYS = ("article:published_time", "article_date_original", "date", "datepublished", "dc[.]date", "dc[.]date[.]issued",
+             "dcterms[.]created", "dcterms[.]issued", "og:published_time", "originalpublicationdate", "parsely-pub-date", "pubdate",
+             "publication_date", "publish_date", "publishdate", "sailthru[.]date")
+_KEY = "(?:property|name|itemprop)=[\"'](?:" + "|".join(DATE_KEYS) + ")[\"']"
+URL_DATE_SLASH_RX = "/([12][0-9]{3}/[0-9]{1,2}/[0-9]{1,2})(?:[/?#]|\\z)"
+URL_DATE_DASH_RX = "(?:\\A|[^0-9])([12][0-9]{3}-[0-9]{1,2}-[0-9]{1,2})(?:[^0-9]|\\z)"
+META_DATE_RX = "(?is)<meta[^>]*" + _KEY + "[^>]*content=[\"']([^\"']*)[\"']"
+META_DATE_REV_RX = "(?is)<meta[^>]*content=[\"']([^\"']*)[\"'][^>]*" + _KEY
+TIME_DATE_RX = "(?is)<time[^>]*datetime=[\"']([^\"']*)[\"']"
+JSONLD_RX = ("(?is)<script[^>]*type=[\"']application/ld[+]json[\"'][^>]*>(.*?)(?:</script|\\z)")
+JSONLD_DATE_RX = "\"datePublished\"[\\x{9}-\\x{D} ]*:[\\x{9}-\\x{D} ]*\"([^\"]*)\""
+# Spellings of a date, tried in this order: (regex, which groups are year, month, day).
+_START, _STOP = "(?i)\\A[\\x{9}-\\x{D} ]*", "(?:[^0-9]|\\z)"
+_MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*[.]?"
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+DATE_FORMS = (
+    (_START + "([12][0-9]{3})-([0-9]{1,2})-([0-9]{1,2})" + _STOP, (1, 2, 3)),
+    (_START + "([12][0-9]{3})/([0-9]{1,2})/([0-9]{1,2})" + _STOP, (1, 2, 3)),
+    (_START + "([12][0-9]{3})([0-9]{2})([0-9]{2})" + _STOP, (1, 2, 3)),
+    (_START + "(?:[a-z]+,? +)?([0-9]{1,2})[.]? +" + _MONTH + ",? +([12][0-9]{3})" + _STOP, (3, 2, 1)),
+    (_START + "(?:[a-z]+, +)?" + _MONTH + " +([0-9]{1,2}),? +([12][0-9]{3})" + _STOP, (3, 1, 2)),
+    (_START + "([0-9]{1,2})[.] ?([0-9]{1,2})[.] ?([12][0-9]{3})" + _STOP, (3, 2, 1)),
+)
 
 # Title delimiters, tried in this order; the longest piece is kept.
 TITLE_SPLITTERS = ("|", " - ", "_", " / ", " » ")
@@ -374,16 +388,42 @@ def title(html: Column, blks: Column) -> Column:
     return choose_title(title_text(html), blks, og_title(html))
 
 
+def loose_date(c: Column) -> Column:
+    """'yyyy-MM-dd' of a date in one of ``DATE_FORMS``; NULL if it is none, or no real date."""
+    def form(rx, groups):
+        year, month, day = (F.regexp_extract(c, rx, k) for k in groups)
+        named = F.instr(F.lit(MONTHS), F.lower(F.substring(month, 1, 3)))
+        number = month if "jan" not in rx else ((named + 2) / 3).cast("int").cast("string")
+        text = F.concat_ws("-", year, F.lpad(number, 2, "0"), F.lpad(day, 2, "0"))
+        return F.when(F.regexp_like(c, F.lit(rx)), date_text(text))
+
+    return F.coalesce(*[form(rx, groups) for rx, groups in DATE_FORMS])
+
+
+def jsonld_dates(html: Column) -> Column:
+    """Every ``datePublished`` of the page's JSON-LD: of an object, of the objects of an
+    array, and of those in a ``@graph``. What is no JSON has none."""
+    def date(v):
+        return F.array(F.try_variant_get(v, "$.datePublished", "string"))
+
+    def items(v, path):
+        return F.coalesce(F.try_variant_get(v, path, "array<variant>"), F.array().cast("array<variant>"))
+
+    def graph(v):
+        return F.flatten(F.transform(items(v, "$['@graph']"), date))
+
+    def script(text):
+        return once(F.try_parse_json(text), lambda v: F.concat(
+            date(v), graph(v), F.flatten(F.transform(items(v, "$"), lambda x: F.concat(date(x), graph(x))))))
+
+    return F.flatten(F.transform(F.regexp_extract_all(html, F.lit(JSONLD_RX), F.lit(1)), script))
+
+
 def publish_date(url: Column, html: Column) -> Column:
-    """First real date from: URL path, meta tags, <time datetime>, JSON-LD."""
-    slash = F.concat_ws("-", *[F.nullif(F.regexp_extract(url, URL_DATE_SLASH_RX, k),
-                                        F.lit("")) for k in (1, 2, 3)])
-    cands = [
-        F.when(slash.rlike("\\A[0-9]{4}-[0-9]{2}-[0-9]{2}\\z"), slash),
-        F.regexp_extract(url, URL_DATE_DASH_RX, 1),
-        F.regexp_extract(html, META_DATE_RX, 1),
-        F.regexp_extract(html, META_DATE_REV_RX, 1),
-        F.regexp_extract(html, TIME_DATE_RX, 1),
-        F.regexp_extract(html, JSONLD_DATE_RX, 1),
-    ]
-    return F.coalesce(*[date_text(F.nullif(c, F.lit(""))) for c in cands])
+    """First real date of the page's sources, in their order."""
+    found = lambda c, rx: F.regexp_extract_all(c, F.lit(rx), F.lit(1))
+    none = F.array().cast("array<string>")
+    cands = F.concat(*[F.coalesce(c, none) for c in (
+        found(url, URL_DATE_SLASH_RX), found(url, URL_DATE_DASH_RX), found(html, META_DATE_RX), found(html, META_DATE_REV_RX),
+        found(html, TIME_DATE_RX), F.when(F.contains(html, F.lit("ld+json")), jsonld_dates(html)), found(html, JSONLD_DATE_RX))])
+    return F.get(F.filter(F.transform(cands, loose_date), lambda d: d.isNotNull()), F.lit(0))

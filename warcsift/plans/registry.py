@@ -195,27 +195,56 @@ def q_title(spark, sf):
                     .alias("title"))
 
 
-# Publish dates: pages carry none, so a third get a meta tag and a third a
-# dated URL path (rules fixed here, same in SQL).
+# Publish dates: pages carry none, so each gets one in some spelling and place, by its
+# number (rules fixed here, same in SQL). %s is the day; two of them are no real dates.
+_DATE_PLACES = [
+    '<meta property="article:published_time" content="{yyyy-MM-dd}T08:00:00Z">', "URL /{yyyy/MM/dd}/story", "",
+    '<meta content="{yyyy-M-d}" name="date">', "URL /{yyyy/M/d}/", '<time class=x datetime="{d MMMM yyyy}">x</time>',
+    '<script type="application/ld+json">{"@graph":[{"@type":"Person"},{"datePublished":"{yyyy-M-d}T10:00"}]}</script>',
+    '<script type="application/ld+json">[{"x":1},{"datePublished":"{MMMM d, yyyy}"}]</script>',
+    '<script type="application/ld+json">{"datePublished":"{yyyy-MM-dd}",}</script>',
+    '<meta name="dc.date" content="2021-02-30"><meta itemprop="datePublished" content="{dd.MM.yyyy}">', "URL /2021/13/45/",
+    '<script type="application/ld+json">{"datePublished":20210304,"d":{"datePublished":"{yyyyMMdd}"}}</script>']
+_SQL_FORMS = {"yyyy-MM-dd": "%Y-%m-%d", "yyyy/MM/dd": "%Y/%m/%d", "yyyy-M-d": "%Y-%-m-%-d", "yyyy/M/d": "%Y/%-m/%-d",
+              "d MMMM yyyy": "%-d %B %Y", "MMMM d, yyyy": "%B %-d, %Y", "dd.MM.yyyy": "%d.%m.%Y", "yyyyMMdd": "%Y%m%d"}
+
+
+def _date_place(place: str):
+    """(text before the day, its form or None, text after)."""
+    for form in _SQL_FORMS:
+        if "{" + form + "}" in place:
+            before, after = place.split("{" + form + "}")
+            return before, form, after
+    return place, None, ""
+
+
 def _dated_pages_spark(p: DataFrame) -> DataFrame:
     pid = F.col("page_id")
-    day = F.date_format(F.date_add(F.lit("2020-12-01").cast("date"),
-                                   (pid % 97).cast("int")), "yyyy-MM-dd")
-    meta = F.concat(F.lit('<meta property="article:published_time" content="'), day,
-                    F.lit('T08:00:00Z">'))
-    url = F.when(pid % 3 == 1, F.concat(F.col("url"), F.lit("/"),
-                                        F.regexp_replace(day, "-", "/"), F.lit("/story")))
-    html = F.when(pid % 3 == 0, F.concat(meta, F.col("html")))
-    return p.select("page_id", F.coalesce(url, F.col("url")).alias("url"),
-                    F.coalesce(html, F.col("html")).alias("html"))
-
-
-_DATED_SQL = """dated AS (
-  SELECT page_id,
-         CASE WHEN page_id % 3 = 1 THEN url || '/' || strftime(DATE '2020-12-01' + CAST(page_id % 97 AS INTEGER), '%Y/%m/%d') || '/story' ELSE url END AS url,
-         CASE WHEN page_id % 3 = 0 THEN '<meta property="article:published_time" content="' || strftime(DATE '2020-12-01' + CAST(page_id % 97 AS INTEGER), '%Y-%m-%d') || 'T08:00:00Z">' || html ELSE html END AS html
-  FROM pages
-)"""
+    day = F.date_add(F.lit("2020-12-01").cast("date"), (pid % 97).cast("int"))
+    added = F.lit("")
+    for i, place in enumerate(_DATE_PLACES):
+        before, form, after = _date_place(place)
+        text = F.concat(F.lit(before), F.date_format(day, form) if form else F.lit(""), F.lit(after))
+        added = F.when(pid % len(_DATE_PLACES) == i, text).otherwise(added)
+    staged = p.select("page_id", "url", "html", added.alias("added"))
+    in_url = F.startswith("added", F.lit("URL "))
+    return staged.select("page_id", F.when(in_url, F.concat("url", F.substr("added", F.lit(5)))).otherwise(F.col("url")).alias("url"),
+                         F.when(in_url, F.col("html")).otherwise(F.concat("added", "html")).alias("html"))
+
+
+def _dated_sql() -> str:
+    whens = ""
+    for i, place in enumerate(_DATE_PLACES):
+        before, form, after = _date_place(place)
+        day = f"strftime(DATE '2020-12-01' + CAST(page_id % 97 AS INTEGER), '{_SQL_FORMS[form]}')" if form else "''"
+        whens += f" WHEN {i} THEN {S.lit(before)} || {day} || {S.lit(after)}"
+    return f"""dated AS (
+  SELECT page_id, CASE WHEN starts_with(added, 'URL ') THEN url || added[5:] ELSE url END AS url,
+         CASE WHEN starts_with(added, 'URL ') THEN html ELSE added || html END AS html
+  FROM (SELECT *, CASE page_id % {len(_DATE_PLACES)}{whens} END AS added FROM pages))"""
+
+
+_DATED_SQL = _dated_sql()
 
 
 @query("publish_date", f"""WITH {_DATED_SQL}

@@ -307,19 +307,28 @@ def title_ctes(src: str, prefix: str = "t") -> tuple[str, str]:
     return sql, f"{prefix}3"
 
 
+def loose_date(x: str) -> str:
+    whens = ""
+    for rx, groups in H.DATE_FORMS:
+        year, month, day = (f"regexp_extract({x}, {lit(rx)}, {k})" for k in groups)
+        if "jan" in rx:
+            month = f"CAST((instr({lit(H.MONTHS)}, lower({month}[1:3])) + 2) // 3 AS VARCHAR)"
+        text = f"{year} || '-' || lpad({month}, 2, '0') || '-' || lpad({day}, 2, '0')"
+        whens += f" CASE WHEN regexp_matches({x}, {lit(rx)}) THEN {date_text(f'({text})')} END,"
+    return f"coalesce({whens} NULL)"
+
+
 def publish_date(url: str = "url", html: str = "html") -> str:
-    slash = ("concat_ws('-', " + ", ".join(
-        f"nullif(regexp_extract({url}, {lit(H.URL_DATE_SLASH_RX)}, {k}), '')" for k in (1, 2, 3))
-        + ")")
-    cands = [
-        f"CASE WHEN regexp_matches({slash}, '\\A[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}\\z') THEN {slash} END",
-        f"regexp_extract({url}, {lit(H.URL_DATE_DASH_RX)}, 1)",
-        f"regexp_extract({html}, {lit(H.META_DATE_RX)}, 1)",
-        f"regexp_extract({html}, {lit(H.META_DATE_REV_RX)}, 1)",
-        f"regexp_extract({html}, {lit(H.TIME_DATE_RX)}, 1)",
-        f"regexp_extract({html}, {lit(H.JSONLD_DATE_RX)}, 1)",
-    ]
-    return "coalesce(" + ", ".join(date_text(f"nullif({c}, '')") for c in cands) + ")"
+    def found(c, rx):
+        return f"coalesce(regexp_extract_all({c}, {lit(rx)}, 1), [])"
+
+    strings = lambda path: f"coalesce(json_extract_string(j, '{path}'), [])"
+    jsonld = (f"flatten(list_transform(list_filter({found(html, H.JSONLD_RX)}, lambda j: json_valid(j)), lambda j: "
+              f"[json_extract_string(j, '$.datePublished')] || {strings('$.\"@graph\"[*].datePublished')} || "
+              f"{strings('$[*].datePublished')} || {strings('$[*].\"@graph\"[*].datePublished')}))")
+    cands = " || ".join([found(url, H.URL_DATE_SLASH_RX), found(url, H.URL_DATE_DASH_RX), found(html, H.META_DATE_RX),
+                         found(html, H.META_DATE_REV_RX), found(html, H.TIME_DATE_RX), jsonld, found(html, H.JSONLD_DATE_RX)])
+    return f"(list_filter(list_transform({cands}, lambda c: {loose_date('c')}), lambda d: d IS NOT NULL)[1])"
 
 
 # ---------------------------------------------------------------- language
