@@ -175,10 +175,12 @@ def test_character_references_with_leading_zeros(spark):
 
 def test_main_text_prefers_a_section_with_well_written_neighbours(spark):
     """Hand-made page: both sections have the same stop words, but the second follows
-    a block with more than five, so it is the one chosen."""
+    a block with more than five, so it is the one chosen. Each is in an element of its
+    own, which takes the half that goes outward."""
     plain = "<div><p>the one of the four in a row here</p></div>"
     long = "<p>it is the first time that the city of the north has been in the news</p>"
-    page = f"<html><body>{plain}<section>{long}</section><div><p>the two of the four in a row here</p><p>and the next of the same is in it too</p></div></body></html>"
+    page = (f"<html><body><main>{plain}</main><main><section>{long}</section></main><main><div><p>the two of the four in a row here</p>"
+            "<p>and the next of the same is in it too</p></div></main></body></html>")
     df = spark.createDataFrame([(page,)], "html string").select(H.blocks(F.col("html")).alias("b"))
     got = df.select(H.main_text(F.col("b")).alias("m")).first()["m"]
     assert got == "the two of the four in a row here\n\nand the next of the same is in it too"
