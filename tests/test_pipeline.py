@@ -286,3 +286,24 @@ def test_run_with_cached_materialisation(spark, archive, profile, tmp_dir):
               os.path.join(tmp_dir, "lake"), profile=profile, materialize="cache")
     assert res.counters["total"] == 50 and res.counters["extracted"] > 0
     res.release()
+
+
+def test_running_counters_sum_blocks_not_records(spark):
+    """A row a report enters the window; files of any length, holes and unknown sizes."""
+    from warcsift.operators import counters as C
+    import random
+    r = random.Random(4)
+    rows = [(p, i, i * 100, None if p == "c" else 9000, r.choice(["extracted", "discarded", "errored"]))
+            for p, n in (("a", 30), ("b", 7), ("c", 21), ("d", 1)) for i in range(n) if (p, i) != ("c", 10)]
+    d = spark.createDataFrame(rows, "warc_path string, rec_idx long, rec_offset long, file_size long, disposition string")
+    for every in (1, 5, 7):
+        got = {(x["warc_path"], x["rec_idx"]): (x["extracted"], x["discarded"], x["errored"], x["total"], x["rec_offset"], x["file_size"])
+               for x in C.running_counters(d, every).collect()}
+        want = {}
+        for p, i, off, size, _ in rows:
+            if i and i % every == 0:
+                before = [x[4] for x in rows if x[0] == p and x[1] < i]
+                want[p, i] = (*(before.count(k) for k in ("extracted", "discarded", "errored")), len(before), off, size)
+        assert got == want
+    plan = C.running_counters(d, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Window") < plan.index("HashAggregate")  # the window stands above the sums

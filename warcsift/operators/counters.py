@@ -72,20 +72,23 @@ def running_counters(disp: DataFrame, report_every: int = 5000) -> DataFrame:
     """Counters reported before each record whose index is a positive multiple
     of ``report_every``; they cover records ``0 .. rec_idx - 1`` of the file.
 
-    The window is per file (bounded by one file's record count) and carries
-    only key and flag columns.
+    Segmented prefix sums: every run of ``report_every`` records of a file is
+    added up with partial aggregation, so that only a row per report, not per
+    record, is shuffled and summed in file order.
     """
     check_report_every(report_every)
-    w = (Window.partitionBy("warc_path").orderBy("rec_idx")
+    block = F.call_function("div", F.col("rec_idx"), F.lit(report_every))
+    head = F.col("rec_idx") % report_every == 0
+    blocks = disp.groupBy("warc_path", block.alias("_block")).agg(
+        *[F.count_if(F.col("disposition") == d).alias(f"_{d}") for d in DISPOSITIONS],
+        F.count_if(head).alias("_heads"),
+        *[F.max(F.when(head, F.col(c))).alias(c) for c in ("rec_offset", "file_size")])
+    w = (Window.partitionBy("warc_path").orderBy("_block")
          .rowsBetween(Window.unboundedPreceding, -1))
-    flags = disp.select("warc_path", "rec_idx", "rec_offset", "file_size",
-                        *[(F.col("disposition") == d).cast("long").alias(f"_{d}")
-                          for d in DISPOSITIONS])
-    running = flags.select(
-        "warc_path", "rec_idx", "rec_offset", "file_size",
+    running = blocks.select(
+        "warc_path", (F.col("_block") * report_every).alias("rec_idx"), "rec_offset", "file_size", "_heads",
         *[F.coalesce(F.sum(f"_{d}").over(w), F.lit(0)).alias(d) for d in DISPOSITIONS])
-    return (running.where((F.col("rec_idx") > 0)
-                          & (F.col("rec_idx") % report_every == 0))
+    return (running.where((F.col("rec_idx") > 0) & (F.col("_heads") > 0)).drop("_heads")
             .withColumn("total", sum(F.col(d) for d in DISPOSITIONS)))
 
 

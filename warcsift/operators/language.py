@@ -68,10 +68,11 @@ def train_profile(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     grams = explode_grams(labelled.withColumnRenamed(lang_col, "lang"), text_col, ["lang"])
     counts = grams.groupBy("lang", "gram").agg(F.sum("c").alias("n"))
     # Totals as a second, partially aggregated sum (one row per language) joined
-    # back: a window would sort all gram rows of a language in one task. Both
-    # branches read the same exchange of ``counts``.
+    # back by broadcast: a window, or a shuffle by language, would bring all gram
+    # rows of a language to one task. Both branches read the same exchange of
+    # ``counts``.
     totals = counts.groupBy("lang").agg(F.sum("n").alias("_total"))
-    return counts.join(totals, "lang").select(
+    return counts.join(F.broadcast(totals), "lang").select(
         "lang", "gram", "n",
         (F.log(F.col("n")) - F.log(F.col("_total")) - F.lit(math.log(floor))).alias("w"))
 
