@@ -21,7 +21,7 @@ from ..operators.article import articles
 from ..operators.language import broadcast_if_bounded
 from ..operators.records import content_type, target_uri
 from ..sources import index as I
-from ..sources.responses import load_table, responses
+from ..sources.responses import load_table, responses, spread
 from . import context as X
 from . import sql as S
 
@@ -153,7 +153,7 @@ _PAGE_TITLE, _PT_LAST = S.title_ctes(_PB_LAST)
 
 
 def _page_blocks(spark, sf):
-    p = load_table(spark, sf, "pages")
+    p = spread(load_table(spark, sf, "pages"))
     return p.select("page_id", "url", "html", H.blocks(F.col("html")).alias("blocks"))
 
 

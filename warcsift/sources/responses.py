@@ -43,6 +43,13 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over the cores if its files give fewer tasks than there are (one
+    Parquet row group is one task): extracting a page costs far more than moving it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def decorate(pages: DataFrame) -> DataFrame:
     pid = F.col("page_id")
     file_no = F.floor(pid / RECORDS_PER_FILE).cast("long")
@@ -86,4 +93,4 @@ def decorate(pages: DataFrame) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records over the ``pages`` table of ``sf_dir``."""
-    return decorate(load_table(spark, sf_dir, "pages"))
+    return decorate(spread(load_table(spark, sf_dir, "pages")))
