@@ -81,9 +81,11 @@ def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
 @contextmanager
 def small_batches(spark: SparkSession):
     """Arrow batches bounded in rows and bytes while a table is written, so that
-    long texts and sets do not add up in a Python worker."""
+    long texts and sets do not add up in a Python worker; the write's shuffle files
+    are deleted with it."""
     bounds = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-              "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+              "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+              "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
     before = {k: spark.conf.get(k, None) for k in bounds}
     for k, v in bounds.items():
         spark.conf.set(k, v)
@@ -97,24 +99,58 @@ def small_batches(spark: SparkSession):
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared checkpoint folder and read back.
 
-    Cuts the lineage with files that every executor sees; ``release_scratch``
-    (also run when the driver's Python ends) removes them.
+    Cuts the lineage with files that every executor sees; ``release`` removes them
+    after their last reader, ``release_scratch`` (also run when the driver's Python
+    ends) what is left. Shuffle files of the write go when it ends.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, f"llm-{name}")
     _SCRATCH.append(path)
     with small_batches(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` returned, once nothing unwritten reads them."""
+    for done in tables:
+        if done.scratch_path in _SCRATCH:
+            _SCRATCH.remove(done.scratch_path)
+            _delete(done.sparkSession, done.scratch_path)
 
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete every table that ``materialise`` has written in this process."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _SCRATCH.pop())
+
+
+def rows_that_stay(docs: DataFrame, key: Column, verdict: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``verdict`` lets stay, all columns as they were.
+
+    ``verdict``: a written table ``doc_id, key, rows, stays`` with one row per
+    (doc_id, key); rows of ``docs`` that it does not name stay. Where several rows
+    with one such pair stay, they are merged into one of them. The verdict grows
+    with ``docs``, so it is never broadcast: texts move once, past a hash table of
+    the narrow rows that go.
+    """
+    mark, own, row = fresh(docs, "stay_key", "stay_own", "stay_row")
+    narrow = lambda df: df.select(F.col("doc_id").alias(row), F.col("key").alias(own)).hint("shuffle_hash")
+    same = (F.col(mark) == F.col(own)) & F.col("doc_id").cast(verdict.schema["doc_id"].dataType).eqNullSafe(F.col(row))
+    left = docs.withColumn(mark, key).join(narrow(verdict.filter("NOT stays")), same, "left_anti")
+    again = verdict.filter("stays AND rows > 1")
+    if again.isEmpty():  # no row is repeated
+        return left.select(*docs.columns)
+    single = left.join(narrow(again), same, "left_anti")
+    merged = left.join(narrow(again), same, "left_semi").dropDuplicates(["doc_id", mark])
+    return single.unionByName(merged).select(*docs.columns)
 
 
 @atexit.register

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, text_of
+from .common import materialise, rows_that_stay, text_of
 
 MIN_CHUNK, MAX_CHUNK = 256, 8192
 
@@ -86,14 +86,6 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     Only the copies that go are joined, by doc_id and digest; repeated rows
     (same doc_id and text) of a kept document are merged into one of them.
     """
-    sha, gone, stays = fresh(docs, "copy_sha256", "copy_gone", "copy_stays")
-    verdict = (exact_groups(docs).filter("group_size > 1").groupBy("doc_id", "text_sha256")
-               .agg(F.count("*").alias(gone), F.max("kept").alias(stays))
-               .withColumnsRenamed({"doc_id": "copy_id", "text_sha256": "copy_key"}))
-    verdict = materialise(verdict, "copy-verdicts")
-    marked = docs.withColumn(sha, F.sha2(text_of(), 256)).join(
-        verdict, (F.col(sha) == F.col("copy_key")) & docs["doc_id"].eqNullSafe(F.col("copy_id")), "left")
-    kept = marked.filter(F.coalesce(F.col(stays), F.lit(True)))
-    single = kept.filter(F.coalesce(F.col(gone), F.lit(1)) == 1).select(*docs.columns)
-    repeated = kept.filter(F.col(gone) > 1).dropDuplicates(["copy_id", "copy_key"]).select(*docs.columns)
-    return single.unionByName(repeated)
+    verdict = (exact_groups(docs).filter("group_size > 1").groupBy("doc_id", F.col("text_sha256").alias("key"))
+               .agg(F.count("*").alias("rows"), F.max("kept").alias("stays")))
+    return rows_that_stay(docs, F.sha2(text_of(), 256), materialise(verdict, "copy-verdicts"))

@@ -3,11 +3,10 @@
 Documents are sets of word shingles (64-bit hashes); two link when
 ``100 * |intersection| >= PERCENT * |union|``. Exact at every size:
 
-1. Scan: each text becomes its set (40 bits kept of each hash), its size, a
-   128-bit digest and ``BANDS`` keys from a one-permutation sketch. Tokens are
-   ordered by hash, those seen often in a sample of texts last: the order only
-   steers the work, any order gives the same links. Equal sets (copies) are
-   one node.
+1. Scan: each text becomes its set of 64-bit hashes, its size, a 128-bit digest
+   and ``BANDS`` keys from a one-permutation sketch. Tokens are ordered by hash,
+   those seen often in a sample of texts last: the order only steers the work,
+   any order gives the same links. Equal sets (copies) are one node.
 2. Groups: in every key bucket the other nodes are compared with one centre;
    verified links join similar documents into groups, whatever their number,
    with one comparison per document and key.
@@ -19,7 +18,8 @@ Documents are sets of word shingles (64-bit hashes); two link when
    ``P (100 a - P b) / (100 (100 + P))`` for sizes a <= b and P = PERCENT).
 4. Bound: the overlap of a query (a member of the smaller group) with the
    other group's token union must reach ``PERCENT`` per cent of the query.
-   Only qualifying groups are opened, and their members compared exactly.
+   Only qualifying groups are opened, and their members compared exactly, in
+   rounds: queries whose group has met the opened one need no more members.
 5. Components of all links, by contraction rounds over a shrinking edge list.
 
 Side tables are broadcast only up to ``BROADCAST_ROWS`` rows, else joined by a
@@ -29,13 +29,14 @@ reads written tables.
 Defined results: null and empty texts have no shingle, link with nothing and
 are their own component; a text of fewer than five words is one shingle; a
 null doc_id never names a component unless all its ids are null; repeated rows
-are equal sets; an empty table gives an empty result; other columns are not
+are equal sets and ties are links at exactly ``PERCENT``; an empty table gives an empty result; other columns are not
 read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +44,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, most_frequent, text_of
+from .common import materialise, most_frequent, release, rows_that_stay, text_of
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 8, 3
 HEAVY_SAMPLE, HEAVY_SEEN, HEAVY_LIMIT = 16, 4, 200_000
 BROADCAST_ROWS = 2_000_000
-KEPT = 5                                     # bytes of a token's hash in a stored set
+FIRST_OPENED, GROWTH = 8, 16                 # members of a group a query meets first; rise by round
+KEPT = 8                                     # bytes of a token in a stored set: the whole hash
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
                  0xFF51AFD7ED558CCD], dtype=np.uint64)  # odd multipliers
@@ -91,15 +93,11 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def pack(tokens: np.ndarray) -> bytes:
-    """``KEPT`` high bytes of every hash."""
-    return (tokens >> np.uint64(64 - 8 * KEPT)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEPT].tobytes()
+    return tokens.astype("<u8").tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, dtype=np.uint8).reshape(-1, KEPT)
-    wide = np.zeros((len(raw), 8), dtype=np.uint8)
-    wide[:, :KEPT] = raw
-    return wide.view("<i8").ravel()
+    return np.frombuffer(data, dtype="<i8")
 
 
 def band_keys(tokens: np.ndarray) -> list[int]:
@@ -200,12 +198,16 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         move = materialise(both.groupBy("a").agg(F.min(rank("b")).alias("least"))
                            .select(F.col("a").alias("at"), F.least(F.col("least"), rank("a"))["id"].alias("to")), "jaccard-moves")
-        labels = materialise(labels.join(move, F.col("label") == F.col("at"), "left")
+        before = labels
+        labels = materialise(before.join(move, F.col("label") == F.col("at"), "left")
                              .select("node", F.coalesce("to", "label").alias("label")), "jaccard-labels")
         one = edges.join(move, F.col("a") == F.col("at")).select(F.col("to").alias("a"), "b")
         two = one.join(move, F.col("b") == F.col("at")).select("a", F.col("to").alias("b"))
-        edges = materialise(two.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                            .distinct(), "jaccard-edges")
+        shorter = materialise(two.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                              .distinct(), "jaccard-edges")
+        release(edges, move, before)
+        edges = shorter
+    release(edges)
     return labels
 
 
@@ -307,14 +309,58 @@ def links(scanned: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFr
     opened = (asked.join(union, ["t", "tok"]).groupBy("node", "n", "t").agg(F.count("*").alias("overlap"))
               .filter(F.col("overlap") * 100 >= F.col("n") * percent))
     opened = materialise(opened, "jaccard-opened")
-    pairs = (opened.join(inside.select("t", F.col("rid").alias("b"), F.col("n").alias("m")), "t")
-             .filter(_fits("n", "m", percent)).select(F.col("node").alias("a"), "b").distinct())
-    more = materialise(verified(materialise(pairs, "jaccard-pairs"), sets, percent), "jaccard-more")
-    return edges.unionByName(more), nodes
+    more = _open_in_rounds(opened, inside, member, sets, percent)
+    release(queries, sets, token, inside, info)
+    return reduce(DataFrame.unionByName, more, edges), nodes
 
 
-def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """One row per row: ``doc_id, text_key, n_shingles, component_id`` (least doc_id reachable by links)."""
+def _open_in_rounds(opened: DataFrame, inside: DataFrame, member: DataFrame, sets: DataFrame, percent: int) -> list[DataFrame]:
+    """Tables of links (a, b) that connect all groups that ``opened`` (node, n, t) can connect.
+
+    The members of a group are connected already, so one verified link joins two
+    groups for good. Each round compares a query with about ``FIRST_OPENED`` x
+    ``GROWTH`` ^ round members of the group, chosen by hash; then queries whose
+    group and the opened one have met are left out, and the rest goes on with the
+    members not yet seen, until all are.
+    """
+    size = inside.groupBy("t").agg(F.count("*").alias("size"))
+    place = materialise(inside.join(size, "t").withColumn("place", F.pmod(F.xxhash64(F.lit("place"), "rid"), F.col("size")))
+                        .select("t", F.col("rid").alias("b"), F.col("n").alias("m"), "place"), "jaccard-places")
+    left = materialise(opened.join(member.select(F.col("rid").alias("node"), "g"), "node")
+                       .select("node", "n", "g", "t"), "jaccard-left")
+    release(opened)
+    last = place.agg(F.max("place")).first()[0]
+    found: list[DataFrame] = []
+    low, high = 0, FIRST_OPENED
+    while last is not None and low <= last:
+        some = place.filter((F.col("place") >= low) & (F.col("place") < high))
+        pairs = (left.join(some, "t").filter(_fits("n", "m", percent))
+                 .select(F.col("node").alias("a"), "b").distinct())
+        pairs = materialise(pairs, "jaccard-pairs")
+        found.append(materialise(verified(pairs, sets, percent), "jaccard-more"))
+        release(pairs)
+        low, high = high, high * GROWTH
+        if low > last:
+            break
+        owner = lambda c: member.select(F.col("rid").alias(c), F.col("g").alias(f"group_{c}"))
+        links_now = reduce(DataFrame.unionByName, found)
+        met = components(links_now.join(owner("a"), "a").join(owner("b"), "b").select(F.col("group_a").alias("a"), F.col("group_b").alias("b")))
+        side = lambda c: met.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}"))
+        large = place.filter(F.col("place") >= low).select("t").distinct()
+        apart = F.coalesce("label_g", "g") != F.coalesce("label_t", "t")
+        rest = materialise(left.join(large, "t", "left_semi").join(side("g"), "g", "left").join(side("t"), "t", "left")
+                           .filter(apart).select("node", "n", "g", "t"), "jaccard-left")
+        release(left, met)
+        left = rest
+        if left.isEmpty():
+            break
+    release(left, place)
+    return found
+
+
+def _labelled(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """One row per row: ``doc_id, text_key, n_shingles, component_id, label`` (names the
+    component whatever its ids; null without shingles)."""
     scanned = materialise(scan(docs.select("doc_id", "text"), size), "jaccard-scan")
     edges, _ = links(scanned, percent)
     label = components(edges)
@@ -322,26 +368,30 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     named = materialise(rep.join(label, rep["rep"] == label["node"], "left")
                         .select("cid", "least", F.coalesce("label", "rep").alias("label")), "jaccard-named")
     whole = named.groupBy("label").agg(F.min("least").alias("component"))
-    by_set = materialise(named.join(whole, "label").select("cid", "component"), "jaccard-components")
+    by_set = materialise(named.join(whole, "label").select("cid", "component", "label"), "jaccard-components")
+    release(label, named)
     return (scanned.select("doc_id", "text_key", "n", "cid").join(by_set, "cid", "left")
             .select("doc_id", "text_key", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), "label"))
+
+
+def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """One row per row: ``doc_id, text_key, n_shingles, component_id`` (least doc_id reachable by links)."""
+    return _labelled(docs, percent, size).drop("label")
 
 
 def keep_one_per_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component, all columns as they were.
+    """The rows of ``docs`` that stay, one of each component, all columns as they were.
 
-    Repeated rows (equal doc_id and text) are merged into one.
+    Of a component stays the row of the least doc_id, null last; of several such
+    rows that of the least text hash; of repeated rows (equal doc_id and text) one.
+    Rows without a shingle are alone in their component and stay.
     """
-    text_key, own, row = fresh(docs, "near_key", "near_own", "near_row")
-    found = materialise(jaccard_groups(docs, percent), "jaccard-result")
-    named = lambda df: df.select(F.col("doc_id").alias(row), F.col("text_key").alias(own)).distinct()
-    drop = named(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    rest = found.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id")))
-    again = named(rest.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows")).filter("rows > 1"))
-    marked = docs.withColumn(text_key, F.xxhash64(text_of()))
-    is_row = (F.col(text_key) == F.col(own)) & F.col("doc_id").cast("long").eqNullSafe(F.col(row))
-    stays = marked.join(drop, is_row, "left_anti")
-    single = stays.join(again, is_row, "left_anti")
-    merged = stays.join(again, is_row, "left_semi").dropDuplicates(["doc_id", text_key])
-    return single.unionByName(merged).select(*docs.columns)
+    found = _labelled(docs, percent, SHINGLE).filter("label IS NOT NULL")
+    rows = materialise(found.groupBy("doc_id", F.col("text_key").alias("key"), "label")
+                       .agg(F.count("*").alias("rows")), "jaccard-result")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    best = rows.groupBy("label").agg(F.min(order).alias("best"))
+    same = F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.key") == F.col("key"))
+    verdict = rows.join(best, "label").select("doc_id", "key", "rows", same.alias("stays")).filter("rows > 1 OR NOT stays")
+    return rows_that_stay(docs, F.xxhash64(text_of()), materialise(verdict, "jaccard-verdicts"))

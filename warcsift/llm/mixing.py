@@ -192,13 +192,16 @@ def _on_border(docs: DataFrame, border: DataFrame, doc_id: str, size: str):
 
 
 def taken(mix: Mix) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken``."""
-    whole = mix.units.groupBy("sid", "block").agg(F.count("*").alias("times"))
-    border = mix.border.select("sid", "border_id", "border_size", F.lit(1).alias("once"))
+    """One row per document: ``doc_id, size, source_size, target, taken, shards`` (the
+    output shard of every time it is taken, ascending)."""
+    whole = mix.units.groupBy("sid", "block").agg(F.collect_list("shard").alias("whole"))  # one a pass
+    border = mix.border.select("sid", "border_id", "border_size", F.array("shard").alias("once"))
     docs = mix.docs.join(whole, ["sid", "block"], "left")
     both = docs.join(border, _on_border(docs, border, "doc_id", "size"), "left")
-    times = F.coalesce("times", F.lit(0)) + F.coalesce("once", F.lit(0))
-    return both.select("doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"))
+    none = F.array().cast("array<int>")
+    shards = F.sort_array(F.concat(F.coalesce("whole", none), F.coalesce("once", none)))
+    return both.select("doc_id", "size", "source_size", "target",
+                       (F.col("size") * F.size(shards)).cast("long").alias("taken"), shards.alias("shards"))
 
 
 def mix(docs: DataFrame, shards: int = 16, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
@@ -221,6 +224,14 @@ def mix(docs: DataFrame, shards: int = 16, weights=WEIGHTS, share: float = SHARE
                        F.xxhash64(F.lit(SEED), "pass", "shard", doc_id).alias(at))
 
 
+def in_mix_order(mixed: DataFrame) -> DataFrame:
+    """The rows of ``mix`` shard by shard, each in its local order, without the two
+    columns; a shard is cut into 64 ranges of that order, so that several tasks write it."""
+    shard, at = mixed.columns[-2:]
+    return (mixed.repartition(F.col(shard), F.shiftright(at, 58)).sortWithinPartitions(shard, at)
+            .select(*mixed.columns[:-2]))
+
+
 def write_mix(mixed: DataFrame, path: str, shards: int) -> None:
     """One folder per shard, each shuffled locally by its hash order."""
     (mixed.repartition(shards, "shard").sortWithinPartitions("shard", "mix_order")

@@ -20,7 +20,7 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = mixing.sizes(table(spark, sf_dir, "documents"))
-    return mixing.taken(mixing.plan_mix(sized))
+    return mixing.taken(mixing.plan_mix(sized)).withColumn("shards", F.array_join("shards", ","))
 
 
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
