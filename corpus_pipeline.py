@@ -23,18 +23,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
+    """Of equal texts the row with the largest doc_id stays (null ranks lowest, null
+    text is empty); of repeated rows one."""
     return exact_dedup.drop_exact_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One row of each group of near copies stays: least doc_id (null last), then least
+    text hash, one of repeated rows; rows without a word stay."""
     return jaccard_join.keep_one_per_group(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for every time the mix takes a document."""
-    return mixing.mix(docs).select(*docs.columns)
+    """A row for every time the mix takes a document, by output shard in its order."""
+    return mixing.in_mix_order(mixing.mix(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
