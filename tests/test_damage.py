@@ -1,5 +1,6 @@
 """Damaged, missing and mislabelled input; what a run reports and leaves behind."""
 
+import fnmatch
 import gzip
 import os
 import subprocess
@@ -15,7 +16,8 @@ from warcsift.functions.globs import globs_to_python_regex, url_matches_any
 from warcsift.functions.text import html_text
 from warcsift.operators import html as H
 from warcsift.operators.language import train_profile
-from warcsift.operators.records import glob_host, url_semi_join
+from warcsift.functions.globs import glob_elements, glob_host, glob_regex, globs_to_regex
+from warcsift.operators.records import url_semi_join
 from warcsift.plans.pipeline import extract_warc, run
 from warcsift.sources.framing import _decode_body
 from warcsift.sources.warc import read_warc, scan_errors
@@ -159,10 +161,36 @@ def test_semi_join_takes_any_number_of_patterns(spark):
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
 
 
-def test_host_of_a_glob():
+def test_semi_join_of_globs_without_a_host(spark):
+    """100,000 of them, found by their rarest literal piece; odd ones against fnmatch."""
+    urls = [f"https://s{i % 7}.example.org/a/{i}/page{i * 37 % 5000}.html" for i in range(3000)] + ["", "a", "ab", "x\ny", "é", "😀b", "[", "a]b", "zz^z", "a\0bc"]
+    odd = ["?", "", "a?", "*\n*", "?b", "[[]", "[]a]]*", "*[!-a]b", "zz[^z]z", "[z-a]", "[!z-a]", "*[", "a\0b*", "*ge4?.h*", "[😀é]*", "*/a/12[0-9]/*"]
+    many = [f"*/page{i}.*" for i in range(50_000)] + [f"*no-such-{i}?" for i in range(50_000)]
+    records = spark.createDataFrame(list(enumerate(urls)), "id int, url string")
+    got = url_semi_join(records, spark.createDataFrame([(g,) for g in many], "glob string"))
+    assert {r["id"] for r in got.collect()} == set(range(3000))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "collect_set" not in plan
+    for part in (odd, odd[:8], odd[8:12]):
+        got = url_semi_join(records, spark.createDataFrame([(g,) for g in part], "glob string"))
+        assert sorted(r["url"] for r in got.collect()) == sorted(u for u in urls if any(fnmatch.fnmatchcase(u, g) for g in part))
+
+
+def test_globs_translated_in_columns(spark):
+    globs = ["*", "a*b", "**?", "[a-c]x", "[!a-c]", "[]]", "[!]]", "[", "[]", "[!]", "[z-a]", "[!z-a]", "[a-]", "[--0]", "x[é-ü]\n", "a.b+c(d)", "[a][", "[^a]"]
+    texts = ["", "a", "b", "ab", "axb", "bx", "]", "[", "[]", "[!]", "-", ".", "xë\n", "a.b+c(d)", "a[", "^", "é", "!"]
+    rows = spark.createDataFrame([(g,) for g in globs], "g string").select("g", glob_regex(glob_elements(F.col("g"))).alias("rx"))
+    match = rows.crossJoin(spark.createDataFrame([(t,) for t in texts], "t string")).select("g", "t", F.expr("coalesce(t rlike rx, false)").alias("m"))
+    for r in match.collect():
+        assert r["m"] == fnmatch.fnmatchcase(r["t"], r["g"]), r
+    assert {r["g"] for r in rows.collect() if r["rx"] is None} == {g for g in globs if globs_to_regex([g]) is None}
+
+
+def test_host_of_a_glob(spark):
     cases = {"*://*.a.org/*": "a.org", "https://b.org/x": "b.org", "https://b.org*": None, "*": None, "*://*a.org/": None, "[x://a.org/": None,
              "*://?.org/": None, "http://a.org:80/*": "a.org:80"}
-    assert {g: glob_host(g) for g in cases} == cases
+    rows = spark.createDataFrame([(g,) for g in cases], "g string").select("g", glob_host(F.col("g")).alias("h"))
+    assert {r["g"]: r["h"] for r in rows.collect()} == cases
 
 
 def test_character_references_with_leading_zeros(spark):

@@ -14,8 +14,14 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from .text import once
+
 _MAX_CP = 0x10FFFF
 
+# One glob element: a closed set, a run of stars, or any one character.
+_ELEMENT_RX = r"(?s)\[!?+\]?+[^\]]*+\]|\*+|."
+_HOST_RX = r"(?s)\A[^\[]*?://(?:\*\.)?([^/*?\[\]]+)/"
+
 
 def _lit(ch: str) -> str:
     if ch.isascii() and ch.isalnum():
@@ -108,3 +114,57 @@ def url_matches_any(url: Column, patterns: list[str]) -> Column:
     if rx is None:
         return F.lit(False)
     return url.rlike(rx)
+
+
+def _char_rx(ch: Column) -> Column:
+    return F.concat(F.lit("\\x{"), F.hex(F.ascii(ch)), F.lit("}"))
+
+
+def _set_rx(element: Column) -> Column:
+    """Regex of a set element, NULL if no character is in it."""
+    negated = F.substring(element, 2, 1) == "!"
+    body = F.regexp_extract(element, r"(?s)\A\[!?(.*)\]\z", 1)
+    pair = lambda m: F.char_length(m) == 3
+    first, last = (lambda m: F.substring(m, 1, 1)), (lambda m: F.substring(m, 3, 1))
+    members = F.filter(F.regexp_extract_all(body, F.lit("(?s).-.|."), F.lit(0)), lambda m: ~pair(m) | (first(m) <= last(m)))
+    text = F.array_join(F.transform(members, lambda m: F.when(
+        pair(m), F.concat(_char_rx(first(m)), F.lit("-"), _char_rx(last(m)))).otherwise(_char_rx(m))), "")
+    return (F.when(text != "", F.concat(F.when(negated, F.lit("[^")).otherwise(F.lit("[")), text, F.lit("]")))
+            .when(negated, F.lit(".")))
+
+
+def glob_elements(glob: Column) -> Column:
+    """A glob column cut into its elements."""
+    return F.regexp_extract_all(glob, F.lit(_ELEMENT_RX), F.lit(0))
+
+
+def _is_set(element: Column) -> Column:
+    return F.startswith(element, F.lit("[")) & (F.char_length(element) > 1)
+
+
+def glob_regex(elements: Column) -> Column:
+    """The anchored regex of each glob's elements (as ``globs_to_regex`` gives for one
+    glob), NULL where no string can match."""
+    parts = F.transform(elements, lambda e: F.when(F.startswith(e, F.lit("*")), F.lit(".*")).when(e == "?", F.lit("."))
+                        .when(_is_set(e), _set_rx(e)).otherwise(_char_rx(e)))
+    return F.when(~F.exists(parts, lambda p: p.isNull()),
+                  F.concat(F.lit("(?s)\\A(?:"), F.array_join(parts, ""), F.lit(")\\z")))
+
+
+def glob_literals(elements: Column) -> Column:
+    """The runs of literal characters of each glob: every match contains each of them."""
+    plain = F.transform(elements, lambda e: F.when(F.startswith(e, F.lit("*")) | (e == "?") | _is_set(e), F.lit("\0")).otherwise(e))
+    return F.split(F.array_join(plain, ""), "\0")
+
+
+def glob_host(glob: Column) -> Column:
+    """The literal host of a glob between ``://`` (or ``://*.``) and ``/``, NULL without one."""
+    return F.nullif(F.regexp_extract(glob, _HOST_RX, 1), F.lit(""))
+
+
+def ngrams(text: Column, n: Column) -> Column:
+    """The distinct ``n``-character pieces of a text; one empty piece where ``n`` is 0."""
+    at = F.sequence(F.lit(1), F.char_length(text) - n + 1)
+    pieces = once(F.split(text, ""), lambda chars: F.transform(at, lambda i: F.array_join(F.slice(chars, i, n), "")))
+    return (F.when(n == 0, F.array(F.lit(""))).when(F.char_length(text) >= n, F.array_distinct(pieces))
+            .otherwise(F.array().cast("array<string>")))

@@ -9,15 +9,14 @@ article has no language is *errored*; the rest are *extracted*.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.globs import globs_to_regex, url_matches_any
+from ..functions.globs import glob_elements, glob_host, glob_literals, glob_regex, ngrams, url_matches_any
 from ..functions.headers import header
 from ..functions.text import is_utf8_html, strict_utf8
 
 KEYS = ["warc_path", "rec_idx"]
+GRAM = 5  # characters of the literal pieces by which globs without a host are found
 
 
 def target_uri(rec_headers: Column) -> Column:
@@ -67,36 +66,39 @@ def url_semi_join(records: DataFrame, patterns: DataFrame, url_col: str = "url",
 
     A glob with a literal host (``*://*.example.com/*``) can only match a URL
     one of whose ``/``-parts ends with that host, so such globs meet distinct
-    URLs by an equi-join on host suffixes and the glob itself is a residual
-    condition. Globs without one are folded into a single expression by an
-    aggregate and tested as a scalar subquery. Nothing is collected, and the
-    number of patterns is not limited.
+    URLs by an equi-join on host suffixes. Every other glob is filed under one
+    literal piece that its matches must contain: of its pieces of ``GRAM``
+    characters (fewer, if its longest literal is shorter) the one that the fewest
+    URLs hold; globs with a piece that no URL holds are left out. URLs meet them by
+    an equi-join on pieces. The glob itself is the residual condition of both.
+    Globs are translated by built-in functions; the number of patterns is not limited.
     """
-    to_regex = F.udf(_anchored, "string", useArrow=False)
-    host = F.udf(glob_host, "string", useArrow=False)
     globs = (patterns.select(F.col(glob_col).alias("_glob")).where(F.col("_glob").isNotNull()).distinct()
-             .select(to_regex("_glob").alias("_rx"), host("_glob").alias("_host")).where(F.col("_rx").isNotNull()))
+             .withColumn("_elements", glob_elements(F.col("_glob")))
+             .select(glob_regex(F.col("_elements")).alias("_rx"), glob_host(F.col("_glob")).alias("_host"),
+                     glob_literals(F.col("_elements")).alias("_literals")).where(F.col("_rx").isNotNull()))
     urls = records.select(F.col(url_col).alias("_url")).where(F.col("_url").isNotNull()).distinct()
     parts = F.flatten(F.transform(F.split("_url", "/"), _suffixes))
-    hits = (urls.select("_url", F.explode(F.array_distinct(parts)).alias("_host"))
-            .join(globs.where(F.col("_host").isNotNull()), "_host")
-            .where(F.expr("_url rlike _rx")).select("_url"))
-    folded = globs.where(F.col("_host").isNull()).agg(F.concat_ws("|", F.array_sort(F.collect_set("_rx"))).alias("rx"))
-    any_other = F.nullif(folded.scalar(), F.lit(""))
-    hits = hits.unionByName(urls.where(F.regexp_like("_url", any_other))).distinct()
+    by_host = (urls.select("_url", F.explode(F.array_distinct(parts)).alias("_host"))
+               .join(globs.where(F.col("_host").isNotNull()), "_host"))
+    other = globs.where(F.col("_host").isNull()).withColumn(
+        "_n", F.least(F.lit(GRAM), F.array_max(F.transform("_literals", F.char_length))))
+    piece = F.flatten(F.transform("_literals", lambda x: ngrams(x, F.col("_n"))))
+    filed = other.select("_rx", "_n", F.explode(F.array_distinct(piece)).alias("_gram"))
+    in_use = F.coalesce(other.agg(F.bit_or(F.expr("shiftleft(1, _n)"))).scalar(), F.lit(0))  # lengths of pieces, as bits
+    held = (urls.select("_url", in_use.alias("_bits"))
+            .select("_url", F.filter(F.sequence(F.lit(0), F.lit(GRAM)), lambda n: F.getbit("_bits", n) == 1).alias("_lengths"))
+            .select("_url", F.explode(F.flatten(F.transform("_lengths", lambda n: ngrams(F.col("_url"), n)))).alias("_gram")))
+    wanted = held.join(filed.select("_gram").distinct(), "_gram", "left_semi")
+    often = wanted.groupBy("_gram").agg(F.count("*").alias("_urls"))
+    rarest = (filed.join(often, "_gram", "left").groupBy("_rx")
+              .agg(F.min(F.struct(F.coalesce("_urls", F.lit(0)).alias("urls"), F.col("_gram").alias("gram"))).alias("_least"))
+              .where(F.col("_least.urls") > 0).select("_rx", F.col("_least.gram").alias("_gram")))
+    hits = by_host.select("_url", "_rx").unionByName(held.join(rarest, "_gram").select("_url", "_rx"))
+    hits = hits.where(F.expr("_url rlike _rx")).select("_url").distinct()
     return records.join(hits, F.col(url_col) == F.col("_url"), "left_semi")
 
 
-def _anchored(glob: str) -> str | None:
-    return globs_to_regex([glob])
-
-
-def glob_host(glob: str) -> str | None:
-    """The literal host of a glob between ``://`` (or ``://*.``) and ``/``, if it has one."""
-    m = re.search(r"://(?:\*\.)?([^/*?\[\]]+)/", glob)
-    return m[1] if m and "[" not in glob[:m.start()] else None
-
-
 def _suffixes(part: Column) -> Column:
     """A URL part and what follows each of its dots."""
     labels = F.split(part, "[.]")
