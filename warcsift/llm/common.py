@@ -126,6 +126,18 @@ def release(*tables: DataFrame) -> None:
             _delete(done.sparkSession, done.scratch_path)
 
 
+def scratch_tables() -> set[str]:
+    return set(_SCRATCH)
+
+
+def release_newer(before: set[str], keep: DataFrame) -> DataFrame:
+    """``keep``, after every other table written since ``before`` (``scratch_tables``) is deleted."""
+    for path in [p for p in _SCRATCH if p not in before and p != keep.scratch_path]:
+        _SCRATCH.remove(path)
+        _delete(keep.sparkSession, path)
+    return keep
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete every table that ``materialise`` has written in this process."""
     while _SCRATCH:

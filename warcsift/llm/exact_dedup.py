@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, rows_that_stay, text_of
+from .common import materialise, release_newer, rows_that_stay, scratch_tables, text_of
 
 MIN_CHUNK, MAX_CHUNK = 256, 8192
 
@@ -86,6 +86,8 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     Only the copies that go are joined, by doc_id and digest; repeated rows
     (same doc_id and text) of a kept document are merged into one of them.
     """
+    before = scratch_tables()
     verdict = (exact_groups(docs).filter("group_size > 1").groupBy("doc_id", F.col("text_sha256").alias("key"))
                .agg(F.count("*").alias("rows"), F.max("kept").alias("stays")))
-    return rows_that_stay(docs, F.sha2(text_of(), 256), materialise(verdict, "copy-verdicts"))
+    verdict = release_newer(before, materialise(verdict, "copy-verdicts"))
+    return rows_that_stay(docs, F.sha2(text_of(), 256), verdict)

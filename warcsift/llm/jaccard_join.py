@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, most_frequent, release, rows_that_stay, text_of
+from .common import materialise, most_frequent, release, release_newer, rows_that_stay, scratch_tables, text_of
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 8, 3
@@ -387,6 +387,7 @@ def keep_one_per_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows that of the least text hash; of repeated rows (equal doc_id and text) one.
     Rows without a shingle are alone in their component and stay.
     """
+    before = scratch_tables()
     found = _labelled(docs, percent, SHINGLE).filter("label IS NOT NULL")
     rows = materialise(found.groupBy("doc_id", F.col("text_key").alias("key"), "label")
                        .agg(F.count("*").alias("rows")), "jaccard-result")
@@ -394,4 +395,5 @@ def keep_one_per_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     best = rows.groupBy("label").agg(F.min(order).alias("best"))
     same = F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.key") == F.col("key"))
     verdict = rows.join(best, "label").select("doc_id", "key", "rows", same.alias("stays")).filter("rows > 1 OR NOT stays")
-    return rows_that_stay(docs, F.xxhash64(text_of()), materialise(verdict, "jaccard-verdicts"))
+    verdict = release_newer(before, materialise(verdict, "jaccard-verdicts"))
+    return rows_that_stay(docs, F.xxhash64(text_of()), verdict)
