@@ -521,6 +521,32 @@ def test_every_training_word_has_a_class(spark, known):
     assert step[:, [0, 1, 2, 4]] == pytest.approx(want[:, [0, 1, 2, 4]])
 
 
+@pytest.mark.parametrize("known", [10_000, 25, 12])
+@pytest.mark.parametrize("events", [class_lm.EVENTS, 50])
+def test_words_are_placed_by_all_their_contexts(spark, monkeypatch, known, events):
+    """Against contexts counted plainly; words in slices or on their own, tasks that flush often, many tasks."""
+    monkeypatch.setattr(class_lm, "EVENTS", events)
+    monkeypatch.setattr(class_lm, "SLICES", 8)
+    texts = [class_lm.tokens(brute.prose(i % 11, 50).encode()) for i in range(40)]
+    count = Counter(w for t in texts for w in t)
+    spelled = sorted(count, key=lambda w: (-count[w], w))[:known]
+    cls = np.array([*(np.arange(10) % 3), 3, 4])
+    class_of = dict(zip(spelled[:10], cls.tolist(), strict=False))
+    before, after, g = defaultdict(lambda: np.zeros(5)), defaultdict(lambda: np.zeros(5)), np.zeros((5, 5))
+    for t in texts:
+        c = [4, *(class_of.get(w, 3) for w in t), 4]
+        for i, w in enumerate(t):
+            before[w][c[i]] += 1
+            after[w][c[i + 2]] += 1
+        for a, b in zip(c, c[1:], strict=False):
+            g[a, b] += 1
+    want = {w: class_of[w] if w in class_of else int(class_lm.place(g, before[w][None], after[w][None])[0]) for w in count}
+    docs = spark.createDataFrame([(b" ".join(t).decode(),) for t in texts], "text string").repartition(5)
+    words = spark.createDataFrame([(bytearray(w), n) for w, n in count.items()], "word binary, n long")
+    got = class_lm._placed(words, class_lm.contexts(docs, spelled, 10, cls), spelled, 10, cls, g).collect()
+    assert {bytes(r["word"]): r["cls"] for r in got} == want and len(got) == len(want)
+
+
 def test_exchange_ends_where_no_move_helps():
     r = np.random.default_rng(3)
     b = r.poisson(r.gamma(0.3, 20, (14, 14)))

@@ -5,8 +5,8 @@
 2. Exchange clustering puts the ``CLUSTERED`` most frequent words (the core)
    into ``CLASSES`` classes by the likelihood of their class bigrams. Every
    other training word is then placed by the same gain, from the counts of the
-   core's classes before and after it (``contexts``, summed by word and class in
-   Spark; ``place``). The end token has a class of its own, and words never
+   core's classes before and after it (``contexts``, counted by task, then summed
+   by word; ``place``). The end token has a class of its own, and words never
    seen in training are the open class. ``placed`` (word, n, cls) is written.
 3. Class bigrams are counted over all training tokens, each in its class.
 4. Scoring: log10 P(class | class before) + log10 P(word | class) per token.
@@ -40,7 +40,7 @@ from .common import materialise, most_frequent
 
 CLUSTERED, CLASSES, SWEEPS, KNOWN, PULL = 600, 32, 5, 200_000, 10.0
 END = b"\n"  # no word can be this
-FLUSH, SEEN = 500_000, 100_000
+FLUSH, SEEN, EVENTS, SLICES = 500_000, 100_000, 6_000_000, 1024
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -122,38 +122,65 @@ def _ids(batch: pa.RecordBatch, column: int, number: dict[bytes, int], other: in
         yield np.fromiter(map(number.get, flat, repeat(other)), dtype=np.int64, count=len(flat))
 
 
-def contexts(texts: DataFrame, core: list[bytes], cls: np.ndarray) -> DataFrame:
-    """``word, cells`` of each word outside ``core``: how often each class stands before it, or (from
-    ``len(classes)`` on) after it."""
+def _numbered(known: bytes) -> dict[bytes, int]:
+    """Numbers of the known words (joined by spaces), then of the end token."""
+    return {w: i for i, w in enumerate(known.split())} | {END: len(known.split())}
+
+
+def _local(flat: list[bytes], at: np.ndarray, local: dict[bytes, int]) -> np.ndarray:
+    """Task's own numbers of the words at ``at``, given as they come."""
+    return np.fromiter((local.setdefault(flat[i], len(local)) for i in at.tolist()), dtype=np.int64, count=len(at))
+
+
+def _sliced(names: list[bytes], keys: list[np.ndarray], size: int) -> pa.RecordBatch:
+    """A row per name: which keys of its slice (``size`` numbers each) occur, and how often."""
+    found, n = np.unique(np.concatenate(keys), return_counts=True)
+    cuts = 4 * np.searchsorted(found, np.arange(len(names) + 1) * size)
+    binary = lambda x: pa.Array.from_buffers(pa.binary(), len(names), [None, pa.py_buffer(cuts.astype("<i4")), pa.py_buffer(x.astype("<i4"))])
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), binary(found % size), binary(n)], names=["word", "at", "n"])
+
+
+def contexts(texts: DataFrame, known: list[bytes], core: int, cls: np.ndarray) -> DataFrame:
+    """``word, at, n``: how often each class stands before the word, or (from ``len(classes)`` on) after it;
+    little-endian int32, a row per task and word outside ``known``.
+
+    Known words beyond the first ``core`` have fixed numbers, and go in ``SLICES`` rows a task named
+    `` 0``, `` 1``, ... (no word holds a space), a frequent word's contexts thus at most once a task.
+    """
     other, total = int(cls[-2]), int(cls[-1]) + 1
-    schema = pa.schema([("word", pa.binary()), ("cell", pa.int32()), ("n", pa.int64())])
+    missing, width, per = len(known) + 1, 2 * total, -(-len(known) // SLICES)
+    spelled = b" ".join(known)
+    stands = np.concatenate((cls[:core], np.full(len(known) - core, other), cls[-1:], cls[-2:-1]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = dict(zip(core, cls.tolist(), strict=False)) | {END: total - 1}
-        found: Counter = Counter()
+        number, local = _numbered(spelled), {}
+        fixed, own, held = [], [], 0
 
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.binary()), pa.array([c for _, c in found], pa.int32()),
-                                              pa.array(found.values(), pa.int64())], schema=schema)
-            found.clear()
-            return out
+        def flush() -> Iterator[pa.RecordBatch]:
+            if fixed and known:
+                yield _sliced([b" %d" % i for i in range(SLICES)], fixed, per * width)
+            if local:
+                yield _sliced(list(local), own, width)
+            fixed.clear(), own.clear(), local.clear()
 
         for batch in batches:
             for flat in _flat(batch, 0):
-                ids = np.fromiter(map(number.get, flat, repeat(other)), dtype=np.int64, count=len(flat))
-                at = np.flatnonzero(ids == other)
-                spelled = [flat[i] for i in at.tolist()]
-                before = np.concatenate(([total - 1], ids[:-1]))[at]
-                found.update(zip(spelled, before.tolist(), strict=True))
-                found.update(zip(spelled, (total + np.concatenate((ids[1:], [total - 1]))[at]).tolist(), strict=True))
-                if len(found) > FLUSH // 2:
-                    yield flush()
-        if found:
-            yield flush()
-
-    rows = texts.select("text").mapInArrow(count, "word binary, cell int, n long").repartition("word")
-    cells = rows.groupBy("word", "cell").agg(F.sum("n").alias("n"))
-    return cells.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
+                ids = np.fromiter(map(number.get, flat, repeat(missing)), dtype=np.int64, count=len(flat))
+                now = stands[ids]
+                before, after = np.concatenate(([total - 1], now[:-1])), total + np.concatenate((now[1:], [total - 1]))
+                at = np.flatnonzero((ids >= core) & (ids < len(known)))
+                row = (ids[at] % SLICES * per + ids[at] // SLICES) * width
+                fixed += [row + before[at], row + after[at]]
+                at = np.flatnonzero(ids == missing)
+                row = _local(flat, at, local) * width
+                own += [row + before[at], row + after[at]]
+                held += 2 * len(flat)
+                if held > EVENTS or len(local) > FLUSH:
+                    yield from flush()
+                    held = 0
+        yield from flush()
+
+    return texts.select("text").mapInArrow(count, "word binary, at binary, n binary")
 
 
 def place(g: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -176,65 +203,115 @@ def place(g: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return gain.argmax(axis=1)
 
 
-def _placed(words: DataFrame, cells: DataFrame, core: list[bytes], cls: np.ndarray, g: np.ndarray) -> DataFrame:
-    """``word, n, cls`` of every row of ``words`` (word, n)."""
+def _placed(words: DataFrame, found: DataFrame, known: list[bytes], core: int, cls: np.ndarray, g: np.ndarray) -> DataFrame:
+    """``word, n, cls`` of every row of ``words`` (word, n); ``found``: rows of ``contexts``.
+
+    Rows of one word stand together in a sorted partition and are summed as they
+    come; a task holds one batch, or one slice of the known words, at a time.
+    """
     total = len(g)
+    width, per = 2 * total, -(-len(known) // SLICES)
+    spelled = b" ".join(known)
     schema = pa.schema([("word", pa.binary()), ("cls", pa.int32())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}  # rare words with equal contexts go to one class
-        for batch in batches:
-            for start in range(0, batch.num_rows, 128):
-                part = batch.slice(start, 128)
-                lists = part.column(1)
-                flat = lists.flatten()
-                row = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-                table = np.zeros((part.num_rows, 2 * total))
-                table[row, flat.field("cell").to_numpy(zero_copy_only=False)] = flat.field("n").to_numpy(zero_copy_only=False)
-                keys = [r.tobytes() for r in table]
+        names: list[bytes] = []
+
+        def chosen(spelt: list[bytes], table: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for start in range(0, len(spelt), 128):
+                rows = table[start:start + 128]
+                keys = [r.tobytes() for r in rows]
                 if len(seen) > SEEN:
                     seen.clear()
                 first = {k: i for i, k in enumerate(keys) if k not in seen}
                 if first:
-                    new = table[list(first.values())]
+                    new = rows[list(first.values())]
                     seen.update(zip(first, place(g, new[:, :total], new[:, total:]).tolist(), strict=True))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([seen[k] for k in keys], pa.int32())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(spelt[start:start + 128], pa.binary()), pa.array([seen[k] for k in keys], pa.int32())], schema=schema)
+
+        def ended(word: bytes | None, cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+            if word is None:
+                return
+            if word[:1] != b" ":
+                yield from chosen([word], cells.reshape(1, width))
+                return
+            names[:] = names or spelled.split()
+            part, table = int(word), cells.reshape(per, width)
+            rows = [r for r in range(per) if core <= r * SLICES + part < len(names)]
+            yield from chosen([names[r * SLICES + part] for r in rows], table[rows])
+
+        word, cells = None, np.zeros(0)
+        for batch in batches:
+            spelt = batch.column(0).to_pylist()
+            at, n = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype="<i4") for i in (1, 2))
+            ends = np.cumsum([0, *(len(x) // 4 for x in batch.column(1).to_pylist())])
+            i = 0
+            while i < len(spelt):  # the rows of the word at hand, or of a slice
+                if spelt[i] == word:
+                    cells += np.bincount(at[ends[i]:ends[i + 1]], n[ends[i]:ends[i + 1]], len(cells))
+                    i += 1
+                    continue
+                yield from ended(word, cells)
+                if spelt[i][:1] == b" ":
+                    word, cells = spelt[i], np.zeros(per * width)
+                    continue
+                # all words that begin in this batch at once; the last may go on in the next
+                fresh_ = np.array([a != b for a, b in zip(spelt[i:], [None, *spelt[i:-1]], strict=True)])
+                row = np.repeat(np.cumsum(fresh_) - 1, np.diff(ends[i:]))
+                unlike = [spelt[i + j] for j in np.flatnonzero(fresh_).tolist()]
+                table = np.bincount(row * width + at[ends[i]:], n[ends[i]:], len(unlike) * width).reshape(-1, width)
+                yield from chosen(unlike[:-1], table[:-1])
+                word, cells = unlike[-1], table[-1].copy()
+                break
+        yield from ended(word, cells)
 
     spark = words.sparkSession
-    rest = cells.mapInArrow(judge, "word binary, cls int")
-    known = spark.createDataFrame([(bytearray(w), int(k)) for w, k in zip(core, cls, strict=False)], "word binary, cls int")
-    return words.join(rest.unionByName(known), "word")
+    rest = found.repartition("word").sortWithinPartitions("word").mapInArrow(judge, "word binary, cls int")
+    first = spark.createDataFrame([(bytearray(w), int(k)) for w, k in zip(known[:core], cls, strict=False)], "word binary, cls int")
+    return words.join(rest.unionByName(first), "word")
 
 
 def class_bigrams(texts: DataFrame, placed: DataFrame, known: list[bytes], known_class: np.ndarray, total: int) -> np.ndarray:
     """Counts of neighbouring tokens by class, each token in its own."""
-    missing = total
-
-    spelled = b" ".join(known)
+    spelled, missing = b" ".join(known), len(known) + 1
+    class_of = np.concatenate((known_class, [total - 1, 0]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = dict(zip(spelled.split(), known_class.tolist(), strict=True)) | {END: total - 1}
-        cells, found = np.zeros((total, total), dtype=np.int64), Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = _bigram_rows(found)
-            found.clear()
-            return out
+        number, local = _numbered(spelled), {}
+        cells, rare, held = np.zeros(total * total, dtype=np.int64), [], 0
+
+        def rows(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            """Of tokens numbered by class, or from ``total`` on by the task."""
+            names, columns = pa.array(list(local), pa.binary()), []
+            for x in (first, second):
+                columns.append(names.take(pa.array(x - total, mask=x < total)))
+                columns.append(pa.array(np.minimum(x, total).astype(np.int32)))
+            return pa.RecordBatch.from_arrays([*columns, pa.array(n)], names=["w1", "c1", "w2", "c2", "n"])
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if rare:
+                keys, n = np.unique(np.concatenate(rare), return_counts=True)
+                yield rows(keys >> 32, keys & 0xFFFFFFFF, n)
+            rare.clear(), local.clear()
 
         for batch in batches:
             for flat in _flat(batch, 0):
                 ids = np.fromiter(map(number.get, flat, repeat(missing)), dtype=np.int64, count=len(flat))
-                before = np.concatenate(([total - 1], ids[:-1]))
-                both = (ids != missing) & (before != missing)
-                cells += np.bincount(before[both] * total + ids[both], minlength=total * total).reshape(total, total)
-                for i in np.flatnonzero(~both).tolist():
-                    a, b = int(before[i]), int(ids[i])
-                    found[(flat[i - 1] if a == missing else None, a, flat[i] if b == missing else None, b)] += 1
-                if len(found) > FLUSH // 2:
-                    yield flush()
-        for a, b in zip(*np.nonzero(cells), strict=True):
-            found[(None, int(a), None, int(b))] += int(cells[a, b])
-        yield flush()
+                at = np.flatnonzero(ids == missing)
+                token = class_of[ids]
+                token[at] = total + _local(flat, at, local)
+                before = np.concatenate(([total - 1], token[:-1]))
+                both = (token < total) & (before < total)
+                cells += np.bincount(before[both] * total + token[both], minlength=total * total)
+                rare.append(before[~both] << 32 | token[~both])
+                held += len(rare[-1])
+                if held > EVENTS or len(local) > FLUSH:
+                    yield from flush()
+                    held = 0
+        yield from flush()
+        at = np.flatnonzero(cells)
+        yield rows(at // total, at % total, cells[at])
 
     rows = materialise(texts.select("text").mapInArrow(count, "w1 binary, c1 int, w2 binary, c2 int, n long"), "lm-bigrams")
     for w, c in (("w1", "c1"), ("w2", "c2")):
@@ -247,12 +324,6 @@ def class_bigrams(texts: DataFrame, placed: DataFrame, known: list[bytes], known
     return out
 
 
-def _bigram_rows(found: Counter) -> pa.RecordBatch:
-    types = (pa.binary(), pa.int32(), pa.binary(), pa.int32())
-    columns = [pa.array([k[i] for k in found], t) for i, t in enumerate(types)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(found.values(), pa.int64())], names=["w1", "c1", "w2", "c2", "n"])
-
-
 def _h(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -329,7 +400,7 @@ def train(texts: DataFrame, clustered: int = CLUSTERED, classes: int = CLASSES,
     bigrams = bigram_counts(texts, core)
     cls = exchange(bigrams, classes)
     z = np.eye(classes + 2)[cls]
-    placed = materialise(_placed(words, contexts(texts, core, cls), core, cls, z.T @ bigrams @ z), "lm-placed")
+    placed = materialise(_placed(words, contexts(texts, spelled, len(core), cls), spelled, len(core), cls, z.T @ bigrams @ z), "lm-placed")
     class_of = {bytes(r["word"]): r["cls"] for r in most_frequent(placed, known).select("word", "cls").toLocalIterator()}
     known_class = np.array([class_of[w] for w in spelled], dtype=np.int64)
     g = class_bigrams(texts, placed, spelled, known_class, classes + 2)
