@@ -449,6 +449,19 @@ def test_packing(spark, tokenizer, monkeypatch):
     assert packing.best_fit_pack(brute.empty(spark), TOKENIZER).count() == 0
 
 
+def test_encoder_of_marks_and_line_breaks():
+    """Cached parts against whole texts, with a cache that turns over."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(TOKENIZER)
+    ids_of = packing.Encoder(TOKENIZER, 50, literal=False)
+    pieces = ["a", "B", "\u00e9", "1", "'s", "'", "\n", " ", "\t", ".", ",", "!", "?:", "\u00a0", "\u3000", "\x1c", "\x85", "\u6f22", "-", "\r", "the"]
+    rng = np.random.default_rng(7)
+    for n in rng.integers(0, 16, 4000):
+        text = "".join(rng.choice(pieces, n))
+        assert ids_of(text) == np.array(plain.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), repr(text)
+
+
 def test_packing_query(spark, tokenizer):
     texts = {r["doc_id"]: [r["text"]] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     bins, least = check_packed(queries.op9_best_fit_packing(spark, SF).collect(), texts, tokenizer)

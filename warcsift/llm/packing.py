@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 SEQ_LEN, POOL, END_ID = 2048, 20_000, 0
-CACHE = 200_000
+CACHE = 400_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -62,13 +62,18 @@ class Encoder:
     A byte-level BPE of this family splits a text before every space that does
     not lie inside a run of white space, so a text is the sum of its space-led
     chunks. Their ids are looked up; chunks not yet seen are encoded as one
-    text, whose space-led tokens tell where each chunk begins. A text with a
+    text, whose space-led tokens tell where each chunk begins. A mark of ``MARKS``
+    after an ASCII letter or digit at a chunk's end is a token run of its own, so
+    such a chunk is the sum of its stem and the mark. Likewise a line break between
+    other characters stands alone, and what follows it starts anew (kept in the cache
+    with a space behind, which no chunk has). A text with a
     space between (or after, at its end) other white space is encoded whole, and
     so is one that holds an added token's literal (``<|endoftext|>``): that is the
     token, as by the library's default, or with ``literal`` plain text.
     """
 
     INSIDE = re.compile(r" (?!\S)(?<=\s )")
+    MARKS = frozenset(".,;:!?")
 
     def __init__(self, path: str, limit: int = CACHE, literal: bool = True):
         from tokenizers import Tokenizer
@@ -79,14 +84,45 @@ class Encoder:
         self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
         self.seen = _Seen(limit)
         size = self.tokenizer.get_vocab_size()
+        self.marks = dict(zip(sorted(self.MARKS), self.whole(sorted(self.MARKS)), strict=True))
+        self.newline = self.whole(["\n"])[0]
         self.led = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def learn(self, chunks: list[str]) -> None:
-        """Put the ids of `` `` + each chunk into the cache."""
+    def lines(self, chunk: str) -> list[str] | None:
+        """The parts between single line breaks, or none if other white space is in it."""
+        parts = chunk.split("\n")
+        return parts if len(self.newline) == 4 and all(p.split() == [p] for p in parts) else None
+
+    def learn(self, chunks: set[str]) -> None:
+        """Put the ids of `` `` + each chunk into the cache; a chunk with a space behind starts a line."""
+        seen, old = self.seen, self.seen.old
+        broken = {c: parts for c in chunks if "\n" in c and (parts := self.lines(c))}
+        if broken:
+            chunks = chunks.difference(broken).union(p[0] for p in broken.values())
+            chunks.update(p + " " for parts in broken.values() for p in parts[1:])
+        marked = [c for c in chunks if c[-1:] in self.marks and c[-2:-1].isascii() and c[-2:-1].isalnum()]
+        if marked:
+            chunks = chunks.difference(marked).union(c[:-1] for c in marked)
+        new = [c for c in chunks if c not in seen and c not in old]
+        self.encode([c for c in new if c[-1:] != " "])
+        self.begin([c for c in new if c[-1:] == " "])
+        seen.update((c, seen[c[:-1]] + self.marks[c[-1]]) for c in marked)
+        seen.update((c, self.newline.join((seen[p[0]], *(seen[x + " "] for x in p[1:])))) for c, p in broken.items())
+
+    def begin(self, starts: list[str]) -> None:
+        if starts:
+            ids = self.whole(["\n".join(c[:-1] for c in starts)])[0]
+            at = (4 * np.flatnonzero(np.frombuffer(ids, dtype="<u4") == int.from_bytes(self.newline, "little"))).tolist()
+            if len(at) == len(starts) - 1:
+                self.seen.update((c, ids[a:b]) for c, a, b in zip(starts, [0, *(x + 4 for x in at)], [*at, len(ids)], strict=True))
+            else:
+                self.seen.update(zip(starts, self.whole([c[:-1] for c in starts]), strict=True))
+
+    def encode(self, chunks: list[str]) -> None:
         plain = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
         rest = [c for c in chunks if not c or c[0].isspace() or c[-1].isspace()]
         if plain:
@@ -104,13 +140,26 @@ class Encoder:
             return self.whole([text])[0]
         first, *rest = text.split(" ")
         seen = self.seen
-        try:
-            tail = b"".join(map(seen.__getitem__, rest))
-        except KeyError:
-            self.learn([c for c in set(rest) if c not in seen and c not in seen.old])
-            tail = b"".join(map(seen.__getitem__, rest))
+        found = list(map(seen.get, rest))
+        parts = self.lines(first) if first else None
+        if parts:
+            rest += [p + " " for p in parts]
+            found += map(seen.get, rest[-len(parts):])
+        if None in found:
+            at = [i for i, ids in enumerate(found) if ids is None]
+            missing = {rest[i] for i in at}
+            new = missing.difference(seen.old)
+            if new:
+                self.learn(new)
+            for i in at:
+                found[i] = seen[rest[i]]
         seen.turn()
-        return (self.whole([first])[0] if first else b"") + tail
+        if parts:
+            head = self.newline.join(found[-len(parts):])
+            del found[-len(parts):]
+        else:
+            head = self.whole([first])[0] if first else b""
+        return head + b"".join(found)
 
 
 @cache
