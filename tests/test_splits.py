@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from warcsift.operators.records import classify
-from warcsift.sources import framing
+from warcsift.sources import framing, warc
 from warcsift.sources.fixtures import http_bytes, warc_bytes
 from warcsift.sources.framing import _decode_body
 from warcsift.sources.warc import plan_splits, read_warc
@@ -211,3 +211,19 @@ def test_angle_brackets_round_the_target(spark, tmp_dir):
     from warcsift.functions.globs import globs_to_python_regex
     kept = read_warc(spark, path, payload="html", url_regex=globs_to_python_regex(["https://news.*[ab]"])).orderBy("rec_idx").collect()
     assert [r["payload"] is not None for r in kept] == [True, False]
+
+
+def test_many_small_ranges_are_dealt_over_few_tasks(spark, tmp_path):
+    """The same rows from hundreds of ranges, neighbours in different tasks, without a task for each."""
+    path = write(str(tmp_path), "many.warc", records(700), gz=False)
+    plan = plan_splits(spark, [path], 400)[path]
+    assert len(plan) > warc.MANY_RANGES
+    many = read_warc(spark, path, split_bytes=400)
+    assert many.rdd.getNumPartitions() == warc.MANY_RANGES
+    assert rows(many) == rows(read_warc(spark, path))
+    assert warc.tasks_for(350_000, 500 << 20) == 256 and warc.tasks_for(9, 100) == 9
+    assert warc.tasks_for(100_000, 100_000 * (64 << 20)) == 100_000
+    parts = [warc.FilePartition("f", 100, False, i, i + 1, i) for i in range(300)]
+    dealt = warc.deal(parts)
+    assert len(dealt) == 256 and sorted(p.start for d in dealt for p in d.parts) == list(range(300))
+    assert all(b.start - a.start > 1 for d in dealt for a, b in zip(d.parts, d.parts[1:]))

@@ -1,7 +1,8 @@
 """``spark.read.format("warc")``: web-archive files as a DataFrame.
 
 One input partition per file, or, with ``read_warc(split_bytes=...)``, one per
-byte range of at most about that size: archives are compressed record by record
+byte range of at most about that size (very many small ranges are dealt over fewer
+partitions, see ``deal``): archives are compressed record by record
 (or not at all), so a task can find the first record of its range and read on to
 the first one of the next. A task streams its range and yields Arrow batches of
 ``batch_size`` records or about ``batch_bytes`` bytes; a record's head and payload
@@ -56,6 +57,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, In,
 from ..schemas import RAW_RECORDS
 
 NAME = "warc"
+MANY_RANGES, TASK_BYTES = 256, 16 << 20
 UNREADABLE = "unreadable: "   # start of the message where a file could not be read, or not to its end
 ERROR_TYPE = "_error"   # rows that tell of damage; never counted as records
 # A directory contributes only its archive files (listings and markers next
@@ -75,6 +77,27 @@ class FilePartition(InputPartition):
         self.start, self.end, self.base = start, end, base
 
 
+class DealtPartition(InputPartition):
+    """Ranges read one after the other by one task."""
+
+    def __init__(self, parts: list[FilePartition]):
+        super().__init__((parts[0].path, parts[0].start))
+        self.parts = parts
+
+
+def tasks_for(n: int, total: int) -> int:
+    """Tasks for ``n`` ranges of ``total`` bytes: one each, but beyond ``MANY_RANGES`` only
+    one per ``TASK_BYTES`` (starting a task costs more than reading a small range)."""
+    return min(n, max(MANY_RANGES, -(-total // TASK_BYTES)))
+
+
+def deal(parts: list[FilePartition]) -> list[InputPartition]:
+    """One partition a range where there are few; else ranges dealt in turn, so that
+    neighbours (the ranges of a file) are read by different tasks."""
+    n = tasks_for(len(parts), sum(size or 0 for size in {p.path: p.size for p in parts}.values()))
+    return list(parts) if n == len(parts) else [DealtPartition(parts[i::n]) for i in range(n)]
+
+
 def _fs_and_path(uri: str):
     from ..session import fs_and_path
     return fs_and_path(uri)
@@ -170,11 +193,29 @@ class WarcReader(DataSourceReader):
         else:
             files = stat_files([p.strip() for p in self.options.get("path", "").split(",") if p.strip()])
         splits = json.loads(self.options.get("splits") or "{}")
-        return [FilePartition(*f, *cut) for f in files for cut in splits.get(f[0], [()])]
+        parts = [FilePartition(*f, *cut) for f in files for cut in splits.get(f[0], [()])]
+        return deal(parts) if splits else parts
 
     # ---- execution (executors)
-    def read(self, partition: FilePartition):
+    def read(self, partition: InputPartition):
         import pyarrow as pa
+
+        opts = self.options
+        batch, batch_bytes = int(opts.get("batch_size", 256)), int(opts.get("batch_bytes", 32 << 20))
+        schema = _arrow_schema()
+        rows, held = [], 0
+        for part in getattr(partition, "parts", [partition]):
+            for row in self._rows(part, schema):
+                rows.append(row)
+                held += len(row["payload"] or b"")
+                if len(rows) >= batch or held >= batch_bytes:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    def _rows(self, partition: FilePartition, schema):
+        """The rows of one file or range."""
         from .framing import MAX_PAYLOAD, Damage, Reading, Stop
 
         opts = self.options
@@ -184,10 +225,7 @@ class WarcReader(DataSourceReader):
         path = partition.path
         how = Reading(is_arc(path, opts.get("arc")), _wants(opts), partition.end, int(opts.get("max_payload", MAX_PAYLOAD)))
         failfast = str(opts.get("mode", "PERMISSIVE")).upper() == "FAILFAST"
-        batch, batch_bytes = int(opts.get("batch_size", 256)), int(opts.get("batch_bytes", 32 << 20))
-        schema = _arrow_schema()
         size = partition.size
-        rows: list[dict] = []
 
         def row(idx, offset, rec_type, **values):
             return dict.fromkeys(schema.names) | {
@@ -209,29 +247,23 @@ class WarcReader(DataSourceReader):
             limit -= partition.base
         if limit is not None and limit <= 0:
             return
-        idx = held = 0
+        idx = 0
         for rec in records():
             if isinstance(rec, Stop):
                 break
             if isinstance(rec, Damage):
                 if failfast or self.rec_types is None or ERROR_TYPE in self.rec_types:
-                    rows.append(error(partition.base + idx, rec.offset, rec.message))
+                    yield error(partition.base + idx, rec.offset, rec.message)
                 continue
             if (self.rec_types is None or rec.rec_type in self.rec_types) and not (
                     self.type_not_null and rec.rec_type is None):
-                rows.append(row(
+                yield row(
                     partition.base + idx, rec.offset, rec.rec_type, rec_headers=_hdrs(rec.rec_headers),
                     http_status=rec.http_status, http_headers=_hdrs(rec.http_headers),
-                    payload=rec.payload, payload_error=rec.payload_error))
-                held += len(rec.payload or b"")
-                if len(rows) >= batch or held >= batch_bytes:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                    rows, held = [], 0
+                    payload=rec.payload, payload_error=rec.payload_error)
             idx += 1
             if limit is not None and idx >= limit:
                 break
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 def is_arc(path: str, option: str | None) -> bool | None:
@@ -297,9 +329,10 @@ def plan_splits(spark, paths: list[str], split_bytes: int, arc: str | None = Non
     """
     if split_bytes < 1:
         raise ValueError("split_bytes must be positive.")
-    plan = {}
+    plan, sizes = {}, {}
     for path, size, missing in stat_files(paths):
         if not missing and size and size > split_bytes:
+            sizes[path] = size
             n = -(-size // split_bytes)
             cuts = [size * i // n for i in range(n)]
             plan[path] = list(zip(cuts, [*cuts[1:], None]))
@@ -308,7 +341,8 @@ def plan_splits(spark, paths: list[str], split_bytes: int, arc: str | None = Non
         todo = [(p, a, b, is_arc(p, arc)) for p, ranges in plan.items() for a, b in ranges if (p, a, b) not in found]
         if not todo:
             break
-        work = spark.createDataFrame(todo, RANGE + ", arc boolean").repartition(len(todo))
+        work = spark.createDataFrame(todo, RANGE + ", arc boolean").repartition(
+            tasks_for(len(todo), sum(sizes[p] for p in {t[0] for t in todo})))
         for r in work.mapInArrow(_count_ranges, COUNTED).collect():
             found[r["path"], r["start"], r["end"]] = (r["first"], r["stop"], r["records"])
         for path, ranges in plan.items():
