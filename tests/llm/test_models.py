@@ -592,3 +592,47 @@ def test_language_model_empty(spark):
 def test_words_follow_the_text_rule():
     for _, t, *_ in brute.tricky_rows():
         assert [w.decode() for w in class_lm.tokens((t or "").encode())] == re.findall(r"[^\x20\x09-\x0D]+", brute.lower(t))
+
+
+def test_small_groups_are_compared_without_their_tokens(spark, monkeypatch):
+    """Texts that share a long passage meet in many rows; no token of theirs is joined, and links are the same."""
+    texts = [brute.prose(500, 60) + " " + brute.prose(i, 12 + i % 25) for i in range(58)]
+    texts += [texts[3] + " and so on", texts[9] + " and more"]
+    rows = {}
+    write = jaccard_join.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialise", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_groups(docs).collect()}
+    sets = [set(jaccard_join.shingles(t.encode()).tolist()) for t in texts]
+    least = list(range(len(texts)))
+    for _ in texts:
+        for a, b in ((a, b) for a in range(60) for b in range(60) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])):
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == dict(enumerate(least)) and 1 < len(set(least)) < 60
+    assert max(Counter(least).values()) <= jaccard_join.FIRST_OPENED
+    assert rows["jaccard-queries"] > 0 and rows["jaccard-tokens"] == 0
+
+
+def test_sketches_never_rule_out_a_link(spark):
+    r = np.random.default_rng(5)
+    sets, pairs = [], []
+    for i in range(200):
+        n = int(r.integers(1, 900))
+        common = r.integers(-2 ** 62, 2 ** 62, n)
+        more = [r.integers(-2 ** 62, 2 ** 62, int(r.integers(0, 2 + n // (2 + i % 9)))) for _ in range(2)]
+        sets += [np.unique(np.concatenate((common, x))) for x in more]
+        pairs.append((2 * i, 2 * i + 1))
+    pairs += [(i, i + 7) for i in range(0, 390, 10)]
+    scanned = spark.createDataFrame([(i, bytearray(jaccard_join.pack(s))) for i, s in enumerate(sets)], "rid long, tokens binary")
+    asked = spark.createDataFrame(pairs, "a long, b long")
+    drawn = jaccard_join._sketches(scanned, asked.select("a").union(asked.select("b")).toDF("node"))
+    left = {tuple(x) for x in jaccard_join.near_enough(asked, drawn).collect()}
+    both = [(len(np.intersect1d(sets[a], sets[b])), len(np.union1d(sets[a], sets[b]))) for a, b in pairs]
+    linked = {p for p, (x, y) in zip(pairs, both, strict=True) if 100 * x >= 80 * y}
+    assert linked <= left and 20 < len(linked) < len(left) < len(pairs)
