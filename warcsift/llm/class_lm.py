@@ -150,7 +150,11 @@ def contexts(texts: DataFrame, known: list[bytes], core: int, cls: np.ndarray) -
     other, total = int(cls[-2]), int(cls[-1]) + 1
     missing, width, per = len(known) + 1, 2 * total, -(-len(known) // SLICES)
     spelled = b" ".join(known)
-    stands = np.concatenate((cls[:core], np.full(len(known) - core, other), cls[-1:], cls[-2:-1]))
+    stands = np.concatenate((cls[:core], np.full(len(known) - core, other), cls[-1:], cls[-2:-1])).astype(np.int32)
+    # keys of 4 bytes: some 100,000 known words, or words a task has numbered, times some 10 contexts
+    number_ = np.arange(len(known))
+    first = ((number_ % SLICES * per + number_ // SLICES) * width).astype(np.int32)
+    end = slice(len(known), len(known) + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, local = _numbered(spelled), {}
@@ -167,12 +171,11 @@ def contexts(texts: DataFrame, known: list[bytes], core: int, cls: np.ndarray) -
             for flat in _flat(batch, 0):
                 ids = np.fromiter(map(number.get, flat, repeat(missing)), dtype=np.int64, count=len(flat))
                 now = stands[ids]
-                before, after = np.concatenate(([total - 1], now[:-1])), total + np.concatenate((now[1:], [total - 1]))
+                before, after = np.concatenate((stands[end], now[:-1])), total + np.concatenate((now[1:], stands[end]))
                 at = np.flatnonzero((ids >= core) & (ids < len(known)))
-                row = (ids[at] % SLICES * per + ids[at] // SLICES) * width
-                fixed += [row + before[at], row + after[at]]
+                fixed += [first[ids[at]] + before[at], first[ids[at]] + after[at]]
                 at = np.flatnonzero(ids == missing)
-                row = _local(flat, at, local) * width
+                row = _local(flat, at, local).astype(np.int32) * np.int32(width)
                 own += [row + before[at], row + after[at]]
                 held += 2 * len(flat)
                 if held > EVENTS or len(local) > FLUSH:
@@ -195,8 +198,15 @@ def place(g: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
     rest = np.maximum(rest, 0)
     own = np.arange(classes)
     diagonal, r, c = rest[:, own, own], after[:, own], before[:, own]
-    rows, columns = rest[:, :classes], rest[:, :, :classes]
-    gain = (_h(rows + after[:, None, :]) - _h(rows)).sum(axis=2) + (_h(columns + before[:, :, None]) - _h(columns)).sum(axis=1)
+    # only the cells of classes that stand beside a word change; a rare word has few
+    rows, columns = np.zeros((len(before), classes, len(g))), np.zeros((len(before), len(g), classes))
+    w, k = np.nonzero(after)
+    cells = rest[w, :classes, k]
+    rows[w, :, k] = _h(cells + after[w, k, None]) - _h(cells)
+    w, k = np.nonzero(before)
+    cells = rest[w, k, :classes]
+    columns[w, k] = _h(cells + before[w, k, None]) - _h(cells)
+    gain = rows.sum(axis=2) + columns.sum(axis=1)
     gain += _h(diagonal + r + c) + _h(diagonal) - _h(diagonal + r) - _h(diagonal + c)
     for margin, add in ((rest.sum(axis=2)[:, :classes] + c, after.sum(axis=1)), (rest.sum(axis=1)[:, :classes] + r, before.sum(axis=1))):
         gain -= _h(margin + add[:, None]) - _h(margin)

@@ -216,6 +216,11 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """``node``: each ``a`` once, and each ``b``."""
+    return pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
+
+
 def _tokens_of(scanned: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, tokens`` of the given nodes (column ``node``)."""
     wanted = _small(materialise(nodes.select("node").distinct(), "jaccard-wanted"))
@@ -324,7 +329,7 @@ def links(scanned: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFr
     stars = (keyed.join(centre, "key").filter((F.col("rid") != F.col("b")) & _fits("n", "m", percent))
              .select(F.col("rid").alias("a"), "b").distinct())
     stars = materialise(stars, "jaccard-stars")
-    sets = _tokens_of(scanned, stars.select(F.explode(F.array("a", "b")).alias("node")))
+    sets = _tokens_of(scanned, _ends(stars))
     found = materialise(verified(stars, sets, percent), "jaccard-near")
     release(sets, stars, centre)
     copies = nodes.filter("rid <> rep").select(F.col("rid").alias("a"), F.col("rep").alias("b"))
@@ -402,9 +407,9 @@ def _open_in_rounds(opened: DataFrame, inside: DataFrame, member: DataFrame, sca
         pairs = (left.join(some, "t").filter(_fits("n", "m", percent))
                  .select(F.col("node").alias("a"), "b").distinct())
         pairs = materialise(pairs, "jaccard-pairs")
-        sketches = _sketches(scanned, pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        sketches = _sketches(scanned, _ends(pairs))
         near = materialise(near_enough(pairs, sketches, percent), "jaccard-pairs")
-        sets = _tokens_of(scanned, near.select(F.explode(F.array("a", "b")).alias("node")))
+        sets = _tokens_of(scanned, _ends(near))
         found.append(materialise(verified(near, sets, percent), "jaccard-more"))
         release(pairs, sketches, near, sets)
         low, high = high, high * GROWTH
