@@ -127,9 +127,17 @@ def _numbered(known: bytes) -> dict[bytes, int]:
     return {w: i for i, w in enumerate(known.split())} | {END: len(known.split())}
 
 
-def _local(flat: list[bytes], at: np.ndarray, local: dict[bytes, int]) -> np.ndarray:
-    """Task's own numbers of the words at ``at``, given as they come."""
-    return np.fromiter((local.setdefault(flat[i], len(local)) for i in at.tolist()), dtype=np.int64, count=len(at))
+class _Numbers(dict):
+    """Numbers of words, given as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def _local(flat: list[bytes], at: np.ndarray, local: _Numbers) -> np.ndarray:
+    """Task's own numbers of the words at ``at``."""
+    return np.fromiter(map(local.__getitem__, map(flat.__getitem__, at.tolist())), dtype=np.int64, count=len(at))
 
 
 def _sliced(names: list[bytes], keys: list[np.ndarray], size: int) -> pa.RecordBatch:
@@ -157,7 +165,7 @@ def contexts(texts: DataFrame, known: list[bytes], core: int, cls: np.ndarray) -
     end = slice(len(known), len(known) + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, local = _numbered(spelled), {}
+        number, local = _numbered(spelled), _Numbers()
         fixed, own, held = [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -288,7 +296,7 @@ def class_bigrams(texts: DataFrame, placed: DataFrame, known: list[bytes], known
     class_of = np.concatenate((known_class, [total - 1, 0]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, local = _numbered(spelled), {}
+        number, local = _numbered(spelled), _Numbers()
         cells, rare, held = np.zeros(total * total, dtype=np.int64), [], 0
 
         def rows(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -461,14 +469,15 @@ def score(docs: DataFrame, model: ClassModel) -> DataFrame:
                 found = np.add.reduceat(np.where(missing, 0, 1), starts) - (1 - ends_known)
                 at = np.flatnonzero(missing)
                 cuts = np.searchsorted(at, [0, *stops])
-                rare = [at[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                words = pa.array([flat[i] for i in at.tolist()], pa.binary())
+                place_ = pa.array((at - np.repeat(starts, np.diff(cuts))).astype(np.int32))
+                cuts = pa.array(cuts.astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(lengths), pa.array(found),
                     pa.array(np.add.reduceat(grown[ids], starts) - lengths * base_mass),
                     pa.array(np.add.reduceat(emit[ids], starts)),
                     pa.array([c[a:b].tobytes() for a, b in zip(starts, stops, strict=True)], pa.binary()),
-                    pa.array([[flat[i] for i in r] for r in rare], pa.list_(pa.binary())),
-                    pa.array([r - a for r, a in zip(rare, starts, strict=True)], pa.list_(pa.int32()))], schema=SCORED)
+                    pa.ListArray.from_arrays(cuts, words), pa.ListArray.from_arrays(cuts, place_)], schema=SCORED)
 
     part = materialise(
         docs.select(F.col("doc_id").cast("long"), "text")
