@@ -636,3 +636,26 @@ def test_sketches_never_rule_out_a_link(spark):
     both = [(len(np.intersect1d(sets[a], sets[b])), len(np.union1d(sets[a], sets[b]))) for a, b in pairs]
     linked = {p for p, (x, y) in zip(pairs, both, strict=True) if 100 * x >= 80 * y}
     assert linked <= left and 20 < len(linked) < len(left) < len(pairs)
+
+
+def test_near_copies_that_do_not_link_are_not_paired(spark, monkeypatch):
+    """Many copies of one text, most with an edit too many to link: few rows and pairs, all links."""
+    monkeypatch.setattr(jaccard_join, "HEAVY_SAMPLE", 1)
+    base = [f"w{i}" for i in range(150)]
+    edited = lambda i, n: [f"e{i}-{j}" if (j + i) % (150 // n) == 20 and j // (150 // n) < n else w for j, w in enumerate(base)]
+    texts = [" ".join(x) for x in [*(edited(i, 3) for i in range(30)), base, *(edited(i, 5) for i in range(30, 110))]]
+    rows = Counter()
+    write = jaccard_join.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        rows[name] += out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialise", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_groups(docs).collect()}
+    want = brute.jaccard_components(list(enumerate(texts)))
+    assert got == {d: c for d, _, c in want}
+    assert sorted(Counter(got.values()).values())[-1] == 31 and len(set(got.values())) > 40
+    assert rows["jaccard-meet"] < 400 and rows["jaccard-pairs"] < 800, rows

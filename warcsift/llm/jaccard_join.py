@@ -7,20 +7,22 @@ Documents are sets of word shingles (64-bit hashes); two link when
    and ``BANDS`` keys from a one-permutation sketch. Tokens are ordered by hash,
    those seen often in a sample of texts last: the order only steers the work,
    any order gives the same links. Equal sets (copies) are one node.
-2. Groups: in every key bucket the other nodes are compared with one centre;
-   verified links join similar documents into groups, whatever their number,
-   with one comparison per document and key.
+2. Groups: in every key bucket the other nodes are compared with one centre, the
+   node of most tokens seen often (what copies have in common, so it is near most
+   of them); verified links join similar documents into groups, whatever their
+   number, with one comparison per document and key.
 3. Token-group matrix: a row per token and group, from the first
    ``n - ceil(n * PERCENT / 100) + 1`` tokens of each member. Two sets that
    link share one of these, so only groups that meet in a row are candidates;
-   and past the first prefix to end, the smaller rest bounds what they can still
-   share, so they must meet in more rows the nearer their sizes are (in over
-   ``P (100 a - P b) / (100 (100 + P))`` for sizes a <= b and P = PERCENT).
+   and from the first token they share on, each must have left the
+   ``P (a + b) / (100 + P)`` tokens that sets of sizes a and b share if they link
+   (P = PERCENT). Rows that leave less to either side are no meeting.
 4. Bound: the overlap of a query (a member of the smaller group) with the
    other group's token union must reach ``PERCENT`` per cent of the query. A group
    of at most ``FIRST_OPENED`` members needs no bound, all are met in one round.
    Only qualifying groups are opened, and their members compared in
-   rounds: queries whose group has met the opened one need no more members.
+   rounds: queries whose group has met the opened one need no more members. From the
+   second round on only members are compared that share a row of step 3 with the query.
    Sketches (``SKETCH`` bits, each the parity of the tokens that fall on it) go
    first: two sets differ in at least as many tokens as their sketches in bits, so
    pairs whose sketches differ too much cannot link. The others are compared exactly.
@@ -142,12 +144,13 @@ def frequent_tokens(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
     return np.sort(np.array([r["tok"] for r in top], dtype=np.int64).view(np.uint64))
 
 
-SCAN = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("cid", pa.binary()), ("bands", pa.list_(pa.int64())), ("tokens", pa.binary())])
+SCAN = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("cid", pa.binary()), ("often", pa.int64()), ("bands", pa.list_(pa.int64())), ("tokens", pa.binary())])
 
 
 def scan(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``rid, doc_id, text_key, n, cid, bands, tokens``. Bands and tokens are given once per
-    distinct set and task, which is enough: equal sets are one node."""
+    """``rid, doc_id, text_key, n, cid, often, bands, tokens``; ``often``: tokens that stand last
+    as seen often. It, bands and tokens are given once per distinct set and task, which is
+    enough: equal sets are one node."""
     heavy = frequent_tokens(docs, size)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,27 +159,30 @@ def scan(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                n, cid, bands, tokens = [], [], [], []
+                n, cid, frequent, bands, tokens = [], [], [], [], []
                 for text in part.column(2).cast(pa.binary()).to_pylist():
                     s = shingles(text, size, hashes)
                     n.append(len(s))
                     digest = xxhash.xxh3_128_digest(s.tobytes())
                     cid.append(digest if len(s) else None)
                     new = len(s) > 0 and digest not in seen
+                    last = 0
                     if new:
                         seen.add(digest)
                         if len(heavy):
                             often = heavy[np.minimum(heavy.searchsorted(s), len(heavy) - 1)] == s
                             ordered = np.concatenate((s[~often], s[often]))
+                            last = int(often.sum())
                         else:
                             ordered = s
+                    frequent.append(last if new else None)
                     bands.append(band_keys(s) if new else None)
                     tokens.append(pack(ordered) if new else None)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(cid, pa.binary()),
-                                                  pa.array(bands, pa.list_(pa.int64())), pa.array(tokens, pa.binary())], schema=SCAN)
+                                                  pa.array(frequent, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(tokens, pa.binary())], schema=SCAN)
 
     return (docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()), "text")
-            .mapInArrow(read, "doc_id long, text_key long, n long, cid binary, bands array<bigint>, tokens binary")
+            .mapInArrow(read, "doc_id long, text_key long, n long, cid binary, often long, bands array<bigint>, tokens binary")
             .withColumn("rid", F.monotonically_increasing_id()))
 
 
@@ -290,29 +296,41 @@ def _fits(n: str, m: str, percent: int):
     return (F.col(n) * 100 >= F.col(m) * percent) & (F.col(m) * 100 >= F.col(n) * percent)
 
 
+def _can_link(percent: int):
+    """For sets of sizes n and m that share a token: whether it can be the first of the
+    tokens they share if they link, by what each has from it on (``rest``, ``left``)."""
+    return F.least("rest", "left").cast("long") * (100 + percent) >= (F.col("n").cast("long") + F.col("m")) * percent
+
+
 def _rows(sets: DataFrame, percent: int | None = None) -> DataFrame:
-    """``node, tok``: the tokens of every set, or only of its prefix."""
+    """``node, tok``: the tokens of every set, or only of its prefix, then with ``n``, the
+    set's size, and ``rest``, its tokens from this one on."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
-            tok = np.concatenate(parts)
-            node = np.repeat(np.array(nodes, dtype=np.int64), [len(x) for x in parts])
-            return pa.RecordBatch.from_arrays([pa.array(node), pa.array(tok)], names=["node", "tok"])
-
-        nodes, parts, held = [], [], 0
+            held_ = [len(x) for x in parts]
+            columns = {"node": np.repeat(np.array(nodes, dtype=np.int64), held_), "tok": np.concatenate(parts)}
+            if percent is not None:
+                columns["n"] = np.repeat(np.array(sizes, dtype=np.int32), held_)
+                before = np.arange(len(columns["tok"])) - np.repeat(np.cumsum([0, *held_[:-1]]), held_)
+                columns["rest"] = columns["n"] - before.astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
+
+        nodes, parts, sizes, held = [], [], [], 0
         for batch in batches:
             for node, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = data.as_py()
                 n = len(data) // KEPT
                 parts.append(unpack(data[:KEPT * (n if percent is None else prefix_length(n, percent))]))
                 nodes.append(node)
+                sizes.append(n)
                 held += len(parts[-1])
                 if held >= ROWS_OUT:
                     yield rows()
-                    nodes, parts, held = [], [], 0
+                    nodes, parts, sizes, held = [], [], [], 0
         if nodes:
             yield rows()
 
-    return sets.select("node", "tokens").mapInArrow(emit, "node long, tok long")
+    return sets.select("node", "tokens").mapInArrow(emit, "node long, tok long" + ("" if percent is None else ", n int, rest int"))
 
 
 def links(scanned: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -322,8 +340,9 @@ def links(scanned: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFr
     nodes = materialise(own.join(rep, "cid").select("rid", "rep", "n"), "jaccard-nodes")
 
     # groups: each node against the centre of its key buckets
-    keyed = scanned.filter("tokens IS NOT NULL").select("rid", "n", F.explode("bands").alias("key"))
-    centre = (keyed.groupBy("key").agg(F.min(F.struct("rid", "n")).alias("c"), F.count("*").alias("size"))
+    keyed = scanned.filter("tokens IS NOT NULL").select("rid", "n", "often", F.explode("bands").alias("key"))
+    first = F.struct((-F.col("often")).alias("rank"), "rid", "n")
+    centre = (keyed.groupBy("key").agg(F.min(first).alias("c"), F.count("*").alias("size"))
               .filter("size > 1").select("key", F.col("c.rid").alias("b"), F.col("c.n").alias("m")))
     centre = materialise(centre, "jaccard-centres")
     stars = (keyed.join(centre, "key").filter((F.col("rid") != F.col("b")) & _fits("n", "m", percent))
@@ -341,22 +360,21 @@ def links(scanned: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFr
     # token-group matrix, and groups that meet in one of its rows
     moved = _small(materialise(member.filter("g <> rid").select(F.col("rid").alias("node"), "g"), "jaccard-moved"))
     every = scanned.filter("tokens IS NOT NULL").select(F.col("rid").alias("node"), "tokens")
-    # dealt by token once: the distinct rows and both sides of the join share that shuffle
+    # dealt by token once: the grouped rows and both sides of the join share that shuffle
     matrix = (_rows(every, percent).join(moved, "node", "left")
-              .select("tok", F.coalesce("g", "node").alias("g")).repartition("tok").distinct())
-    matrix = matrix.alias("l"), matrix.withColumnRenamed("g", "h").alias("r")
-    meet = matrix[0].join(matrix[1], "tok").filter(F.col("g") < F.col("h")).groupBy("g", "h").agg(F.count("*").alias("common"))
+              .select("tok", F.coalesce("g", "node").alias("g"), "n", "rest").repartition("tok")
+              .groupBy("tok", "g").agg(F.min("n").alias("n"), F.max("rest").alias("rest")))
+    other = matrix.select("tok", F.col("g").alias("h"), F.col("n").alias("m"), F.col("rest").alias("left"))
+    meet = matrix.join(other, "tok").filter((F.col("g") < F.col("h")) & _can_link(percent)).select("g", "h").distinct()
     info = member.groupBy("g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.count("*").alias("size"))
     info = materialise(info, "jaccard-groups")
     one = info.select("g", F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("size").alias("size1"))
     two = info.select(F.col("g").alias("h"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("size").alias("size2"))
     swap = F.col("size1") > F.col("size2")  # queries come from the smaller group
     pick = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-    few, many = F.least("lo1", "lo2"), F.greatest("hi1", "hi2")
-    enough = F.col("common") * 100 * (100 + percent) > (few * 100 - many * percent) * percent
     meet = materialise(
         materialise(meet, "jaccard-meet").join(one, "g").join(two, "h")
-        .filter((F.col("hi1") * 100 >= F.col("lo2") * percent) & (F.col("hi2") * 100 >= F.col("lo1") * percent) & enough)
+        .filter((F.col("hi1") * 100 >= F.col("lo2") * percent) & (F.col("hi2") * 100 >= F.col("lo1") * percent))
         .select(pick("g", "h").alias("q"), pick("h", "g").alias("t"), pick("lo2", "lo1").alias("lo"), pick("hi2", "hi1").alias("hi")),
         "jaccard-candidates")
 
@@ -404,9 +422,18 @@ def _open_in_rounds(opened: DataFrame, inside: DataFrame, member: DataFrame, sca
     low, high = 0, FIRST_OPENED
     while last is not None and low <= last:
         some = place.filter((F.col("place") >= low) & (F.col("place") < high))
-        pairs = (left.join(some, "t").filter(_fits("n", "m", percent))
-                 .select(F.col("node").alias("a"), "b").distinct())
-        pairs = materialise(pairs, "jaccard-pairs")
+        prefix = None
+        if low:
+            sets = _tokens_of(scanned, left.select("node").unionByName(some.select(F.col("b").alias("node"))))
+            prefix = materialise(_rows(sets, percent), "jaccard-prefixes")
+            release(sets)
+            asks = left.select("node", "t").join(prefix, "node")
+            held = prefix.select(F.col("node").alias("b"), "tok", F.col("n").alias("m"), F.col("rest").alias("left"))
+            met = asks.join(some.select("t", "b").join(held, "b"), ["t", "tok"]).filter(_can_link(percent))
+        else:
+            met = left.join(some, "t").filter(_fits("n", "m", percent))
+        pairs = materialise(met.select(F.col("node").alias("a"), "b").distinct(), "jaccard-pairs")
+        release(*[] if prefix is None else [prefix])
         sketches = _sketches(scanned, _ends(pairs))
         near = materialise(near_enough(pairs, sketches, percent), "jaccard-pairs")
         sets = _tokens_of(scanned, _ends(near))
