@@ -638,6 +638,24 @@ def test_sketches_never_rule_out_a_link(spark):
     assert linked <= left and 20 < len(linked) < len(left) < len(pairs)
 
 
+def test_sketches_tell_large_sets_apart(spark):
+    """Sets of thousands of tokens: pairs that are far apart are ruled out by their sketches, links never."""
+    r = np.random.default_rng(7)
+    sets, linked = [], set()
+    for i, n in enumerate([1000, 2000, 4000, 9000, 20000]):
+        one = r.integers(-2 ** 62, 2 ** 62, n)
+        near = np.concatenate((one[n // 20:], r.integers(-2 ** 62, 2 ** 62, n // 10)))  # drawn on more bits where n is 1000 or 2000
+        far = np.concatenate((one[:n // 3], r.integers(-2 ** 62, 2 ** 62, n - n // 3)))
+        sets += [one, near, far]
+        linked.add((3 * i, 3 * i + 1))
+    pairs = sorted(linked | {(a, a + 2) for a, _ in linked} | {(b, b + 1) for _, b in linked})
+    scanned = spark.createDataFrame([(i, bytearray(jaccard_join.pack(s))) for i, s in enumerate(sets)], "rid long, tokens binary")
+    asked = spark.createDataFrame(pairs, "a long, b long")
+    drawn = jaccard_join._sketches(scanned, asked.select("a").union(asked.select("b")).toDF("node"))
+    assert {tuple(x) for x in jaccard_join.near_enough(asked, drawn).collect()} == linked
+    assert len({len(x) for x in map(jaccard_join.sketch, sets[:2])}) == 2  # of unequal widths
+
+
 def test_near_copies_that_do_not_link_are_not_paired(spark, monkeypatch):
     """Many copies of one text, most with an edit too many to link: few rows and pairs, all links."""
     monkeypatch.setattr(jaccard_join, "HEAVY_SAMPLE", 1)
