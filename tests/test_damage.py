@@ -176,6 +176,18 @@ def test_semi_join_of_globs_without_a_host(spark):
         assert sorted(r["url"] for r in got.collect()) == sorted(u for u in urls if any(fnmatch.fnmatchcase(u, g) for g in part))
 
 
+def test_semi_join_broadcasts_no_pieces_of_urls(spark, tmp_dir):
+    """Read from files, a table's pieces look as small as its URLs; they are many times larger."""
+    urls = [f"https://s{i % 7}.example.org/a/{i}/page{i * 37 % 500}.html" for i in range(1000)]
+    globs = [f"*://s{i}.example.org/a/1*" for i in range(3)] + [f"*/page{i}.*" for i in range(40)] + ["*/a/12[0-9]/*"]
+    spark.createDataFrame(list(enumerate(urls)), "id int, url string").write.parquet(f"{tmp_dir}/urls")
+    spark.createDataFrame([(g,) for g in globs], "glob string").write.parquet(f"{tmp_dir}/globs")
+    got = url_semi_join(spark.read.parquet(f"{tmp_dir}/urls"), spark.read.parquet(f"{tmp_dir}/globs"))
+    assert sorted(r["url"] for r in got.collect()) == sorted(u for u in urls if any(fnmatch.fnmatchcase(u, g) for g in globs))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and " Inner" in x]
+
+
 def test_globs_translated_in_columns(spark):
     globs = ["*", "a*b", "**?", "[a-c]x", "[!a-c]", "[]]", "[!]]", "[", "[]", "[!]", "[z-a]", "[!z-a]", "[a-]", "[--0]", "x[é-ü]\n", "a.b+c(d)", "[a][", "[^a]"]
     texts = ["", "a", "b", "ab", "axb", "bx", "]", "[", "[]", "[!]", "-", ".", "xë\n", "a.b+c(d)", "a[", "^", "é", "!"]

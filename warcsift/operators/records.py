@@ -72,6 +72,8 @@ def url_semi_join(records: DataFrame, patterns: DataFrame, url_col: str = "url",
     URLs hold; globs with a piece that no URL holds are left out. URLs meet them by
     an equi-join on pieces. The glob itself is the residual condition of both.
     Globs are translated by built-in functions; the number of patterns is not limited.
+    Both joins are told to sort and merge: Spark takes an exploded table to be about as
+    small as its URLs, and would gather all their pieces in the driver to broadcast them.
     """
     globs = (patterns.select(F.col(glob_col).alias("_glob")).where(F.col("_glob").isNotNull()).distinct()
              .withColumn("_elements", glob_elements(F.col("_glob")))
@@ -80,7 +82,7 @@ def url_semi_join(records: DataFrame, patterns: DataFrame, url_col: str = "url",
     urls = records.select(F.col(url_col).alias("_url")).where(F.col("_url").isNotNull()).distinct()
     parts = F.flatten(F.transform(F.split("_url", "/"), _suffixes))
     by_host = (urls.select("_url", F.explode(F.array_distinct(parts)).alias("_host"))
-               .join(globs.where(F.col("_host").isNotNull()), "_host"))
+               .join(globs.where(F.col("_host").isNotNull()).hint("merge"), "_host"))
     other = globs.where(F.col("_host").isNull()).withColumn(
         "_n", F.least(F.lit(GRAM), F.array_max(F.transform("_literals", F.char_length))))
     piece = F.flatten(F.transform("_literals", lambda x: ngrams(x, F.col("_n"))))
@@ -94,7 +96,7 @@ def url_semi_join(records: DataFrame, patterns: DataFrame, url_col: str = "url",
     rarest = (filed.join(often, "_gram", "left").groupBy("_rx")
               .agg(F.min(F.struct(F.coalesce("_urls", F.lit(0)).alias("urls"), F.col("_gram").alias("gram"))).alias("_least"))
               .where(F.col("_least.urls") > 0).select("_rx", F.col("_least.gram").alias("_gram")))
-    hits = by_host.select("_url", "_rx").unionByName(held.join(rarest, "_gram").select("_url", "_rx"))
+    hits = by_host.select("_url", "_rx").unionByName(held.join(rarest.hint("merge"), "_gram").select("_url", "_rx"))
     hits = hits.where(F.expr("_url rlike _rx")).select("_url").distinct()
     return records.join(hits, F.col(url_col) == F.col("_url"), "left_semi")
 
